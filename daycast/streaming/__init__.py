@@ -1,0 +1 @@
+"""daycast.streaming."""
