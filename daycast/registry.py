@@ -2,20 +2,47 @@
 
 Each entry takes ``(spark, sf_dir)`` and returns a DataFrame built from the
 whole ``lineitem`` / ``orders`` tables through the stand-in views of
-:mod:`daycast.sources.testdata`."""
+:mod:`daycast.sources.testdata`.
+
+Model-free entries that need predictions (metrics, report tables) use two
+SQL-expressible predictors of the delta target, so each has an exact DuckDB
+oracle: ``persistence`` (tomorrow = today, delta 0) and ``drift`` (the mean
+training delta, a scalar subquery).  Entries that fit Spark ML models are
+checked by row count only."""
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
+from daycast.functions.calendar import add_calendar, calendar_features, drop_helpers, month_edges
+from daycast.functions.casting import decimal_to_double, nan_to_null, safe_cast_double
+from daycast.functions.transforms import label_diff, reconstruct
+from daycast.operators import models as M
+from daycast.operators.enrich import ffill_bfill, price_left_join, price_rename, price_source
+from daycast.operators.metrics import direct_metrics, model_comparison, regression_metrics
+from daycast.operators.output import bounded_sample, ordered_output, range_partition
+from daycast.operators.report import (report_bars, report_overlay, report_scatter,
+                                      report_timeseries, residual_histogram)
+from daycast.operators.rollup import date_bounds, daily_rollup, raw_projection, row_counts, scan_range
+from daycast.operators.schema import ensure_date, resolve_label, select_metrics
+from daycast.operators.split import drop_incomplete, time_split, training_frame
+from daycast.operators.windows import ordered_window
 from daycast.plans.enriched import enriched_daily
-from daycast.plans.features import feature_table
-from daycast.operators.rollup import daily_rollup
+from daycast.plans.features import feature_levels, feature_table, prepare_daily
+from daycast.plans.pipeline import run_pipeline
+from daycast.plans.train import train_and_compare
+from daycast.session import shared_dir
 from daycast.sources import testdata as td
+from daycast.sources.files import (features_scan, features_sink, month_ranges,
+                                   union_inputs, with_year_month)
+from daycast.sources.models_io import model_load_score, model_metadata, model_save
+from daycast.sources.records import metrics_summary, run_record
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,22 +54,36 @@ TEST_END = "2001-12-31"
 # A day range inside the data, for the range-scan operators.
 RANGE_START = "1996-03-01"
 RANGE_END = "1998-08-31"
-
+# Cut between the two inputs of the multi-input read.
+MULTI_CUT = "1998-12-31"
+# Row bound of the report's bounded sample (fixed value of the reference).
+SAMPLE_ROWS = 20000
+BASELINES = ["persistence", "drift"]
 
 GRID = 1048576.0  # 2**20
 
 
+def _snap(c):
+    return F.rint(c.cast("double") * F.lit(GRID)) / F.lit(GRID)
+
+
 def round_doubles(df: DataFrame) -> DataFrame:
-    """Snap DOUBLE/FLOAT columns to a 2**-20 grid (half-even), for
-    cross-engine value comparison only.
+    """Snap DOUBLE/FLOAT columns (and arrays of them) to a 2**-20 grid,
+    half-even, for cross-engine value comparison only.
 
     Scaling by a power of two and ``rint`` are exact IEEE operations, so two
     engines give bit-identical results unless their inputs straddle a grid
     midpoint — unlike decimal rounding, where data with few decimals lands on
     exact ties and a one-ulp difference in summation order flips the digit."""
-    return df.select([(F.rint(F.col(f.name).cast("double") * F.lit(GRID)) / F.lit(GRID)).alias(f.name)
-                      if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
-                      for f in df.schema.fields])
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, (DoubleType, FloatType)):
+            c = _snap(c)
+        elif isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, (DoubleType, FloatType)):
+            c = F.transform(c, _snap)
+        cols.append(c.alias(f.name))
+    return df.select(cols)
 
 
 def register(name: str):
@@ -52,28 +93,417 @@ def register(name: str):
     return deco
 
 
-def _enriched(spark: SparkSession, sf: str, series: bool = False) -> DataFrame:
-    return enriched_daily(td.blocks(spark, sf, with_series=series), td.price_history(spark, sf),
+# --- shared building blocks ------------------------------------------------
+
+def _blocks(spark, sf, series=False):
+    return td.blocks(spark, sf, with_series=series)
+
+
+def _daily(spark, sf, series=False):
+    return daily_rollup(_blocks(spark, sf, series), series=["series"] if series else ())
+
+
+def _price(spark, sf):
+    return price_rename(td.price_history(spark, sf))
+
+
+def _enriched(spark, sf, series=False):
+    return enriched_daily(_blocks(spark, sf, series), td.price_history(spark, sf),
                           series=["series"] if series else ())
 
 
-def _features(spark: SparkSession, sf: str, series: bool = False) -> DataFrame:
+def _features(spark, sf, series=False):
     return feature_table(_enriched(spark, sf, series), series=["series"] if series else ())
 
 
-# --- aggregations ----------------------------------------------------------
+def _levels(spark, sf):
+    """Every feature column on every daily row (before the completeness filter)."""
+    base, metrics, x = prepare_daily(_enriched(spark, sf))
+    return feature_levels(base, metrics, x, ordered_window())
+
+
+def _splits(spark, sf):
+    frame, feats = training_frame(_features(spark, sf))
+    train, test = time_split(frame, TRAIN_END, TEST_START, TEST_END)
+    return train, test, feats
+
+
+def _baseline_predictions(spark, sf):
+    """Scored test rows of the two SQL-expressible predictors."""
+    train, test, _ = _splits(spark, sf)
+    mean_delta = train.select(F.avg("label_diff")).scalar()
+    cols = ["date", "label", "label_log", "tx_log", "label_diff"]
+    parts = []
+    for name, pred in (("persistence", F.lit(0.0)), ("drift", mean_delta)):
+        p = test.select(*cols, F.lit(name).alias("model"), pred.cast("double").alias("prediction"))
+        parts.append(p.select("*", *reconstruct("prediction", "tx_log")))
+    return parts[0].unionByName(parts[1])
+
+
+def _scratch(spark, kind):
+    return shared_dir(spark, "registry", f"{kind}-{uuid.uuid4().hex}")
+
+
+def _fit_models(spark, sf, names, params=None):
+    train, test, feats = _splits(spark, sf)
+    p = params or M.ModelParams()
+    return {n: M.fit(n, train, feats, p) for n in names}, test
+
+
+def _model_scores(spark, sf, name):
+    models, test = _fit_models(spark, sf, [name])
+    return M.score(models[name], test, name).select(
+        "date", "model", "label", "label_log", "tx_log", "label_diff",
+        "prediction", "prediction_log", "prediction_raw")
+
+
+# --- 2.1 scans, sources, sinks --------------------------------------------
+
+@register("scan_range")
+def q_scan_range(spark, sf):
+    return scan_range(_blocks(spark, sf), RANGE_START, RANGE_END)
+
+
+@register("month_partitioned")
+def q_month_partitioned(spark, sf):
+    daily = _daily(spark, sf)
+    months = month_ranges(date_bounds(daily, "day"))
+    counts = with_year_month(daily, "day").groupBy("year_month").agg(
+        F.sum("blocks_count").alias("blocks"), F.count(F.lit(1)).alias("days"))
+    return months.join(counts, "year_month", "left")
+
+
+@register("multi_read")
+def q_multi_read(spark, sf):
+    cut = F.lit(MULTI_CUT).cast("date")
+    return union_inputs([_enriched(spark, sf).filter(F.col("day") <= cut),
+                         _daily(spark, sf).filter(F.col("day") > cut)])
+
+
+@register("price_source")
+def q_price_source(spark, sf):
+    return price_source(_price(spark, sf), _daily(spark, sf))
+
+
+@register("features_sink")
+def q_features_sink(spark, sf):
+    path = _scratch(spark, "features")
+    features_sink(_features(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@register("features_scan")
+def q_features_scan(spark, sf):
+    path = _scratch(spark, "features")
+    # written with a timestamp date, as a pandas writer would leave it
+    features_sink(_features(spark, sf).withColumn("date", F.col("date").cast("timestamp_ntz")), path)
+    return features_scan(spark, path)
+
+
+@register("model_save")
+def q_model_save(spark, sf):
+    models, _ = _fit_models(spark, sf, ["linear_regression"])
+    path = model_save(models["linear_regression"], _scratch(spark, "models"), "linear_regression")
+    return model_metadata(spark, path).select("class", "uid", "sparkVersion")
+
+
+@register("model_load_score")
+def q_model_load_score(spark, sf):
+    names = ["linear_regression", "decision_tree"]
+    models, test = _fit_models(spark, sf, names)
+    run_dir = _scratch(spark, "models")
+    for n, m in models.items():
+        model_save(m, run_dir, n)
+    return model_load_score(run_dir, test).select(
+        "model", "date", "label", "label_log", "prediction_log", "prediction_raw")
+
+
+@register("run_record")
+def q_run_record(spark, sf):
+    _, _, feats = _splits(spark, sf)
+    comp = model_comparison(_baseline_predictions(spark, sf))
+    return run_record(comp, "baseline", "", TRAIN_END, TEST_START, TEST_END, feats)
+
+
+@register("metrics_summary")
+def q_metrics_summary(spark, sf):
+    return metrics_summary(model_comparison(_baseline_predictions(spark, sf)), TEST_START, TEST_END)
+
+
+# --- 2.2 projections, filters, cleaning ------------------------------------
+
+@register("safe_cast")
+def q_safe_cast(spark, sf):
+    return _blocks(spark, sf).select("timestamp", safe_cast_double("accumulatedFees").alias("accumulated_fees"))
+
+
+@register("raw_projection")
+def q_raw_projection(spark, sf):
+    return raw_projection(_blocks(spark, sf), RANGE_START, RANGE_END)
+
+
+@register("decimal_to_double")
+def q_decimal_to_double(spark, sf):
+    li = td.table(spark, sf, "lineitem")
+    return decimal_to_double(li.select(
+        F.col("l_shipdate"), F.col("l_quantity"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("l_extendedprice"),
+        F.col("l_discount").cast("decimal(4,2)").alias("l_discount")))
+
+
+@register("ensure_date")
+def q_ensure_date(spark, sf):
+    return ensure_date(_daily(spark, sf))
+
+
+@register("select_metrics")
+def q_select_metrics(spark, sf):
+    return select_metrics(ensure_date(_enriched(spark, sf)))
+
+
+@register("resolve_label")
+def q_resolve_label(spark, sf):
+    df = ensure_date(_daily(spark, sf))
+    src = resolve_label("tx_count", df.columns)
+    return df.select("date", F.lit(src).alias("label_metric"), F.col(src).cast("double").alias("label_value"))
+
+
+def _dirty(spark, sf):
+    """Block values with unparseable text (line 3) and NaN (line 4)."""
+    li = td.table(spark, sf, "lineitem")
+    txt = F.when(F.col("l_linenumber") == 3, F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("string"))
+    nan = F.when(F.col("l_linenumber") == 4, F.lit("NaN")).otherwise(F.col("l_tax").cast("string"))
+    return li.select(F.col("l_shipdate").alias("timestamp"),
+                     safe_cast_double(txt).alias("fee"), safe_cast_double(nan).alias("gas"))
+
+
+@register("nan_to_null")
+def q_nan_to_null(spark, sf):
+    return nan_to_null(_dirty(spark, sf), ["gas"])
+
+
+@register("drop_incomplete")
+def q_drop_incomplete(spark, sf):
+    return drop_incomplete(_dirty(spark, sf), ["fee", "gas"])
+
+
+@register("drop_helpers")
+def q_drop_helpers(spark, sf):
+    return drop_helpers(add_calendar(ensure_date(_daily(spark, sf))))
+
+
+@register("price_rename")
+def q_price_rename(spark, sf):
+    return _price(spark, sf)
+
+
+@register("time_split")
+def q_time_split(spark, sf):
+    train, test, _ = _splits(spark, sf)
+    cols = ["date", "label", "label_log", "tx_log"]
+    return (train.select(F.lit("train").alias("split"), *cols)
+            .unionByName(test.select(F.lit("test").alias("split"), *cols)))
+
+
+@register("feature_columns")
+def q_feature_columns(spark, sf):
+    return training_frame(_features(spark, sf))[0]
+
+
+@register("label_diff")
+def q_label_diff(spark, sf):
+    return _features(spark, sf).select("date", "label_log", "tx_log", label_diff())
+
+
+@register("optional_price_features")
+def q_optional_price_features(spark, sf):
+    return feature_table(_daily(spark, sf))
+
+
+# --- 2.3 join ---------------------------------------------------------------
+
+@register("price_left_join")
+def q_price_left_join(spark, sf):
+    return price_left_join(_daily(spark, sf), _price(spark, sf))
+
+
+# --- 2.4 aggregations -------------------------------------------------------
 
 @register("daily_rollup")
 def q_daily_rollup(spark, sf):
-    return daily_rollup(td.blocks(spark, sf))
+    return _daily(spark, sf)
 
 
-# --- end to end ------------------------------------------------------------
+@register("date_bounds")
+def q_date_bounds(spark, sf):
+    return date_bounds(_daily(spark, sf, series=True), "day", ["series"])
+
+
+@register("row_counts")
+def q_row_counts(spark, sf):
+    return row_counts(_features(spark, sf), TRAIN_END, TEST_START, TEST_END)
+
+
+@register("rmse")
+def q_rmse(spark, sf):
+    m = regression_metrics(_baseline_predictions(spark, sf), by=["model"])
+    return m.select("model", "rmse_log", "rmse_raw")
+
+
+@register("r2")
+def q_r2(spark, sf):
+    m = regression_metrics(_baseline_predictions(spark, sf), by=["model"])
+    return m.select("model", "r2_log", "r2_raw")
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf):
+    return model_comparison(_baseline_predictions(spark, sf))
+
+
+# --- 2.5 windows (every daily row, partial frames included) -----------------
+
+_WINDOW_COLUMNS = {
+    "lead_label": ["label"],
+    "metric_lags": [f"{m}_lag{k}" for m in ["blocks_count", "tx_count_sum", "accumulated_fees_sum",
+                                            "developer_fees_sum", "gas_provided_avg", "gas_refunded_avg",
+                                            "gas_penalized_avg", "price_usd", "price_volume"]
+                    for k in (1, 2, 3)],
+    "derived_lags": [f"{m}_lag{k}" for m in ["tx_log_std7", "tx_log_std14", "tx_log_z7", "tx_log_z14",
+                                             "delta1", "delta7", "trend7", "trend14",
+                                             "tx_log_rng14", "tx_log_rng28"] for k in (1, 2, 3)],
+    "long_lags": ["tx_log_lag7", "tx_log_lag14", "tx_log_lag28"],
+    "rolling_mean": ["tx_log_ma7", "tx_log_ma14", "tx_log_ma28"],
+    "rolling_std": ["tx_log_std7", "tx_log_std14"],
+    "rolling_zscore": ["tx_log_z7", "tx_log_z14"],
+    "rolling_range": ["tx_log_min14", "tx_log_max14", "tx_log_rng14",
+                      "tx_log_min28", "tx_log_max28", "tx_log_rng28"],
+    "trend": ["trend7", "trend14"],
+    "regime_flag": ["regime_up"],
+    "deltas": ["delta1", "delta7"],
+    "price_returns": ["price_log", "price_ret_1d", "price_ret_7d"],
+    "price_volatility": ["price_volatility_7d"],
+    "time_index": ["t"],
+    "log_transform": ["tx_log", "label_log", "price_log"],
+}
+
+
+def _window_query(cols):
+    def q(spark, sf):
+        return _levels(spark, sf).select("date", *cols)
+    return q
+
+
+for _name, _cols in _WINDOW_COLUMNS.items():
+    register(_name)(_window_query(_cols))
+
+
+@register("ffill_bfill")
+def q_ffill_bfill(spark, sf):
+    daily = _daily(spark, sf, series=True)
+    return ffill_bfill(price_left_join(daily, _price(spark, sf)), order="day", series=["series"])
+
+
+# --- 2.6 order, distribution, samples -------------------------------------
+
+@register("ordered_output")
+def q_ordered_output(spark, sf):
+    return ordered_output(_features(spark, sf).select("date", "label", "label_log", "tx_log"), "date")
+
+
+@register("range_partition")
+def q_range_partition(spark, sf):
+    return range_partition(_features(spark, sf))
+
+
+@register("bounded_sample")
+def q_bounded_sample(spark, sf):
+    return bounded_sample(_features(spark, sf).select("date", "label", "label_log", "tx_log"), SAMPLE_ROWS)
+
+
+# --- 2.8 scalar functions ---------------------------------------------------
+
+@register("cyclical")
+def q_cyclical(spark, sf):
+    return ensure_date(_daily(spark, sf)).select("date", *calendar_features("date"))
 
-@register("enriched_daily")
-def q_enriched_daily(spark, sf):
-    return _enriched(spark, sf)
 
+@register("month_edges")
+def q_month_edges(spark, sf):
+    return ensure_date(_daily(spark, sf)).select("date", *month_edges("date"))
+
+
+@register("reconstruct")
+def q_reconstruct(spark, sf):
+    return _baseline_predictions(spark, sf).select("model", "date", "prediction", "prediction_log",
+                                                   "prediction_raw")
+
+
+# --- 2.9 machine learning ---------------------------------------------------
+
+@register("assemble")
+def q_assemble(spark, sf):
+    _, test, feats = _splits(spark, sf)
+    return M.assembled_array(test, feats)
+
+
+@register("standardize")
+def q_standardize(spark, sf):
+    train, test, feats = _splits(spark, sf)
+    return M.standardized_array(train, test, feats)
+
+
+for _key, _model in (("linear_elastic_net", "linear_regression"), ("decision_tree", "decision_tree"),
+                     ("random_forest", "random_forest"), ("boosted_trees", "boosted_trees")):
+    register(_key)((lambda m: (lambda spark, sf: _model_scores(spark, sf, m)))(_model))
+
+
+@register("score_models")
+def q_score_models(spark, sf):
+    names = ["linear_regression", "decision_tree", "random_forest"]
+    models, test = _fit_models(spark, sf, names)
+    out = None
+    for n in names:
+        pred = M.score(models[n], test, n).select("model", "date", "label", "label_log",
+                                                  "prediction_log", "prediction_raw")
+        out = pred if out is None else out.unionByName(pred)
+    return model_comparison(out)
+
+
+@register("direct_score")
+def q_direct_score(spark, sf):
+    _, test, _ = _splits(spark, sf)
+    return direct_metrics(test.select("label", F.col("tx_count_sum").alias("prediction")))
+
+
+# --- 2.10 report tables -----------------------------------------------------
+
+@register("report_timeseries")
+def q_report_timeseries(spark, sf):
+    return report_timeseries(_baseline_predictions(spark, sf))
+
+
+@register("report_scatter")
+def q_report_scatter(spark, sf):
+    return report_scatter(_baseline_predictions(spark, sf))
+
+
+@register("residual_histogram")
+def q_residual_histogram(spark, sf):
+    return residual_histogram(_baseline_predictions(spark, sf))
+
+
+@register("report_bars")
+def q_report_bars(spark, sf):
+    return report_bars(model_comparison(_baseline_predictions(spark, sf)))
+
+
+@register("report_overlay")
+def q_report_overlay(spark, sf):
+    return report_overlay(_baseline_predictions(spark, sf), BASELINES)
+
+
+# --- 2.11 end to end --------------------------------------------------------
 
 @register("feature_table")
 def q_feature_table(spark, sf):
@@ -83,3 +513,22 @@ def q_feature_table(spark, sf):
 @register("feature_table_keyed")
 def q_feature_table_keyed(spark, sf):
     return _features(spark, sf, series=True)
+
+
+@register("enriched_daily")
+def q_enriched_daily(spark, sf):
+    return _enriched(spark, sf)
+
+
+@register("train_and_compare")
+def q_train_and_compare(spark, sf):
+    res = train_and_compare(_features(spark, sf), TRAIN_END, TEST_START, TEST_END,
+                            run_dir=_scratch(spark, "models"))
+    return res.comparison
+
+
+@register("pipeline")
+def q_pipeline(spark, sf):
+    res = run_pipeline(spark, _blocks(spark, sf), td.price_history(spark, sf), None, None,
+                       TRAIN_END, TEST_START, TEST_END, work_dir=_scratch(spark, "pipeline"))
+    return res.comparison

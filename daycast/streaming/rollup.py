@@ -1,0 +1,31 @@
+"""The daily roll-up (A1) over a stream of block records.
+
+Same aggregates as the batch roll-up, with an event-time watermark so each
+day's state is finalised and dropped once the watermark passes it; records
+later than the allowed delay are discarded by the watermark, as Structured
+Streaming defines."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from daycast.functions.casting import safe_cast_double
+from daycast.operators.rollup import DAILY_AGGREGATES
+
+
+def daily_rollup_stream(blocks: DataFrame, ts: str = "timestamp", delay: str = "1 day",
+                        series: Sequence[str] = ()) -> DataFrame:
+    """Streaming DataFrame of (series, day, metrics); emit with
+    ``outputMode("append")`` (one final row per day)."""
+    aggs = [F.count(F.lit(1)).alias("blocks_count")]
+    for name, fn, src, cast in DAILY_AGGREGATES:
+        c = safe_cast_double(src) if cast else F.col(src)
+        aggs.append((F.sum(c) if fn == "sum" else F.avg(c)).alias(name))
+    return (blocks.withWatermark(ts, delay)
+                  .groupBy(*series, F.window(F.col(ts), "1 day").alias("w"))
+                  .agg(*aggs)
+                  .select(*series, F.to_date(F.col("w.start")).alias("day"),
+                          *[F.col(a) for a in ["blocks_count"] + [d[0] for d in DAILY_AGGREGATES]]))

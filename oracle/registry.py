@@ -1,4 +1,7 @@
-"""Oracle SQL per query key (DuckDB dialect, driver views as tables)."""
+"""Oracle SQL per query key (DuckDB dialect, driver views as tables).
+
+Keys that fit Spark ML models (or return maps) have no entry: the driver
+then checks row counts only."""
 
 from __future__ import annotations
 
@@ -6,23 +9,292 @@ from oracle import sql as S
 
 ORACLES: dict[str, str] = {}
 
+TRAIN_END, TEST_START, TEST_END = S.TRAIN_END, S.TEST_START, S.TEST_END
+RANGE_START, RANGE_END = S.RANGE_START, S.RANGE_END
+MULTI_CUT = "1998-12-31"
+SAMPLE_ROWS = 20000
+
+
+def add(name: str, sql: str, doubles: list[str] = (), lists: list[str] = ()) -> None:
+    ORACLES[name] = S.rounded(sql, list(doubles), list(lists))
+
+
+DAILY_DOUBLES = ["accumulated_fees_sum", "developer_fees_sum", "gas_provided_avg",
+                 "gas_refunded_avg", "gas_penalized_avg"]
+FEATURES = S.feature_columns()
+SORTED_FEATURES = sorted(c for c in FEATURES if c not in ("label", "label_log", "tx_log"))
+LEAD = ["date", "label", "label_log", "tx_log", "label_diff"]
+
+ENR = S.enriched_ctes()
+FEAT = S.features_cte()
+FRAME = f"""frame AS (
+  SELECT {", ".join(LEAD + SORTED_FEATURES)} FROM (
+    SELECT *, label_log - tx_log AS label_diff FROM features)
+  WHERE {" AND ".join(f"({c} IS NOT NULL AND NOT isnan({c}))" for c in LEAD[1:] + SORTED_FEATURES)}),
+train AS (SELECT * FROM frame WHERE date <= DATE '{TRAIN_END}'),
+test AS (SELECT * FROM frame WHERE date BETWEEN DATE '{TEST_START}' AND DATE '{TEST_END}')"""
+PRED = """pred AS (
+  SELECT date, label, label_log, tx_log, label_diff, 'persistence' AS model, 0.0::DOUBLE AS prediction FROM test
+  UNION ALL
+  SELECT date, label, label_log, tx_log, label_diff, 'drift' AS model,
+         (SELECT avg(label_diff) FROM train) AS prediction FROM test),
+scored AS (
+  SELECT *, tx_log + prediction AS prediction_log,
+         exp(greatest(tx_log + prediction, 0.0)) - 1 AS prediction_raw
+  FROM pred)"""
+COMP = """comparison AS (
+  SELECT model,
+         sqrt(avg(power(label_log - prediction_log, 2))) AS rmse_log,
+         1 - sum(power(label_log - prediction_log, 2)) / (var_pop(label_log) * count(*)) AS r2_log,
+         sqrt(avg(power(label - prediction_raw, 2))) AS rmse_raw,
+         1 - sum(power(label - prediction_raw, 2)) / (var_pop(label) * count(*)) AS r2_raw
+  FROM scored GROUP BY model)"""
+LONG = """long AS (
+  SELECT model, 'log' AS space, date, label_log AS real, prediction_log AS predicted FROM scored
+  UNION ALL
+  SELECT model, 'raw' AS space, date, label AS real, prediction_raw AS predicted FROM scored)"""
+LEVELS = S.feature_ctes("merged")
+
+BASE = S.with_(ENR, FEAT, FRAME, PRED)
+BASE_COMP = S.with_(ENR, FEAT, FRAME, PRED, COMP)
+BASE_LONG = S.with_(ENR, FEAT, FRAME, PRED, LONG)
+BLOCK_DOUBLES = ["gasProvided", "gasRefunded", "gasPenalized", "developerFees"]
+
+# --- 2.1 scans, sources, sinks ---------------------------------------------
+
+add("scan_range", S.with_(S.blocks_cte()) + f"""
+SELECT ts AS "timestamp", txCount, gasProvided, gasRefunded, gasPenalized, accumulatedFees, developerFees
+FROM blocks WHERE CAST(ts AS DATE) BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'""", BLOCK_DOUBLES)
+
+add("month_partitioned", S.with_(S.blocks_cte(), S.daily_cte()) + """,
+bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM daily),
+months AS (
+  SELECT strftime(CAST(m AS DATE), '%Y-%m') AS year_month,
+         greatest(CAST(m AS DATE), lo) AS range_start,
+         least(last_day(CAST(m AS DATE)), hi) AS range_end
+  FROM bounds, unnest(generate_series(CAST(date_trunc('month', lo) AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 MONTH)) AS g(m)),
+counts AS (
+  SELECT strftime(day, '%Y-%m') AS year_month, CAST(sum(blocks_count) AS BIGINT) AS blocks, count(*) AS days
+  FROM daily GROUP BY 1)
+SELECT m.year_month, m.range_start, m.range_end, c.blocks, c.days
+FROM months m LEFT JOIN counts c ON m.year_month = c.year_month""")
+
+add("multi_read", S.with_(ENR) + f"""
+SELECT * FROM merged WHERE day <= DATE '{MULTI_CUT}'
+UNION ALL BY NAME
+SELECT * FROM daily WHERE day > DATE '{MULTI_CUT}'""", DAILY_DOUBLES + ["price_usd"])
+
+add("price_source", S.with_(ENR) + """
+SELECT * FROM price
+WHERE day BETWEEN (SELECT min(day) FROM daily) AND (SELECT max(day) FROM daily)""", ["price_usd"])
+
+add("features_sink", S.with_(ENR, FEAT) + "SELECT * FROM features", FEATURES)
+add("features_scan", S.with_(ENR, FEAT) + "SELECT * FROM features", FEATURES)
+
+add("metrics_summary", S.with_(ENR, FEAT, FRAME, PRED, COMP) + f"""
+SELECT '{TEST_START}' AS start, '{TEST_END}' AS "end", model, metric, value
+FROM comparison UNPIVOT (value FOR metric IN (rmse_log, r2_log, rmse_raw, r2_raw))""", ["value"])
+
+# --- 2.2 projections, filters, cleaning --------------------------------------
+
+add("safe_cast", S.with_(S.blocks_cte()) +
+    'SELECT ts AS "timestamp", TRY_CAST(accumulatedFees AS DOUBLE) AS accumulated_fees FROM blocks',
+    ["accumulated_fees"])
+
+add("raw_projection", S.with_(S.blocks_cte()) + f"""
+SELECT ts AS "timestamp", txCount, TRY_CAST(gasProvided AS DOUBLE) AS gasProvided,
+       TRY_CAST(gasRefunded AS DOUBLE) AS gasRefunded, TRY_CAST(gasPenalized AS DOUBLE) AS gasPenalized,
+       TRY_CAST(accumulatedFees AS DOUBLE) AS accumulatedFees, TRY_CAST(developerFees AS DOUBLE) AS developerFees
+FROM blocks WHERE CAST(ts AS DATE) BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'
+ORDER BY ts""", BLOCK_DOUBLES + ["accumulatedFees"])
+
+add("decimal_to_double", """
+SELECT l_shipdate, l_quantity,
+       CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) AS l_extendedprice,
+       CAST(CAST(l_discount AS DECIMAL(4,2)) AS DOUBLE) AS l_discount
+FROM lineitem""", ["l_quantity", "l_extendedprice", "l_discount"])
+
+add("ensure_date", S.with_(S.blocks_cte(), S.daily_cte()) + "SELECT *, day AS date FROM daily",
+    DAILY_DOUBLES)
+
+add("select_metrics", S.with_(ENR) + "SELECT day AS date, " +
+    ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in S.METRICS) + " FROM merged", S.METRICS)
+
+add("resolve_label", S.with_(S.blocks_cte(), S.daily_cte()) +
+    "SELECT day AS date, 'tx_count_sum' AS label_metric, CAST(tx_count_sum AS DOUBLE) AS label_value FROM daily",
+    ["label_value"])
+
+DIRTY = """dirty AS (
+  SELECT l_shipdate AS "timestamp",
+         TRY_CAST(CASE WHEN l_linenumber = 3 THEN 'n/a' ELSE CAST(l_extendedprice AS VARCHAR) END AS DOUBLE) AS fee,
+         TRY_CAST(CASE WHEN l_linenumber = 4 THEN 'NaN' ELSE CAST(l_tax AS VARCHAR) END AS DOUBLE) AS gas
+  FROM lineitem)"""
+add("nan_to_null", S.with_(DIRTY) +
+    "SELECT \"timestamp\", fee, CASE WHEN isnan(gas) THEN NULL ELSE gas END AS gas FROM dirty", ["fee", "gas"])
+add("drop_incomplete", S.with_(DIRTY) +
+    "SELECT * FROM dirty WHERE fee IS NOT NULL AND NOT isnan(fee) AND gas IS NOT NULL AND NOT isnan(gas)",
+    ["fee", "gas"])
+
+CAL = ", ".join(
+    f"sin({S.TWO_PI} * CAST({e} AS DOUBLE) / {p}.0) AS {n}_sin, cos({S.TWO_PI} * CAST({e} AS DOUBLE) / {p}.0) AS {n}_cos"
+    for n, e, p in (("dow", "dayofweek(day)", 7), ("doy", "dayofyear(day) - 1", 365),
+                    ("month", "month(day) - 1", 12), ("woy", "weekofyear(day) - 1", 53)))
+CAL_COLS = ["dow_sin", "dow_cos", "doy_sin", "doy_cos", "month_sin", "month_cos", "woy_sin", "woy_cos"]
+add("drop_helpers", S.with_(S.blocks_cte(), S.daily_cte()) + f"SELECT *, day AS date, {CAL} FROM daily",
+    DAILY_DOUBLES + CAL_COLS)
+
+add("price_rename", S.with_(S.PRICE_RAW_CTE, S.PRICE_CTE) + "SELECT * FROM price", ["price_usd"])
+
+add("time_split", S.with_(ENR, FEAT, FRAME) + """
+SELECT 'train' AS split, date, label, label_log, tx_log FROM train
+UNION ALL
+SELECT 'test' AS split, date, label, label_log, tx_log FROM test""", ["label", "label_log", "tx_log"])
+
+add("feature_columns", S.with_(ENR, FEAT, FRAME) + "SELECT * FROM frame", LEAD[1:] + SORTED_FEATURES)
+
+add("label_diff", S.with_(ENR, FEAT) +
+    "SELECT date, label_log, tx_log, label_log - tx_log AS label_diff FROM features",
+    ["label_log", "tx_log", "label_diff"])
+
+_NP = S.DAILY_METRICS
+add("optional_price_features",
+    S.with_(S.blocks_cte(), S.daily_cte(), S.features_cte(metrics=_NP, src="daily")) + "SELECT * FROM features",
+    S.feature_columns(_NP))
+
+# --- 2.3 join ------------------------------------------------------------------
+
+add("price_left_join", S.with_(ENR) +
+    "SELECT d.*, p.price_usd, p.price_volume FROM daily d LEFT JOIN price p ON d.day = p.day",
+    DAILY_DOUBLES + ["price_usd"])
+
+# --- 2.4 aggregations ------------------------------------------------------------
+
+add("daily_rollup", S.with_(S.blocks_cte(), S.daily_cte()) + "SELECT * FROM daily", DAILY_DOUBLES)
+
+add("date_bounds", S.with_(S.blocks_cte(series=True), S.daily_cte(series=True)) +
+    "SELECT series, min(day) AS min_date, max(day) AS max_date FROM daily GROUP BY series")
+
+add("row_counts", S.with_(ENR, FEAT) + f"""
+SELECT count(*) AS n_rows,
+       count(*) FILTER (WHERE date <= DATE '{TRAIN_END}') AS n_train,
+       count(*) FILTER (WHERE date BETWEEN DATE '{TEST_START}' AND DATE '{TEST_END}') AS n_test,
+       {len(FEATURES) + 1} AS n_columns
+FROM features""")
+
+add("rmse", BASE_COMP + "SELECT model, rmse_log, rmse_raw FROM comparison", ["rmse_log", "rmse_raw"])
+add("r2", BASE_COMP + "SELECT model, r2_log, r2_raw FROM comparison", ["r2_log", "r2_raw"])
+add("model_comparison", BASE_COMP + "SELECT * FROM comparison", ["rmse_log", "r2_log", "rmse_raw", "r2_raw"])
+
+# --- 2.5 windows -------------------------------------------------------------------
+
+_WINDOW_COLUMNS = {
+    "lead_label": ["label"],
+    "metric_lags": [f"{m}_lag{k}" for m in S.METRICS for k in (1, 2, 3)],
+    "derived_lags": [f"{m}_lag{k}" for m in S.DERIVED for k in (1, 2, 3)],
+    "long_lags": ["tx_log_lag7", "tx_log_lag14", "tx_log_lag28"],
+    "rolling_mean": ["tx_log_ma7", "tx_log_ma14", "tx_log_ma28"],
+    "rolling_std": ["tx_log_std7", "tx_log_std14"],
+    "rolling_zscore": ["tx_log_z7", "tx_log_z14"],
+    "rolling_range": ["tx_log_min14", "tx_log_max14", "tx_log_rng14",
+                      "tx_log_min28", "tx_log_max28", "tx_log_rng28"],
+    "trend": ["trend7", "trend14"],
+    "regime_flag": ["regime_up"],
+    "deltas": ["delta1", "delta7"],
+    "price_returns": ["price_log", "price_ret_1d", "price_ret_7d"],
+    "price_volatility": ["price_volatility_7d"],
+    "time_index": ["t"],
+    "log_transform": ["tx_log", "label_log", "price_log"],
+}
+for _k, _cols in _WINDOW_COLUMNS.items():
+    add(_k, S.with_(ENR, LEVELS) + f"SELECT date, {', '.join(_cols)} FROM f4", _cols)
+
+add("ffill_bfill", S.with_(S.blocks_cte(series=True), S.daily_cte(series=True), S.PRICE_RAW_CTE,
+                           S.PRICE_CTE, S.merged_cte(series=True)) + "SELECT * FROM merged",
+    DAILY_DOUBLES + ["price_usd"])
+
+# --- 2.6 order, distribution, samples ----------------------------------------------
+
+add("ordered_output", S.with_(ENR, FEAT) + "SELECT date, label, label_log, tx_log FROM features ORDER BY date",
+    ["label", "label_log", "tx_log"])
+add("range_partition", S.with_(ENR, FEAT) + "SELECT * FROM features", FEATURES)
+add("bounded_sample", S.with_(ENR, FEAT) +
+    f"SELECT date, label, label_log, tx_log FROM features ORDER BY date LIMIT {SAMPLE_ROWS}",
+    ["label", "label_log", "tx_log"])
+
+# --- 2.8 scalar functions -----------------------------------------------------------
+
+add("cyclical", S.with_(S.blocks_cte(), S.daily_cte()) + f"SELECT day AS date, {CAL} FROM daily", CAL_COLS)
+add("month_edges", S.with_(S.blocks_cte(), S.daily_cte()) + """
+SELECT day AS date,
+       CASE WHEN dayofmonth(day) = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_month_start,
+       CASE WHEN day = last_day(day) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_month_end
+FROM daily""", ["is_month_start", "is_month_end"])
+add("reconstruct", BASE + "SELECT model, date, prediction, prediction_log, prediction_raw FROM scored",
+    ["prediction", "prediction_log", "prediction_raw"])
+
+# --- 2.9 machine learning (SQL-expressible parts) -----------------------------------
+
+add("assemble", S.with_(ENR, FEAT, FRAME) +
+    f"SELECT date, list_value({', '.join(SORTED_FEATURES)}) AS features FROM test", lists=["features"])
+
+_STATS = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in SORTED_FEATURES)
+_SCALED = ", ".join(f"CASE WHEN s_{c} <> 0 THEN ({c} - m_{c}) * (1.0 / s_{c}) ELSE 0.0 END"
+                    for c in SORTED_FEATURES)
+add("standardize", S.with_(ENR, FEAT, FRAME) + f""",
+stats AS (SELECT {_STATS} FROM train)
+SELECT date, list_value({_SCALED}) AS scaledFeatures FROM test, stats""", lists=["scaledFeatures"])
+
+add("direct_score", S.with_(ENR, FEAT, FRAME) + """
+SELECT sqrt(avg(power(label - tx_count_sum, 2))) AS rmse,
+       1 - sum(power(label - tx_count_sum, 2)) / (var_pop(label) * count(*)) AS r2
+FROM test""", ["rmse", "r2"])
+
+# --- 2.10 report tables ---------------------------------------------------------------
 
-def add(name: str, sql: str, doubles: list[str]) -> None:
-    ORACLES[name] = S.rounded(sql, doubles)
+add("report_timeseries", BASE +
+    "SELECT model, date, label, label_log, prediction_log, prediction_raw FROM scored ORDER BY model, date",
+    ["label", "label_log", "prediction_log", "prediction_raw"])
 
+add("report_scatter", BASE_LONG + """
+SELECT model, space, date, real, predicted,
+       least(min(real) OVER p, min(predicted) OVER p) AS line_min,
+       greatest(max(real) OVER p, max(predicted) OVER p) AS line_max
+FROM long WINDOW p AS (PARTITION BY model, space)""", ["real", "predicted", "line_min", "line_max"])
 
-_DAILY_DOUBLES = ["accumulated_fees_sum", "developer_fees_sum", "gas_provided_avg",
-                  "gas_refunded_avg", "gas_penalized_avg"]
-_FEATURE_DOUBLES = S.feature_columns()
+add("residual_histogram", BASE_LONG + """,
+res AS (SELECT model, space, predicted - real AS resid FROM long),
+bounds AS (
+  SELECT model, space,
+         CASE WHEN max(resid) = min(resid) THEN min(resid) - 0.5 ELSE min(resid) END AS lo,
+         CASE WHEN max(resid) = min(resid) THEN max(resid) + 0.5 ELSE max(resid) END AS hi
+  FROM res GROUP BY model, space),
+binned AS (
+  SELECT r.model, r.space,
+         CAST(least(floor((r.resid - b.lo) * (40.0 / (b.hi - b.lo))) + 1, 40) AS INTEGER) AS bin,
+         count(*) AS count
+  FROM res r JOIN bounds b ON r.model = b.model AND r.space = b.space
+  GROUP BY ALL),
+grid AS (SELECT model, space, lo, hi, CAST(g.bin AS INTEGER) AS bin FROM bounds, range(1, 41) AS g(bin))
+SELECT g.model, g.space, g.bin,
+       g.lo + (g.bin - 1) * ((g.hi - g.lo) / 40.0) AS bin_lo,
+       g.lo + g.bin * ((g.hi - g.lo) / 40.0) AS bin_hi,
+       coalesce(b.count, 0) AS count
+FROM grid g LEFT JOIN binned b ON g.model = b.model AND g.space = b.space AND g.bin = b.bin""",
+    ["bin_lo", "bin_hi"])
 
-add("daily_rollup", S.with_(S.blocks_cte(), S.daily_cte()) + "SELECT * FROM daily", _DAILY_DOUBLES)
+add("report_bars", BASE_COMP + """
+SELECT model, metric, value
+FROM comparison UNPIVOT (value FOR metric IN (rmse_log, r2_log, rmse_raw, r2_raw))""", ["value"])
 
-add("enriched_daily", S.with_(S.enriched_ctes()) + "SELECT * FROM merged",
-    _DAILY_DOUBLES + ["price_usd"])
+add("report_overlay", BASE_LONG + """
+SELECT space, date, first(real) AS real,
+       first(predicted) FILTER (WHERE model = 'persistence') AS persistence,
+       first(predicted) FILTER (WHERE model = 'drift') AS drift
+FROM long GROUP BY space, date""", ["real", "persistence", "drift"])
 
-add("feature_table", S.with_(S.enriched_ctes(), S.features_cte()) + "SELECT * FROM features",
-    _FEATURE_DOUBLES)
+# --- 2.11 end to end ---------------------------------------------------------------------
 
+add("enriched_daily", S.with_(ENR) + "SELECT * FROM merged", DAILY_DOUBLES + ["price_usd"])
+add("feature_table", S.with_(ENR, FEAT) + "SELECT * FROM features", FEATURES)
 add("feature_table_keyed",
-    S.with_(S.enriched_ctes(series=True), S.features_cte(series=True)) + "SELECT * FROM features",
-    _FEATURE_DOUBLES)
+    S.with_(S.enriched_ctes(series=True), S.features_cte(series=True)) + "SELECT * FROM features", FEATURES)

@@ -28,13 +28,18 @@ def log1p(x: str) -> str:
     return f"(CASE WHEN {x} > -1 THEN ln(1 + {x}) END)"
 
 
-def rounded(sql: str, doubles: list[str]) -> str:
-    """Snap the named DOUBLE columns to a 2**-20 grid, half-even (the same
-    exact IEEE operations as the Spark side)."""
-    if not doubles:
+def _snap(x: str) -> str:
+    return f"round_even(CAST({x} AS DOUBLE) * 1048576.0, 0) / 1048576.0"
+
+
+def rounded(sql: str, doubles: list[str], lists: list[str] = ()) -> str:
+    """Snap the named DOUBLE columns (and DOUBLE lists) to a 2**-20 grid,
+    half-even: the same exact IEEE operations as the Spark side."""
+    reps = [f"{_snap(c)} AS {c}" for c in doubles]
+    reps += [f"list_transform({c}, lambda v: {_snap('v')}) AS {c}" for c in lists]
+    if not reps:
         return sql
-    rep = ", ".join(f"round_even(CAST({c} AS DOUBLE) * 1048576.0, 0) / 1048576.0 AS {c}" for c in doubles)
-    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS rounded_q"
+    return f"SELECT * REPLACE ({', '.join(reps)}) FROM (\n{sql}\n) AS rounded_q"
 
 
 def blocks_cte(series: bool = False) -> str:
