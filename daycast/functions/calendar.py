@@ -1,4 +1,7 @@
-"""Calendar features: cyclical encodings, month edges, trend index."""
+"""Calendar features: cyclical encodings, month edges, trend index.
+
+``*_exprs`` functions return Spark SQL expression strings (for
+``selectExpr``); the others return Columns."""
 
 from __future__ import annotations
 
@@ -14,59 +17,72 @@ TWO_PI = 2.0 * math.pi
 # month: period 12; woy: ISO week minus one, period 53.
 CALENDAR_PERIODS = {"dow": 7, "doy": 365, "month": 12, "woy": 53}
 CALENDAR_HELPERS = ["dow", "doy", "month", "woy"]
+CALENDAR_FEATURES = [f"{h}_{f}" for h in CALENDAR_HELPERS for f in ("sin", "cos")]
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def calendar_helpers(date: str | Column = "date") -> dict[str, Column]:
+def helper_exprs(date: str = "date") -> dict[str, str]:
     """Zero-based day-of-week, day-of-year, month and ISO-week, as doubles."""
-    d = F.col(date) if isinstance(date, str) else date
+    d = _q(date)
     return {
-        "dow": (F.dayofweek(d) - 1).cast("double"),
-        "doy": (F.dayofyear(d) - 1).cast("double"),
-        "month": (F.month(d) - 1).cast("double"),
-        "woy": (F.weekofyear(d) - 1).cast("double"),
+        "dow": f"CAST(dayofweek({d}) - 1 AS DOUBLE)",
+        "doy": f"CAST(dayofyear({d}) - 1 AS DOUBLE)",
+        "month": f"CAST(month({d}) - 1 AS DOUBLE)",
+        "woy": f"CAST(weekofyear({d}) - 1 AS DOUBLE)",
     }
 
 
-def cyclical(base: str | Column, period: float, prefix: str) -> list[Column]:
-    """``sin/cos(2π·v/period)`` of a base value."""
-    v = (F.col(base) if isinstance(base, str) else base).cast("double")
-    arg = F.lit(TWO_PI) * v / F.lit(float(period))
-    return [F.sin(arg).alias(f"{prefix}_sin"), F.cos(arg).alias(f"{prefix}_cos")]
+def cyclical_exprs(value: str, period: float, prefix: str) -> list[str]:
+    """``sin/cos(2π·v/period)`` of a double-valued SQL expression."""
+    arg = f"{TWO_PI!r}D * {value} / {float(period)!r}D"
+    return [f"sin({arg}) AS {_q(prefix + '_sin')}", f"cos({arg}) AS {_q(prefix + '_cos')}"]
 
 
-def calendar_features(date: str | Column = "date") -> list[Column]:
+def calendar_exprs(date: str = "date") -> list[str]:
     """The eight cyclical columns, computed straight from the date."""
-    helpers = calendar_helpers(date)
-    out: list[Column] = []
+    h = helper_exprs(date)
+    out: list[str] = []
     for name in CALENDAR_HELPERS:
-        out += cyclical(helpers[name], CALENDAR_PERIODS[name], name)
+        out += cyclical_exprs(h[name], CALENDAR_PERIODS[name], name)
     return out
 
 
+def month_edge_exprs(date: str = "date") -> list[str]:
+    """``is_month_start`` / ``is_month_end`` as 1.0/0.0 doubles."""
+    d = _q(date)
+    return [f"CASE WHEN dayofmonth({d}) = 1 THEN 1.0D ELSE 0.0D END AS `is_month_start`",
+            f"CASE WHEN {d} = last_day({d}) THEN 1.0D ELSE 0.0D END AS `is_month_end`"]
+
+
+def time_index_expr(date: str, first_date: str) -> str:
+    """Days since the first date (a SQL expression), as a double."""
+    return f"CAST(datediff({_q(date)}, {first_date}) AS DOUBLE) AS `t`"
+
+
+# --- Column API ----------------------------------------------------------------
+
+def cyclical(base: str, period: float, prefix: str) -> list[Column]:
+    return [F.expr(e) for e in cyclical_exprs(f"CAST({_q(base)} AS DOUBLE)", period, prefix)]
+
+
+def calendar_features(date: str = "date") -> list[Column]:
+    return [F.expr(e) for e in calendar_exprs(date)]
+
+
+def month_edges(date: str = "date") -> list[Column]:
+    return [F.expr(e) for e in month_edge_exprs(date)]
+
+
 def add_calendar(df: DataFrame, date: str = "date", keep_helpers: bool = True) -> DataFrame:
     """Add the raw helpers (optional) and the cyclical columns in one select."""
-    helpers = calendar_helpers(date)
-    cols = [F.col(c) for c in df.columns]
-    if keep_helpers:
-        cols += [helpers[n].alias(n) for n in CALENDAR_HELPERS]
-    return df.select(*cols, *calendar_features(date))
+    h = helper_exprs(date)
+    extra = [f"{h[n]} AS {_q(n)}" for n in CALENDAR_HELPERS] if keep_helpers else []
+    return df.selectExpr("*", *extra, *calendar_exprs(date))
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:
     """Remove the raw calendar helpers when present."""
     return df.drop(*[c for c in CALENDAR_HELPERS if c in df.columns])
-
-
-def month_edges(date: str | Column = "date") -> list[Column]:
-    """``is_month_start`` / ``is_month_end`` as 1.0/0.0 doubles."""
-    d = F.col(date) if isinstance(date, str) else date
-    return [
-        F.when(F.dayofmonth(d) == 1, F.lit(1.0)).otherwise(F.lit(0.0)).alias("is_month_start"),
-        F.when(d == F.last_day(d), F.lit(1.0)).otherwise(F.lit(0.0)).alias("is_month_end"),
-    ]
-
-
-def time_index(date: str | Column, first_date: Column) -> Column:
-    """Days since the first date (of the series), as a double."""
-    d = F.col(date) if isinstance(date, str) else date
-    return F.datediff(d, first_date).cast("double").alias("t")

@@ -17,25 +17,28 @@ def safe_cast_double(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).try_cast("double")
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def decimal_to_double(df: DataFrame) -> DataFrame:
     """Cast every DECIMAL column to DOUBLE in a single projection."""
-    return df.select([
-        F.col(f.name).cast("double").alias(f.name)
-        if isinstance(f.dataType, DecimalType) else F.col(f.name)
-        for f in df.schema.fields
-    ])
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, DecimalType) for f in fields):
+        return df
+    return df.selectExpr(*[f"CAST({_q(f.name)} AS DOUBLE) AS {_q(f.name)}"
+                           if isinstance(f.dataType, DecimalType) else _q(f.name) for f in fields])
 
 
-def nan_expr(name: str) -> Column:
-    return F.when(F.isnan(F.col(name)), F.lit(None)).otherwise(F.col(name))
+def nan_expr(name: str) -> str:
+    return f"CASE WHEN isnan({_q(name)}) THEN NULL ELSE {_q(name)} END"
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """NaN → NULL in the named floating columns (others are left as they are)."""
-    floating = {f.name for f in df.schema.fields
-                if isinstance(f.dataType, (DoubleType, FloatType))}
-    wanted = set(cols) & floating
+    fields = df.schema.fields
+    wanted = set(cols) & {f.name for f in fields if isinstance(f.dataType, (DoubleType, FloatType))}
     if not wanted:
         return df
-    return df.select([nan_expr(c).alias(c) if c in wanted else F.col(c)
-                      for c in df.columns])
+    return df.selectExpr(*[f"{nan_expr(f.name)} AS {_q(f.name)}" if f.name in wanted else _q(f.name)
+                           for f in fields])

@@ -1,16 +1,20 @@
 """Row-based window features over an ordered (per-series) window.
 
-Every frame is ``rowsBetween`` over ``orderBy(date)``: a missing day shifts a
-lag to an older date, and partial frames at the start count (no minimum
-number of rows).  The builders return Columns so a plan can put all window
-expressions of one level into one ``select`` — Spark then evaluates them in
-one Window operator behind one shuffle and sort."""
+Every frame is ``ROWS BETWEEN`` over ``ORDER BY date``: a missing day shifts
+a lag to an older date, and partial frames at the start count (no minimum
+number of rows).
+
+The builders return Spark SQL expression strings (``"<expr> AS name"``) so
+a plan can hand a whole level to one ``selectExpr`` — one JVM call instead of
+several per column — and Spark evaluates all window expressions of the level
+in one Window operator behind one shuffle and sort.  :func:`columns` turns
+them into ``Column`` objects for use in ``select``."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference): frame sizes, lag depths and the
@@ -32,92 +36,116 @@ DERIVED_TX = [
 PRICE_DERIVED = ["price_log", "price_ret_1d", "price_ret_7d", "price_volatility_7d"]
 
 
-def ordered_window(series: Sequence[str] = (), order: str = "date") -> WindowSpec:
-    w = Window.partitionBy(*series) if series else Window
-    return w.orderBy(F.col(order))
+def q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def columns(exprs: Iterable[str]) -> list[Column]:
+    return [F.expr(e) for e in exprs]
+
+
+class Win:
+    """An ordered window, optionally per series (a SQL window specification)."""
+
+    def __init__(self, series: Sequence[str] = (), order: str = "date"):
+        part = f"PARTITION BY {', '.join(q(s) for s in series)} " if series else ""
+        self.spec = f"{part}ORDER BY {q(order)}"
+        self.part = part.strip()
+
+    def over(self) -> str:
+        return f"OVER ({self.spec})"
+
+    def frame(self, size: int) -> str:
+        """The last ``size`` rows up to and including the current one."""
+        return f"OVER ({self.spec} ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW)"
 
+    def running(self) -> str:
+        return f"OVER ({self.spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-def frame(w: WindowSpec, size: int) -> WindowSpec:
-    """The last ``size`` rows up to and including the current one."""
-    return w.rowsBetween(-(size - 1), Window.currentRow)
+    def whole(self) -> str:
+        return f"OVER ({self.spec} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+
+
+def ordered_window(series: Sequence[str] = (), order: str = "date") -> Win:
+    return Win(series, order)
+
+
+def _lag(c: str, k: int, w: Win) -> str:
+    return f"lag({q(c)}, {k}) {w.over()}"
 
 
 # --- W1 / W2 / W3 / W4 ------------------------------------------------------
 
-def lead_label(value: str, w: WindowSpec, name: str = "label") -> Column:
+def lead_label(value: str, w: Win, name: str = "label") -> str:
     """Next row's value."""
-    return F.lead(F.col(value), 1).over(w).alias(name)
+    return f"lead({q(value)}, 1) {w.over()} AS {q(name)}"
 
 
-def lags(cols: Iterable[str], w: WindowSpec, depths: Iterable[int] = range(1, N_LAGS + 1),
-         fmt: str = "{c}_lag{k}") -> list[Column]:
+def lags(cols: Iterable[str], w: Win, depths: Iterable[int] = range(1, N_LAGS + 1),
+         fmt: str = "{c}_lag{k}") -> list[str]:
     """``lag(c, k)`` for every column and depth."""
     depths = list(depths)
-    return [F.lag(F.col(c), k).over(w).alias(fmt.format(c=c, k=k)) for c in cols for k in depths]
+    return [f"{_lag(c, k, w)} AS {q(fmt.format(c=c, k=k))}" for c in cols for k in depths]
 
 
-def long_lags(x: str, w: WindowSpec, depths: Iterable[int] = LONG_LAGS) -> list[Column]:
-    return [F.lag(F.col(x), k).over(w).alias(f"{x}_lag{k}") for k in depths]
+def long_lags(x: str, w: Win, depths: Iterable[int] = LONG_LAGS) -> list[str]:
+    return [f"{_lag(x, k, w)} AS {q(f'{x}_lag{k}')}" for k in depths]
 
 
 # --- W5 / W6 / W8 -----------------------------------------------------------
 
-def rolling_mean(x: str, w: WindowSpec, sizes: Iterable[int] = MA_SIZES) -> list[Column]:
-    return [F.avg(F.col(x)).over(frame(w, n)).alias(f"{x}_ma{n}") for n in sizes]
+def rolling_mean(x: str, w: Win, sizes: Iterable[int] = MA_SIZES) -> list[str]:
+    return [f"avg({q(x)}) {w.frame(n)} AS {q(f'{x}_ma{n}')}" for n in sizes]
 
 
-def rolling_std(x: str, w: WindowSpec, sizes: Iterable[int] = STD_SIZES,
-                fmt: str = "{x}_std{n}") -> list[Column]:
+def rolling_std(x: str, w: Win, sizes: Iterable[int] = STD_SIZES) -> list[str]:
     """Sample standard deviation; a one-row frame (NULL) becomes 0.0."""
-    return [F.coalesce(F.stddev_samp(F.col(x)).over(frame(w, n)), F.lit(0.0))
-            .alias(fmt.format(x=x, n=n)) for n in sizes]
+    return [f"coalesce(stddev_samp({q(x)}) {w.frame(n)}, 0.0D) AS {q(f'{x}_std{n}')}" for n in sizes]
 
 
-def rolling_min_max(x: str, w: WindowSpec, sizes: Iterable[int] = RANGE_SIZES) -> list[Column]:
+def rolling_min_max(x: str, w: Win, sizes: Iterable[int] = RANGE_SIZES) -> list[str]:
     out = []
     for n in sizes:
-        out.append(F.min(F.col(x)).over(frame(w, n)).alias(f"{x}_min{n}"))
-        out.append(F.max(F.col(x)).over(frame(w, n)).alias(f"{x}_max{n}"))
+        out.append(f"min({q(x)}) {w.frame(n)} AS {q(f'{x}_min{n}')}")
+        out.append(f"max({q(x)}) {w.frame(n)} AS {q(f'{x}_max{n}')}")
     return out
 
 
-def rolling_range(x: str, sizes: Iterable[int] = RANGE_SIZES) -> list[Column]:
+def rolling_range(x: str, sizes: Iterable[int] = RANGE_SIZES) -> list[str]:
     """``max − min`` from the columns made by :func:`rolling_min_max`."""
-    return [(F.col(f"{x}_max{n}") - F.col(f"{x}_min{n}")).alias(f"{x}_rng{n}") for n in sizes]
+    return [f"{q(f'{x}_max{n}')} - {q(f'{x}_min{n}')} AS {q(f'{x}_rng{n}')}" for n in sizes]
 
 
 # --- W7 / W9 / W10 / W11 ----------------------------------------------------
 
-def rolling_zscore(x: str, sizes: Iterable[int] = STD_SIZES) -> list[Column]:
+def rolling_zscore(x: str, sizes: Iterable[int] = STD_SIZES) -> list[str]:
     """``(x − ma)/std`` when std > 0, else 0.0 (never divides by zero)."""
-    return [F.when(F.col(f"{x}_std{n}") > F.lit(0.0),
-                   (F.col(x) - F.col(f"{x}_ma{n}")) / F.col(f"{x}_std{n}"))
-            .otherwise(F.lit(0.0)).alias(f"{x}_z{n}") for n in sizes]
+    out = []
+    for n in sizes:
+        s, m = q(f"{x}_std{n}"), q(f"{x}_ma{n}")
+        out.append(f"CASE WHEN {s} > 0.0D THEN ({q(x)} - {m}) / {s} ELSE 0.0D END AS {q(f'{x}_z{n}')}")
+    return out
 
 
-def trend(x: str, w: WindowSpec, sizes: Iterable[int] = TREND_SIZES) -> list[Column]:
+def trend(x: str, w: Win, sizes: Iterable[int] = TREND_SIZES) -> list[str]:
     """``ma_k − lag(ma_k, k)``: a lag over a window result."""
-    return [(F.col(f"{x}_ma{n}") - F.lag(F.col(f"{x}_ma{n}"), n).over(w)).alias(f"trend{n}")
-            for n in sizes]
+    return [f"{q(f'{x}_ma{n}')} - {_lag(f'{x}_ma{n}', n, w)} AS {q(f'trend{n}')}" for n in sizes]
 
 
-def regime_flag(x: str, fast: int = 7, slow: int = 28) -> Column:
-    return (F.when(F.col(f"{x}_ma{fast}") > F.col(f"{x}_ma{slow}"), F.lit(1.0))
-            .otherwise(F.lit(0.0)).alias("regime_up"))
+def regime_flag(x: str, fast: int = 7, slow: int = 28) -> str:
+    return f"CASE WHEN {q(f'{x}_ma{fast}')} > {q(f'{x}_ma{slow}')} THEN 1.0D ELSE 0.0D END AS `regime_up`"
 
 
-def deltas(x: str, w: WindowSpec, depths: Iterable[int] = DELTA_LAGS) -> list[Column]:
-    return [(F.col(x) - F.lag(F.col(x), k).over(w)).alias(f"delta{k}") for k in depths]
+def deltas(x: str, w: Win, depths: Iterable[int] = DELTA_LAGS) -> list[str]:
+    return [f"{q(x)} - {_lag(x, k, w)} AS {q(f'delta{k}')}" for k in depths]
 
 
 # --- W12 / W13 --------------------------------------------------------------
 
-def price_returns(w: WindowSpec, price_log: str = "price_log") -> list[Column]:
-    p = F.col(price_log)
-    return [(p - F.lag(p, 1).over(w)).alias("price_ret_1d"),
-            (p - F.lag(p, 7).over(w)).alias("price_ret_7d")]
+def price_returns(w: Win, price_log: str = "price_log") -> list[str]:
+    return [f"{q(price_log)} - {_lag(price_log, 1, w)} AS `price_ret_1d`",
+            f"{q(price_log)} - {_lag(price_log, 7, w)} AS `price_ret_7d`"]
 
 
-def price_volatility(w: WindowSpec, price_log: str = "price_log", size: int = 7) -> Column:
-    return (F.coalesce(F.stddev_samp(F.col(price_log)).over(frame(w, size)), F.lit(0.0))
-            .alias("price_volatility_7d"))
+def price_volatility(w: Win, price_log: str = "price_log", size: int = 7) -> str:
+    return f"coalesce(stddev_samp({q(price_log)}) {w.frame(size)}, 0.0D) AS `price_volatility_7d`"

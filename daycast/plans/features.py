@@ -4,22 +4,26 @@ features, built as four select levels over one ordered window.
 Scale: the input is the *daily* table (one row per day per series, see
 ``daily_rollup``), so a window partition holds at most one row per calendar
 day of its series — about 3.7 k rows for ten years, whatever the size of the
-raw data behind it.  Series are window partitions (``partitionBy(series)``),
+raw data behind it.  Series are window partitions (``PARTITION BY series``),
 so keyed tables spread over all tasks.  The three Window operators share one
-hash exchange and one sort."""
+hash exchange and one sort.
+
+Each level is one ``selectExpr`` of SQL expression strings: the plan for
+~200 columns is handed to the JVM in a handful of calls."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from daycast.functions.calendar import calendar_features, month_edges, time_index
-from daycast.functions.casting import decimal_to_double, nan_expr
+from daycast.functions.calendar import (CALENDAR_FEATURES, calendar_exprs,
+                                        month_edge_exprs, time_index_expr)
+from daycast.functions.casting import decimal_to_double
 from daycast.operators import windows as W
-from daycast.operators.schema import (available_metrics, ensure_date,
-                                      resolve_label)
+from daycast.operators.schema import (available_metrics, first_existing,
+                                      DATE_CANDIDATES, SchemaError, resolve_label)
+from daycast.operators.windows import Win, q
 
 # Fixed values (must equal the reference): the required (non-null) columns
 # besides the metric and derived lags.
@@ -45,8 +49,6 @@ MUST_HAVE_BASE = [
 LOOK_BACK = 30
 LOOK_AHEAD = 1
 
-_CALENDAR = ["dow_sin", "dow_cos", "doy_sin", "doy_cos",
-             "month_sin", "month_cos", "woy_sin", "woy_cos"]
 _ROLLING = ["tx_log_ma7", "tx_log_ma14", "tx_log_ma28", "tx_log_std7", "tx_log_std14",
             "tx_log_z7", "tx_log_z14", "tx_log_min14", "tx_log_max14", "tx_log_rng14",
             "tx_log_min28", "tx_log_max28", "tx_log_rng28", "trend7", "trend14", "regime_up",
@@ -55,15 +57,18 @@ _ROLLING = ["tx_log_ma7", "tx_log_ma14", "tx_log_ma28", "tx_log_std7", "tx_log_s
 
 def prepare_daily(daily: DataFrame, label: str = "tx_count",
                   series: Sequence[str] = ()) -> tuple[DataFrame, list[str], str]:
-    """P3 + P4 + P5 + P6: decimals to double, resolve ``date``, metrics and label.
-
-    Returns (base table, metrics, resolved label)."""
-    df = ensure_date(decimal_to_double(daily))
-    metrics = available_metrics(df.columns)
-    x = resolve_label(label, df.columns)
+    """P3 + P4 + P5 + P6: decimals to double, resolve ``date``, metrics and
+    label, in one projection.  Returns (base table, metrics, resolved label)."""
+    df = decimal_to_double(daily)
+    cols = df.columns
+    src = first_existing(cols, DATE_CANDIDATES)
+    if src is None:
+        raise SchemaError(f"Could not find date column. Tried: {DATE_CANDIDATES}. Have: {cols}")
+    metrics = available_metrics(cols)
+    x = resolve_label(label, cols)
     keep = metrics + ([x] if x not in metrics else [])
-    base = df.select(*[F.col(s) for s in series], "date",
-                     *[F.col(c).cast("double").alias(c) for c in keep])
+    base = df.selectExpr(*[q(s) for s in series], f"to_date({q(src)}) AS `date`",
+                         *[f"CAST({q(c)} AS DOUBLE) AS {q(c)}" for c in keep])
     return base, metrics, x
 
 
@@ -76,51 +81,44 @@ def must_have(metrics: Sequence[str], price_lags: bool = False, has_price: bool
     return cols
 
 
-def feature_levels(base: DataFrame, metrics: Sequence[str], x: str, w: WindowSpec,
-                   keys: Sequence[str] = (), first_date: Column | None = None,
+def feature_levels(base: DataFrame, metrics: Sequence[str], x: str, w: Win,
+                   keys: Sequence[str] = (), first_date: str | None = None,
                    price_lags: bool = False) -> DataFrame:
-    """All feature columns, unfiltered.  ``keys`` are carried through
-    (series, and in bucketed mode the bucket bookkeeping)."""
+    """All feature columns, unfiltered.  ``keys`` are carried through.
+    ``first_date``: SQL expression of the series' first date (default: a
+    running minimum over the window, i.e. the first row)."""
     has_price = "price_usd" in base.columns
-    carry = [F.col(k) for k in keys]
-    metric_cols = [F.col(m) for m in metrics]
-    label_src = [] if x in metrics else [F.col(x)]
+    carry = [q(k) for k in keys]
+    metric_cols = [q(m) for m in metrics] + ([] if x in metrics else [q(x)])
 
     # level 1 — projections only
-    l1 = base.select(
-        *carry, "date", *metric_cols, *label_src,
-        *calendar_features("date"), *month_edges("date"),
-        F.log1p(F.col(x)).alias("tx_log"),
-        *([F.log1p(F.col("price_usd")).alias("price_log")] if has_price else []),
-    )
+    l1 = base.selectExpr(
+        *carry, "`date`", *metric_cols, *calendar_exprs("date"), *month_edge_exprs("date"),
+        f"log1p({q(x)}) AS `tx_log`",
+        *(["log1p(`price_usd`) AS `price_log`"] if has_price else []))
 
     # level 2 — one Window operator: label, t, rolling stats, lags, deltas
-    if first_date is None:
-        first_date = F.min("date").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    l2 = l1.select(
-        *carry, "date", *metric_cols, *label_src,
-        time_index("date", first_date),
-        W.lead_label(x, w),
-        *[F.col(c) for c in _CALENDAR], "is_month_start", "is_month_end", "tx_log",
+    first = first_date or f"min(`date`) {w.running()}"
+    l2 = l1.selectExpr(
+        *carry, "`date`", *metric_cols,
+        time_index_expr("date", first), W.lead_label(x, w),
+        *[q(c) for c in CALENDAR_FEATURES], "`is_month_start`", "`is_month_end`", "`tx_log`",
         *W.rolling_mean("tx_log", w), *W.rolling_std("tx_log", w),
         *W.rolling_min_max("tx_log", w), *W.long_lags("tx_log", w), *W.deltas("tx_log", w),
-        *([F.col("price_log"), *W.price_returns(w), W.price_volatility(w)] if has_price else []),
-        *W.lags(metrics, w),
-    )
+        *(["`price_log`", *W.price_returns(w), W.price_volatility(w)] if has_price else []),
+        *W.lags(metrics, w))
 
     # level 3 — projections on level-2 results + trend (lag of a window result)
-    l3 = l2.select(
-        *[F.col(c) for c in l2.columns],
-        F.log1p(F.col("label")).alias("label_log"),
+    l3 = l2.selectExpr(
+        "*", "log1p(`label`) AS `label_log`",
         *W.rolling_zscore("tx_log"), *W.rolling_range("tx_log"),
-        *W.trend("tx_log", w), W.regime_flag("tx_log"),
-    )
+        *W.trend("tx_log", w), W.regime_flag("tx_log"))
 
     # level 4 — lags of derived columns
     derived = list(W.DERIVED_TX)
     if price_lags and has_price:
         derived += W.PRICE_DERIVED[1:]
-    return l3.select(*[F.col(c) for c in l3.columns], *W.lags(derived, w))
+    return l3.selectExpr("*", *W.lags(derived, w))
 
 
 def output_order(cols: Sequence[str], metrics: Sequence[str], x: str,
@@ -130,25 +128,25 @@ def output_order(cols: Sequence[str], metrics: Sequence[str], x: str,
     order = ["date", *series, *metrics]
     if x not in metrics:
         order.append(x)
-    order += ["t", "label", *_CALENDAR, "is_month_start", "is_month_end",
+    order += ["t", "label", *CALENDAR_FEATURES, "is_month_start", "is_month_end",
               "tx_log", "label_log", *_ROLLING]
     order += [c for c in W.PRICE_DERIVED if c in has]
-    order += [c for c in cols if c not in set(order)]
+    seen = set(order)
+    order += [c for c in cols if c not in seen]
     return order
 
 
 def finalize(levels: DataFrame, required: Sequence[str], order: Sequence[str],
-             extra_filter: Column | None = None) -> DataFrame:
-    """NaN → NULL on the required columns, drop incomplete rows (P7 + P8),
-    raw helpers never materialised (P9), reference column order."""
+             extra_filter: str | None = None) -> DataFrame:
+    """P7 + P8 + P9: NaN → NULL on the required columns, drop incomplete
+    rows, reference column order (raw calendar helpers never exist)."""
     req = set(required)
-    out = levels.select(*[nan_expr(c).alias(c) if c in req else F.col(c) for c in levels.columns])
-    cond = F.lit(True)
-    for c in required:
-        cond = cond & F.col(c).isNotNull()
-    if extra_filter is not None:
-        cond = cond & extra_filter
-    return out.filter(cond).select(*order)
+    cond = " AND ".join(f"{q(c)} IS NOT NULL" for c in required)
+    if extra_filter:
+        cond = f"({cond}) AND ({extra_filter})"
+    return (levels.selectExpr(*[f"CASE WHEN isnan({q(c)}) THEN NULL ELSE {q(c)} END AS {q(c)}"
+                                if c in req else q(c) for c in order])
+                  .filter(cond))
 
 
 def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[str] = (),

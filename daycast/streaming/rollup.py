@@ -24,6 +24,10 @@ def daily_rollup_stream(blocks: DataFrame, ts: str = "timestamp", delay: str = "
     for name, fn, src, cast in DAILY_AGGREGATES:
         c = safe_cast_double(src) if cast else F.col(src)
         aggs.append((F.sum(c) if fn == "sum" else F.avg(c)).alias(name))
+    # Watermarks need a zoned TIMESTAMP; wall-clock (NTZ) times are read in
+    # the session time zone, so the day boundaries stay the same.
+    if dict(blocks.dtypes)[ts] == "timestamp_ntz":
+        blocks = blocks.withColumn(ts, F.col(ts).cast("timestamp"))
     return (blocks.withWatermark(ts, delay)
                   .groupBy(*series, F.window(F.col(ts), "1 day").alias("w"))
                   .agg(*aggs)
