@@ -35,7 +35,7 @@ def main() -> None:
 
     def q_train(model):
         def run():
-            res = train_and_compare(R._features(spark, sf_dir), R.TRAIN_END, R.TEST_START, R.TEST_END,
+            res = train_and_compare(R._written_features(spark, sf_dir), R.TRAIN_END, R.TEST_START, R.TEST_END,
                                     ModelParams(models=[model]))
             force(res.comparison)
         return run

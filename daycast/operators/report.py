@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daycast.operators.metrics import SPACES
@@ -18,14 +18,15 @@ N_BINS = 40  # fixed value: histogram bins of the reference report
 
 
 def _long(pred: DataFrame) -> DataFrame:
-    """One row per (model, space, date): real and predicted value."""
-    parts = [pred.select("model", F.lit(s).alias("space"), "date",
-                         F.col(y).alias("real"), F.col(p).alias("predicted"))
-             for s, (y, p) in SPACES.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One row per (model, space, date): real and predicted value.
+
+    A single pass (``explode`` of one struct per space) rather than a union,
+    so the prediction plan behind ``pred`` is evaluated once."""
+    spaces = F.array(*[F.struct(F.lit(s).alias("space"), F.col(y).alias("real"),
+                                F.col(p).alias("predicted"))
+                       for s, (y, p) in SPACES.items()])
+    return (pred.select("model", "date", F.explode(spaces).alias("s"))
+                .select("model", "s.space", "date", "s.real", "s.predicted"))
 
 
 def report_timeseries(pred: DataFrame) -> DataFrame:
@@ -36,14 +37,16 @@ def report_timeseries(pred: DataFrame) -> DataFrame:
 
 def report_scatter(pred: DataFrame) -> DataFrame:
     """R2: (real, predicted) pairs with the common min/max of the y = x line
-    of their (model, space) panel."""
+    of their (model, space) panel.
+
+    The bounds are a partial/final aggregate (one row per panel, a handful)
+    broadcast back onto the pairs — never a whole panel in one task."""
     long = _long(pred)
-    panel = Window.partitionBy("model", "space")
-    return long.select(
-        "model", "space", "date", "real", "predicted",
-        F.least(F.min("real").over(panel), F.min("predicted").over(panel)).alias("line_min"),
-        F.greatest(F.max("real").over(panel), F.max("predicted").over(panel)).alias("line_max"),
-    )
+    bounds = long.groupBy("model", "space").agg(
+        F.least(F.min("real"), F.min("predicted")).alias("line_min"),
+        F.greatest(F.max("real"), F.max("predicted")).alias("line_max"))
+    return long.join(F.broadcast(bounds), ["model", "space"]).select(
+        "model", "space", "date", "real", "predicted", "line_min", "line_max")
 
 
 def residual_histogram(pred: DataFrame, bins: int = N_BINS) -> DataFrame:
@@ -84,8 +87,9 @@ def report_bars(comparison: DataFrame) -> DataFrame:
 def report_overlay(pred: DataFrame, models: Sequence[str]) -> DataFrame:
     """Real value and every model's prediction by date, log and raw.
 
-    The model list is given, so the pivot needs no extra distinct job."""
+    One hash aggregate by (space, date) with a conditional ``first`` per
+    model (the pivot written out, no extra distinct job, no self-join)."""
     long = _long(pred)
-    real = long.groupBy("space", "date").agg(F.first("real").alias("real"))
-    wide = long.groupBy("space", "date").pivot("model", list(models)).agg(F.first("predicted"))
-    return real.join(wide, ["space", "date"])
+    per_model = [F.first(F.when(F.col("model") == m, F.col("predicted")), ignorenulls=True).alias(m)
+                 for m in models]
+    return long.groupBy("space", "date").agg(F.first("real").alias("real"), *per_model)

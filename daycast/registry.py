@@ -122,22 +122,32 @@ def _levels(spark, sf):
     return feature_levels(base, metrics, x, ordered_window())
 
 
+def _written_features(spark, sf):
+    """The feature table written to the shared checkpoint folder and read
+    back, as the training and report stages consume it: later stages re-read
+    a small Parquet table instead of re-running the raw-data plan, and the
+    lineage is cut (a lost executor re-reads files, not the roll-up)."""
+    path = _scratch(spark, "features")
+    features_sink(_features(spark, sf), path)
+    return features_scan(spark, path)
+
+
 def _splits(spark, sf):
-    frame, feats = training_frame(_features(spark, sf))
+    frame, feats = training_frame(_written_features(spark, sf))
     train, test = time_split(frame, TRAIN_END, TEST_START, TEST_END)
     return train, test, feats
 
 
 def _baseline_predictions(spark, sf):
-    """Scored test rows of the two SQL-expressible predictors."""
+    """Scored test rows of the two SQL-expressible predictors (one pass over
+    the test rows: one struct per predictor, exploded)."""
     train, test, _ = _splits(spark, sf)
     mean_delta = train.select(F.avg("label_diff")).scalar()
-    cols = ["date", "label", "label_log", "tx_log", "label_diff"]
-    parts = []
-    for name, pred in (("persistence", F.lit(0.0)), ("drift", mean_delta)):
-        p = test.select(*cols, F.lit(name).alias("model"), pred.cast("double").alias("prediction"))
-        parts.append(p.select("*", *reconstruct("prediction", "tx_log")))
-    return parts[0].unionByName(parts[1])
+    preds = F.array(F.struct(F.lit("persistence").alias("model"), F.lit(0.0).alias("prediction")),
+                    F.struct(F.lit("drift").alias("model"), mean_delta.cast("double").alias("prediction")))
+    out = test.select("date", "label", "label_log", "tx_log", "label_diff", F.explode(preds).alias("p"))
+    return out.select("date", "label", "label_log", "tx_log", "label_diff", "p.model", "p.prediction",
+                      *reconstruct("prediction", "tx_log"))
 
 
 def _scratch(spark, kind):

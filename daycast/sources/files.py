@@ -67,15 +67,20 @@ def assert_unique_dates(df: DataFrame, date: str = "date", series: Sequence[str]
         raise DuplicateDateError(f"duplicate rows for {dup[0].asDict()}; inputs overlap")
 
 
-def features_sink(df: DataFrame, path: str, sort_by_date: bool = True,
+def features_sink(df: DataFrame, path: str, range_partitions: int | None = None,
                   partition_by_year: bool = False) -> None:
-    """Overwrite the feature table as Parquet (date-sorted files)."""
-    out = range_partition(df) if sort_by_date else df
-    w = out.write.mode("overwrite")
+    """Overwrite the feature table as Parquet.
+
+    The window stage leaves every partition sorted by (series, date), so the
+    files are already date-ordered; ``range_partitions`` adds the
+    range-partition + sort of O2, which costs a sampling pass over the input
+    and only pays off for a large table read back by date ranges."""
+    out = range_partition(df, range_partitions) if range_partitions else df
     if partition_by_year:
         out = out.withColumn("year", F.year("date"))
-        w = out.write.mode("overwrite").partitionBy("year")
-    w.parquet(path)
+        out.write.mode("overwrite").partitionBy("year").parquet(path)
+    else:
+        out.write.mode("overwrite").parquet(path)
 
 
 def features_scan(spark: SparkSession, path: str) -> DataFrame:
