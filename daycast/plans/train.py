@@ -26,6 +26,16 @@ class TrainResult:
     record: DataFrame           # one-row run record
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give every core a slice of the training rows.
+
+    A day-grain window output often sits in one partition (AQE coalesces the
+    small shuffle), which would run each ML aggregation pass in one task.
+    Tables that already have enough partitions are left as they are."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def train_and_compare(features: DataFrame, train_end: str, test_start: str, test_end: str,
                       params: M.ModelParams | None = None, run_dir: str | None = None,
                       parquet_path: str = "", exclude: Sequence[str] = ()) -> TrainResult:
@@ -38,8 +48,8 @@ def train_and_compare(features: DataFrame, train_end: str, test_start: str, test
     p = params or M.ModelParams()
     frame, feats = training_frame(features, exclude=exclude)
     train, test = time_split(frame, train_end, test_start, test_end)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    train = _spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    test = _spread(test).persist(StorageLevel.MEMORY_AND_DISK)
     check_not_empty(train, "train")
     check_not_empty(test, "test")
 
