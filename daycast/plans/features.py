@@ -144,22 +144,40 @@ def finalize(levels: DataFrame, required: Sequence[str], order: Sequence[str],
     cond = " AND ".join(f"{q(c)} IS NOT NULL" for c in required)
     if extra_filter:
         cond = f"({cond}) AND ({extra_filter})"
-    return (levels.selectExpr(*[f"CASE WHEN isnan({q(c)}) THEN NULL ELSE {q(c)} END AS {q(c)}"
-                                if c in req else q(c) for c in order])
-                  .filter(cond))
+    out = levels.selectExpr(*[f"CASE WHEN isnan({q(c)}) THEN NULL ELSE {q(c)} END AS {q(c)}"
+                              if c in req else q(c) for c in levels.columns]).filter(cond)
+    return out if list(order) == out.columns else out.selectExpr(*[q(c) for c in order])
+
+
+_HALO_KEYS = ["_bucket", "_own", "_first_date"]
 
 
 def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[str] = (),
-                  price_lags: bool = False) -> DataFrame:
+                  price_lags: bool = False, bucket_rows: int | None = None,
+                  block_days: int = 32) -> DataFrame:
     """E1 — the 106-column feature table (date, label, label_log, tx_log +
     102 features when all nine metrics are present).
 
     ``series``: optional key columns; every window is then per series.
     ``price_lags``: also lag the three price derivatives (older variant,
-    111 features)."""
+    111 features).
+    ``bucket_rows``: split every series into buckets of this many rows with
+    a look-back/look-ahead halo (see :mod:`daycast.plans.halo`) — same result,
+    no series in one window partition; for series longer than one task
+    should hold."""
     series = list(series)
     base, metrics, x = prepare_daily(daily, label, series)
-    w = W.ordered_window(series)
-    levels = feature_levels(base, metrics, x, w, keys=series, price_lags=price_lags)
     required = must_have(metrics, price_lags, "price_usd" in base.columns)
-    return finalize(levels, required, output_order(levels.columns, metrics, x, series))
+    if bucket_rows is None:
+        levels = feature_levels(base, metrics, x, W.ordered_window(series), keys=series,
+                                price_lags=price_lags)
+        return finalize(levels, required, output_order(levels.columns, metrics, x, series))
+    from daycast.plans.halo import halo_buckets, row_index
+    from daycast.session import cut_lineage
+    # the index step reads its input twice (block counts, then the rows)
+    base = cut_lineage(base)
+    halo = halo_buckets(row_index(base, series, "date", block_days), bucket_rows, LOOK_BACK, LOOK_AHEAD)
+    levels = feature_levels(halo, metrics, x, W.ordered_window(series + ["_bucket"]),
+                            keys=series + _HALO_KEYS, first_date="`_first_date`", price_lags=price_lags)
+    order = [c for c in output_order(levels.columns, metrics, x, series) if c not in _HALO_KEYS]
+    return finalize(levels, required, order, extra_filter="`_own`")

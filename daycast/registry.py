@@ -525,6 +525,14 @@ def q_feature_table_keyed(spark, sf):
     return _features(spark, sf, series=True)
 
 
+@register("feature_table_bucketed")
+def q_feature_table_bucketed(spark, sf):
+    """E1 in the bucketed halo mode (buckets of a year of rows, fill by
+    32-day blocks): the same table as ``feature_table``."""
+    daily = enriched_daily(_blocks(spark, sf), td.price_history(spark, sf), fill_block_days=32)
+    return feature_table(daily, bucket_rows=365)
+
+
 @register("enriched_daily")
 def q_enriched_daily(spark, sf):
     return _enriched(spark, sf)

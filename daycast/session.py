@@ -58,3 +58,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     base = ensure_checkpoint_dir(spark)
     leaf = os.path.join(base, *parts) if parts else os.path.join(base, uuid.uuid4().hex)
     return leaf
+
+
+def cut_lineage(df):
+    """Materialise ``df`` with a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` (survives executor loss; later uses re-read the
+    files instead of recomputing the upstream plan)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
