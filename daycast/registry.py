@@ -12,7 +12,6 @@ checked by row count only."""
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 

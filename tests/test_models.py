@@ -1,16 +1,12 @@
 """Spark ML operators: exact linear fit, save/load round trip, tree bounds."""
 
-import datetime as dt
-
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from daycast.operators import models as M
-from daycast.operators.metrics import model_comparison, regression_metrics
+from daycast.operators.metrics import regression_metrics
 from daycast.plans.features import feature_table
 from daycast.plans.train import train_and_compare
 from daycast.sources.models_io import discover_models, model_load_score

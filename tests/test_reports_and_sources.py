@@ -1,7 +1,6 @@
 """Report tables, bounded sample, month ranges, multi-input read, streaming."""
 
 import datetime as dt
-import os
 
 import numpy as np
 import pytest
@@ -93,3 +92,21 @@ def test_streaming_rollup_equals_batch(spark, tmp_path):
     assert got.count() == want.count()
     cols = ["day", "blocks_count", "tx_count_sum"]
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+
+
+def test_metric_summary_record_and_json(spark, tmp_path):
+    from daycast.operators.metrics import model_comparison
+    from daycast.sources.records import metrics_summary, summary_record, write_json_record
+    a = _preds(spark)
+    b = a.withColumn("model", F.lit("n")).withColumn("prediction_log", F.col("label_log"))
+    b = b.withColumn("prediction_raw", F.expm1(F.greatest("prediction_log", F.lit(0.0))))
+    comp = model_comparison(a.unionByName(b))
+    tidy = metrics_summary(comp, "2020-01-01", "2020-12-31")
+    assert tidy.count() == 8
+    rec = summary_record(tidy, "runs/x", "features.parquet", ["m", "n"])
+    path = str(tmp_path / "summary")
+    write_json_record(rec, path)
+    back = spark.read.json(path).first()
+    assert back["date_range"]["start"] == "2020-01-01"
+    assert back["r2_log"]["n"] == pytest.approx(1.0)
+    assert back["models_loaded"] == ["m", "n"]
