@@ -152,9 +152,27 @@ def finalize(levels: DataFrame, required: Sequence[str], order: Sequence[str],
 _HALO_KEYS = ["_bucket", "_own", "_first_date"]
 
 
+def since_rows(base: DataFrame, series: Sequence[str], since: str, block_days: int = 32) -> DataFrame:
+    """Rows needed for features dated ``>= since``: per series, every row from
+    ``LOOK_BACK`` rows before the first such date on (exact row count, from
+    the block-count row index — no whole-series window).  Adds
+    ``_first_date`` (first date of the whole series, for ``t``)."""
+    from pyspark.sql import functions as F
+    from daycast.plans.halo import row_index
+    series = list(series)
+    idx = row_index(base, series, "date", block_days)
+    recent = idx.filter(F.col("date") >= F.lit(since).cast("date"))
+    if not series:  # one series: its start index is a scalar subquery
+        start = recent.select(F.min("_idx")).scalar()
+        return idx.filter(F.col("_idx") >= start - LOOK_BACK).drop("_idx")
+    start = recent.groupBy(*series).agg(F.min("_idx").alias("_start"))  # one row per series
+    return (idx.join(start, series)
+               .filter(F.col("_idx") >= F.col("_start") - LOOK_BACK).drop("_idx", "_start"))
+
+
 def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[str] = (),
                   price_lags: bool = False, bucket_rows: int | None = None,
-                  block_days: int = 32) -> DataFrame:
+                  block_days: int = 32, since: str | None = None) -> DataFrame:
     """E1 — the 106-column feature table (date, label, label_log, tx_log +
     102 features when all nine metrics are present).
 
@@ -164,10 +182,23 @@ def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[st
     ``bucket_rows``: split every series into buckets of this many rows with
     a look-back/look-ahead halo (see :mod:`daycast.plans.halo`) — same result,
     no series in one window partition; for series longer than one task
-    should hold."""
+    should hold.
+    ``since``: only rows dated on or after it (incremental refresh); the
+    window runs over those rows plus their 30-row look-back.  Equal to the
+    full table filtered to ``date >= since`` (the input must already be
+    filled, and ``t`` still counts from the series' first date)."""
     series = list(series)
     base, metrics, x = prepare_daily(daily, label, series)
     required = must_have(metrics, price_lags, "price_usd" in base.columns)
+    if since is not None:
+        if bucket_rows is not None:
+            raise ValueError("since and bucket_rows do not combine")
+        pruned = since_rows(base, series, since, block_days)
+        levels = feature_levels(pruned, metrics, x, W.ordered_window(series),
+                                keys=series + ["_first_date"], first_date="`_first_date`",
+                                price_lags=price_lags)
+        order = [c for c in output_order(levels.columns, metrics, x, series) if c != "_first_date"]
+        return finalize(levels, required, order, extra_filter=f"`date` >= DATE'{since}'")
     if bucket_rows is None:
         levels = feature_levels(base, metrics, x, W.ordered_window(series), keys=series,
                                 price_lags=price_lags)

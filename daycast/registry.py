@@ -532,6 +532,12 @@ def q_feature_table_bucketed(spark, sf):
     return feature_table(daily, bucket_rows=365)
 
 
+@register("feature_table_since")
+def q_feature_table_since(spark, sf):
+    """E1 refreshed from the test start on (incremental mode)."""
+    return feature_table(_enriched(spark, sf), since=TEST_START)
+
+
 @register("enriched_daily")
 def q_enriched_daily(spark, sf):
     return _enriched(spark, sf)

@@ -297,5 +297,7 @@ FROM long GROUP BY space, date""", ["real", "persistence", "drift"])
 add("enriched_daily", S.with_(ENR) + "SELECT * FROM merged", DAILY_DOUBLES + ["price_usd"])
 add("feature_table", S.with_(ENR, FEAT) + "SELECT * FROM features", FEATURES)
 add("feature_table_bucketed", S.with_(ENR, FEAT) + "SELECT * FROM features", FEATURES)
+add("feature_table_since", S.with_(ENR, FEAT) + f"SELECT * FROM features WHERE date >= DATE '{TEST_START}'",
+    FEATURES)
 add("feature_table_keyed",
     S.with_(S.enriched_ctes(series=True), S.features_cte(series=True)) + "SELECT * FROM features", FEATURES)

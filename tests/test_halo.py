@@ -61,3 +61,17 @@ def test_row_index_is_dense_per_series(spark):
     for key, n in (("a", 100), ("b", 40)):
         got = [r["_idx"] for r in idx.filter(F.col("series") == key).orderBy("date").collect()]
         assert got == list(range(n))
+
+
+@SETTINGS
+@given(spec, st.integers(0, 150))
+def test_since_equals_full_filtered(spark, spec, offset):
+    df = ffill_bfill(_table(spark, spec), ["price_usd"], series=["series"])
+    since = (dt.date(2022, 1, 1) + dt.timedelta(days=offset)).isoformat()
+    full = feature_table(df, series=["series"]).filter(F.col("date") >= since)
+    part = feature_table(df, series=["series"], since=since)
+    assert part.columns == full.columns
+    assert part.exceptAll(full).count() == 0 and full.exceptAll(part).count() == 0
+    one = df.filter(F.col("series") == spec[0][0]).drop("series")
+    assert (feature_table(one, since=since)
+            .exceptAll(feature_table(one).filter(F.col("date") >= since)).count() == 0)
