@@ -59,6 +59,8 @@ def main() -> None:
         "enriched_daily": lambda: force(R.QUERIES["enriched_daily"](spark, sf_dir)),
         "feature_table": lambda: force(R.QUERIES["feature_table"](spark, sf_dir)),
         "feature_table_keyed": lambda: force(R.QUERIES["feature_table_keyed"](spark, sf_dir)),
+        "feature_table_bucketed": lambda: force(R.QUERIES["feature_table_bucketed"](spark, sf_dir)),
+        "feature_table_since": lambda: force(R.QUERIES["feature_table_since"](spark, sf_dir)),
         "feature_table_write": write_features,
         "baseline_comparison": lambda: force(model_comparison(R._baseline_predictions(spark, sf_dir))),
         "residual_histogram": lambda: force(R.QUERIES["residual_histogram"](spark, sf_dir)),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from daycast.operators import models as M
 from daycast.operators.metrics import model_comparison
-from daycast.operators.split import check_not_empty, time_split, training_frame
+from daycast.operators.split import EmptySplitError, time_split, training_frame
 from daycast.sources.models_io import model_save
 from daycast.sources.records import run_record, write_json_record
 
@@ -26,13 +26,20 @@ class TrainResult:
     record: DataFrame           # one-row run record
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Give every core a slice of the training rows.
+MIN_ROWS_PER_PARTITION = 200
+
+
+def _spread(df: DataFrame, rows: int) -> DataFrame:
+    """Give the cores a slice of the training rows each.
 
     A day-grain window output often sits in one partition (AQE coalesces the
-    small shuffle), which would run each ML aggregation pass in one task.
-    Tables that already have enough partitions are left as they are."""
-    n = df.sparkSession.sparkContext.defaultParallelism
+    small shuffle), which would run every ML aggregation pass in one task.
+    The target is bounded by the row count (at least
+    ``MIN_ROWS_PER_PARTITION`` rows per partition), so a large cluster does
+    not get thousands of near-empty tasks per pass; tables that already have
+    enough partitions are left as they are."""
+    n = min(df.sparkSession.sparkContext.defaultParallelism,
+            max(1, -(-rows // MIN_ROWS_PER_PARTITION)))
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
 
@@ -48,10 +55,11 @@ def train_and_compare(features: DataFrame, train_end: str, test_start: str, test
     p = params or M.ModelParams()
     frame, feats = training_frame(features, exclude=exclude)
     train, test = time_split(frame, train_end, test_start, test_end)
-    train = _spread(train).persist(StorageLevel.MEMORY_AND_DISK)
-    test = _spread(test).persist(StorageLevel.MEMORY_AND_DISK)
-    check_not_empty(train, "train")
-    check_not_empty(test, "test")
+    n_train, n_test = train.count(), test.count()
+    if n_train == 0 or n_test == 0:
+        raise EmptySplitError(f"empty split: train={n_train} rows, test={n_test} rows")
+    train = _spread(train, n_train).persist(StorageLevel.MEMORY_AND_DISK)
+    test = _spread(test, n_test).persist(StorageLevel.MEMORY_AND_DISK)
 
     preds = None
     for name in p.models:

@@ -152,3 +152,15 @@ def test_empty_split_raises(spark):
     ft = feature_table(daily(spark, 40))
     with pytest.raises(EmptySplitError):
         train_and_compare(ft, "2000-01-01", "2024-02-01", "2024-12-31")
+
+
+def test_price_lag_variant_has_111_features(spark):
+    from conftest import SF_SMALL
+    from daycast import registry as R
+    from daycast.operators.split import training_frame
+    ft = feature_table(R._enriched(spark, SF_SMALL), price_lags=True)
+    _, feats = training_frame(ft)
+    assert len(feats) == 111
+    assert {"price_ret_1d_lag3", "price_ret_7d_lag1", "price_volatility_7d_lag2"} <= set(feats)
+    _, base_feats = training_frame(feature_table(R._enriched(spark, SF_SMALL)))
+    assert len(base_feats) == 102
