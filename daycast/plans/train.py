@@ -68,7 +68,8 @@ def train_and_compare(features: DataFrame, train_end: str, test_start: str, test
             model_save(model, run_dir, name)
         pred = M.score(model, test, name)
         preds = pred if preds is None else preds.unionByName(pred)
-    comparison = model_comparison(preds)
+    # one row per model, read by the run record and by the caller
+    comparison = model_comparison(preds).persist()
     run_id = os.path.basename(run_dir) if run_dir else _dt.datetime.now().strftime("%Y%m%d_%H%M%S")
     record = run_record(comparison, run_id, parquet_path, train_end, test_start, test_end, feats)
     if run_dir:
