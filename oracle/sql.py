@@ -10,6 +10,8 @@ from __future__ import annotations
 
 TWO_PI = "6.283185307179586"
 
+# Fixed values (must equal the reference): the metric list, the derived
+# columns that get lags, and the required columns of the feature table.
 METRICS = ["blocks_count", "tx_count_sum", "accumulated_fees_sum", "developer_fees_sum",
            "gas_provided_avg", "gas_refunded_avg", "gas_penalized_avg",
            "price_usd", "price_volume"]
