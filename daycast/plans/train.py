@@ -29,7 +29,7 @@ class TrainResult:
 MIN_ROWS_PER_PARTITION = 200
 
 
-def _spread(df: DataFrame, rows: int) -> DataFrame:
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Give the cores a slice of the training rows each.
 
     A day-grain window output often sits in one partition (AQE coalesces the
@@ -38,6 +38,7 @@ def _spread(df: DataFrame, rows: int) -> DataFrame:
     ``MIN_ROWS_PER_PARTITION`` rows per partition), so a large cluster does
     not get thousands of near-empty tasks per pass; tables that already have
     enough partitions are left as they are."""
+    rows = df.count() if rows is None else rows
     n = min(df.sparkSession.sparkContext.defaultParallelism,
             max(1, -(-rows // MIN_ROWS_PER_PARTITION)))
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
@@ -58,8 +59,8 @@ def train_and_compare(features: DataFrame, train_end: str, test_start: str, test
     n_train, n_test = train.count(), test.count()
     if n_train == 0 or n_test == 0:
         raise EmptySplitError(f"empty split: train={n_train} rows, test={n_test} rows")
-    train = _spread(train, n_train).persist(StorageLevel.MEMORY_AND_DISK)
-    test = _spread(test, n_test).persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(train, n_train).persist(StorageLevel.MEMORY_AND_DISK)
+    test = spread(test, n_test).persist(StorageLevel.MEMORY_AND_DISK)
 
     preds = None
     for name in p.models:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -13,24 +12,37 @@ from daycast.operators.models import PREFERRED_ORDER, score
 
 def model_save(model: PipelineModel, run_dir: str, name: str) -> str:
     """Overwrite-save under ``<run_dir>/<name>``."""
-    path = os.path.join(run_dir, name)
+    path = run_dir.rstrip("/") + "/" + name
     model.write().overwrite().save(path)
     return path
 
 
 def model_metadata(spark: SparkSession, path: str) -> DataFrame:
     """The saved pipeline's metadata record (class, uid, Spark version, params)."""
-    return spark.read.json(os.path.join(path, "metadata"))
+    return spark.read.json(path.rstrip("/") + "/metadata")
 
 
-def discover_models(run_dir: str, names: Sequence[str] | None = None) -> list[str]:
+def _subfolders_with_metadata(spark: SparkSession, run_dir: str) -> list[str]:
+    """Sub-folders of ``run_dir`` that hold a saved Spark ML object, listed
+    through the Hadoop FileSystem API (works for local, HDFS and object-store
+    paths alike)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(run_dir)
+    fs = root.getFileSystem(conf)
+    out = []
+    for st in fs.listStatus(root):
+        if st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "metadata")):
+            out.append(st.getPath().getName())
+    return sorted(out)
+
+
+def discover_models(spark: SparkSession, run_dir: str, names: Sequence[str] | None = None) -> list[str]:
     """Model folders of a run: the given list, else every sub-folder with the
     preferred ones first."""
     if names:
         return list(names)
-    found = sorted(d for d in os.listdir(run_dir)
-                   if os.path.isdir(os.path.join(run_dir, d)) and
-                   os.path.isdir(os.path.join(run_dir, d, "metadata")))
+    found = _subfolders_with_metadata(spark, run_dir)
     ordered = [m for m in PREFERRED_ORDER if m in found]
     return ordered + [m for m in found if m not in ordered]
 
@@ -39,8 +51,8 @@ def model_load_score(run_dir: str, test: DataFrame, names: Sequence[str] | None
     """Load each saved pipeline and score the test rows; one table with a
     ``model`` column (the union is lazy, models score in parallel tasks)."""
     out = None
-    for name in discover_models(run_dir, names):
-        pred = score(PipelineModel.load(os.path.join(run_dir, name)), test, name)
+    for name in discover_models(test.sparkSession, run_dir, names):
+        pred = score(PipelineModel.load(run_dir.rstrip("/") + "/" + name), test, name)
         out = pred if out is None else out.unionByName(pred)
     if out is None:
         raise RuntimeError(f"No model subfolders found in: {run_dir}")

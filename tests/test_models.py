@@ -38,7 +38,7 @@ def test_train_save_load_score_round_trip(spark, tmp_path):
                             run_dir=str(tmp_path / "run"))
     comp = {r["model"]: r for r in res.comparison.collect()}
     assert set(comp) == {"linear_regression", "decision_tree", "random_forest"}
-    assert discover_models(str(tmp_path / "run")) == ["linear_regression", "decision_tree", "random_forest"]
+    assert discover_models(spark, str(tmp_path / "run")) == ["linear_regression", "decision_tree", "random_forest"]
     # reload and re-score: identical predictions
     test = res.predictions.select("date").distinct().count()
     from daycast.operators.split import time_split, training_frame
