@@ -41,11 +41,15 @@ def get_session(master: str | None = None, app: str = "daycast",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it; only when it is unset (local tests) do we pick a
-    fresh scratch folder ourselves."""
+    The cluster sets it; only when it is unset on a local master (tests) do
+    we pick a fresh scratch folder ourselves — on a cluster an unset value
+    is an error, never a machine-local folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="daycast-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store): "
+                               "lineage cuts and written tables must survive executor loss")
+        d = tempfile.mkdtemp(prefix="daycast-ckpt-")  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
