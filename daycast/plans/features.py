@@ -13,6 +13,7 @@ Each level is one ``selectExpr`` of SQL expression strings: the plan for
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -193,7 +194,10 @@ def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[st
     if since is not None:
         if bucket_rows is not None:
             raise ValueError("since and bucket_rows do not combine")
-        pruned = since_rows(base, series, since, block_days)
+        since = _dt.date.fromisoformat(str(since)).isoformat()
+        from daycast.session import cut_lineage
+        # the index step reads its input three times (counts, rows, start)
+        pruned = since_rows(cut_lineage(base), series, since, block_days)
         levels = feature_levels(pruned, metrics, x, W.ordered_window(series),
                                 keys=series + ["_first_date"], first_date="`_first_date`",
                                 price_lags=price_lags)
