@@ -116,13 +116,17 @@ def fit(name: str, train: DataFrame, feature_cols: Sequence[str], p: ModelParams
     return pipeline_for(name, feature_cols, p).fit(train)
 
 
-def score(model: PipelineModel, test: DataFrame, name: str | None = None) -> DataFrame:
+def score(model: PipelineModel, test: DataFrame, name: str | None = None,
+          reconstruct_delta: bool = True) -> DataFrame:
     """M7 scoring half: transform, then delta → log → raw reconstruction.
 
-    Vector columns are dropped so the result is plain SQL types."""
+    ``reconstruct_delta=False`` is direct scoring (M8) for models that predict
+    the label itself: ``prediction`` is left as it is, to be scored against
+    ``label`` with ``metrics.direct_metrics``.  Vector columns are dropped so
+    the result is plain SQL types."""
     pred = model.transform(test)
     keep = [c for c in pred.columns if c not in ("features", "scaledFeatures")]
-    out = pred.select(*keep, *reconstruct("prediction", "tx_log"))
+    out = pred.select(*keep, *(reconstruct("prediction", "tx_log") if reconstruct_delta else []))
     return out.withColumn("model", F.lit(name)) if name else out
 
 

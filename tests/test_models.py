@@ -104,3 +104,19 @@ def test_keyed_pipeline_end_to_end(spark, tmp_path):
     with pytest.raises(ValueError):
         run_pipeline(spark, td.blocks(spark, SF_SMALL), None, None, None,
                      "1999-12-31", "2000-01-01", "2001-12-31", mode="raw")
+
+
+def test_direct_scoring_of_label_models(spark, tmp_path):
+    """Older models predict ``label`` itself: one scoring path, no reconstruction."""
+    from pyspark.ml.regression import LinearRegression
+    from daycast.operators.metrics import direct_metrics
+    from daycast.operators.split import training_frame
+    from daycast.sources.models_io import model_save
+    frame, feats = training_frame(_features(spark))
+    model = Pipeline(stages=[M.assembler(feats), LinearRegression(featuresCol="features", labelCol="label",
+                                                                 regParam=0.1)]).fit(frame)
+    model_save(model, str(tmp_path / "old"), "linear_regression")
+    pred = model_load_score(str(tmp_path / "old"), frame, reconstruct_delta=False)
+    assert "prediction_raw" not in pred.columns
+    m = direct_metrics(pred).first()
+    assert m["rmse"] >= 0 and m["r2"] <= 1
