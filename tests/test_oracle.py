@@ -8,7 +8,8 @@ from conftest import SF_SMALL
 KEYS = ["daily_rollup", "enriched_daily", "feature_table", "feature_table_keyed", "ffill_bfill",
         "optional_price_features", "price_left_join", "multi_read", "month_partitioned",
         "model_comparison", "residual_histogram", "report_overlay", "standardize",
-        "derived_lags", "rolling_zscore", "drop_incomplete"]
+        "derived_lags", "rolling_zscore", "drop_incomplete", "feature_table_bucketed",
+        "feature_table_since"]
 
 
 @pytest.mark.parametrize("key", KEYS)
