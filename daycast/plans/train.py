@@ -50,11 +50,11 @@ BOOST_ROWS_PER_PARTITION = 20000
 
 
 def fit_input(name: str, train: DataFrame, rows: int) -> DataFrame:
-    """The training rows as a given learner should see them: boosted trees get
-    at least ``BOOST_ROWS_PER_PARTITION`` rows per partition (``coalesce``,
-    no shuffle); the others keep the spread table."""
+    """The training rows as a learner should see them: boosted trees keep at
+    least ``BOOST_ROWS_PER_PARTITION`` rows per partition (``coalesce``, no
+    shuffle); the other learners get the rows spread over the cores."""
     if name not in ("boosted_trees", "gbt_regressor", "xgboost"):
-        return train
+        return spread(train, rows)
     k = max(1, -(-rows // BOOST_ROWS_PER_PARTITION))
     return train.coalesce(k) if train.rdd.getNumPartitions() > k else train
 
@@ -67,15 +67,16 @@ def train_and_compare(features: DataFrame, train_end: str, test_start: str, test
     the run record.
 
     The two splits are persisted once each (day-grain tables, small); a lost
-    executor recomputes its blocks from the deterministic lineage."""
+    executor recomputes its blocks from the deterministic lineage.  Each
+    learner gets the rows partitioned for it (:func:`fit_input`)."""
     p = params or M.ModelParams()
     frame, feats = training_frame(features, exclude=exclude)
     train, test = time_split(frame, train_end, test_start, test_end)
-    n_train, n_test = train.count(), test.count()
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    n_train, n_test = train.count(), test.count()          # also fills the cache
     if n_train == 0 or n_test == 0:
         raise EmptySplitError(f"empty split: train={n_train} rows, test={n_test} rows")
-    train = spread(train, n_train).persist(StorageLevel.MEMORY_AND_DISK)
-    test = spread(test, n_test).persist(StorageLevel.MEMORY_AND_DISK)
 
     preds = None
     for name in p.models:

@@ -35,7 +35,7 @@ from daycast.operators.windows import ordered_window
 from daycast.plans.enriched import enriched_daily
 from daycast.plans.features import feature_levels, feature_table, prepare_daily
 from daycast.plans.pipeline import run_pipeline
-from daycast.plans.train import fit_input, spread, train_and_compare
+from daycast.plans.train import fit_input, train_and_compare
 from daycast.session import shared_dir
 from daycast.sources import testdata as td
 from daycast.sources.files import (features_scan, features_sink, month_ranges,
@@ -156,7 +156,6 @@ def _scratch(spark, kind):
 def _fit_models(spark, sf, names, params=None):
     train, test, feats = _splits(spark, sf)
     rows = train.count()
-    train = spread(train, rows)
     p = params or M.ModelParams()
     return {n: M.fit(n, fit_input(n, train, rows), feats, p) for n in names}, test
 
