@@ -52,9 +52,9 @@ BOOST_ROWS_PER_PARTITION = 20000
 def fit_input(name: str, train: DataFrame, rows: int) -> DataFrame:
     """The training rows as a learner should see them: boosted trees keep at
     least ``BOOST_ROWS_PER_PARTITION`` rows per partition (``coalesce``, no
-    shuffle); the other learners get the rows spread over the cores."""
+    shuffle); the other learners take the table as it is."""
     if name not in ("boosted_trees", "gbt_regressor", "xgboost"):
-        return spread(train, rows)
+        return train
     k = max(1, -(-rows // BOOST_ROWS_PER_PARTITION))
     return train.coalesce(k) if train.rdd.getNumPartitions() > k else train
 
@@ -72,11 +72,12 @@ def train_and_compare(features: DataFrame, train_end: str, test_start: str, test
     p = params or M.ModelParams()
     frame, feats = training_frame(features, exclude=exclude)
     train, test = time_split(frame, train_end, test_start, test_end)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    n_train, n_test = train.count(), test.count()          # also fills the cache
+    n_train, n_test = train.count(), test.count()
     if n_train == 0 or n_test == 0:
         raise EmptySplitError(f"empty split: train={n_train} rows, test={n_test} rows")
+    # spread once, persist once: every learner's passes read the cached slices
+    train = spread(train, n_train).persist(StorageLevel.MEMORY_AND_DISK)
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)
 
     preds = None
     for name in p.models:

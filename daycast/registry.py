@@ -34,8 +34,8 @@ from daycast.operators.split import drop_incomplete, time_split, training_frame
 from daycast.operators.windows import ordered_window
 from daycast.plans.enriched import enriched_daily
 from daycast.plans.features import feature_levels, feature_table, prepare_daily
-from daycast.plans.pipeline import run_pipeline
-from daycast.plans.train import fit_input, train_and_compare
+from daycast.plans.end_to_end import run_end_to_end
+from daycast.plans.train import fit_input, spread, train_and_compare
 from daycast.session import shared_dir
 from daycast.sources import testdata as td
 from daycast.sources.files import (features_scan, features_sink, month_ranges,
@@ -156,6 +156,7 @@ def _scratch(spark, kind):
 def _fit_models(spark, sf, names, params=None):
     train, test, feats = _splits(spark, sf)
     rows = train.count()
+    train = spread(train, rows).persist()
     p = params or M.ModelParams()
     return {n: M.fit(n, fit_input(n, train, rows), feats, p) for n in names}, test
 
@@ -551,8 +552,8 @@ def q_train_and_compare(spark, sf):
     return res.comparison
 
 
-@register("pipeline")
-def q_pipeline(spark, sf):
-    res = run_pipeline(spark, _blocks(spark, sf), td.price_history(spark, sf), None, None,
-                       TRAIN_END, TEST_START, TEST_END, work_dir=_scratch(spark, "pipeline"))
+@register("end_to_end")
+def q_end_to_end(spark, sf):
+    res = run_end_to_end(spark, _blocks(spark, sf), td.price_history(spark, sf), None, None,
+                       TRAIN_END, TEST_START, TEST_END, work_dir=_scratch(spark, "end_to_end"))
     return res.comparison

@@ -89,11 +89,11 @@ def test_true_delta_reconstructs_label(spark):
         assert r["prediction_raw"] == pytest.approx(r["label"], rel=1e-9)
 
 
-def test_keyed_pipeline_end_to_end(spark, tmp_path):
+def test_keyed_end_to_end_run(spark, tmp_path):
     from conftest import SF_SMALL
-    from daycast.plans.pipeline import run_pipeline
+    from daycast.plans.end_to_end import run_end_to_end
     from daycast.sources import testdata as td
-    res = run_pipeline(spark, td.blocks(spark, SF_SMALL, with_series=True), td.price_history(spark, SF_SMALL),
+    res = run_end_to_end(spark, td.blocks(spark, SF_SMALL, with_series=True), td.price_history(spark, SF_SMALL),
                        None, None, "1999-12-31", "2000-01-01", "2001-12-31", series=["series"],
                        work_dir=str(tmp_path / "work"),
                        params=M.ModelParams(rf_trees=5, models=["linear_regression", "random_forest"]))
@@ -102,7 +102,7 @@ def test_keyed_pipeline_end_to_end(spark, tmp_path):
     assert set(comp) == {"linear_regression", "random_forest"}
     assert all(r["rmse_log"] > 0 for r in comp.values())
     with pytest.raises(ValueError):
-        run_pipeline(spark, td.blocks(spark, SF_SMALL), None, None, None,
+        run_end_to_end(spark, td.blocks(spark, SF_SMALL), None, None, None,
                      "1999-12-31", "2000-01-01", "2001-12-31", mode="raw")
 
 
