@@ -19,7 +19,10 @@ from daycast.operators.rollup import DAILY_AGGREGATES
 def daily_rollup_stream(blocks: DataFrame, ts: str = "timestamp", delay: str = "1 day",
                         series: Sequence[str] = ()) -> DataFrame:
     """Streaming DataFrame of (series, day, metrics); emit with
-    ``outputMode("append")`` (one final row per day)."""
+    ``outputMode("append")`` (one final row per day).
+
+    Day windows start at midnight UTC; with ``spark.sql.session.timeZone``
+    set to UTC (as ``get_session`` does) they equal the batch roll-up's days."""
     aggs = [F.count(F.lit(1)).alias("blocks_count")]
     for name, fn, src, cast in DAILY_AGGREGATES:
         c = safe_cast_double(src) if cast else F.col(src)
