@@ -120,3 +120,22 @@ def test_direct_scoring_of_label_models(spark, tmp_path):
     assert "prediction_raw" not in pred.columns
     m = direct_metrics(pred).first()
     assert m["rmse"] >= 0 and m["r2"] <= 1
+
+
+def test_report_tables_on_model_predictions(spark):
+    from daycast.operators.report import (report_bars, report_overlay, report_scatter,
+                                          report_timeseries, residual_histogram)
+    ft = _features(spark)
+    res = train_and_compare(ft, "2024-03-31", "2024-04-01", "2024-12-31",
+                            M.ModelParams(models=["linear_regression", "decision_tree"]))
+    pred = res.predictions
+    n = pred.filter(pred.model == "decision_tree").count()
+    assert report_timeseries(pred).count() == 2 * n
+    sc = report_scatter(pred)
+    assert sc.count() == 4 * n and sc.filter("line_min > real OR line_max < predicted").count() == 0
+    hist = residual_histogram(pred)
+    assert hist.count() == 2 * 2 * 40
+    assert hist.groupBy("model", "space").sum("count").filter(f"`sum(count)` != {n}").count() == 0
+    assert report_bars(res.comparison).count() == 2 * 4
+    ov = report_overlay(pred, ["linear_regression", "decision_tree"])
+    assert ov.count() == 2 * n and {"real", "linear_regression", "decision_tree"} <= set(ov.columns)
