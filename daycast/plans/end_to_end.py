@@ -30,8 +30,10 @@ def run_end_to_end(spark: SparkSession, blocks: DataFrame, price_raw: DataFrame
     work = work_dir or shared_dir(spark, "end_to_end", os.urandom(6).hex())
     daily = enriched_daily(blocks, price_raw, start, end, series=series)
     features_path = os.path.join(work, "features.parquet")
-    features_sink(feature_table(daily, label=label, series=series), features_path)
+    rows = features_sink(feature_table(daily, label=label, series=series), features_path)
     features = features_scan(spark, features_path)
-    return train_and_compare(features, train_end, test_start, test_end, params,
-                             run_dir=os.path.join(work, "models"),
-                             parquet_path=features_path, exclude=series)
+    result = train_and_compare(features, train_end, test_start, test_end, params,
+                               run_dir=os.path.join(work, "models"),
+                               parquet_path=features_path, exclude=series)
+    result.feature_rows = rows
+    return result

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 
 from daycast.operators import models as M
 from daycast.operators.metrics import model_comparison
+from daycast.operators.rollup import row_counts
 from daycast.operators.split import EmptySplitError, time_split, training_frame
 from daycast.sources.models_io import model_save
 from daycast.sources.records import run_record, write_json_record
@@ -24,6 +25,7 @@ class TrainResult:
     predictions: DataFrame      # union of every model's scored test rows
     comparison: DataFrame       # one row per model
     record: DataFrame           # one-row run record
+    feature_rows: int | None = None   # rows of the written feature table (end-to-end runs)
 
 
 MIN_ROWS_PER_PARTITION = 200
@@ -72,7 +74,8 @@ def train_and_compare(features: DataFrame, train_end: str, test_start: str, test
     p = params or M.ModelParams()
     frame, feats = training_frame(features, exclude=exclude)
     train, test = time_split(frame, train_end, test_start, test_end)
-    n_train, n_test = train.count(), test.count()
+    counts = row_counts(frame, train_end, test_start, test_end).first()   # one pass, one row
+    n_train, n_test = counts["n_train"], counts["n_test"]
     if n_train == 0 or n_test == 0:
         raise EmptySplitError(f"empty split: train={n_train} rows, test={n_test} rows")
     # spread once, persist once: every learner's passes read the cached slices

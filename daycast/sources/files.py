@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daycast.operators.output import range_partition
@@ -68,19 +68,24 @@ def assert_unique_dates(df: DataFrame, date: str = "date", series: Sequence[str]
 
 
 def features_sink(df: DataFrame, path: str, range_partitions: int | None = None,
-                  partition_by_year: bool = False) -> None:
-    """Overwrite the feature table as Parquet.
-
-    The window stage leaves every partition sorted by (series, date), so the
-    files are already date-ordered; ``range_partitions`` adds the
-    range-partition + sort of O2, which costs a sampling pass over the input
-    and only pays off for a large table read back by date ranges."""
+                  partition_by_year: bool = False) -> int:
+    """Overwrite the feature table as Parquet; returns the rows written.
+
+    The count is observed during the write (``DataFrame.observe``), so the
+    feature plan runs once.  The window stage leaves every partition sorted
+    by (series, date), so the files are already date-ordered;
+    ``range_partitions`` adds the range-partition + sort of O2, which costs a
+    sampling pass over the input and only pays off for a large table read
+    back by date ranges."""
+    obs = Observation("features_sink")
     out = range_partition(df, range_partitions) if range_partitions else df
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if partition_by_year:
         out = out.withColumn("year", F.year("date"))
         out.write.mode("overwrite").partitionBy("year").parquet(path)
     else:
         out.write.mode("overwrite").parquet(path)
+    return int(obs.get["rows"])
 
 
 def features_scan(spark: SparkSession, path: str) -> DataFrame:

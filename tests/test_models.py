@@ -98,6 +98,7 @@ def test_keyed_end_to_end_run(spark, tmp_path):
                        work_dir=str(tmp_path / "work"),
                        params=M.ModelParams(rf_trees=5, models=["linear_regression", "random_forest"]))
     assert "series" not in res.feature_cols and len(res.feature_cols) == 102
+    assert res.feature_rows and res.feature_rows > 0
     comp = {r["model"]: r for r in res.comparison.collect()}
     assert set(comp) == {"linear_regression", "random_forest"}
     assert all(r["rmse_log"] > 0 for r in comp.values())
