@@ -110,3 +110,18 @@ def test_metric_summary_record_and_json(spark, tmp_path):
     assert back["date_range"]["start"] == "2020-01-01"
     assert back["r2_log"]["n"] == pytest.approx(1.0)
     assert back["models_loaded"] == ["m", "n"]
+
+
+def test_streaming_rollup_keyed_equals_batch(spark, tmp_path):
+    src = str(tmp_path / "blocks")
+    td.blocks(spark, SF_SMALL, with_series=True).write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    out = str(tmp_path / "out")
+    q = (daily_rollup_stream(stream, delay="3650 days", series=["series"]).writeStream
+         .outputMode("complete").foreachBatch(lambda b, _i: b.write.mode("overwrite").parquet(out))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = spark.read.parquet(out).select("series", "day", "blocks_count", "tx_count_sum")
+    want = daily_rollup(td.blocks(spark, SF_SMALL, with_series=True), series=["series"]).select(
+        "series", "day", "blocks_count", "tx_count_sum")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
