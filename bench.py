@@ -70,7 +70,6 @@ def main() -> None:
     }
     # warm-up (JVM, class loading, file listing, ML code paths) — not timed
     force(R.QUERIES["daily_rollup"](spark, sf_dir))
-    from pyspark.ml import Pipeline
     from daycast.operators import models as M
     tiny = spark.range(64).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS label_diff")
     for name in ("linear_regression", "decision_tree"):
