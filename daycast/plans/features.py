@@ -173,7 +173,8 @@ def since_rows(base: DataFrame, series: Sequence[str], since: str, block_days: i
 
 def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[str] = (),
                   price_lags: bool = False, bucket_rows: int | None = None,
-                  block_days: int = 32, since: str | None = None) -> DataFrame:
+                  block_days: int = 32, since: str | None = None,
+                  check_unique: bool = False) -> DataFrame:
     """E1 — the 106-column feature table (date, label, label_log, tx_log +
     102 features when all nine metrics are present).
 
@@ -187,9 +188,15 @@ def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[st
     ``since``: only rows dated on or after it (incremental refresh); the
     window runs over those rows plus their 30-row look-back.  Equal to the
     full table filtered to ``date >= since`` (the input must already be
-    filled, and ``t`` still counts from the series' first date)."""
+    filled, and ``t`` still counts from the series' first date).
+    ``check_unique``: raise if a (series, date) occurs twice — overlapping
+    inputs would make the row order of every lag undefined.  One aggregate
+    job; only the first duplicate is fetched."""
     series = list(series)
     base, metrics, x = prepare_daily(daily, label, series)
+    if check_unique:
+        from daycast.sources.files import assert_unique_dates
+        assert_unique_dates(base, "date", series)
     required = must_have(metrics, price_lags, "price_usd" in base.columns)
     if since is not None:
         if bucket_rows is not None:

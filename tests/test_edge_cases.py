@@ -72,6 +72,9 @@ def test_duplicate_dates_raise(spark):
     with pytest.raises(DuplicateDateError):
         assert_unique_dates(df, "day")
     assert_unique_dates(daily(spark, 5), "day")
+    with pytest.raises(DuplicateDateError):
+        feature_table(daily(spark, 35).unionByName(daily(spark, 3)), check_unique=True)
+    assert feature_table(daily(spark, 35), check_unique=True).count() == 6
 
 
 def test_calendar_edges(spark):
