@@ -40,3 +40,12 @@ def test_no_cross_or_nested_loop_joins(spark):
                 "price_source", "report_overlay"):
         plan = _plan(R.QUERIES[key](spark, SF_SMALL))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
+
+
+def test_bucketed_windows_avoid_single_partition(spark):
+    plan = _plan(R.QUERIES["feature_table_bucketed"](spark, SF_SMALL))
+    assert "hashpartitioning(_bucket" in plan
+    window_part = plan.split("Window [", 1)[1]
+    assert "SinglePartition" not in window_part.split("Window [")[0]
+    plain = _plan(R.QUERIES["feature_table"](spark, SF_SMALL))
+    assert "SinglePartition" in plain                    # the unkeyed plain mode: one partition
