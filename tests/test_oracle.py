@@ -9,7 +9,9 @@ KEYS = ["daily_rollup", "enriched_daily", "feature_table", "feature_table_keyed"
         "optional_price_features", "price_left_join", "multi_read", "month_partitioned",
         "model_comparison", "residual_histogram", "report_overlay", "standardize",
         "derived_lags", "rolling_zscore", "drop_incomplete", "feature_table_bucketed",
-        "feature_table_since"]
+        "feature_table_since", "scan_range", "raw_projection", "safe_cast", "price_source",
+        "date_bounds", "row_counts", "time_split", "report_scatter", "report_bars",
+        "metrics_summary", "assemble", "direct_score", "bounded_sample"]
 
 
 @pytest.mark.parametrize("key", KEYS)
