@@ -61,3 +61,46 @@ SELECT doc_id, size, source_size, target,
        CAST(sum(CASE WHEN run <= (SELECT budget FROM b) THEN size ELSE 0 END) AS BIGINT) AS taken
 FROM g GROUP BY doc_id, size, source_size, target
 """
+
+
+@register("op3_license_scan")
+def op3(spark, sf_dir):
+    from daycast.llm.licenses import license_scan
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def _license_oracle() -> str:
+    """Brute force over all blocks and templates; the template list is the
+    operator's, the search is not."""
+    from daycast.llm.licenses import BLOCK, STEP, templates
+    values = ", ".join(f"({t['tid']}, '{t['label']}', {t['words']}, {t['tokens']}, {str(t['ordered']).lower()}, {t['need']})" for t in templates())
+    return rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+t(tid, label, phrase, tokens, ordered, need) AS (VALUES {values}),
+b AS (
+  SELECT doc_id, k, ws[k * {STEP} + 1 : k * {STEP} + {BLOCK}] AS bw
+  FROM (SELECT doc_id, ws, unnest(range(0, greatest(0, CAST(ceil((len(ws) - {BLOCK}) / {STEP}.0) AS BIGINT)) + 1)) AS k FROM w)),
+n AS (
+  SELECT b.doc_id, t.label, t.tid, len(list_intersect(b.bw, t.tokens)) / len(t.tokens) AS c
+  FROM b, t WHERE NOT ordered AND len(list_intersect(b.bw, t.tokens)) >= t.need),
+p AS (
+  SELECT doc_id, label, i FROM (
+    SELECT w.doc_id, w.ws, t.phrase, t.label, unnest(range(0, len(ws))) AS i FROM w, t
+    WHERE ordered AND list_has_all(w.ws, t.phrase))
+  WHERE ws[i + 1 : i + len(phrase)] = phrase),
+a AS (
+  SELECT doc_id, label, 1.0 AS c FROM p UNION ALL SELECT doc_id, label, c FROM n),
+ap AS (SELECT doc_id, count(*) AS n_base, min(i) AS f, max(i) AS l, list_sort(list_distinct(list(label))) AS ls FROM p GROUP BY doc_id),
+aa AS (SELECT doc_id, list_sort(list_distinct(list(label))) AS ls, max(c) AS score FROM a GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(ap.n_base, 0) AS BIGINT) AS n_base,
+       CAST(ap.f AS BIGINT) AS first_word, CAST(ap.l AS BIGINT) AS last_word,
+       coalesce(array_to_string(ap.ls, ','), '') AS base_labels, coalesce(array_to_string(aa.ls, ','), '') AS labels,
+       CAST(coalesce(aa.score, 0) AS DOUBLE) AS score
+FROM w LEFT JOIN ap USING (doc_id) LEFT JOIN aa USING (doc_id)
+"""
+
+
+ORACLES["op3_license_scan"] = _license_oracle()
