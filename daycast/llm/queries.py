@@ -104,3 +104,10 @@ FROM w LEFT JOIN ap USING (doc_id) LEFT JOIN aa USING (doc_id)
 
 
 ORACLES["op3_license_scan"] = _license_oracle()
+
+
+@register("op5_pii_pseudonyms")
+def op5(spark, sf_dir):
+    from daycast.llm.pii import pseudonymise
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "pii_count", "pii_kinds", "text")
