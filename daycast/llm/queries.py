@@ -111,3 +111,9 @@ def op5(spark, sf_dir):
     from daycast.llm.pii import pseudonymise
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "pii_count", "pii_kinds", "text")
+
+
+@register("op6_prefix_fingerprints")
+def op6(spark, sf_dir):
+    from daycast.llm.fingerprints import fingerprints
+    return fingerprints(table(spark, sf_dir, "documents"))
