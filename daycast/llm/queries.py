@@ -117,3 +117,14 @@ def op5(spark, sf_dir):
 def op6(spark, sf_dir):
     from daycast.llm.fingerprints import fingerprints
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@register("op7_harmonic_packing")
+def op7(spark, sf_dir):
+    from daycast.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=1)
