@@ -128,3 +128,24 @@ def tokenizer(name: str) -> str:
 def op7(spark, sf_dir):
     from daycast.llm.packing import pack
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=1)
+
+
+@register("op8_ngram_jaccard")
+def op8(spark, sf_dir):
+    from daycast.llm.jaccard import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op8_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS k FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[k : k + 4], ' ') AS sh FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+r(doc_id, m) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.y, r.m FROM r JOIN l ON l.x = r.doc_id WHERE r.m < l.y)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.m) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id
+"""
