@@ -149,3 +149,9 @@ r(doc_id, m) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.y, r.m FROM
 SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.m) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+
+@register("op9_token_files")
+def op9(spark, sf_dir):
+    from daycast.llm.token_codec import token_files
+    return token_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
