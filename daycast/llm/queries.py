@@ -155,3 +155,9 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.doc_id = d.doc_id GROUP
 def op9(spark, sf_dir):
     from daycast.llm.token_codec import token_files
     return token_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
+
+
+@register("op10_maxent_scores")
+def op10(spark, sf_dir):
+    from daycast.llm.maxent_lm import lm_scores
+    return lm_scores(table(spark, sf_dir, "documents"))
