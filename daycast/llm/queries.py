@@ -161,3 +161,9 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     from daycast.llm.maxent_lm import lm_scores
     return lm_scores(table(spark, sf_dir, "documents"))
+
+
+@register("op2_language_id")
+def op2(spark, sf_dir):
+    from daycast.llm.langid import language_report
+    return language_report(table(spark, sf_dir, "documents"))
