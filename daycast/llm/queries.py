@@ -167,3 +167,21 @@ def op10(spark, sf_dir):
 def op2(spark, sf_dir):
     from daycast.llm.langid import language_report
     return language_report(table(spark, sf_dir, "documents"))
+
+
+@register("op1_embedding_neardup")
+def op1(spark, sf_dir):
+    from daycast.llm.neardup_hnsw import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op1_embedding_neardup"] = """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[64]) AS x FROM embeddings),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM e a, e b
+      WHERE a.vec_id <> b.vec_id AND array_cosine_similarity(a.x, b.x) >= 0.95),
+n AS (SELECT u, count(*) AS n FROM l GROUP BY u),
+r(vec_id, m) AS (SELECT vec_id, vec_id FROM e UNION SELECT l.v, r.m FROM r JOIN l ON l.u = r.vec_id WHERE r.m < l.v)
+SELECT e.vec_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_links, min(r.m) AS component_id,
+       e.vec_id = min(r.m) AS kept
+FROM e JOIN r ON r.vec_id = e.vec_id LEFT JOIN n ON n.u = e.vec_id GROUP BY e.vec_id
+"""
