@@ -133,13 +133,17 @@ def scores(w: np.ndarray, slots: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 def temperature(z: np.ndarray, y: np.ndarray) -> float:
     """The divisor of the logits that gives held-back labels most likelihood
-    (golden-section search on its logarithm)."""
+    (golden-section search on its logarithm). Labels count as 1 - 1 / (n + 2)
+    sure, so a sample without errors does not make every answer certain."""
     if not len(y):
         return 1.0
 
+    doubt = 1 / (len(y) + 2)
+    target = np.full(z.shape, doubt / max(1, z.shape[1] - 1))
+    target[np.arange(len(y)), y] = 1 - doubt
+
     def loss(t):
-        p = softmax(z / np.exp(t))
-        return -np.log(np.maximum(p[np.arange(len(y)), y], 1e-12)).mean()
+        return -(target * np.log(np.maximum(softmax(z / np.exp(t)), 1e-300))).sum(axis=1).mean()
 
     lo, hi, ratio = -4.0, 3.0, (np.sqrt(5) - 1) / 2
     for _ in range(50):
@@ -182,11 +186,18 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], np.nd
     return labels, np.stack([w[k] for k in labels], axis=1), idf
 
 
-def _predict(labels, w, idf):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+def predict(docs: DataFrame, model: tuple) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``. Only texts go through the
+    model: the other columns pass it by in the same rows."""
+    from pyspark.sql.functions import pandas_udf
+
+    labels, w, idf = model
+
+    @pandas_udf("lang_pred string, score double")
+    def identify(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for some in texts:
             best, score = [], []
-            for text in pdf["text"]:
+            for text in some:
                 text = clean(text or "")
                 if not text or not labels:
                     best.append("und")
@@ -196,15 +207,10 @@ def _predict(labels, w, idf):
                 i = int(p.argmax())
                 best.append(labels[i])
                 score.append(float(p[i]))
-            yield pdf.drop(columns="text").assign(lang_pred=best, score=score)
-    return run
-
+            yield pd.DataFrame({"lang_pred": best, "score": score})
 
-def predict(docs: DataFrame, model: tuple, keys: list[str]) -> DataFrame:
-    """``keys`` of ``docs`` with ``lang_pred`` and ``score``."""
-    rows = docs.select(*keys, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    return rows.mapInPandas(_predict(*model), schema + ", lang_pred string, score double")
+    return (docs.withColumn("_language", identify("text"))
+            .withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language"))
 
 
 def is_training(docs: DataFrame) -> DataFrame:
@@ -215,7 +221,5 @@ def language_report(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score``; learned from the documents that
     are not held out."""
     model = train(is_training(docs).select("text", "lang"))
-    rows = docs.select(F.col("doc_id"), (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "text")
-    out = predict(rows.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "held_out", "text"),
-                  model, ["doc_id", "no_id", "held_out"])
-    return out.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "held_out", "lang_pred", "score")
+    rows = docs.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "text")
+    return predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
