@@ -317,8 +317,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows
     roots = components(found.where("u IS NOT NULL").select("u", "v")).select(F.col("node").alias("c"), "root")
     sizes = dealt.select("c", "size")
     per = sizes.join(links, "c").join(roots, "c", "left").select("c", (F.col("size") - 1 + F.col("links")).alias("n_links"), F.coalesce("root", "c").alias("g"))
-    marked = rows.select("vec_id", "c").join(per, "c", "left")
-    low = marked.where("g IS NOT NULL").groupBy("g").agg(F.min("vec_id").alias("low"))
+    # written sides: each join shuffles both for itself, so a hot class's rows can be split
+    marked = rows.select("vec_id", "c").join(cut(per), "c", "left")
+    low = cut(marked.where("g IS NOT NULL").groupBy("g").agg(F.min("vec_id").alias("low")))
     out = marked.join(low, "g", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(F.col("g").isNull(), F.col("vec_id")).otherwise(F.col("low")).alias("component_id"))
