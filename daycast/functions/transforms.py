@@ -10,11 +10,6 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def log_transform(c: str | Column) -> Column:
-    """``log1p``; Spark returns NULL for x <= -1."""
-    return F.log1p(_c(c))
-
-
 def label_diff(label_log: str | Column = "label_log", today_log: str | Column = "tx_log") -> Column:
     """Training target: tomorrow's log minus today's log."""
     return (_c(label_log) - _c(today_log)).alias("label_diff")

@@ -27,20 +27,12 @@ def price_source(price: DataFrame, daily: DataFrame, day: str = "day") -> DataFr
     return price.filter(F.col("day").between(lo, hi))
 
 
-def price_left_join(daily: DataFrame, price: DataFrame, on: str = "day",
-                    broadcast_rows_bound: int | None = None,
-                    broadcast_limit: int = 2_000_000) -> DataFrame:
+def price_left_join(daily: DataFrame, price: DataFrame, on: str = "day") -> DataFrame:
     """Left outer equi-join; days without a price keep NULL price columns.
 
-    The price side is one row per day.  It is broadcast by hint only when the
-    caller proves a row bound below ``broadcast_limit``; otherwise Spark
-    decides: the static planner checks the estimated size and AQE re-plans to
-    a broadcast join once the shuffled price side is measured small, and
-    falls back to a sort-merge join when it is not."""
-    right = price
-    if broadcast_rows_bound is not None and broadcast_rows_bound <= broadcast_limit:
-        right = F.broadcast(price)
-    return daily.join(right, on=on, how="left")
+    The price side is one row per day. Spark picks the join: the planner checks
+    the estimated size and AQE measures the shuffled side."""
+    return daily.join(price, on=on, how="left")
 
 
 def ffill_bfill(df: DataFrame, cols: Sequence[str] = PRICE_COLUMNS, order: str = "day",

@@ -23,8 +23,10 @@ def rmse(label: str, pred: str) -> Column:
 
 
 def r2(label: str, pred: str) -> Column:
+    """Over the rows that have both values, like the error sum."""
+    both = F.col(label).isNotNull() & F.col(pred).isNotNull()
     ss_res = F.sum(F.pow(F.col(label) - F.col(pred), 2))
-    ss_tot = F.var_pop(F.col(label)) * F.count(F.lit(1))
+    ss_tot = F.var_pop(F.when(both, F.col(label))) * F.count_if(both)
     return F.lit(1.0) - ss_res / ss_tot
 
 
@@ -46,9 +48,3 @@ def direct_metrics(df: DataFrame, label: str = "label", pred: str = "prediction"
 def model_comparison(predictions: DataFrame) -> DataFrame:
     """One row per model (``model`` column) with RMSE/R² in log and raw space."""
     return regression_metrics(predictions, by=["model"])
-
-
-def tidy_metrics(comparison: DataFrame) -> DataFrame:
-    """(model, metric, value) rows from :func:`model_comparison`."""
-    cols = [c for c in comparison.columns if c != "model"]
-    return comparison.unpivot("model", cols, "metric", "value")

@@ -25,9 +25,9 @@ TARGET = "label_diff"
 # The forest caches node ids per row instead of shipping 200 growing trees
 # every pass (same result, ~10 % faster measured; the cache is checkpointed
 # every 10 iterations into the shared checkpoint folder).  For one tree per
-# pass (tree, boosting) the checkpoints cost more than they save.  Bagged
-# forests draw their samples per input partition: a seed reproduces a forest
-# for the same input partitioning.
+# pass (tree, boosting) the checkpoints cost more than they save.  Row samples
+# are drawn per input partition, so the training rows get one fixed layout
+# (``training_layout``): a seed gives the same forest on every cluster.
 
 
 @dataclass
@@ -48,6 +48,8 @@ class ModelParams:
     gbt_subsample: float = 0.8
     gbt_feature_subset: str = "0.8"
     gbt_rounds: int = 600
+    # own parameter: partitions of the training rows, part of what a seed means
+    train_partitions: int = 8
     models: Sequence[str] = field(default_factory=lambda: [
         "linear_regression", "decision_tree", "random_forest"])
 
@@ -112,6 +114,12 @@ def pipeline_for(name: str, feature_cols: Sequence[str], p: ModelParams) -> Pipe
     raise ValueError(f"unknown model {name!r}")
 
 
+def training_layout(train: DataFrame, p: ModelParams, keys: Sequence[str] = ()) -> DataFrame:
+    """Training rows in ``train_partitions`` partitions by date, in date (and
+    key) order inside each: the same for any number of cores or input files."""
+    return train.repartition(p.train_partitions, "date").sortWithinPartitions("date", *keys)
+
+
 def fit(name: str, train: DataFrame, feature_cols: Sequence[str], p: ModelParams) -> PipelineModel:
     return pipeline_for(name, feature_cols, p).fit(train)
 

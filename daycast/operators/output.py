@@ -18,7 +18,8 @@ def range_partition(df: DataFrame, n: int | None = None, col: str = "date") -> D
     return df.repartitionByRange(n, col).sortWithinPartitions(col)
 
 
-def bounded_sample(df: DataFrame, max_rows: int, order: str = "date") -> DataFrame:
-    """O3: the first ``max_rows`` rows by date (a top-k: each task keeps its
-    own k best, one task merges them) — no count beforehand."""
-    return df.orderBy(order).limit(max_rows)
+def bounded_sample(df: DataFrame, max_rows: int, *order: str) -> DataFrame:
+    """O3: the first ``max_rows`` rows in ``order`` (default: by date), a top-k:
+    each task keeps its own k best, one task merges them — no count beforehand.
+    Name the keys too where dates repeat, so the cut is the same in every run."""
+    return df.orderBy(*(order or ("date",))).limit(max_rows)

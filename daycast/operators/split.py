@@ -23,15 +23,16 @@ def drop_incomplete(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return nan_to_null(df, subset).dropna(subset=list(subset))
 
 
-def training_frame(features: DataFrame, exclude: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
-    """P12 + P13: add ``label_diff``, order columns (lead columns, then the
-    sorted feature list) and keep complete rows.  Returns (frame, features).
+def training_frame(features: DataFrame, keys: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """P12 + P13: the complete rows with ``label_diff``, as keys, lead columns
+    and the features by name. Returns (frame, features).
 
-    ``exclude`` removes extra non-feature columns (e.g. a series key)."""
-    df = features.select("*", label_diff())
-    feats = feature_columns(df.columns, NON_FEATURES, exclude)
-    needed = list(dict.fromkeys(LEAD_COLUMNS + feats))
-    return df.select(*needed).dropna(subset=needed), feats
+    ``keys`` (a series key) are carried in front: they are neither features
+    nor required."""
+    with_target = features.withColumn("label_diff", label_diff())
+    feats = feature_columns(with_target.columns, NON_FEATURES, keys)
+    complete = with_target.dropna(subset=[*LEAD_COLUMNS, *feats])
+    return complete.select(*keys, *LEAD_COLUMNS, *feats), feats
 
 
 def time_split(df: DataFrame, train_end: str, test_start: str, test_end: str,
@@ -41,9 +42,3 @@ def time_split(df: DataFrame, train_end: str, test_start: str, test_end: str,
     train = df.filter(d <= F.lit(train_end).cast("date"))
     test = df.filter(d.between(F.lit(test_start).cast("date"), F.lit(test_end).cast("date")))
     return train, test
-
-
-def check_not_empty(df: DataFrame, what: str) -> None:
-    """Cheap emptiness check (stops at the first row)."""
-    if df.isEmpty():
-        raise EmptySplitError(f"{what} split is empty")

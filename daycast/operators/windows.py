@@ -7,15 +7,11 @@ number of rows).
 The builders return Spark SQL expression strings (``"<expr> AS name"``) so
 a plan can hand a whole level to one ``selectExpr`` — one JVM call instead of
 several per column — and Spark evaluates all window expressions of the level
-in one Window operator behind one shuffle and sort.  :func:`columns` turns
-them into ``Column`` objects for use in ``select``."""
+in one Window operator behind one shuffle and sort."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
 # Fixed values (must equal the reference): frame sizes, lag depths and the
 # derived columns whose lags are features.
@@ -40,10 +36,6 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def columns(exprs: Iterable[str]) -> list[Column]:
-    return [F.expr(e) for e in exprs]
-
-
 class Win:
     """An ordered window, optionally per series (a SQL window specification)."""
 
@@ -62,9 +54,6 @@ class Win:
     def running(self) -> str:
         return f"OVER ({self.spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
-    def whole(self) -> str:
-        return f"OVER ({self.spec} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-
 
 def ordered_window(series: Sequence[str] = (), order: str = "date") -> Win:
     return Win(series, order)

@@ -34,6 +34,6 @@ def run_end_to_end(spark: SparkSession, blocks: DataFrame, price_raw: DataFrame
     features = features_scan(spark, features_path)
     result = train_and_compare(features, train_end, test_start, test_end, params,
                                run_dir=os.path.join(work, "models"),
-                               parquet_path=features_path, exclude=series)
+                               parquet_path=features_path, keys=series)
     result.feature_rows = rows
     return result

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daycast.operators.enrich import ffill_bfill, price_left_join, price_rename
 from daycast.operators.rollup import daily_rollup
+from daycast.session import shared_dir
+from daycast.sources.files import with_year_month
 
 
 def enriched_daily(blocks: DataFrame, price_raw: DataFrame | None,
@@ -34,3 +37,33 @@ def enriched_daily(blocks: DataFrame, price_raw: DataFrame | None,
         return ffill_bfill_bucketed(cut_lineage(merged), ["price_usd", "price_volume"], order="day",
                                     series=series, block_days=fill_block_days)
     return ffill_bfill(merged, order="day", series=series)
+
+
+def extend_daily(spark: SparkSession, stored: str, blocks: DataFrame, price_raw: DataFrame | None, since: str,
+                 series: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
+    """Roll up only the raw days from ``since`` on, fill them from the stored
+    month-partitioned daily table and append them to it; returns the whole
+    table as stored.
+
+    The raw scan has ``since`` as its pushed lower bound. Stored days from
+    ``since`` on are replaced (their month folders are written anew); earlier
+    days are only read."""
+    names = [*series, "day"]
+    old = spark.read.parquet(stored).where(F.col("day") < F.lit(since).cast("date"))
+    new = daily_rollup(blocks, since, None, series=series, ts=ts)
+    if price_raw is not None:
+        new = price_left_join(new, price_rename(price_raw), on="day")
+        # the stored table is filled: its last row per series carries the fill on
+        prices = [c for c in ("price_usd", "price_volume") if c in old.columns]
+        last = old.groupBy(*series).agg(F.max_by(F.struct(*names, *prices), "day").alias("r")).select("r.*").withColumn("_old", F.lit(True))
+        both = new.withColumn("_old", F.lit(False)).unionByName(last, allowMissingColumns=True)
+        new = ffill_bfill(both, order="day", series=series).where("NOT _old").drop("_old")
+    # the first month may hold stored days before `since`: they are kept with it
+    month = since[:7]
+    head = old.where(F.col("year_month") == month)
+    out = with_year_month(new.select([c for c in old.columns if c != "year_month"])).unionByName(head.select(*old.columns))
+    staged = shared_dir(spark)
+    out.write.partitionBy("year_month").parquet(staged)  # the head is read from the folder that is replaced
+    spark.read.parquet(staged).withColumn("year_month", F.col("year_month").cast("string")).write.option(
+        "partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("year_month").parquet(stored)
+    return spark.read.parquet(stored)

@@ -23,7 +23,7 @@ from daycast.functions.calendar import (CALENDAR_FEATURES, calendar_exprs,
 from daycast.functions.casting import decimal_to_double
 from daycast.operators import windows as W
 from daycast.operators.schema import (available_metrics, first_existing,
-                                      DATE_CANDIDATES, SchemaError, resolve_label)
+                                      DATE_CANDIDATES, missing_date, resolve_label)
 from daycast.operators.windows import Win, q
 
 # Fixed values (must equal the reference): the required (non-null) columns
@@ -45,6 +45,7 @@ MUST_HAVE_BASE = [
     "is_month_start", "is_month_end",
     "t",
 ]
+DUPLICATE_DATE = "two rows for one date; do the inputs overlap?"
 # Largest look-back of any feature in rows (trend14_lag3 = 3 + 14 + 13) and
 # the look-ahead (label).
 LOOK_BACK = 30
@@ -64,7 +65,7 @@ def prepare_daily(daily: DataFrame, label: str = "tx_count",
     cols = df.columns
     src = first_existing(cols, DATE_CANDIDATES)
     if src is None:
-        raise SchemaError(f"Could not find date column. Tried: {DATE_CANDIDATES}. Have: {cols}")
+        raise missing_date(cols)
     metrics = available_metrics(cols)
     x = resolve_label(label, cols)
     keep = metrics + ([x] if x not in metrics else [])
@@ -100,9 +101,13 @@ def feature_levels(base: DataFrame, metrics: Sequence[str], x: str, w: Win,
 
     # level 2 — one Window operator: label, t, rolling stats, lags, deltas
     first = first_date or f"min(`date`) {w.running()}"
+    # rows of one date would make every row-based lag ambiguous; ``t`` is required, so this always runs
+    twice = (f"CASE WHEN lag(`date`) {w.over()} = `date` THEN raise_error(concat('{DUPLICATE_DATE} ', "
+             "CAST(`date` AS STRING)))")
+    index = time_index_expr("date", first).removesuffix(" AS `t`")
     l2 = l1.selectExpr(
         *carry, "`date`", *metric_cols,
-        time_index_expr("date", first), W.lead_label(x, w),
+        f"{twice} ELSE {index} END AS `t`", W.lead_label(x, w),
         *[q(c) for c in CALENDAR_FEATURES], "`is_month_start`", "`is_month_end`", "`tx_log`",
         *W.rolling_mean("tx_log", w), *W.rolling_std("tx_log", w),
         *W.rolling_min_max("tx_log", w), *W.long_lags("tx_log", w), *W.deltas("tx_log", w),
@@ -173,8 +178,7 @@ def since_rows(base: DataFrame, series: Sequence[str], since: str, block_days: i
 
 def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[str] = (),
                   price_lags: bool = False, bucket_rows: int | None = None,
-                  block_days: int = 32, since: str | None = None,
-                  check_unique: bool = False) -> DataFrame:
+                  block_days: int = 32, since: str | None = None) -> DataFrame:
     """E1 — the 106-column feature table (date, label, label_log, tx_log +
     102 features when all nine metrics are present).
 
@@ -185,26 +189,22 @@ def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[st
     a look-back/look-ahead halo (see :mod:`daycast.plans.halo`) — same result,
     no series in one window partition; for series longer than one task
     should hold.
-    ``since``: only rows dated on or after it (incremental refresh); the
-    window runs over those rows plus their 30-row look-back.  Equal to the
-    full table filtered to ``date >= since`` (the input must already be
-    filled, and ``t`` still counts from the series' first date).
-    ``check_unique``: raise if a (series, date) occurs twice — overlapping
-    inputs would make the row order of every lag undefined.  One aggregate
-    job; only the first duplicate is fetched."""
+    ``since``: only rows dated on or after it; the window runs over those rows
+    plus their 30-row look-back.  Equal to the full table filtered to
+    ``date >= since`` (the input must already be filled, and ``t`` still counts
+    from the series' first date).  With a stored daily table as input
+    (:func:`daycast.plans.enriched.extend_daily`) no old raw data is read.
+
+    A (series, date) that occurs twice raises when the rows are computed."""
     series = list(series)
     base, metrics, x = prepare_daily(daily, label, series)
-    if check_unique:
-        from daycast.sources.files import assert_unique_dates
-        assert_unique_dates(base, "date", series)
     required = must_have(metrics, price_lags, "price_usd" in base.columns)
     if since is not None:
         if bucket_rows is not None:
             raise ValueError("since and bucket_rows do not combine")
         since = _dt.date.fromisoformat(str(since)).isoformat()
-        from daycast.session import cut_lineage
         # the index step reads its input three times (counts, rows, start)
-        pruned = since_rows(cut_lineage(base), series, since, block_days)
+        pruned = since_rows(base, series, since, block_days)
         levels = feature_levels(pruned, metrics, x, W.ordered_window(series),
                                 keys=series + ["_first_date"], first_date="`_first_date`",
                                 price_lags=price_lags)

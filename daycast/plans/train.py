@@ -14,6 +14,8 @@ from daycast.operators import models as M
 from daycast.operators.metrics import model_comparison
 from daycast.operators.rollup import row_counts
 from daycast.operators.split import EmptySplitError, time_split, training_frame
+from daycast.session import shared_dir
+from daycast.sources.files import features_scan, features_sink
 from daycast.sources.models_io import model_save
 from daycast.sources.records import run_record, write_json_record
 
@@ -28,71 +30,48 @@ class TrainResult:
     feature_rows: int | None = None   # rows of the written feature table (end-to-end runs)
 
 
-MIN_ROWS_PER_PARTITION = 200
-
-
-def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Give the cores a slice of the training rows each.
-
-    A day-grain window output often sits in one partition (AQE coalesces the
-    small shuffle), which would run every ML aggregation pass in one task.
-    The target is bounded by the row count (at least
-    ``MIN_ROWS_PER_PARTITION`` rows per partition), so a large cluster does
-    not get thousands of near-empty tasks per pass; tables that already have
-    enough partitions are left as they are."""
-    rows = df.count() if rows is None else rows
-    n = min(df.sparkSession.sparkContext.defaultParallelism,
-            max(1, -(-rows // MIN_ROWS_PER_PARTITION)))
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
-# Boosting is sequential: each round is a handful of small jobs, bound by job
-# overhead on a day-grain table (measured ~0.75 s per round with 1 or 8
-# partitions alike), so it gets coarse partitions: no thousands of near-empty
-# tasks per round on a large cluster.
-BOOST_ROWS_PER_PARTITION = 20000
-
-
-def fit_input(name: str, train: DataFrame, rows: int) -> DataFrame:
-    """The training rows as a learner should see them: boosted trees keep at
-    least ``BOOST_ROWS_PER_PARTITION`` rows per partition (``coalesce``, no
-    shuffle); the other learners take the table as it is."""
-    if name not in ("boosted_trees", "gbt_regressor", "xgboost"):
-        return train
-    k = max(1, -(-rows // BOOST_ROWS_PER_PARTITION))
-    return train.coalesce(k) if train.rdd.getNumPartitions() > k else train
+def fit_models(train: DataFrame, feats: Sequence[str], p: M.ModelParams, keys: Sequence[str] = ()) -> dict:
+    """Every model of ``p.models`` fitted on the training rows, which are laid
+    out once and cached while the models are fitted."""
+    rows = M.training_layout(train, p, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return {name: M.fit(name, rows, feats, p) for name in p.models}
+    finally:
+        rows.unpersist()
 
 
 def train_and_compare(features: DataFrame, train_end: str, test_start: str, test_end: str,
                       params: M.ModelParams | None = None, run_dir: str | None = None,
-                      parquet_path: str = "", exclude: Sequence[str] = ()) -> TrainResult:
+                      parquet_path: str = "", keys: Sequence[str] = ()) -> TrainResult:
     """Fit every model of ``params.models`` on ``date <= train_end``, score
     ``[test_start, test_end]``, compare, and (with ``run_dir``) save models and
     the run record.
 
-    The two splits are persisted once each (day-grain tables, small); a lost
-    executor recomputes its blocks from the deterministic lineage.  Each
-    learner gets the rows partitioned for it (:func:`fit_input`)."""
+    ``features`` is evaluated once: unless ``parquet_path`` says that it is
+    read from there, it is written next to the run and read back. Predictions
+    (with the series ``keys``) are written too, so reports do not score again."""
+    spark = features.sparkSession
     p = params or M.ModelParams()
-    frame, feats = training_frame(features, exclude=exclude)
+    work = run_dir or shared_dir(spark)
+    if not parquet_path:
+        parquet_path = os.path.join(work + "-features", "features.parquet")
+        features_sink(features, parquet_path)
+        features = features_scan(spark, parquet_path)
+    frame, feats = training_frame(features, keys)
     train, test = time_split(frame, train_end, test_start, test_end)
     counts = row_counts(frame, train_end, test_start, test_end).first()   # one pass, one row
-    n_train, n_test = counts["n_train"], counts["n_test"]
-    if n_train == 0 or n_test == 0:
-        raise EmptySplitError(f"empty split: train={n_train} rows, test={n_test} rows")
-    # spread once, persist once: every learner's passes read the cached slices
-    train = spread(train, n_train).persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
-
+    if counts["n_train"] == 0 or counts["n_test"] == 0:
+        raise EmptySplitError(f"empty split: train={counts['n_train']} rows, test={counts['n_test']} rows")
     preds = None
-    for name in p.models:
-        model = M.fit(name, fit_input(name, train, n_train), feats, p)
+    for name, model in fit_models(train, feats, p, keys).items():
         if run_dir:
             model_save(model, run_dir, name)
         pred = M.score(model, test, name)
         preds = pred if preds is None else preds.unionByName(pred)
-    # one row per model, read by the run record and by the caller
-    comparison = model_comparison(preds).persist()
+    path = os.path.join(work + "-predictions", "predictions.parquet")
+    preds.write.mode("overwrite").parquet(path)
+    preds = spark.read.schema(preds.schema).parquet(path)
+    comparison = model_comparison(preds)
     run_id = os.path.basename(run_dir) if run_dir else _dt.datetime.now().strftime("%Y%m%d_%H%M%S")
     record = run_record(comparison, run_id, parquet_path, train_end, test_start, test_end, feats)
     if run_dir:

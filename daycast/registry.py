@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +33,15 @@ from daycast.operators.rollup import date_bounds, daily_rollup, raw_projection,
 from daycast.operators.schema import ensure_date, resolve_label, select_metrics
 from daycast.operators.split import drop_incomplete, time_split, training_frame
 from daycast.operators.windows import ordered_window
-from daycast.plans.enriched import enriched_daily
+from daycast.plans.enriched import enriched_daily, extend_daily
 from daycast.plans.features import feature_levels, feature_table, prepare_daily
 from daycast.plans.end_to_end import run_end_to_end
-from daycast.plans.train import fit_input, spread, train_and_compare
+from daycast.plans.report import run_report
+from daycast.plans.train import fit_models, train_and_compare
 from daycast.session import shared_dir
 from daycast.sources import testdata as td
-from daycast.sources.files import (features_scan, features_sink, month_ranges,
-                                   union_inputs, with_year_month)
+from daycast.sources.files import (features_scan, features_sink, month_ranges, multi_read,
+                                   read_month_range, write_month_partitioned)
 from daycast.sources.models_io import model_load_score, model_metadata, model_save
 from daycast.sources.records import metrics_summary, run_record
 
@@ -50,13 +52,14 @@ QUERIES: dict[str, Query] = {}
 TRAIN_END = "1999-12-31"
 TEST_START = "2000-01-01"
 TEST_END = "2001-12-31"
+DAY_BEFORE_TEST = "1999-12-31"
 # A day range inside the data, for the range-scan operators.
 RANGE_START = "1996-03-01"
 RANGE_END = "1998-08-31"
 # Cut between the two inputs of the multi-input read.
 MULTI_CUT = "1998-12-31"
-# Row bound of the report's bounded sample (fixed value of the reference).
-SAMPLE_ROWS = 20000
+# Limit given to the bounded sample: under the rows of the feature table, so it binds.
+SAMPLE_ROWS = 500
 BASELINES = ["persistence", "drift"]
 
 GRID = 1048576.0  # 2**20
@@ -121,32 +124,36 @@ def _levels(spark, sf):
     return feature_levels(base, metrics, x, ordered_window())
 
 
-def _written_features(spark, sf):
+def _written_features(spark, sf, series=False):
     """The feature table written to the shared checkpoint folder and read
     back, as the training and report stages consume it: later stages re-read
     a small Parquet table instead of re-running the raw-data plan, and the
     lineage is cut (a lost executor re-reads files, not the roll-up)."""
     path = _scratch(spark, "features")
-    features_sink(_features(spark, sf), path)
+    features_sink(_features(spark, sf, series), path)
     return features_scan(spark, path)
 
 
-def _splits(spark, sf):
-    frame, feats = training_frame(_written_features(spark, sf))
+def _splits(spark, sf, series=False):
+    frame, feats = training_frame(_written_features(spark, sf, series), ["series"] if series else ())
     train, test = time_split(frame, TRAIN_END, TEST_START, TEST_END)
     return train, test, feats
 
 
-def _baseline_predictions(spark, sf):
+def _baseline_of(train, test, keys=()):
     """Scored test rows of the two SQL-expressible predictors (one pass over
     the test rows: one struct per predictor, exploded)."""
-    train, test, _ = _splits(spark, sf)
     mean_delta = train.select(F.avg("label_diff")).scalar()
     preds = F.array(F.struct(F.lit("persistence").alias("model"), F.lit(0.0).alias("prediction")),
                     F.struct(F.lit("drift").alias("model"), mean_delta.cast("double").alias("prediction")))
-    out = test.select("date", "label", "label_log", "tx_log", "label_diff", F.explode(preds).alias("p"))
-    return out.select("date", "label", "label_log", "tx_log", "label_diff", "p.model", "p.prediction",
-                      *reconstruct("prediction", "tx_log"))
+    lead = [*keys, "date", "label", "label_log", "tx_log", "label_diff"]
+    return test.select(*lead, F.explode(preds).alias("p")).select(
+        *lead, "p.model", "p.prediction", *reconstruct("prediction", "tx_log"))
+
+
+def _baseline_predictions(spark, sf, series=False):
+    train, test, _ = _splits(spark, sf, series)
+    return _baseline_of(train, test, ["series"] if series else ())
 
 
 def _scratch(spark, kind):
@@ -155,14 +162,12 @@ def _scratch(spark, kind):
 
 def _fit_models(spark, sf, names, params=None):
     train, test, feats = _splits(spark, sf)
-    rows = train.count()
-    train = spread(train, rows).persist()
-    p = params or M.ModelParams()
-    return {n: M.fit(n, fit_input(n, train, rows), feats, p) for n in names}, test
+    p = replace(params or M.ModelParams(), models=list(names))
+    return fit_models(train, feats, p), train, test
 
 
 def _model_scores(spark, sf, name):
-    models, test = _fit_models(spark, sf, [name])
+    models, _, test = _fit_models(spark, sf, [name])
     return M.score(models[name], test, name).select(
         "date", "model", "label", "label_log", "tx_log", "label_diff",
         "prediction", "prediction_log", "prediction_raw")
@@ -177,18 +182,25 @@ def q_scan_range(spark, sf):
 
 @register("month_partitioned")
 def q_month_partitioned(spark, sf):
-    daily = _daily(spark, sf)
-    months = month_ranges(date_bounds(daily, "day"))
-    counts = with_year_month(daily, "day").groupBy("year_month").agg(
+    """Write the daily table by month, read a day range back (folders outside it
+    are pruned) and report every month of the range."""
+    path = _scratch(spark, "daily")
+    write_month_partitioned(_daily(spark, sf), path)
+    days = read_month_range(spark, path, RANGE_START, RANGE_END)
+    months = month_ranges(date_bounds(days, "day"))
+    counts = days.groupBy(F.col("year_month").cast("string").alias("year_month")).agg(
         F.sum("blocks_count").alias("blocks"), F.count(F.lit(1)).alias("days"))
     return months.join(counts, "year_month", "left")
 
 
 @register("multi_read")
 def q_multi_read(spark, sf):
+    """Two Parquet inputs of unequal schema, read as one table."""
     cut = F.lit(MULTI_CUT).cast("date")
-    return union_inputs([_enriched(spark, sf).filter(F.col("day") <= cut),
-                         _daily(spark, sf).filter(F.col("day") > cut)])
+    first, second = _scratch(spark, "multi"), _scratch(spark, "multi")
+    _enriched(spark, sf).filter(F.col("day") <= cut).write.parquet(first)
+    _daily(spark, sf).filter(F.col("day") > cut).write.parquet(second)
+    return multi_read(spark, [first, second])
 
 
 @register("price_source")
@@ -213,29 +225,56 @@ def q_features_scan(spark, sf):
 
 @register("model_save")
 def q_model_save(spark, sf):
-    models, _ = _fit_models(spark, sf, ["linear_regression"])
+    models, _, _ = _fit_models(spark, sf, ["linear_regression"])
     path = model_save(models["linear_regression"], _scratch(spark, "models"), "linear_regression")
     return model_metadata(spark, path).select("class", "uid", "sparkVersion")
 
 
-@register("model_load_score")
-def q_model_load_score(spark, sf):
-    names = ["linear_regression", "decision_tree"]
-    models, test = _fit_models(spark, sf, names)
-    run_dir = _scratch(spark, "models")
+def _save_all(models, run_dir):
     for n, m in models.items():
         model_save(m, run_dir, n)
+    return run_dir
+
+
+@register("model_load_score")
+def q_model_load_score(spark, sf):
+    models, _, test = _fit_models(spark, sf, M.PREFERRED_ORDER)
+    run_dir = _save_all(models, _scratch(spark, "models"))
     return model_load_score(run_dir, test).select(
         "model", "date", "label", "label_log", "prediction_log", "prediction_raw")
 
 
+@register("model_load_score_verified")
+def q_model_load_score_verified(spark, sf):
+    """Every model saved and reloaded: its predictions equal those in memory."""
+    models, _, test = _fit_models(spark, sf, M.PREFERRED_ORDER)
+    run_dir = _save_all(models, _scratch(spark, "models"))
+    again = model_load_score(run_dir, test).select("model", "date", "label", F.col("prediction").alias("again"))
+    kept = None
+    for n, m in models.items():
+        p = M.score(m, test, n).select("model", "date", "prediction")
+        kept = p if kept is None else kept.unionByName(p)
+    return again.join(kept, ["model", "date"]).select(
+        "model", "date", "label", F.col("again").eqNullSafe(F.col("prediction")).alias("reload_equal"))
+
+
 @register("run_record")
 def q_run_record(spark, sf):
-    _, _, feats = _splits(spark, sf)
-    comp = model_comparison(_baseline_predictions(spark, sf))
+    train, test, feats = _splits(spark, sf)
+    comp = model_comparison(_baseline_of(train, test))
     return run_record(comp, "baseline", "", TRAIN_END, TEST_START, TEST_END, feats)
 
 
+@register("run_record_flat")
+def q_run_record_flat(spark, sf):
+    """The run record as one row per model and plain columns."""
+    return q_run_record(spark, sf).select(
+        "run_id", "parquet_path", "train_end", "test_start", "test_end",
+        *[F.col(f"label_cols.{k}").alias(f"label_{k}") for k in ("raw", "log", "today_log", "diff")],
+        F.array_join("feature_cols", ",").alias("feature_cols"), F.explode("results").alias("model", "r")).select(
+        "*", "r.rmse_log", "r.r2_log", "r.rmse_raw").drop("r")
+
+
 @register("metrics_summary")
 def q_metrics_summary(spark, sf):
     return metrics_summary(model_comparison(_baseline_predictions(spark, sf)), TEST_START, TEST_END)
@@ -432,6 +471,12 @@ def q_bounded_sample(spark, sf):
     return bounded_sample(_features(spark, sf).select("date", "label", "label_log", "tx_log"), SAMPLE_ROWS)
 
 
+@register("bounded_sample_keyed")
+def q_bounded_sample_keyed(spark, sf):
+    rows = _features(spark, sf, series=True).select("series", "date", "label", "label_log", "tx_log")
+    return bounded_sample(rows, SAMPLE_ROWS, "date", "series")
+
+
 # --- 2.8 scalar functions ---------------------------------------------------
 
 @register("cyclical")
@@ -469,14 +514,32 @@ for _key, _model in (("linear_elastic_net", "linear_regression"), ("decision_tre
     register(_key)((lambda m: (lambda spark, sf: _model_scores(spark, sf, m)))(_model))
 
 
+def _verified(spark, sf, name):
+    """What SQL can say of a fitted regression: on the training rows the mean
+    prediction is the mean target; for a tree every leaf predicts the mean
+    target of its rows."""
+    models, train, test = _fit_models(spark, sf, [name])
+    fitted = models[name].transform(train).select("prediction", "label_diff")
+    mean_ok = fitted.agg((F.abs(F.sum("prediction") - F.sum("label_diff")) < 1e-6).alias("mean_ok"))
+    if name == "decision_tree":
+        leaves = fitted.groupBy("prediction").agg(F.avg("label_diff").alias("m"))
+        mean_ok = mean_ok.crossJoin(leaves.agg(F.max(F.abs(F.col("m") - F.col("prediction"))).alias("d"))).select(
+            (F.col("mean_ok") & (F.col("d") < 1e-9)).alias("mean_ok"))
+    scored = M.score(models[name], test, name).select("model", "date", "label", "label_log", "tx_log", (
+        F.abs(F.col("prediction_log") - F.col("tx_log") - F.col("prediction")) < 1e-9).alias("reconstructed"))
+    return scored.withColumn("mean_ok", mean_ok.scalar())
+
+
+for _key, _model in (("linear_elastic_net_verified", "linear_regression"), ("decision_tree_verified", "decision_tree")):
+    register(_key)((lambda m: (lambda spark, sf: _verified(spark, sf, m)))(_model))
+
+
 @register("score_models")
 def q_score_models(spark, sf):
-    names = ["linear_regression", "decision_tree", "random_forest"]
-    models, test = _fit_models(spark, sf, names)
+    models, _, test = _fit_models(spark, sf, M.PREFERRED_ORDER)
     out = None
-    for n in names:
-        pred = M.score(models[n], test, n).select("model", "date", "label", "label_log",
-                                                  "prediction_log", "prediction_raw")
+    for n, m in models.items():
+        pred = M.score(m, test, n).select("model", "date", "label", "label_log", "prediction_log", "prediction_raw")
         out = pred if out is None else out.unionByName(pred)
     return model_comparison(out)
 
@@ -514,6 +577,29 @@ def q_report_overlay(spark, sf):
     return report_overlay(_baseline_predictions(spark, sf), BASELINES)
 
 
+@register("report_timeseries_keyed")
+def q_report_timeseries_keyed(spark, sf):
+    return report_timeseries(_baseline_predictions(spark, sf, series=True), ["series"])
+
+
+@register("report_overlay_keyed")
+def q_report_overlay_keyed(spark, sf):
+    return report_overlay(_baseline_predictions(spark, sf, series=True), BASELINES, ["series"])
+
+
+@register("run_report")
+def q_run_report(spark, sf):
+    """The report plan on fitted models: real values per series and date and
+    whether every model predicted them."""
+    run_dir = _scratch(spark, "report")
+    features = _written_features(spark, sf, series=True)
+    train, _ = time_split(training_frame(features, ["series"])[0], TRAIN_END, TEST_START, TEST_END)
+    names = ["linear_regression", "decision_tree"]
+    _save_all(fit_models(train, training_frame(features, ["series"])[1], M.ModelParams(models=names), ["series"]), run_dir)
+    report = run_report(spark, features, run_dir, TEST_START, TEST_END, names, ["series"])
+    return report.overlay.select("space", "series", "date", "real", *[F.col(n).isNotNull().alias(f"has_{n}") for n in names])
+
+
 # --- 2.11 end to end --------------------------------------------------------
 
 @register("feature_table")
@@ -536,8 +622,13 @@ def q_feature_table_bucketed(spark, sf):
 
 @register("feature_table_since")
 def q_feature_table_since(spark, sf):
-    """E1 refreshed from the test start on (incremental mode)."""
-    return feature_table(_enriched(spark, sf), since=TEST_START)
+    """E1 refreshed from the test start on: the daily table up to then is
+    stored by month; only the raw days after it are rolled up and appended."""
+    stored = _scratch(spark, "stored")
+    old = enriched_daily(_blocks(spark, sf), td.price_history(spark, sf), end=DAY_BEFORE_TEST)
+    write_month_partitioned(old, stored)
+    daily = extend_daily(spark, stored, _blocks(spark, sf), td.price_history(spark, sf), TEST_START)
+    return feature_table(daily, since=TEST_START)
 
 
 @register("enriched_daily")
@@ -557,3 +648,15 @@ def q_end_to_end(spark, sf):
     res = run_end_to_end(spark, _blocks(spark, sf), td.price_history(spark, sf), None, None,
                        TRAIN_END, TEST_START, TEST_END, work_dir=_scratch(spark, "end_to_end"))
     return res.comparison
+
+
+@register("train_and_compare_verified")
+def q_train_and_compare_verified(spark, sf):
+    """Per model of the comparison: test rows, their mean label, and whether the
+    comparison's error equals the one of the written predictions."""
+    res = train_and_compare(_features(spark, sf), TRAIN_END, TEST_START, TEST_END, run_dir=_scratch(spark, "models"))
+    again = res.predictions.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_test"), F.avg("label").alias("mean_label"),
+        F.sqrt(F.avg(F.pow(F.col("label_log") - F.col("prediction_log"), 2))).alias("e"))
+    return res.comparison.join(again, "model").select(
+        "model", "n_test", "mean_label", (F.abs(F.col("rmse_log") - F.col("e")) < 1e-9).alias("rmse_equal"))

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from daycast.operators.output import range_partition
 
 
-class DuplicateDateError(RuntimeError):
-    """Raised when (series, date) is not unique: row-ordered windows would be
-    ambiguous."""
-
-
 def month_ranges(bounds: DataFrame, lo: str = "min_date", hi: str = "max_date") -> DataFrame:
     """Calendar-month ranges covering ``[lo, hi]`` of a bounds table,
     the first and last clipped to the bounds (one row per month)."""
@@ -58,17 +53,7 @@ def union_inputs(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def assert_unique_dates(df: DataFrame, date: str = "date", series: Sequence[str] = ()) -> None:
-    """Raise when a (series, date) occurs twice (overlapping inputs).
-
-    One aggregation; only the first duplicate is fetched."""
-    dup = (df.groupBy(*series, date).count().filter(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise DuplicateDateError(f"duplicate rows for {dup[0].asDict()}; inputs overlap")
-
-
-def features_sink(df: DataFrame, path: str, range_partitions: int | None = None,
-                  partition_by_year: bool = False) -> int:
+def features_sink(df: DataFrame, path: str, range_partitions: int | None = None) -> int:
     """Overwrite the feature table as Parquet; returns the rows written.
 
     The count is observed during the write (``DataFrame.observe``), so the
@@ -80,11 +65,7 @@ def features_sink(df: DataFrame, path: str, range_partitions: int | None = None,
     obs = Observation("features_sink")
     out = range_partition(df, range_partitions) if range_partitions else df
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if partition_by_year:
-        out = out.withColumn("year", F.year("date"))
-        out.write.mode("overwrite").partitionBy("year").parquet(path)
-    else:
-        out.write.mode("overwrite").parquet(path)
+    out.write.mode("overwrite").parquet(path)
     return int(obs.get["rows"])
 
 

@@ -12,7 +12,7 @@ ORACLES: dict[str, str] = {}
 TRAIN_END, TEST_START, TEST_END = S.TRAIN_END, S.TEST_START, S.TEST_END
 RANGE_START, RANGE_END = S.RANGE_START, S.RANGE_END
 MULTI_CUT = "1998-12-31"
-SAMPLE_ROWS = 20000
+SAMPLE_ROWS = 500
 
 
 def add(name: str, sql: str, doubles: list[str] = (), lists: list[str] = ()) -> None:
@@ -66,8 +66,9 @@ add("scan_range", S.with_(S.blocks_cte()) + f"""
 SELECT ts AS "timestamp", txCount, gasProvided, gasRefunded, gasPenalized, accumulatedFees, developerFees
 FROM blocks WHERE CAST(ts AS DATE) BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'""", BLOCK_DOUBLES)
 
-add("month_partitioned", S.with_(S.blocks_cte(), S.daily_cte()) + """,
-bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM daily),
+add("month_partitioned", S.with_(S.blocks_cte(), S.daily_cte()) + f""",
+part AS (SELECT * FROM daily WHERE day BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'),
+bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM part),
 months AS (
   SELECT strftime(CAST(m AS DATE), '%Y-%m') AS year_month,
          greatest(CAST(m AS DATE), lo) AS range_start,
@@ -75,7 +76,7 @@ months AS (
   FROM bounds, unnest(generate_series(CAST(date_trunc('month', lo) AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 MONTH)) AS g(m)),
 counts AS (
   SELECT strftime(day, '%Y-%m') AS year_month, CAST(sum(blocks_count) AS BIGINT) AS blocks, count(*) AS days
-  FROM daily GROUP BY 1)
+  FROM part GROUP BY 1)
 SELECT m.year_month, m.range_start, m.range_end, c.blocks, c.days
 FROM months m LEFT JOIN counts c ON m.year_month = c.year_month""")
 
@@ -261,25 +262,23 @@ SELECT model, space, date, real, predicted,
        greatest(max(real) OVER p, max(predicted) OVER p) AS line_max
 FROM long WINDOW p AS (PARTITION BY model, space)""", ["real", "predicted", "line_min", "line_max"])
 
+# written as bin ranges rather than as the operator's bin arithmetic
 add("residual_histogram", BASE_LONG + """,
-res AS (SELECT model, space, predicted - real AS resid FROM long),
+res AS (SELECT model, space, predicted - real AS resid FROM long WHERE predicted IS NOT NULL AND real IS NOT NULL),
 bounds AS (
-  SELECT model, space,
-         CASE WHEN max(resid) = min(resid) THEN min(resid) - 0.5 ELSE min(resid) END AS lo,
-         CASE WHEN max(resid) = min(resid) THEN max(resid) + 0.5 ELSE max(resid) END AS hi
+  SELECT model, space, min(resid) AS mn, max(resid) AS mx,
+         mn - CASE WHEN mx = mn THEN 0.5 ELSE 0 END AS lo, mx + CASE WHEN mx = mn THEN 0.5 ELSE 0 END AS hi
   FROM res GROUP BY model, space),
-binned AS (
-  SELECT r.model, r.space,
-         CAST(least(floor((r.resid - b.lo) * (40.0 / (b.hi - b.lo))) + 1, 40) AS INTEGER) AS bin,
-         count(*) AS count
-  FROM res r JOIN bounds b ON r.model = b.model AND r.space = b.space
-  GROUP BY ALL),
+numbered AS (
+  SELECT r.model, r.space, floor((r.resid - b.lo) * (40.0 / (b.hi - b.lo))) AS k
+  FROM res r JOIN bounds b ON r.model = b.model AND r.space = b.space),
 grid AS (SELECT model, space, lo, hi, CAST(g.bin AS INTEGER) AS bin FROM bounds, range(1, 41) AS g(bin))
 SELECT g.model, g.space, g.bin,
        g.lo + (g.bin - 1) * ((g.hi - g.lo) / 40.0) AS bin_lo,
        g.lo + g.bin * ((g.hi - g.lo) / 40.0) AS bin_hi,
-       coalesce(b.count, 0) AS count
-FROM grid g LEFT JOIN binned b ON g.model = b.model AND g.space = b.space AND g.bin = b.bin""",
+       (SELECT count(*) FROM numbered n WHERE n.model = g.model AND n.space = g.space
+          AND (n.k = g.bin - 1 OR (g.bin = 40 AND n.k > 39))) AS count
+FROM grid g""",
     ["bin_lo", "bin_hi"])
 
 add("report_bars", BASE_COMP + """
@@ -301,3 +300,45 @@ add("feature_table_since", S.with_(ENR, FEAT) + f"SELECT * FROM features WHERE d
     FEATURES)
 add("feature_table_keyed",
     S.with_(S.enriched_ctes(series=True), S.features_cte(series=True)) + "SELECT * FROM features", FEATURES)
+
+# --- keyed forms, records and fitted models ----------------------------------------------
+
+KFRAME = f"""kframe AS (
+  SELECT series, {", ".join(LEAD)} FROM (SELECT *, label_log - tx_log AS label_diff FROM features)
+  WHERE {" AND ".join(f"({c} IS NOT NULL AND NOT isnan({c}))" for c in LEAD[1:] + SORTED_FEATURES)}),
+ktrain AS (SELECT * FROM kframe WHERE date <= DATE '{TRAIN_END}'),
+ktest AS (SELECT * FROM kframe WHERE date BETWEEN DATE '{TEST_START}' AND DATE '{TEST_END}'),
+kscored AS (
+  SELECT *, tx_log + prediction AS prediction_log, exp(greatest(tx_log + prediction, 0.0)) - 1 AS prediction_raw
+  FROM (SELECT *, 'persistence' AS model, 0.0::DOUBLE AS prediction FROM ktest
+        UNION ALL SELECT *, 'drift' AS model, (SELECT avg(label_diff) FROM ktrain) AS prediction FROM ktest))"""
+KEYED = S.with_(S.enriched_ctes(series=True), S.features_cte(series=True), KFRAME)
+add("report_timeseries_keyed", KEYED +
+    "SELECT model, series, date, label, label_log, prediction_log, prediction_raw FROM kscored",
+    ["label", "label_log", "prediction_log", "prediction_raw"])
+add("report_overlay_keyed", KEYED + """
+SELECT space, series, date, any_value(real) AS real, max(predicted) FILTER (WHERE model = 'persistence') AS persistence,
+       max(predicted) FILTER (WHERE model = 'drift') AS drift
+FROM (SELECT model, 'log' AS space, series, date, label_log AS real, prediction_log AS predicted FROM kscored
+      UNION ALL SELECT model, 'raw', series, date, label, prediction_raw FROM kscored)
+GROUP BY space, series, date""", ["real", "persistence", "drift"])
+add("run_report", KEYED + """
+SELECT 'log' AS space, series, date, label_log AS real, true AS has_linear_regression, true AS has_decision_tree FROM ktest
+UNION ALL SELECT 'raw', series, date, label, true, true FROM ktest""", ["real"])
+add("bounded_sample_keyed", S.with_(S.enriched_ctes(series=True), S.features_cte(series=True)) + f"""
+SELECT series, date, label, label_log, tx_log FROM features ORDER BY date, series LIMIT {SAMPLE_ROWS}""",
+    ["label", "label_log", "tx_log"])
+add("run_record_flat", BASE_COMP + f"""
+SELECT 'baseline' AS run_id, '' AS parquet_path, '{TRAIN_END}' AS train_end, '{TEST_START}' AS test_start, '{TEST_END}' AS test_end,
+       'label' AS label_raw, 'label_log' AS label_log, 'tx_log' AS label_today_log, 'label_diff' AS label_diff,
+       '{",".join(SORTED_FEATURES)}' AS feature_cols, model, rmse_log, r2_log, rmse_raw FROM comparison""",
+    ["rmse_log", "r2_log", "rmse_raw"])
+_MODELS = "(SELECT unnest(['linear_regression', 'decision_tree', 'random_forest']) AS model)"
+add("model_load_score_verified", S.with_(ENR, FEAT, FRAME) +
+    f"SELECT model, date, label, true AS reload_equal FROM test, {_MODELS}", ["label"])
+for _key, _name in (("linear_elastic_net_verified", "linear_regression"), ("decision_tree_verified", "decision_tree")):
+    add(_key, S.with_(ENR, FEAT, FRAME) + f"""
+SELECT '{_name}' AS model, date, label, label_log, tx_log, true AS reconstructed, true AS mean_ok FROM test""",
+        ["label", "label_log", "tx_log"])
+add("train_and_compare_verified", S.with_(ENR, FEAT, FRAME) + f"""
+SELECT model, count(*) AS n_test, avg(label) AS mean_label, true AS rmse_equal FROM test, {_MODELS} GROUP BY model""", ["mean_label"])

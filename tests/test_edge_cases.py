@@ -14,7 +14,6 @@ from daycast.operators.schema import SchemaError
 from daycast.operators.split import EmptySplitError
 from daycast.plans.features import feature_table
 from daycast.plans.train import train_and_compare
-from daycast.sources.files import DuplicateDateError, assert_unique_dates
 from fixtures import daily
 
 
@@ -69,12 +68,11 @@ def test_constant_metric_zero_std_and_zscore(spark):
 
 def test_duplicate_dates_raise(spark):
     df = daily(spark, 5).unionByName(daily(spark, 2))
-    with pytest.raises(DuplicateDateError):
-        assert_unique_dates(df, "day")
-    assert_unique_dates(daily(spark, 5), "day")
-    with pytest.raises(DuplicateDateError):
-        feature_table(daily(spark, 35).unionByName(daily(spark, 3)), check_unique=True)
-    assert feature_table(daily(spark, 35), check_unique=True).count() == 6
+    with pytest.raises(Exception, match="two rows for one date"):
+        feature_table(df).count()
+    with pytest.raises(Exception, match="two rows for one date"):
+        feature_table(daily(spark, 35).unionByName(daily(spark, 3))).collect()
+    assert feature_table(daily(spark, 35)).count() == 6
 
 
 def test_calendar_edges(spark):

@@ -140,3 +140,54 @@ def test_report_tables_on_model_predictions(spark):
     assert report_bars(res.comparison).count() == 2 * 4
     ov = report_overlay(pred, ["linear_regression", "decision_tree"])
     assert ov.count() == 2 * n and {"real", "linear_regression", "decision_tree"} <= set(ov.columns)
+
+
+FOREST = """
+import sys
+sys.path[:0] = [{root!r}, {tests!r}]
+from daycast.operators import models as M
+from daycast.operators.split import training_frame
+from daycast.plans.features import feature_table
+from daycast.plans.train import fit_models
+from daycast.session import get_session
+from fixtures import daily
+spark = get_session("local[{cores}]", shuffle_partitions={cores}, extra={{"spark.checkpoint.dir": {ckpt!r}}})
+ft = feature_table(daily(spark, 140, tx=lambda i: 1000 + (i * 37) % 101 + 3 * i, gas=lambda i: 0.3 + ((i * 13) % 7) / 10))
+frame, feats = training_frame(ft)
+p = M.ModelParams(rf_trees=8, gbt_rounds=4, models=["random_forest", "boosted_trees"])
+for name, model in fit_models(frame.repartition({cores}), feats, p).items():
+    for r in model.transform(frame).orderBy("date").select("prediction").collect():
+        print("P", name, repr(r[0]))
+"""
+
+
+def test_seeded_models_do_not_depend_on_the_cores(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from conftest import ROOT
+    out = []
+    for cores in (2, 4):
+        code = FOREST.format(root=ROOT, tests=os.path.join(ROOT, "tests"), cores=cores, ckpt=str(tmp_path / f"c{cores}"))
+        run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600)
+        rows = [x.split() for x in run.stdout.splitlines() if x.startswith("P ")]
+        assert rows, run.stderr[-2000:]
+        out.append(rows)
+    assert len(out[0]) == len(out[1])
+    assert all(a[1] == b[1] and float(a[2]) == pytest.approx(float(b[2]), abs=1e-9) for a, b in zip(*out))
+
+
+def test_training_reads_the_raw_table_once(spark, tmp_path):
+    """The feature plan runs in one job; training reads what it wrote."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    base = daily(spark, 140, tx=lambda i: 1000 + (i * 37) % 101 + 3 * i, gas=lambda i: 0.3 + ((i * 13) % 7) / 10)
+    counted = base.mapInPandas(count, base.schema)
+    train_and_compare(feature_table(counted), "2024-03-31", "2024-04-01", "2024-12-31",
+                      M.ModelParams(models=["linear_regression"]), run_dir=str(tmp_path / "run")).comparison.collect()
+    assert seen.value == 140

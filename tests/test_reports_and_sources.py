@@ -1,4 +1,4 @@
-"""Report tables, bounded sample, month ranges, multi-input read, streaming."""
+"""Report tables, bounded sample, month ranges, multi-input read, NULL rules."""
 
 import datetime as dt
 
@@ -13,7 +13,6 @@ from daycast.operators.rollup import daily_rollup
 from daycast.sources import testdata as td
 from daycast.sources.files import (month_ranges, multi_read, read_month_range,
                                    write_month_partitioned)
-from daycast.streaming.rollup import daily_rollup_stream
 
 
 def _preds(spark, n=300):
@@ -73,27 +72,6 @@ def test_multi_read_merges_schemas(spark, tmp_path):
     assert both.count() == daily.count() and "price_usd" in both.columns
 
 
-def test_streaming_rollup_equals_batch(spark, tmp_path):
-    src = str(tmp_path / "blocks")
-    td.blocks(spark, SF_SMALL).write.parquet(src)
-    schema = spark.read.parquet(src).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = str(tmp_path / "out")
-
-    def sink(batch, _id):
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (daily_rollup_stream(stream, delay="3650 days").writeStream.outputMode("complete")
-         .foreachBatch(sink).option("checkpointLocation", str(tmp_path / "ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    got = spark.read.parquet(out)
-    want = daily_rollup(td.blocks(spark, SF_SMALL))
-    assert got.count() == want.count()
-    cols = ["day", "blocks_count", "tx_count_sum"]
-    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
-
-
 def test_metric_summary_record_and_json(spark, tmp_path):
     from daycast.operators.metrics import model_comparison
     from daycast.sources.records import metrics_summary, summary_record, write_json_record
@@ -112,16 +90,59 @@ def test_metric_summary_record_and_json(spark, tmp_path):
     assert back["models_loaded"] == ["m", "n"]
 
 
-def test_streaming_rollup_keyed_equals_batch(spark, tmp_path):
-    src = str(tmp_path / "blocks")
-    td.blocks(spark, SF_SMALL, with_series=True).write.parquet(src)
-    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-    out = str(tmp_path / "out")
-    q = (daily_rollup_stream(stream, delay="3650 days", series=["series"]).writeStream
-         .outputMode("complete").foreachBatch(lambda b, _i: b.write.mode("overwrite").parquet(out))
-         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    got = spark.read.parquet(out).select("series", "day", "blocks_count", "tx_count_sum")
-    want = daily_rollup(td.blocks(spark, SF_SMALL, with_series=True), series=["series"]).select(
-        "series", "day", "blocks_count", "tx_count_sum")
-    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+def test_null_predictions_count_in_no_bin_and_no_metric(spark):
+    from daycast.operators.metrics import regression_metrics
+    pred = _preds(spark, 60)
+    holed = pred.withColumn("prediction_log", F.when(F.dayofmonth("date") == 7, None).otherwise(F.col("prediction_log")))
+    whole = holed.where("prediction_log IS NOT NULL")
+    hist = lambda d: [(r["bin"], r["count"]) for r in residual_histogram(d, 4).where("space = 'log'").orderBy("bin").collect()]
+    assert whole.count() < 60 and hist(holed) == hist(whole)
+    a, b = regression_metrics(holed, ["log"]).first(), regression_metrics(whole, ["log"]).first()
+    assert a["r2_log"] == pytest.approx(b["r2_log"], rel=1e-12) and a["rmse_log"] == pytest.approx(b["rmse_log"], rel=1e-12)
+
+
+def test_reports_keep_the_series(spark):
+    from daycast.operators.report import report_overlay, report_scatter, report_timeseries
+    pred = _preds(spark, 20)
+    two = pred.withColumn("series", F.lit("a")).unionByName(pred.withColumn("series", F.lit("b")).withColumn("label", F.col("label") + 1))
+    assert report_timeseries(two, ["series"]).count() == 40
+    assert report_scatter(two, ["series"]).where("series = 'b'").count() == 40
+    over = report_overlay(two, ["m"], ["series"])
+    assert over.count() == 2 * 2 * 20
+    assert over.groupBy("space", "series", "date").count().where("count > 1").count() == 0
+    cut = [(r["date"], r["series"]) for r in bounded_sample(two, 7, "date", "series").collect()]
+    assert cut == sorted((r["date"], r["series"]) for r in two.select("date", "series").collect())[:7]
+
+
+def test_report_plan_reloads_scores_and_summarises(spark, tmp_path):
+    from daycast.operators.models import ModelParams
+    from daycast.plans.report import run_report
+    from daycast.plans.train import train_and_compare
+    from daycast.plans.features import feature_table
+    from fixtures import daily
+    ft = feature_table(daily(spark, 140, tx=lambda i: 1000 + (i * 37) % 101 + 3 * i, gas=lambda i: 0.3 + ((i * 13) % 7) / 10))
+    run = str(tmp_path / "run")
+    res = train_and_compare(ft, "2024-03-31", "2024-04-01", "2024-12-31", ModelParams(models=["linear_regression", "decision_tree"]), run_dir=run)
+    rep = run_report(spark, ft, run, "2024-04-01", "2024-12-31", out_dir=str(tmp_path / "report"))
+    a = {r["model"]: r["rmse_log"] for r in res.comparison.collect()}
+    b = {r["model"]: r["rmse_log"] for r in rep.comparison.collect()}
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-12) for k in a)
+    back = spark.read.json(str(tmp_path / "report" / "metrics_summary")).first()
+    assert back["models_loaded"] == ["linear_regression", "decision_tree"]
+    assert rep.residuals.count() == 2 * 2 * 40 and rep.overlay.count() == 2 * rep.predictions.where("model = 'decision_tree'").count()
+
+
+def test_extended_daily_table_equals_the_whole_one(spark, tmp_path):
+    from daycast.plans.enriched import enriched_daily, extend_daily
+    for series in ([], ["series"]):
+        blocks = td.blocks(spark, SF_SMALL, with_series=bool(series))
+        price = td.price_history(spark, SF_SMALL).where("Date < '1999-12-20' OR Date > '2000-02-10'")
+        whole = enriched_daily(blocks, price, series=series)
+        stored = str(tmp_path / f"stored{len(series)}")
+        write_month_partitioned(whole.where("day < '2000-01-17'"), stored)
+        got = extend_daily(spark, stored, blocks, price, "2000-01-17", series).drop("year_month")
+        cols = whole.columns
+        a, b = ([tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in d.select(cols).orderBy(*series, "day").collect()] for d in (got, whole))
+        assert a == b
+    plan = daily_rollup(blocks, "2000-01-17", None)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate,2000-01-17" in plan
