@@ -86,65 +86,77 @@ class _Model:
         return lanes * _NIB + ((x_high12 * 0x9E3779B1 >> 8) & (_NIB - 1))
 
 
+#: Running sums of sixteen counts by one small matrix product (exact in float32).
+_SUMS = np.triu(np.ones((16, 16), np.float32))
+_TOP = 4294967296.0
+
+
 class _Encoder:
+    """Coder state of all blocks in doubles: whole numbers under 2^53, so every
+    step is exact, and division is vectorised."""
+
     def __init__(self, lanes: int, words: int):
-        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFF, np.uint64)
+        self.low, self.range = np.zeros(lanes), np.full(lanes, _TOP - 1)
         self.out, self.at = np.zeros((lanes, words), np.uint16), np.zeros(lanes, np.int64)
 
     def put(self, lanes, start, freq, total):
-        r = self.range[lanes] // total
+        r = np.floor(self.range[lanes] / total)
         low = self.low[lanes] + r * start
         rng = r * freq
-        over = np.flatnonzero(low >> np.uint64(32))
+        over = np.flatnonzero(low >= _TOP)
         if len(over):
-            low[over] &= np.uint64(0xFFFFFFFF)
-            who, place = lanes[over], self.at[lanes[over]] - 1
+            low[over] -= _TOP
+            who = lanes[over]
+            place = self.at[who] - 1
             while len(who):
                 self.out[who, place] += 1
                 on = self.out[who, place] == 0
                 who, place = who[on], place[on] - 1
         short = np.flatnonzero(rng < 65536)
-        who = lanes[short]
-        self.out[who, self.at[who]] = low[short] >> np.uint64(16)
-        self.at[who] += 1
-        low[short] = (low[short] & np.uint64(0xFFFF)) << np.uint64(16)
-        rng[short] <<= np.uint64(16)
+        if len(short):
+            who, some = lanes[short], low[short]
+            word = np.floor(some / 65536)
+            self.out[who, self.at[who]] = word
+            self.at[who] += 1
+            low[short] = (some - word * 65536) * 65536
+            rng[short] *= 65536
         self.low[lanes], self.range[lanes] = low, rng
 
     def finish(self) -> list[bytes]:
         lanes = np.arange(len(self.low))
-        for _ in range(2):
-            self.out[lanes, self.at] = self.low >> np.uint64(16)
+        low = self.low.astype(np.int64)
+        for word in (low >> 16, low & 0xFFFF):
+            self.out[lanes, self.at] = word
             self.at += 1
-            self.low = (self.low & np.uint64(0xFFFF)) << np.uint64(16)
         return [self.out[i, :n].astype("<u2").tobytes() for i, n in enumerate(self.at.tolist())]
 
 
 class _Decoder:
     def __init__(self, payloads: list[bytes]):
         lens = [len(p) // 2 for p in payloads]
-        self.words = np.zeros((len(payloads), max(lens) + 2), np.uint64)
+        self.words = np.zeros((len(payloads), max(lens) + 2), np.uint16)
         for i, p in enumerate(payloads):
             self.words[i, :lens[i]] = np.frombuffer(p, "<u2")
-        self.code = (self.words[:, 0] << np.uint64(16)) | self.words[:, 1]
-        self.at, self.range = np.full(len(payloads), 2, np.int64), np.full(len(payloads), 0xFFFFFFFF, np.uint64)
+        self.code = self.words[:, 0] * 65536.0 + self.words[:, 1]
+        self.at, self.range = np.full(len(payloads), 2, np.int64), np.full(len(payloads), _TOP - 1)
 
     def value(self, lanes, total):
-        self.r = self.range[lanes] // total
-        return np.minimum(self.code[lanes] // self.r, total - np.uint64(1))
+        self.r = np.floor(self.range[lanes] / total)
+        return np.minimum(np.floor(self.code[lanes] / self.r), total - 1)
 
     def take(self, lanes, start, freq):
         code, rng = self.code[lanes] - self.r * start, self.r * freq
         short = np.flatnonzero(rng < 65536)
-        who = lanes[short]
-        code[short] = (code[short] << np.uint64(16)) | self.words[who, self.at[who]]
-        self.at[who] += 1
-        rng[short] <<= np.uint64(16)
+        if len(short):
+            who = lanes[short]
+            code[short] = code[short] * 65536 + self.words[who, self.at[who]]
+            self.at[who] += 1
+            rng[short] *= 65536
         self.code[lanes], self.range[lanes] = code, rng
 
 
-def _u(a):
-    return a.astype(np.uint64)
+def _f(a):
+    return a.astype(np.float64)
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -160,22 +172,24 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         raise ValueError(f"ids must be under {MAX_ID}")
     active = np.searchsorted(-sizes[order], -np.arange(sizes.max()), side="left")  # lanes longer than the step
     model, coder = _Model(len(blocks)), _Encoder(len(blocks), int(sizes.max()) * 4 + 4)
+    sixteen = model.row * 16
     for step, a in enumerate(active.tolist()):
         x, lanes = ids[step, :a], model.row[:a]
         cum, base = model.predict(a, step)
         symbol = np.where((x == model.q2) & (model.k2 > 0), 254, np.where((x == model.q1) & (model.k1 > 0), 255, x >> 8))
-        start = _u(cum[base + symbol])
-        coder.put(lanes, start, _u(cum[base + symbol + 1]) - start, _u(cum[base + 256]))
+        start = _f(cum[base + symbol])
+        coder.put(lanes, start, cum[base + symbol + 1] - start, cum[base + 256])
         model.learn_symbol(a, symbol)
         miss = np.flatnonzero(symbol < 254)
         if len(miss):
             y = x[miss]
             for rows, table, nibble in ((miss * 256 + (y >> 8), model.high, y >> 4 & 15), (model.low_rows(miss, y >> 4), model.low, y & 15)):
-                sums = np.cumsum(table[rows], axis=1, dtype=np.uint64)
-                each = np.arange(len(miss))
-                freq = _u(table[rows, nibble])
-                coder.put(miss, sums[each, nibble] - freq, freq, sums[:, 15])
-                table[rows, nibble] += _INC
+                counts = table[rows].astype(np.float32)
+                sums = (counts @ _SUMS).reshape(-1)
+                cell = sixteen[:len(miss)] + nibble
+                freq = _f(counts.reshape(-1)[cell])
+                coder.put(miss, sums[cell] - freq, freq, sums[15::16])
+                table.reshape(-1)[rows * 16 + nibble] += _INC
         model.learn_id(a, x)
     payloads = coder.finish()
     out: list = [b""] * len(blocks)
@@ -193,15 +207,17 @@ def decode_blocks(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
     active = np.searchsorted(-sizes[order], -np.arange(sizes.max()), side="left")
     model, coder = _Model(len(payloads)), _Decoder([payloads[b] for b in order])
     ids = np.zeros((sizes.max(), len(payloads)), np.uint32)
+    sixteen = model.row * 16
     for step, a in enumerate(active.tolist()):
         lanes = model.row[:a]
         cum, base = model.predict(a, step)
-        v = coder.value(lanes, _u(cum[base + 256]))
-        symbol = np.zeros(a, np.int64)
+        v = coder.value(lanes, cum[base + 256]).astype(np.uint16)
+        place = base.copy()
         for bit in (128, 64, 32, 16, 8, 4, 2, 1):
-            symbol += np.where(cum[base + symbol + bit] <= v, bit, 0)
-        start = _u(cum[base + symbol])
-        coder.take(lanes, start, _u(cum[base + symbol + 1]) - start)
+            place += (cum[place + bit] <= v) * bit
+        symbol = place - base
+        start = _f(cum[place])
+        coder.take(lanes, start, cum[place + 1] - start)
         model.learn_symbol(a, symbol)
         x = np.where(symbol == 254, model.q2, model.q1)
         miss = np.flatnonzero(symbol < 254)
@@ -209,13 +225,16 @@ def decode_blocks(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
             y = symbol[miss]
             for table in (model.high, model.low):
                 rows = miss * 256 + y if table is model.high else model.low_rows(miss, y)
-                sums = np.cumsum(table[rows], axis=1, dtype=np.uint64)
-                v = coder.value(miss, sums[:, 15])
-                nibble = (sums <= v[:, None]).sum(axis=1)
-                each = np.arange(len(miss))
-                freq = _u(table[rows, nibble])
-                coder.take(miss, sums[each, nibble] - freq, freq)
-                table[rows, nibble] += _INC
+                counts = table[rows].astype(np.float32)
+                sums = (counts @ _SUMS).reshape(-1)
+                v = coder.value(miss, sums[15::16]).astype(np.float32)
+                cell = sixteen[:len(miss)].copy()
+                for bit in (8, 4, 2, 1):  # sums at or below the value
+                    cell += (sums[cell + (bit - 1)] <= v) * bit
+                nibble = cell - sixteen[:len(miss)]
+                freq = _f(counts.reshape(-1)[cell])
+                coder.take(miss, sums[cell] - freq, freq)
+                table.reshape(-1)[rows * 16 + nibble] += _INC
                 y = y << 4 | nibble
             x[miss] = y
         model.learn_id(a, x)
