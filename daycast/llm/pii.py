@@ -192,12 +192,16 @@ def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text") -> DataF
     values) and ``pii_kinds`` (sorted, distinct)."""
     pattern = _q(PATTERN)
     text = f"`{column}`"
+    found = "_pii"
+    while found in docs.columns:
+        found += "_"
     hits = f"CASE WHEN {text} RLIKE {pattern} THEN regexp_extract_all({text}, {pattern}, 0) ELSE CAST(array() AS ARRAY<STRING>) END"
-    named = docs.withColumn("_pii", F.expr(f"transform({hits}, v -> {_replaced(key)})"))
+    named = docs.withColumn(found, F.expr(f"transform({hits}, v -> {_replaced(key)})"))
     gaps = f"split({text}, {pattern}, -1)"
-    new = (f"CASE WHEN exists(_pii, x -> x.kind IS NOT NULL) THEN "
-           f"{_let('g', gaps, 'array_join(transform(g, (t, i) -> concat(t, coalesce(get(_pii, i).value, %s))), %s)' % (_q(''), _q('')))} ELSE {text} END")
+    rebuilt = f"array_join(transform(g, (t, i) -> concat(t, coalesce(get({found}, i).value, ''))), '')"
+    new = f"CASE WHEN exists({found}, x -> x.kind IS NOT NULL) THEN {_let('g', gaps, rebuilt)} ELSE {text} END"
+    kinds = f"filter(transform({found}, x -> x.kind), k -> k IS NOT NULL)"
     return (named.withColumn(column, F.expr(new))
-            .withColumn("pii_count", F.expr("CAST(size(filter(_pii, x -> x.kind IS NOT NULL)) AS INT)"))
-            .withColumn("pii_kinds", F.expr("array_join(array_sort(array_distinct(filter(transform(_pii, x -> x.kind), k -> k IS NOT NULL))), ',')"))
-            .drop("_pii"))
+            .withColumn("pii_count", F.expr(f"CAST(size({kinds}) AS INT)"))
+            .withColumn("pii_kinds", F.expr(f"array_join(array_sort(array_distinct({kinds})), ',')"))
+            .drop(found))

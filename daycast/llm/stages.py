@@ -34,7 +34,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Valid personal numbers, dates and addresses replaced in the text; the
     character count follows the text."""
-    out = pii.pseudonymise(docs).select(*docs.columns)
+    flat = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"_{i}") for i, c in enumerate(docs.columns)])
+    out = pii.pseudonymise(flat).select(*[F.col("text" if c == "text" else f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
