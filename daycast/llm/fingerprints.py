@@ -40,6 +40,7 @@ BASES = (911382323, 972663749)
 SPAN = 24
 SKETCH = 64
 RANGE_CHARS = 24_000_000
+MAX_RANGES = 65_536  # beyond, ranges get larger; the driver holds one id a range
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -162,7 +163,7 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     shape = ids.agg(F.sum("n"), F.count(F.lit(1)), F.min("doc_id"), F.count("doc_id")).first()
     if not shape[1]:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))
-    parts = max(1, -(-(shape[0] or 0) // range_chars), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(min(MAX_RANGES, -(-(shape[0] or 0) // range_chars)), int(spark.conf.get("spark.sql.shuffle.partitions")))
     bounds = []
     if shape[3]:
         cuts = ids.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)
@@ -177,9 +178,7 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
              .agg(F.min(F.struct("doc_id", "t")).alias("h")).collect())  # one row per range
     heads = sorted((h["r"], h["h"]) for h in heads)
     closes = {heads[i][0]: heads[i - 1][0] for i in range(len(heads))}
-    pairs = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(x["doc_id"]).cast("bigint").alias("i"), F.lit(x["t"]).cast("bigint").alias("t"),
-                               F.lit(closes[r]).alias("to")) for r, x in heads])
-    side = spark.range(1).select(F.inline(pairs))
+    side = spark.createDataFrame([(r, x["doc_id"], x["t"], closes[r]) for r, x in heads], "r int, i long, t long, to int")
     flagged = placed.withColumn("t", F.xxhash64("text"))
     copies = (flagged.join(F.broadcast(side), (flagged["r"] == side["r"]) & flagged["doc_id"].eqNullSafe(side["i"]) & (flagged["t"] == side["t"]))
               .select("doc_id", "text", side["to"].alias("r"), F.lit(True).alias("closing")))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daycast.llm import jaccard, langid, mixing, packing, pii
-from daycast.llm.common import table
 from daycast.llm.queries import tokenizer
 
 #: A document stays if its language is told with at least this probability;
@@ -18,8 +17,8 @@ MIN_SCORE = 0.3
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; the label of a document that has none
-    is filled in. Learned from the corpus's labelled documents (whole table)."""
-    model = langid.train(langid.is_training(table(spark, sf_dir, "documents")).select("text", "lang"))
+    is filled in. Learned from the labelled ones of the documents."""
+    model = langid.train(langid.is_training(docs).select("text", "lang"))
     told = langid.predict(docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], "text"), model)
     kept = told.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
     return kept.select(*[(F.coalesce(f"_{i}", "lang_pred") if c == "lang" else F.col(f"_{i}")).alias(c)
