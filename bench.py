@@ -50,7 +50,8 @@ def main() -> None:
             from daycast.session import shared_dir
             res = train_and_compare(features_scan(spark, state["features"]), R.TRAIN_END, R.TEST_START,
                                     R.TEST_END, params or ModelParams(models=[model]),
-                                    run_dir=shared_dir(spark, "bench", f"models-{time.time_ns()}"))
+                                    run_dir=shared_dir(spark, "bench", f"models-{time.time_ns()}"),
+                                    parquet_path=state["features"])
             force(res.comparison)
         return run
 
