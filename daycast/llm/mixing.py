@@ -30,7 +30,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_PASSES = 2
-BUCKET_ROWS = 4000
+BUCKET_ROWS = 500
 TIME_BUCKETS = 4096  # at least; the square root of the rows beyond that
 
 
