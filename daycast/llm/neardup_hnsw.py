@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from daycast.llm.common import components, cut
 
 THRESHOLD = 0.95
-SHARD_ROWS = 16_384
+SHARD_ROWS = 32_768
 QUERY_ROWS = 8_192
 M, M0 = 12, 24
 BUILD_BEAM = 32
