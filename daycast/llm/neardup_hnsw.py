@@ -39,8 +39,8 @@ THRESHOLD = 0.95
 SHARD_ROWS = 32_768
 QUERY_ROWS = 8_192
 M, M0 = 12, 24
-BUILD_BEAM = 32
-FIRST_BEAM, MAX_BEAM = 32, 256
+BUILD_BEAM = 24
+FIRST_BEAM, MAX_BEAM = 16, 256
 AUDIT_RECALL = 0.98
 AUDIT_EVERY = 48  # about one query in so many
 SLACK = 1e-3  # of the single-precision search below the threshold
