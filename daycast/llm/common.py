@@ -25,9 +25,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(text):
-    """Lower-case A-Z only (SQL ``lower`` would fold every script)."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def text_batches(df: DataFrame, rows: int = 512) -> DataFrame:
+    """``df``, with Arrow batches of at most ``rows`` rows from here on: whole
+    texts go through Python workers, whose memory a batch must fit."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(name))
+    if now <= 0 or now > rows:
+        df.sparkSession.conf.set(name, str(rows))
+    return df
 
 
 def crc_mod(doc_id, n: int):

@@ -42,12 +42,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import components, cut, partitions_for
+from daycast.llm.common import components, cut, partitions_for, text_batches
 
 WORDS = 5
 PERCENT = 75
 TILE = 1024
-FLUSH = 1_500_000  # columns a worker merges before it sends them
+FLUSH = 750_000  # columns a worker merges before it sends them
 BUCKET_ENTRIES = 2_000_000
 BROADCAST_ROWS = 200_000  # ids of 24 bytes: under 10 MB; beyond, a shuffled join
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -94,9 +94,8 @@ def _ids(pdf):
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        sets = [shingles(x or b"") for x in pdf["raw"]]
-        yield pd.DataFrame({"doc_id": _ids(pdf), "hash": pdf["hash"], "n": [len(s) for s in sets],
-                            "c": [_key(s) if len(s) else None for s in sets]})
+        out = [(len(s), _key(s) if len(s) else None) for s in (shingles(x or b"") for x in pdf["raw"])]
+        yield pd.DataFrame({"doc_id": _ids(pdf), "hash": pdf["hash"], "n": [n for n, _ in out], "c": [c for _, c in out]})
 
 
 def _send_block(buckets: int, percent: int):
@@ -164,21 +163,36 @@ def _from_six(blobs) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _count_shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Shared columns per row (48-bit row key) of one bucket of columns."""
-    s, c = _from_six(pdf["s"]), _from_six(pdf["holder"])
-    order = np.lexsort((c, s))
-    s, c = s[order], c[order]
-    keep = np.concatenate([[True], (s[1:] != s[:-1]) | (c[1:] != c[:-1])]) if len(s) else np.empty(0, bool)
-    s, c = s[keep], c[keep]
-    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.empty(0, np.int64)
-    count = np.diff(np.append(first, len(s)))
-    shared = np.repeat((count > 1) | (c[first] == 0), count) & (c != 0)
-    keys = [c[shared]] + [np.frombuffer(x, np.uint64) for x in pdf["own"]]
-    times = [np.ones(int(shared.sum()), np.int64)] + [np.frombuffer(x, np.int64) for x in pdf["times"]]
-    u, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate(times), minlength=len(u))
-    return pd.DataFrame({"k": u.astype(np.int64), "cnt": total.astype(np.int64)})
+def _count_shared(parts: int):
+    """Shared columns per row (48-bit row key) of one bucket of columns, as one
+    array for each part of the rows."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        s, c = _from_six(pdf["s"]), _from_six(pdf["holder"])
+        order = np.lexsort((c, s))
+        s, c = s[order], c[order]
+        keep = np.concatenate([[True], (s[1:] != s[:-1]) | (c[1:] != c[:-1])]) if len(s) else np.empty(0, bool)
+        s, c = s[keep], c[keep]
+        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.empty(0, np.int64)
+        count = np.diff(np.append(first, len(s)))
+        shared = np.repeat((count > 1) | (c[first] == 0), count) & (c != 0)
+        keys = [c[shared]] + [np.frombuffer(x, np.uint64) for x in pdf["own"]]
+        times = [np.ones(int(shared.sum()), np.int64)] + [np.frombuffer(x, np.int64) for x in pdf["times"]]
+        u, total = _add(np.concatenate(keys), np.concatenate(times))
+        part = (u % np.uint64(parts)).astype(np.int64)
+        return pd.DataFrame([(p, u[part == p].tobytes(), total[part == p].tobytes()) for p in np.unique(part)],
+                            columns=["p", "k", "cnt"])
+    return run
+
+
+def _add(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    u, inverse = np.unique(keys, return_inverse=True)
+    return u, np.bincount(inverse, weights=times, minlength=len(u)).astype(np.int64)
+
+
+def _add_buckets(pdf: pd.DataFrame) -> pd.DataFrame:
+    u, total = _add(np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["k"]]),
+                    np.concatenate([np.frombuffer(x, np.int64) for x in pdf["cnt"]]))
+    return pd.DataFrame({"k": u.view(np.int64), "cnt": total})
 
 
 def _full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,7 +269,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def _raw(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("raw"))
+    return text_batches(docs).select("doc_id", F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("raw"))
 
 
 def class_links(docs: DataFrame, digest: DataFrame, percent: int = PERCENT, every: bool = False) -> DataFrame:
@@ -266,7 +280,8 @@ def class_links(docs: DataFrame, digest: DataFrame, percent: int = PERCENT, ever
     buckets = partitions_for(spark, total * 2 // 5, BUCKET_ENTRIES)
     sent = _raw(docs).select("raw").mapInPandas(
         _send_block(buckets, percent), "b int, s binary, holder binary, own binary, times binary")
-    counts = sent.groupBy("b").applyInPandas(_count_shared, "k long, cnt long").groupBy("k").agg(F.sum("cnt").alias("cnt"))
+    counts = (sent.groupBy("b").applyInPandas(_count_shared(buckets), "p int, k binary, cnt binary")
+              .groupBy("p").applyInPandas(_add_buckets, "k long, cnt long"))
     # the first six bytes of the class key, little-endian, as step 2 has them
     flipped = F.concat(*[F.substring("c", i, 1) for i in range(6, 0, -1)])
     short = F.conv(F.hex(flipped), 16, 10).cast("long")
@@ -310,9 +325,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     the text) tells rows of one id apart, ``group`` is the component's class
     key (null for empty sets)."""
     digest = digests(docs)
-    roots = components(class_links(docs, digest, percent)).select(F.col("node").alias("c"), "root")
+    # written sides: each join shuffles both for itself, so a hot group's rows can be split
+    roots = cut(components(class_links(docs, digest, percent)).select(F.col("node").alias("c"), "root"))
     labelled = digest.join(roots, "c", "left").withColumn("g", F.coalesce("root", "c"))
-    lowest = labelled.where("g IS NOT NULL").groupBy("g").agg(F.min("doc_id").alias("low"))
+    lowest = cut(labelled.where("g IS NOT NULL").groupBy("g").agg(F.min("doc_id").alias("low")))
     return labelled.join(lowest, "g", "left").select(
         "doc_id", "hash", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"),

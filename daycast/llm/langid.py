@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import crc_mod
+from daycast.llm.common import crc_mod, text_batches
 
 SLOTS = 1 << 15
 TRAIN_ROWS = 3000
@@ -84,7 +84,7 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
     """Smoothed idf of every slot over all the texts (a fixed-size result)."""
     df, docs = np.zeros(SLOTS), 0
-    for r in texts.select("text").mapInPandas(_frequencies, "slot int, df long").groupBy("slot").agg(F.sum("df").alias("df")).collect():
+    for r in text_batches(texts).select("text").mapInPandas(_frequencies, "slot int, df long").groupBy("slot").agg(F.sum("df").alias("df")).collect():
         if r["slot"] < 0:
             docs = r["df"]
         else:
@@ -209,7 +209,7 @@ def predict(docs: DataFrame, model: tuple) -> DataFrame:
                 score.append(float(p[i]))
             yield pd.DataFrame({"lang_pred": best, "score": score})
 
-    return (docs.withColumn("_language", identify("text"))
+    return (text_batches(docs).withColumn("_language", identify("text"))
             .withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language"))
 
 

@@ -34,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daycast.llm.common import text_batches
 from daycast.llm.tokens import chunk_ids
 from daycast.session import shared_dir
 
@@ -302,7 +303,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
         if held:
             yield pd.DataFrame([(part, frame, size, pack_frame(names, held))], columns=["part", "frame", "n_ids", "data"])
 
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    rows = text_batches(docs).select("doc_id", "text", F.xxhash64("text").alias("h"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("h")]
     (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")

@@ -1,22 +1,19 @@
-"""Exact token ids at scale: the tokenizers library, asked once per distinct chunk.
+"""Exact token ids at scale: the tokenizers library, asked once per distinct word.
 
 Both vocabularies cut text before merging; every cut used here is one they
 make: at a single space or newline, and between a word and a comma or full stop
-that ends it. Each distinct chunk is encoded once by the library, many in one
+that ends it. Each distinct word is encoded once by the library, many in one
 call with a separator whose token cannot merge, and remembered; a text's ids are
 its chunks' ids in a row. Texts for which those cuts are not certain — white
-space meeting white space, separators other than space and newline, punctuation
-in front of a closing comma or stop — are encoded whole. The memory of chunks is
-bounded: it is emptied when full."""
+space meeting white space, or separators other than space and newline — are
+encoded whole, as is a chunk whose closing stop does not follow a Latin letter.
+The memory is bounded: when full, the half used last stays."""
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 
-MEMO = 400_000
-_WHOLE = re.compile(r"\s\s|[^\S \n]|[\x00\x1c-\x1f]|(?:[^\w\s]|_|^|\s)[.,]\s")
+MEMO = 200_000
 _CACHE: dict[str, ChunkIds] = {}
 
 
@@ -34,6 +31,9 @@ class _Index(dict):
 
 
 class ChunkIds:
+    """Chunks are words as the text has them; ``\\n`` in front stands for the
+    newline before a word, ``\\0`` for no separator, nothing for a space."""
+
     def __init__(self, path: str):
         import os
 
@@ -44,91 +44,146 @@ class ChunkIds:
         self.tokenizer.encode_special_tokens = True  # special strings in a text are ordinary text
         # a byte-level cut keeps the space with the word behind it
         self.spaced = self.tokenizer.normalizer is None
+        # single ids: newline (byte-level), the stops, the separator of joined words
+        self.newline = self._encode(["\n"])[0][:1]
+        self.stops = [self._encode([t])[0][0] for t in ".,"]
+        self.mark = self._encode(["\n" if self.spaced else "|"])[0][0]
         self._reset()
 
     def _reset(self):
         self.index = _Index()
-        self.first = np.zeros(1024, np.int64)
-        self.count = np.zeros(1024, np.int64)
-        self.flat = np.zeros(4096, np.uint32)
+        self.first = np.zeros(1 << 16, np.int64)
+        self.count = np.zeros(1 << 16, np.int64)
+        self.flat = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
     def _encode(self, texts):
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _append(self, ids: np.ndarray) -> int:
+        """Store ids; returns where they begin."""
+        begin, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * self.used)
+        self.flat[begin:self.used] = ids
+        return begin
+
     def _learn(self):
         waiting, self.index.waiting = self.index.waiting, []
         if not waiting:
             return
-        got: list = [None] * len(waiting)
-        if self.spaced:
-            groups = ([], [])  # chunks behind a space, and those without one
-            for i, c in enumerate(waiting):
-                if c == "\n" or c in ("", "\0"):
-                    got[i] = self._encode([c or " "])[0] if c != "\0" else np.empty(0, np.uint32)
-                else:
-                    groups[c[0] == "\0"].append(i)
-            self._many(got, groups[0], [" " + waiting[i] for i in groups[0]], "\n")
-            self._many(got, groups[1], [waiting[i][1:] for i in groups[1]], "\n")
-        else:
-            self._many(got, range(len(waiting)), waiting, " | ")
-        lens = np.fromiter(map(len, got), np.int64, len(got))
-        at, n = len(self.index) - len(waiting), int(lens.sum())
+        at = len(self.index) - len(waiting)
+        asked: dict[str, int] = {"": 0} if not self.spaced else {"\0": 0}  # number 0: no ids
+        core_of, old, lead, tail = [], [], [], []
+        get = self.index.get
+        for chunk in waiting:
+            # stop or comma behind a Latin letter, newline in front: cuts of their own
+            stop = len(chunk) > 1 and chunk[-1] in ".," and chunk[-2] < "\u0250" and chunk[-2].isalpha()
+            core = chunk[:-1] if stop else chunk
+            line = core[:1] == "\n"
+            if line:
+                core = "\0" + core[1:] if self.spaced else core[1:]
+            known = get(core, at) if stop or line else at
+            old.append(known < at)
+            core_of.append(known if known < at else asked.setdefault(core, len(asked)))
+            lead.append(line and self.spaced)
+            tail.append(0 if not stop else 1 if chunk[-1] == "." else 2)
+        first, count = self._encode_new(list(asked))
+        number, old = np.array(core_of), np.array(old)
+        lead, tail = np.array(lead), np.array(tail)
+        begin = np.where(old, self.first[np.where(old, number, 0)], first[np.where(old, 0, number)])
+        lens = np.where(old, self.count[np.where(old, number, 0)], count[np.where(old, 0, number)])
+        # a chunk that is its core points at it; the others are put together
+        made = np.flatnonzero(lead | (tail > 0))
+        if len(made):
+            src, n = begin[made], lens[made]
+            whole = n + lead[made] + (tail[made] > 0)
+            ends = np.cumsum(whole)
+            out = np.empty(ends[-1], np.uint32)
+            steps = np.arange(n.sum())
+            shift = np.cumsum(n) - n
+            out[np.repeat(ends - whole + lead[made] - shift, n) + steps] = self.flat[np.repeat(src - shift, n) + steps]
+            out[(ends - whole)[lead[made]]] = self.newline
+            for code in (1, 2):
+                out[ends[tail[made] == code] - 1] = self.stops[code - 1]
+            begin[made], lens[made] = self._append(out) + ends - whole, whole
         if len(self.index) > len(self.first):
             self.first = np.resize(self.first, 2 * len(self.index))
             self.count = np.resize(self.count, 2 * len(self.index))
-        if self.used + n > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * (self.used + n))
-        self.first[at:at + len(got)] = self.used + np.concatenate([[0], np.cumsum(lens)[:-1]])
-        self.count[at:at + len(got)] = lens
-        self.flat[self.used:self.used + n] = np.concatenate(got)
-        self.used += n
-
-    def _many(self, got, places, chunks, separator):
-        """Encode many chunks in one text and cut the ids at the separator's."""
-        mark = separator.strip(" ")
-        alone = [(i, c) for i, c in zip(places, chunks) if mark in c]
-        if alone:
-            for (i, _), ids in zip(alone, self._encode([c for _, c in alone])):
-                got[i] = ids
-            places, chunks = zip(*[(i, c) for i, c in zip(places, chunks) if mark not in c]) if len(alone) < len(chunks) else ((), ())
-        if not chunks:
-            return
-        ids = self._encode([separator.join(chunks)])[0]
-        cuts = np.flatnonzero(ids == self._encode([mark])[0][0])
-        if len(cuts) != len(chunks) - 1:
-            raise ValueError("separator token merged")
-        for i, part in zip(places, np.split(ids, cuts)):
-            got[i] = part[1:]
-        got[places[0]] = ids[:cuts[0] if len(cuts) else len(ids)]
+        self.first[at:at + len(waiting)], self.count[at:at + len(waiting)] = begin, lens
+
+    def _encode_new(self, cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Store the ids of new cores (number 0 has none): their places."""
+        first, count = np.zeros(len(cores), np.int64), np.zeros(len(cores), np.int64)
+        mark = "\n" if self.spaced else "|"
+        groups: dict[str, list[int]] = {"plain": [], "bare": [], "alone": []}
+        for i, c in enumerate(cores[1:], 1):
+            groups["alone" if mark in c else "bare" if c[:1] == "\0" else "plain"].append(i)
+        text = lambda c: c[1:] if c[:1] == "\0" else " " + c if self.spaced else c
+        for kind in ("plain", "bare"):
+            at = groups[kind]
+            if not at:
+                continue
+            ids = self._encode([("\n" if self.spaced else " | ").join([text(cores[i]) for i in at])])[0]
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) != len(at) - 1:
+                raise ValueError("separator token merged")
+            edges = np.concatenate([[-1], cuts, [len(ids)]])
+            lens = np.diff(edges) - 1
+            first[at] = self._append(ids[ids != self.mark]) + np.cumsum(lens) - lens
+            count[at] = lens
+        for i, ids in zip(groups["alone"], self._encode([text(cores[i]) for i in groups["alone"]])):
+            first[i], count[i] = self._append(ids), len(ids)
+        return first, count
+
+    def _forget(self, used: np.ndarray):
+        """Keep the chunks whose numbers are marked."""
+        keep = np.flatnonzero(used[:len(self.index)])
+        words = list(self.index)
+        old = (self.first, self.count, self.flat)
+        self._reset()
+        kept = [words[i] for i in keep.tolist()]
+        lens = old[1][keep]
+        ends = np.cumsum(lens)
+        self.flat = old[2][np.repeat(old[0][keep] - (ends - lens), lens) + np.arange(lens.sum())]
+        self.used = len(self.flat)
+        self.first, self.count = ends - lens, lens
+        self.index.update(zip(kept, range(len(kept))))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text (uint32)."""
         out: list = [None] * len(texts)
         for begin in range(0, len(texts), 256):
-            if len(self.index) > MEMO:
-                self._reset()
             known, look = [], self.index.__getitem__
             for i in range(begin, min(begin + 256, len(texts))):
                 text = texts[i]
                 if not text:
                     out[i] = np.empty(0, np.uint32)
-                elif _WHOLE.search(text):
+                    continue
+                lines = text.count("\n")
+                # every white space is one space or newline between two words
+                if len(text.split()) != text.count(" ") + lines + 1 or "\0" in text:
                     out[i] = self._encode([text])[0]
+                    continue
+                if not self.spaced:
+                    parts = (text.replace("\n", " ") if lines else text).split(" ")
                 else:
-                    if self.spaced:  # \0: no space before the chunk
-                        cut = "\0" + text.replace("\n", " \n \0")
-                        parts = cut.replace(", ", " \0, ").replace(". ", " \0. ").split(" ")
-                    else:
-                        cut = text.replace("\n", " ")
-                        parts = cut.replace(", ", " , ").replace(". ", " . ").split(" ")
-                    known.append((i, np.fromiter(map(look, parts), np.int64, len(parts))))
+                    parts = (text.replace("\n", " \n") if lines else text).split(" ")
+                    parts[0] = "\0" + parts[0]
+                known.append((i, np.fromiter(map(look, parts), np.int64, len(parts))))
             self._learn()
             for i, numbers in known:
                 lens = self.count[numbers]
                 ends = np.cumsum(lens)
                 shift = self.first[numbers] - (ends - lens)
                 out[i] = self.flat[np.repeat(shift, lens) + np.arange(ends[-1])]
+            if len(self.index) > MEMO:
+                used = np.zeros(len(self.index), bool)
+                for _, numbers in known:
+                    used[numbers] = True
+                used[len(used) // 2:] |= True
+                used[:4096] = True
+                self._forget(used)
         return out
 
 
