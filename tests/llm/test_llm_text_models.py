@@ -2,6 +2,7 @@
 accuracy, on small fixtures and edge rows."""
 
 import collections
+import functools
 import hashlib
 import math
 import random
@@ -19,11 +20,16 @@ SF = "/root/testdata/sf0.001"
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 
-def library_ids(name, text, end):
+@functools.cache
+def library(name):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path(name))
     t.encode_special_tokens = True
-    return np.array(t.encode(text or "", add_special_tokens=False).ids + [end], "<u4")
+    return t
+
+
+def library_ids(name, text, end):
+    return np.array(library(name).encode(text or "", add_special_tokens=False).ids + [end], "<u4")
 
 
 ODD = ["", " ", "a  b", "\n", "a\n b", "  x", "x ", "x\n", "a\n\nb", " a", "\na", "it's 's I'll", "<|endoftext|> z", "1234 a1b2", "a, b. c",
