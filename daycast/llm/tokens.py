@@ -160,15 +160,16 @@ class ChunkIds:
                 if not text:
                     out[i] = np.empty(0, np.uint32)
                     continue
-                lines = text.count("\n")
-                # every white space is one space or newline between two words
-                if len(text.split()) != text.count(" ") + lines + 1 or "\0" in text:
+                lines = "\n" in text
+                parts = (text.replace("\n", " ") if lines else text).split(" ")
+                # every white space is one space or newline between two words:
+                # counts would let surplus spaces cancel out tabs, so the words are compared
+                if text.split() != parts or "\0" in text:
                     out[i] = self._encode([text])[0]
                     continue
-                if not self.spaced:
-                    parts = (text.replace("\n", " ") if lines else text).split(" ")
-                else:
-                    parts = (text.replace("\n", " \n") if lines else text).split(" ")
+                if self.spaced:
+                    if lines:
+                        parts = text.replace("\n", " \n").split(" ")
                     parts[0] = "\0" + parts[0]
                 known.append((i, np.fromiter(map(look, parts), np.int64, len(parts))))
             self._learn()

@@ -46,6 +46,15 @@ def test_chunked_ids_equal_the_library(name, monkeypatch):
         assert np.append(ids, np.uint32(9)).tolist() == library_ids(name, text, 9).tolist(), repr(text)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_mixed_white_space_equals_the_library(name):
+    rng = random.Random(4)
+    texts = ["foo\n\n\nbar\tx\ty", "x\ty\tz\n\n", "a\tb c \t d", " a\rb", "a  b\u00a0c", " \n \n a\tb\tc\td\te"]
+    texts += ["".join(rng.choice(["ab", "c.", " ", " ", "\n", "\t", "\r", "\u00a0", "\u3000"]) for _ in range(rng.randrange(2, 14))) for _ in range(3000)]
+    for ids, text in zip(ChunkIds(public_tokenizers.path(name)).batch(texts), texts):
+        assert np.append(ids, np.uint32(9)).tolist() == library_ids(name, text, 9).tolist(), repr(text)
+
+
 def test_packing_covers_every_id_once(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = packing.pack(edge.frame(spark), path, 1, with_ids=True).collect()
