@@ -3,12 +3,14 @@
 Vectors with equal values are one class (they link by definition and need no
 search). Classes are dealt to shards by hash; every shard builds one graph, and
 every block of queries searches every shard. A query's beam is widened while it
-holds nothing but hits; per (shard, block) a hashed sample of queries is audited
-against an exact scan of the shard, and all beams are widened until the audit's
-recall reaches ``AUDIT_RECALL``. Queries whose beam would pass ``MAX_BEAM``, and
-blocks whose audit still fails there, are answered by the exact scan, so no cap
-drops a link. Candidates are verified by cosine in double precision; links are
-united into components.
+holds nothing but hits; queries whose beam would pass ``MAX_BEAM`` are answered
+by the exact scan. Per (shard, block) the others are audited: sampled queries
+that have links, and ``PROBES`` vectors at the threshold from nodes of the graph,
+so there is always something to find. All beams are widened until the mean recall
+of a query, its own vector left out, reaches ``AUDIT_RECALL`` for both; blocks
+whose audit still fails at ``MAX_BEAM`` are scanned, so no cap drops a link.
+Candidates are verified by cosine in double precision; a link that one side found
+counts for both; links are united into components.
 
 Graph: nodes are inserted in hash order, in batches that search the graph so
 far together; layer l holds the first 1/16^l of the nodes; neighbours are chosen
@@ -21,7 +23,8 @@ null component id); other columns are ignored; an empty table gives an empty
 result.
 
 Scale: a shard's graph (some MB) meets a block of queries in one task; a task
-returns a row per query and a spanning forest of its links, never all pairs."""
+returns a row per query, a spanning forest of its links and the pairs of queries
+that were not scanned (under ``MAX_BEAM`` each), never all pairs of a large group."""
 
 from __future__ import annotations
 
@@ -42,7 +45,9 @@ M, M0 = 12, 24
 BUILD_BEAM = 24
 FIRST_BEAM, MAX_BEAM = 16, 256
 AUDIT_RECALL = 0.98
-AUDIT_EVERY = 48  # about one query in so many
+AUDIT_EVERY = 48  # about one query in so many, up to one in AUDIT_MOST while few of them have links
+AUDIT_MOST, AUDIT_LINKED = 16, 64
+PROBES = 256
 SLACK = 1e-3  # of the single-precision search below the threshold
 STEP_QUERIES = 1024
 
@@ -183,41 +188,98 @@ class Graph:
 
     def scan(self, x, bound):
         """Exact: ``(query, node)`` of all pairs of at least ``bound``."""
-        out = [np.nonzero(x[i:i + 256] @ self.v.T >= bound) for i in range(0, len(x), 256)]
+        out = [np.nonzero(x[i:i + 256] @ self.v.T >= bound) for i in range(0, max(1, len(x)), 256)]
         return (np.concatenate([a + 256 * k for k, (a, _) in enumerate(out)]), np.concatenate([b for _, b in out]))
 
 
-def range_search(graph: Graph, x: np.ndarray, audit: np.ndarray, bound: float):
-    """``(query, node, beam)``: pairs of at least ``bound`` and the beam at
-    which the audit passed (0: exact scan)."""
-    truth_q, truth_n = graph.scan(x[audit], bound)
-    truth = set(zip(audit[truth_q].tolist(), truth_n.tolist()))
+def _probes(graph: Graph, cosine: float) -> np.ndarray:
+    """Vectors at ``cosine`` from nodes of the graph, in random directions."""
+    rng = np.random.default_rng(11)
+    node = graph.v[rng.permutation(len(graph.v))[:PROBES]].astype(np.float64)
+    away = rng.normal(size=node.shape)
+    away -= (away * node).sum(axis=1, keepdims=True) * node
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-9)
+    return _unit(cosine * node + np.sqrt(1 - cosine * cosine) * away)
+
+
+def _recall(truth: tuple, found: tuple, scanned: np.ndarray) -> float | None:
+    """Mean over the queries that have links and were not scanned; None without
+    any. Pairs are ``(query, node)``."""
+    pairs = np.unique(found[0].astype(np.int64) << 32 | found[1])
+    on = ~scanned[truth[0]]
+    q, n = truth[0][on].astype(np.int64), truth[1][on]
+    if not len(q):
+        return None
+    per = np.bincount(q)
+    return float((np.bincount(q, np.isin(q << 32 | n, pairs))[per > 0] / per[per > 0]).mean())
+
+
+def _widened(graph: Graph, x: np.ndarray, beam: int, bound: float):
+    """``(query, node)`` of at least ``bound`` from ``beam`` on, and which
+    queries were scanned."""
+    pairs, todo, width = [], np.arange(len(x)), beam
+    while len(todo) and width <= MAX_BEAM and width < len(graph.v):
+        full = []
+        for at in range(0, len(todo), STEP_QUERIES):
+            some = todo[at:at + STEP_QUERIES]
+            ids, sims = graph.search(x[some], width)
+            hit = sims >= bound
+            whole = hit.all(axis=1)  # nothing but hits: there may be more
+            full.append(some[whole])
+            hit[whole] = False
+            r, c = np.nonzero(hit)
+            pairs.append((some[r], ids[r, c]))
+        todo, width = np.concatenate(full), 2 * width
+    scanned = np.zeros(len(x), bool)
+    scanned[todo] = True
+    if len(todo):
+        q, n = graph.scan(x[todo], bound)
+        pairs.append((todo[q], n))
+    q, n = (np.concatenate([p[i] for p in pairs]) if pairs else np.empty(0, np.int64) for i in (0, 1))
+    return q, n, scanned
+
+
+def audited_search(graph: Graph, x: np.ndarray, audit: np.ndarray, bound: float, own: np.ndarray | None = None):
+    """``(query, node, beam, scanned)``: pairs of at least ``bound``, the beam at
+    which the audit passed (0: exact scan) and the queries that were scanned.
+    ``own``: each query's own node, -1 without one."""
+    own = np.full(len(x), -1) if own is None else own
+
+    def truth_of(some):
+        q, n = graph.scan(x[some], bound)
+        other = n != own[some[q]]
+        return some[q[other]], n[other]
+
+    truth = truth_of(audit)
+    step = AUDIT_EVERY
+    while step > AUDIT_MOST and len(np.unique(truth[0])) < AUDIT_LINKED:
+        step = max(AUDIT_MOST, step // 2)
+        more = np.setdiff1d(np.arange(0, len(x), step), audit)
+        got = truth_of(more)
+        truth = np.concatenate([truth[0], got[0]]), np.concatenate([truth[1], got[1]])
+        audit = np.concatenate([audit, more])
+    probes = _probes(graph, min(1.0, bound + SLACK))
+    probe_truth = graph.scan(probes, bound)
     beam = FIRST_BEAM
     while beam <= MAX_BEAM:
-        pairs, todo, width = [], np.arange(len(x)), beam
-        while len(todo) and width <= MAX_BEAM and width < len(graph.v):
-            full = []
-            for at in range(0, len(todo), STEP_QUERIES):
-                some = todo[at:at + STEP_QUERIES]
-                ids, sims = graph.search(x[some], width)
-                hit = sims >= bound
-                whole = hit.all(axis=1)  # nothing but hits: there may be more
-                full.append(some[whole])
-                hit[whole] = False
-                r, c = np.nonzero(hit)
-                pairs.append((some[r], ids[r, c]))
-            todo, width = np.concatenate(full), 2 * width
-        if len(todo):
-            q, n = graph.scan(x[todo], bound)
-            pairs.append((todo[q], n))
-        q, n = (np.concatenate([p[i] for p in pairs]) if pairs else np.empty(0, np.int64) for i in (0, 1))
-        checked = np.isin(q, audit)
-        found = set(zip(q[checked].tolist(), n[checked].tolist()))
-        if len(truth & found) >= AUDIT_RECALL * len(truth):
-            return q, n, beam
+        # the audit's own queries first: a beam that fails is not tried on the others
+        some = np.unique(np.concatenate([audit, truth[0]]))
+        a, b, scanned = _widened(graph, x[some], beam, bound)
+        place = np.searchsorted(some, truth[0])
+        real = _recall((place, truth[1]), (a, b), scanned)
+        p, r, probes_scanned = _widened(graph, probes, beam, bound)
+        planted = _recall(probe_truth, (p, r), probes_scanned)
+        if (real is None or real >= AUDIT_RECALL) and (probes_scanned.all() or planted is not None and planted >= AUDIT_RECALL):
+            q, n, scanned = _widened(graph, x, beam, bound)
+            return q, n, beam, scanned
         beam *= 2
     q, n = graph.scan(x, bound)
-    return q, n, 0
+    return q, n, 0, np.ones(len(x), bool)
+
+
+def range_search(graph: Graph, x: np.ndarray, audit: np.ndarray, bound: float):
+    """``(query, node, beam)`` of ``audited_search``."""
+    return audited_search(graph, x, audit, bound)[:3]
 
 
 def _classes(kind: str):
@@ -250,9 +312,14 @@ def _build(dtype):
     return run
 
 
+#: A row per query (``links`` of a scanned one), the forest ``u, v``, and links
+#: ``a`` to ``b`` of weight ``w``, whose ``b`` is of shard ``side``.
+FOUND = "c binary, shard long, links long, scanned boolean, u binary, v binary, a binary, b binary, w long, side long, beam long"
+
+
 def _search(dtype, threshold):
     def run(queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
-        columns = ["c", "links", "u", "v", "beam", "audited"]
+        columns = [c.split()[0] for c in FOUND.split(", ")]
         if not len(queries) or not len(graphs):
             return pd.DataFrame([], columns=columns)
         g = graphs.iloc[0]
@@ -264,8 +331,10 @@ def _search(dtype, threshold):
         q = np.stack([np.frombuffer(v, dtype) for v in queries["v"]])
         keys, own = [g["keys"][16 * i:16 * i + 16] for i in range(n)], queries["c"].tolist()
         sample = np.array([i for i, k in enumerate(own) if k[0] % AUDIT_EVERY == 0 or i < 8], np.int64)
-        a, b, beam = range_search(graph, _unit(q), sample, threshold - SLACK)
-        links, parent, edges = np.zeros(len(q), np.int64), {}, []
+        node_of = {k: i for i, k in enumerate(keys)}
+        a, b, beam, scanned = audited_search(graph, _unit(q), sample, threshold - SLACK, np.array([node_of.get(k, -1) for k in own]))
+        links, parent, edges, pairs = np.zeros(len(q), np.int64), {}, [], []
+        weight, home, here = queries["size"].tolist(), queries["home"].tolist(), int(g["shard"])
         sizes = np.frombuffer(g["sizes"], np.int64)
 
         def find(k):
@@ -281,17 +350,62 @@ def _search(dtype, threshold):
             for s, t in zip(i[cosine >= threshold].tolist(), j[cosine >= threshold].tolist()):
                 if own[s] == keys[t]:
                     continue
-                links[s] += sizes[t]
+                if scanned[s]:
+                    links[s] += sizes[t]
+                else:
+                    pairs += [(own[s], keys[t], int(sizes[t]), here), (keys[t], own[s], weight[s], home[s])]
                 p, r = find(own[s]), find(keys[t])
                 if p != r:
                     parent[max(p, r)] = min(p, r)
                     edges.append((own[s], keys[t]))
-        out = pd.DataFrame({"c": own, "links": links, "beam": beam, "audited": len(sample)})
-        return pd.concat([out, pd.DataFrame(edges, columns=["u", "v"], dtype=object)], ignore_index=True)[columns].astype(
-            {"links": "Int64", "beam": "Int64", "audited": "Int64"})
+        out = pd.DataFrame({"c": own, "shard": here, "links": links, "scanned": scanned, "beam": beam})
+        return pd.concat([out, pd.DataFrame(edges, columns=["u", "v"], dtype=object),
+                          pd.DataFrame(pairs, columns=["a", "b", "w", "side"], dtype=object)], ignore_index=True).reindex(columns=columns).astype(
+            {"shard": "Int64", "links": "Int64", "scanned": "boolean", "beam": "Int64", "w": "Int64", "side": "Int64"})
+    return run
+
+
+def _returned(dtype, threshold):
+    """Links of scanned queries seen from the other side, where that searched
+    by beam."""
+    def run(searched: pd.DataFrame, scanned: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(searched) and len(scanned):
+            x, y = (np.stack([np.frombuffer(v, dtype) for v in f["v"]]).astype(np.float64) for f in (searched, scanned))
+            xn, yn = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
+            ux, uy = _unit(x), _unit(y)
+            for at in range(0, len(x), 256):
+                i, j = np.nonzero(ux[at:at + 256] @ uy.T >= threshold - SLACK)
+                i += at
+                on = np.einsum("ij,ij->i", x[i], y[j]) / (xn[i] * yn[j]) >= threshold
+                out.append(pd.DataFrame({"a": searched["c"].to_numpy()[i[on]], "b": scanned["c"].to_numpy()[j[on]],
+                                         "w": scanned["size"].to_numpy()[j[on]], "side": scanned["home"].to_numpy()[j[on]]}))
+            return pd.concat(out)[["a", "b", "w", "side"]]
+        return pd.DataFrame([], columns=["a", "b", "w", "side"])
     return run
 
 
+def _link_counts(found: DataFrame, dealt: DataFrame, dtype, threshold: float) -> DataFrame:
+    """``c, links``: a link counts on both sides, whichever search found it.
+    Scanned queries know all their links in a shard; for the others the pairs
+    that either side found are united."""
+    scanned = found.where("scanned").select("c", "shard")
+    pairs = found.where("a IS NOT NULL").select("a", "b", "w", "side")
+    vectors = dealt.select("c", "d", "v", "size", F.col("shard").alias("home"))
+    if not scanned.isEmpty():
+        far = scanned.join(vectors, "c").withColumnRenamed("shard", "other")
+        far = far.toDF(*far.columns)  # columns of its own: both sides come from one table
+        near = found.where("NOT scanned").select("c", F.col("shard").alias("other")).join(vectors, "c")
+        # shard pairs, so at most the square of the shards
+        met = far.select("d", F.col("home").alias("other"), F.col("other").alias("home")).distinct()
+        near = near.join(met, ["d", "other", "home"], "left_semi")
+        pairs = pairs.unionAll(near.groupBy("d", "home", "other").cogroup(far.groupBy("d", "other", "home")).applyInPandas(
+            _returned(dtype, threshold), "a binary, b binary, w long, side long"))
+    known = scanned.select(F.col("c").alias("a"), F.col("shard").alias("side"))
+    counted = pairs.distinct().join(known, ["a", "side"], "left_anti").select(F.col("a").alias("c"), F.col("w").alias("links"))
+    return found.where("c IS NOT NULL").select("c", "links").unionAll(counted).groupBy("c").agg(F.sum("links").alias("links"))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS,
                     query_rows: int = QUERY_ROWS, embedding: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` per row."""
@@ -309,11 +423,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows
                 .withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "c"), "blocks").cast("int")))
     graphs = cut(dealt.select("d", "shard", "c", "v", "size").groupBy("d", "shard").applyInPandas(
         _build(dtype), "d int, shard int, n int, keys binary, sizes binary, x binary, links array<binary>"))
-    asked = dealt.select("d", "block", "c", "v", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    asked = dealt.select("d", "block", "c", "v", "size", F.col("shard").alias("home"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
     offered = graphs.join(F.broadcast(shape), "d").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("shards", "blocks")
     found = cut(asked.groupBy("d", "shard", "block").cogroup(offered.groupBy("d", "shard", "block")).applyInPandas(
-        _search(dtype, threshold), "c binary, links long, u binary, v binary, beam long, audited long"))
-    links = found.where("c IS NOT NULL").groupBy("c").agg(F.sum("links").alias("links"))
+        _search(dtype, threshold), FOUND))
+    links = _link_counts(found, dealt, dtype, threshold)
     roots = components(found.where("u IS NOT NULL").select("u", "v")).select(F.col("node").alias("c"), "root")
     sizes = dealt.select("c", "size")
     per = sizes.join(links, "c").join(roots, "c", "left").select("c", (F.col("size") - 1 + F.col("links")).alias("n_links"), F.coalesce("root", "c").alias("g"))

@@ -153,3 +153,35 @@ def test_graph_recall_and_saturated_beams():
     ids, _ = graph.search(unit[:500], 64)
     top = np.argsort(-(unit[:500] @ unit.T), axis=1)[:, :10]
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(top.tolist(), ids[:, :10].tolist())]) > 0.8
+
+
+def test_audit_goes_by_query_and_is_never_empty():
+    rng = np.random.default_rng(9)
+    dense = rng.normal(size=32) + 0.05 * rng.normal(size=(700, 32))
+    single = rng.normal(size=(1500, 32))
+    unit = neardup_hnsw._unit(rng.permutation(np.concatenate([dense, single, single + 0.1 * rng.normal(size=single.shape)])))
+    graph = neardup_hnsw.Graph(unit)
+    graph.layers[0][(unit @ unit.T >= 0.95).sum(axis=1) < 50] = -1  # outside the group a beam finds its entry alone
+    for x in (unit, neardup_hnsw._unit(rng.normal(size=(400, 32)))):  # many pairs by few queries; no pairs at all
+        q, n, beam = neardup_hnsw.range_search(graph, x, np.arange(0, len(x), 48), 0.95)
+        assert beam == 0 and len(q) == (x @ unit.T >= 0.95).sum()
+
+
+def test_a_link_found_from_one_side_counts_on_both(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    near = rng.normal(size=(100, 16))
+    x = np.concatenate([rng.normal(size=16) + 0.05 * rng.normal(size=(60, 16)), near, near + 0.03 * rng.normal(size=near.shape), near[:9]])
+    x = x.astype(np.float32).astype(np.float64)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+
+    def one_sided(graph, q, audit, bound, own):
+        """A third scanned; the others find each link from its later end only."""
+        a, b = graph.scan(q, bound)
+        scanned = np.arange(len(q)) % 3 == 0
+        on = scanned[a] | (b <= a)
+        return a[on], b[on], 16, scanned
+
+    monkeypatch.setattr(neardup_hnsw, "audited_search", one_sided)
+    got = {r["vec_id"]: r["n_links"] for r in neardup_hnsw.near_duplicates(vectors(spark, rows, "double")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert got == dict(enumerate(((unit @ unit.T >= 0.95).sum(axis=1) - 1).tolist()))
