@@ -33,21 +33,28 @@ ROUNDS = 6
 
 # The patterns of the kinds, in order of preference at one place.
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# By fours: countries whose numbers end in a full group, the others in a short one.
+_GROUPED = "|".join([*(f"(?:{c})[0-9]{{2}}(?: [0-9A-Z]{{4}}){{{n}}}" for n, c in (
+    (3, "BE"), (4, "AT|BA|EE|KZ|LT|LU|XK"), (5, "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG"), (6, "AL|AZ|BY|CY|DO|GT|HU|LB|PL|SV"), (7, "LC"))),
+    "[A-Z]{2}[0-9]{2}(?: [0-9A-Z]{4}){2,7} [0-9A-Z]{1,3}"])
+_COUNTRY = r"(?:\+1[ .-]?|1[ .-])"
+_PHONE = (rf"(?:{_COUNTRY}(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[ .-])|(?:\+?1[ .-]?)?(?:\([2-9][0-9]{{2}}\) ?|[2-9][0-9]{{2}}[ .-]))"
+          "[2-9][0-9]{2}[ .-][0-9]{4}")
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|[Pp]assword ?[=:] ?[0-9a-zA-Z]{6,}|(?<=[\"'])[0-9a-f]{32,64}(?=[\"']))",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{13,26}(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|[Pp]assword ?[=:] ?[0-9a-zA-Z]{6,}|(?<=[\"'])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?=[\"']))",
+    "iban": rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}[0-9]{{2}}[0-9A-Z]{{11,30}}|{_GROUPED})(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9A-Za-z/-]|\.[0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
+    "phone": rf"(?<![0-9A-Za-z]){_PHONE}(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9A-Za-z])",
 }
 KINDS = list(PATTERNS)
 PATTERN = "|".join(PATTERNS[k] for k in KINDS)
 # Character classes of the masks; x stays as it is.
 CLASSES = {"d": "0123456789", "n": "23456789", "l": "abcdefghijklmnopqrstuvwxyz",
-           "u": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "0123456789abcdef"}
+           "u": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "0123456789abcdef", "H": "0123456789ABCDEF", "b": "01"}
 DAY_MODULI = (627, 233)  # their product is the days of 400 years
 FIRST_DAY, YEARS = "1800-01-01", (1800, 2199)
 
@@ -132,17 +139,21 @@ def _kinds(v: str, key: str) -> dict[str, str]:
     head = f"regexp_extract({v}, '^(AKIA|[Pp]assword ?[=:] ?)?', 0)"
     body = f"substr({v}, length({head}) + 1)"
     hexes = f"{body} RLIKE '^[0-9a-f]*$'"
-    mask = f"CASE WHEN {hexes} THEN repeat('h', length({body})) ELSE {_plain(body)} END"
+    upper = f"length({head}) = 0 AND {body} RLIKE '^[0-9A-F]*$'"
+    mask = f"CASE WHEN {hexes} THEN repeat('h', length({body})) WHEN {upper} THEN repeat('H', length({body})) ELSE {_plain(body)} END"
     out["secret"] = f"concat({head}, {feistel_chars(body, mask, 'secret', key)})"
 
-    country = f"substr({v}, 1, 2)"
-    as_digits = f"concat(CAST(ascii(substr({v}, 1, 1)) - 55 AS STRING), CAST(ascii(substr({v}, 2, 1)) - 55 AS STRING))"
-    account = f"substr({v}, 5)"
-    new = feistel_chars(account, f"repeat('d', length({account}))", "iban", key)
-    mod = lambda x: f"CAST(CAST({x} AS DECIMAL(38, 0)) % 97 AS INT)"
-    valid = f"{mod(f'concat({account}, {as_digits}, substr({v}, 3, 2))')} = 1"
-    check = f"lpad(CAST(98 - {mod(f'concat(a, {as_digits}, {_q('00')})')} AS STRING), 2, '0')"
-    out["iban"] = f"CASE WHEN {valid} THEN {_let('a', new, f'concat({country}, {check}, a)')} END"
+    # spaces are no part of the value; letters count as 10 to 35
+    mod = lambda x: (f"aggregate(filter(split({x}, ''), c -> c <> ''), 0, (m, c) -> "
+                     "(m * IF(c RLIKE '[A-Z]', 100, 10) + IF(c RLIKE '[A-Z]', ascii(c) - 55, CAST(c AS INT))) % 97)")
+    account, country = "substr(o, 5)", "substr(o, 1, 2)"
+    new = feistel_chars(account, _plain(account), "iban", key)
+    check = f"lpad(CAST(98 - {mod(f'concat(a, {country}, {_q('00')})')} AS STRING), 2, '0')"
+    placed = (f"array_join(transform(filter(split({v}, ''), c -> c <> ''), (c, i) -> IF(c = ' ', c, "
+              f"substr(p, length(replace(substr({v}, 1, i), ' ', '')) + 1, 1))), '')")
+    valid = f"{mod(f'concat({account}, substr(o, 1, 4))')} = 1"
+    out["iban"] = _let("o", f"replace({v}, ' ', '')", f"CASE WHEN {valid} THEN "
+                       f"{_let('a', new, _let('p', f'concat({country}, {check}, a)', placed))} END")
 
     octets = [f"CAST(split_part({v}, '.', {i}) AS BIGINT)" for i in (1, 2, 3, 4)]
     number = f"({octets[0]} * 16777216 + {octets[1]} * 65536 + {octets[2]} * 256 + {octets[3]})"
@@ -161,7 +172,8 @@ def _kinds(v: str, key: str) -> dict[str, str]:
     out["ssn"] = f"CASE WHEN {valid} THEN {_let('p', new, f'concat_ws({_q('-')}, {pads})')} END"
 
     ten = f"substr({_digits(v)}, -10)"
-    new = feistel_chars(ten, "'nddndddddd'", "phone", key)
+    # area codes from 0 or 1 stay among themselves, so a number links with and without its country code
+    new = feistel_chars(ten, f"IF({ten} RLIKE '^[01]', 'bddndddddd', 'nddndddddd')", "phone", key)
     out["phone"] = _let("p", f"concat(substr({_digits(v)}, 1, length({_digits(v)}) - 10), {new})", _reformat(v, "p"))
 
     d = _digits(v)
@@ -179,9 +191,9 @@ def _replaced(key: str) -> str:
     how = _kinds("v", key)
     whole = {k: PATTERNS[k] for k in KINDS}
     # kinds are told apart by their own shapes; look-arounds do not matter here
-    tests = {"email": "v LIKE '%@%'", "secret": "v RLIKE '^(AKIA|[Pp]assword)|^[0-9a-f]{32,64}$'", "iban": "v RLIKE '^[A-Z]{2}[0-9]'",
+    tests = {"email": "v LIKE '%@%'", "secret": "v RLIKE '^(AKIA|[Pp]assword)|^[0-9a-f]{32,64}$|^[0-9A-F]{32,64}$'", "iban": "v RLIKE '^[A-Z]{2}[0-9]'",
              "ip": "v RLIKE '^([0-9]{1,3}[.]){3}[0-9]{1,3}$'", "date": "v RLIKE '^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$'",
-             "ssn": "v RLIKE '^[0-9]{3}-[0-9]{2}-[0-9]{4}$'", "phone": r"v RLIKE '^([+]?1[ .-]?)?([(][2-9][0-9]{2}[)] ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}$'"}
+             "ssn": "v RLIKE '^[0-9]{3}-[0-9]{2}-[0-9]{4}$'", "phone": f"v RLIKE {_q(f'^{_PHONE}$')}"}
     kind = "CASE " + " ".join(f"WHEN {tests[k]} THEN '{k}'" for k in whole if k in tests) + " ELSE 'card' END"
     new = "CASE k " + " ".join(f"WHEN '{k}' THEN {how[k]}" for k in whole) + " END"
     return _let("k", kind, _let("w", new, "named_struct('kind', IF(w IS NULL, NULL, k), 'value', coalesce(w, v))"))

@@ -166,3 +166,30 @@ def test_pseudonyms_edge_rows(spark):
     assert pii.pseudonymise(edge.frame(spark, [])).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_pseudonyms_of_any_area_code_account_letters_and_upper_hex(spark):
+    def mod(v):
+        v = v.replace(" ", "")
+        return int("".join(str(int(ch, 36)) for ch in v[4:] + v[:4])) % 97
+
+    ibans = ["GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "NL91ABNA0417164300", "FR14 2004 1010 0505 0001 3M02 606",
+             "DE89 3704 0044 0532 0130 00", "AT61 1904 3002 3457 3201", "MT84MALT011000012345MTLCAST001S"]
+    phones = ["+1 (017) 555-7713", "+1 (939) 555-8456", "(939) 555-8456", "+1 (117) 555-7713"]
+    secrets = ['"0123456789ABCDEF0123456789ABCDEF"', "'0123456789abcdef0123456789abcdef'"]
+    rows = [(i, f"x {v} AND y", None, None) for i, v in enumerate(ibans + phones + secrets)]
+    rows += [(100, "GB83 WEST 1234 5698 7654 32, (017) 555-7713", None, None)]
+    out = {r["doc_id"]: r for r in pii.pseudonymise(edge.frame(spark, rows, clash=False)).collect()}
+    new = [out[i]["text"][2:-6] for i in range(len(rows) - 1)]
+    kinds = ["iban"] * len(ibans) + ["phone"] * len(phones) + ["secret"] * len(secrets)
+    for i, (old, kind) in enumerate(zip(ibans + phones + secrets, kinds)):
+        assert out[i]["pii_kinds"] == kind and out[i]["pii_count"] == 1 and new[i] != old and len(new[i]) == len(old), (old, new[i])
+        assert out[i]["text"][:2] == "x " and out[i]["text"][-6:] == " AND y"
+    for old, v in zip(ibans, new):
+        assert mod(v) == 1 and re.sub("[A-Z]", "u", re.sub("[0-9]", "0", v)) == re.sub("[A-Z]", "u", re.sub("[0-9]", "0", old)) and v[:2] == old[:2]
+    assert new[0].replace(" ", "") == new[1]
+    at = len(ibans)
+    assert new[at + 1][3:] == new[at + 2] and len(set(new[at:at + 2] + new[at + 3:at + 4])) == 3
+    assert all(re.fullmatch(r"\+1 \(\d{3}\) [2-9]\d\d-\d{4}", new[k]) for k in (at, at + 1, at + 3))
+    assert re.fullmatch('"[0-9A-F]{32}"', new[-2]) and re.fullmatch("'[0-9a-f]{32}'", new[-1])
+    assert out[100]["text"] == rows[-1][1] and out[100]["pii_count"] == 0
