@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daycast.llm.common import crc_mod, text_batches
@@ -172,14 +172,18 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], np.nd
     lang`` rows."""
     with_letters = labelled.where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'").select("text", "lang")
     idf = inverse_frequencies(with_letters)
-    per = {r["lang"]: r["count"] for r in with_letters.groupBy("lang").count().collect()}  # one row per label
+    drawn = with_letters.withColumn("h", F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 62)))
+    # distinct texts of each label (one row per label), so copies neither fill nor empty the sample
+    per = {r["lang"]: r["n"] for r in drawn.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     labels = sorted(per)
     if not labels:
         return [], np.zeros((SLOTS + 1, 0), np.float32), idf
     share = -(-rows // len(labels))
-    rate = F.create_map(*[v for k in labels for v in (F.lit(k), F.lit(min(1.0, share / per[k])))])
-    h = F.xxhash64(F.lit("sample"), "text")
-    picked = with_letters.withColumn("h", h).where((F.pmod("h", F.lit(1 << 30)) / float(1 << 30)) < rate[F.col("lang")])
+    # candidates, about twice the share or all, then the share with the smallest hashes
+    below = F.create_map(*[v for k in labels for v in (F.lit(k), F.lit(int(min(1.0, (2 * share + 100) / per[k]) * (1 << 62))))])
+    candidates = drawn.where(F.col("h") < below[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    picked = candidates.withColumn("place", place).where(F.col("place") <= share).drop("place")
     # a bounded sample, fitted by one task
     fitted = picked.groupBy(F.lit(0).alias("_all")).applyInPandas(_fit(idf, labels), "label string, w binary").collect()
     w = {r["label"]: np.frombuffer(bytes(r["w"]), np.float32) for r in fitted}

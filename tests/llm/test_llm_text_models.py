@@ -198,6 +198,17 @@ def test_language_accuracy_and_edge_rows(spark):
     assert {r["lang_pred"] for r in langid.language_report(unlabelled).collect()} == {"und"}
 
 
+def test_language_sample_is_of_distinct_texts(spark):
+    """A label that is nearly all copies of one text, and one that is nothing else."""
+    rows = [("the and of this " + edge.prose(0, 9), "en")] * 900 + [(f"the and of this {edge.prose(i, 9)}", "en") for i in range(1, 31)]
+    rows += [("le la les des une", "fr")] * 400
+    labels, w, _ = langid.train(spark.createDataFrame(rows, "text string, lang string"), rows=20)
+    assert labels == ["en", "fr"] and w.shape[1] == 2
+    docs = spark.createDataFrame([(1, "the and of this river"), (2, "le la les des une")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, (labels, w, _)).collect()}
+    assert got == {1: "en", 2: "fr"}
+
+
 def test_lm_scores(spark):
     rows = [(i, edge.prose(i % 40, 30 + i % 17), None, None) for i in range(150)] + edge.ROWS
     held = lambda d: zlib.crc32(str("" if d is None else d).encode()) % 5 == 1
