@@ -1,9 +1,14 @@
-"""Hand-made daily tables for edge cases."""
+"""Paths of the given tables and hand-made daily tables for edge cases."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import types as T
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
+
 DAILY_SCHEMA = T.StructType([
     T.StructField("day", T.DateType()),
     T.StructField("blocks_count", T.LongType()),

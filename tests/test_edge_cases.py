@@ -156,7 +156,7 @@ def test_empty_split_raises(spark):
 
 
 def test_price_lag_variant_has_111_features(spark):
-    from conftest import SF_SMALL
+    from fixtures import SF_SMALL
     from daycast import registry as R
     from daycast.operators.split import training_frame
     ft = feature_table(R._enriched(spark, SF_SMALL), price_lags=True)

@@ -90,7 +90,7 @@ def test_true_delta_reconstructs_label(spark):
 
 
 def test_keyed_end_to_end_run(spark, tmp_path):
-    from conftest import SF_SMALL
+    from fixtures import SF_SMALL
     from daycast.plans.end_to_end import run_end_to_end
     from daycast.sources import testdata as td
     res = run_end_to_end(spark, td.blocks(spark, SF_SMALL, with_series=True), td.price_history(spark, SF_SMALL),
@@ -165,7 +165,7 @@ def test_seeded_models_do_not_depend_on_the_cores(tmp_path):
     import os
     import subprocess
     import sys
-    from conftest import ROOT
+    from fixtures import ROOT
     out = []
     for cores in (2, 4):
         code = FOREST.format(root=ROOT, tests=os.path.join(ROOT, "tests"), cores=cores, ckpt=str(tmp_path / f"c{cores}"))

@@ -3,7 +3,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 from oracle.registry import ORACLES
 

@@ -1,6 +1,6 @@
 """Physical-plan properties: pushdown, pruning, one exchange for all windows."""
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from daycast import registry as R
 from daycast.operators.rollup import daily_rollup
 from daycast.sources import testdata as td

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 from daycast.operators.output import bounded_sample
 from daycast.operators.report import residual_histogram
 from daycast.operators.rollup import daily_rollup
