@@ -185,3 +185,9 @@ SELECT e.vec_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_links, min(r.m
        e.vec_id = min(r.m) AS kept
 FROM e JOIN r ON r.vec_id = e.vec_id LEFT JOIN n ON n.u = e.vec_id GROUP BY e.vec_id
 """
+
+
+@register("op13_sentencepiece")
+def op13(spark, sf_dir):
+    from daycast.llm.pieces import piece_digests
+    return piece_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
