@@ -191,3 +191,69 @@ FROM e JOIN r ON r.vec_id = e.vec_id LEFT JOIN n ON n.u = e.vec_id GROUP BY e.ve
 def op13(spark, sf_dir):
     from daycast.llm.pieces import piece_digests
     return piece_digests(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@register("op11_conversation_repair")
+def op11(spark, sf_dir):
+    from daycast.llm.conversations import repair_report
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
+# A forward programme over whole prefixes: the best (cost, edits, lines) of each state.
+ORACLES["op11_conversation_repair"] = r"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM range(256) AS r(i)),
+k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), '') AS key
+  FROM conversations),
+f AS (
+  SELECT k.* EXCLUDE (key), xor(list_reduce(list_prepend(4294967295, list_transform(key, lambda x: CAST(ascii(x) AS BIGINT))),
+         lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS f
+  FROM k, t),
+d AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE f WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM f),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+r AS (
+  SELECT conv_id, turn, role, text, i, role[1:1] AS ini, NOT regexp_matches(text, '[^ 	-]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') AS cut,
+         lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM p),
+n AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again) AS duplicate,
+         count(*) FILTER (NOT blank AND NOT again AND cut) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id),
+ins(s, z, e, lines) AS (VALUES (0, 0, '', ''), (1, 1, '', ''), (2, 2, '', ''), (3, 3, '', ''),
+  (0, 2, 'I', 'user:'), (1, 2, 'I', 'user:'), (3, 2, 'I', 'user:'), (2, 3, 'I', 'assistant:'),
+  (0, 3, 'II', 'user:' || chr(10) || 'assistant:'), (1, 3, 'II', 'user:' || chr(10) || 'assistant:')),
+act(z, ini, e, y) AS (VALUES (0, 's', 'K', 1), (0, 'u', 'K', 2), (1, 'u', 'K', 2), (3, 'u', 'K', 2), (2, 'a', 'K', 3),
+  (0, NULL, 'R', 2), (1, NULL, 'R', 2), (3, NULL, 'R', 2), (2, NULL, 'R', 3), (0, NULL, 'D', 0), (1, NULL, 'D', 1), (2, NULL, 'D', 2), (3, NULL, 'D', 3)),
+b(conv_id, i, s, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': ''} FROM conversations
+  UNION ALL
+  SELECT b.conv_id, r.i, act.y, min({
+    'cost': best.cost + 3 * length(ins.e) + CASE act.e WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN act.e <> 'D' AND cut THEN 3 ELSE 0 END,
+    'audit': best.audit || ins.e || act.e,
+    'lines': best.lines || CASE WHEN ins.e = '' THEN '' ELSE chr(10) || ins.lines END
+      || CASE act.e WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text ELSE chr(10) || CASE act.y WHEN 2 THEN 'user:' ELSE 'assistant:' END || text END})
+  FROM b JOIN r ON r.conv_id IS NOT DISTINCT FROM b.conv_id AND r.i = b.i + 1
+  JOIN ins ON ins.s = b.s JOIN act ON act.z = ins.z AND (act.ini IS NULL OR act.ini = r.ini) AND (act.e = 'D' OR NOT (blank OR again))
+  GROUP BY b.conv_id, r.i, act.y),
+w AS (
+  SELECT b.conv_id, min({'cost': best.cost + 3 * length(ins.e), 'audit': best.audit || ins.e,
+         'lines': best.lines || CASE WHEN ins.e = '' THEN '' ELSE chr(10) || ins.lines END}) AS best
+  FROM b LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM b.conv_id JOIN ins ON ins.s = b.s
+  WHERE b.i = coalesce(n.n, 0) AND (ins.z = 3 OR b.s = 0 AND ins.z = 0) GROUP BY b.conv_id)
+SELECT w.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+       sha256(best.lines[2:]) AS repaired_sha256
+FROM w LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM w.conv_id
+"""
