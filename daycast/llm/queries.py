@@ -219,9 +219,12 @@ d AS (
   FROM f),
 p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
 r AS (
-  SELECT conv_id, turn, role, text, i, role[1:1] AS ini, NOT regexp_matches(text, '[^ 	-]') AS blank,
+  SELECT conv_id, turn, role, text, i, role[1:1] AS ini, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
          row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
-         regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') AS cut,
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') AS cut,
          lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS before
   FROM p),
 n AS (
@@ -257,3 +260,39 @@ SELECT w.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank
        sha256(best.lines[2:]) AS repaired_sha256
 FROM w LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM w.conv_id
 """
+
+
+@register("op12_phrase_collocations")
+def op12(spark, sf_dir):
+    from daycast.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrase_collocations"] = r"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+g AS (
+  SELECT lang, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase FROM (
+    SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS m))),
+f AS (SELECT lang, m, phrase, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY lang, m, phrase),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 10),
+u AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, a FROM c WHERE m = 3
+    UNION ALL SELECT lang, array_to_string(ws[2:3], ' ') AS phrase, a FROM c WHERE m = 3) GROUP BY lang, phrase),
+k AS (
+  SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y FROM (
+    SELECT c.*, unnest(range(1, m)) AS k FROM c LEFT JOIN u USING (lang, phrase) WHERE most IS NULL OR 100 * most < 50 * a)),
+s AS (
+  SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r, (1000000 * k.a * k.a) // (l.f * r.f) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.phrase = k.x JOIN f r ON r.lang = k.lang AND r.phrase = k.y),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
