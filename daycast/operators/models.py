@@ -1,8 +1,9 @@
-"""M1–M8: Spark ML pipelines on the delta target.
+"""M1–M8: regression models on the delta target.
 
-All fitting is distributed Spark ML (tree learners aggregate split statistics
-per partition; the linear model uses one distributed normal-equation pass or
-L-BFGS/OWL-QN passes for wide data).  The training table is at day grain, so
+Linear, tree and forest models are Spark ML pipelines (tree learners aggregate
+split statistics per partition; the linear model uses one distributed
+normal-equation pass or L-BFGS/OWL-QN passes for wide data); boosting is
+:mod:`daycast.operators.boosting`.  The training table is at day grain, so
 its size is bounded by the calendar, not by the raw data."""
 
 from __future__ import annotations
@@ -19,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daycast.functions.transforms import reconstruct
+from daycast.operators.boosting import BoostedTreesModel, BoostParams, boost
 
 TARGET = "label_diff"
 
 # The forest caches node ids per row instead of shipping 200 growing trees
 # every pass (same result, ~10 % faster measured; the cache is checkpointed
 # every 10 iterations into the shared checkpoint folder).  For one tree per
-# pass (tree, boosting) the checkpoints cost more than they save.  Row samples
-# are drawn per input partition, so the training rows get one fixed layout
+# pass (tree, plain GBT) the checkpoints cost more than they save.  Row samples
+# of Spark ML are drawn per input partition, so the training rows get one fixed layout
 # (``training_layout``): a seed gives the same forest on every cluster.
 
 
@@ -46,7 +48,8 @@ class ModelParams:
     gbt_step: float = 0.05
     gbt_max_depth: int = 6
     gbt_subsample: float = 0.8
-    gbt_feature_subset: str = "0.8"
+    gbt_feature_subset: str = "0.8"   # per tree in boosted_trees, per node in the plain GBT
+    gbt_l2: float = 1.0
     gbt_rounds: int = 600
     # own parameter: partitions of the training rows, part of what a seed means
     train_partitions: int = 8
@@ -90,11 +93,15 @@ def random_forest(p: ModelParams) -> RandomForestRegressor:
                                  cacheNodeIds=True)
 
 
-def boosted_trees(p: ModelParams) -> GBTRegressor:
-    """M6: Spark's gradient-boosted trees with squared loss.
+def boosted_trees(p: ModelParams) -> BoostParams:
+    """M6: squared loss with an L2 leaf penalty, rows and columns sampled per tree."""
+    return BoostParams(rounds=p.gbt_rounds, learning_rate=p.gbt_step, max_depth=p.gbt_max_depth,
+                       row_share=p.gbt_subsample, column_share=float(p.gbt_feature_subset), l2=p.gbt_l2, seed=p.seed)
 
-    Learning rate, depth, row subsample and per-node column sampling map
-    one-to-one; an L2 leaf penalty has no Spark counterpart and is not used."""
+
+def gbt_regressor(p: ModelParams) -> GBTRegressor:
+    """The plain boosting learner that older runs name: no leaf penalty, columns
+    sampled per node, several jobs a round."""
     return GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="prediction",
                         lossType="squared", stepSize=p.gbt_step, maxDepth=p.gbt_max_depth,
                         subsamplingRate=p.gbt_subsample, featureSubsetStrategy=p.gbt_feature_subset,
@@ -109,8 +116,8 @@ def pipeline_for(name: str, feature_cols: Sequence[str], p: ModelParams) -> Pipe
         return Pipeline(stages=[asm, decision_tree(p)])
     if name == "random_forest":
         return Pipeline(stages=[asm, random_forest(p)])
-    if name in ("boosted_trees", "gbt_regressor", "xgboost"):
-        return Pipeline(stages=[asm, boosted_trees(p)])
+    if name == "gbt_regressor":
+        return Pipeline(stages=[asm, gbt_regressor(p)])
     raise ValueError(f"unknown model {name!r}")
 
 
@@ -120,11 +127,13 @@ def training_layout(train: DataFrame, p: ModelParams, keys: Sequence[str] = ())
     return train.repartition(p.train_partitions, "date").sortWithinPartitions("date", *keys)
 
 
-def fit(name: str, train: DataFrame, feature_cols: Sequence[str], p: ModelParams) -> PipelineModel:
+def fit(name: str, train: DataFrame, feature_cols: Sequence[str], p: ModelParams) -> PipelineModel | BoostedTreesModel:
+    if name in ("boosted_trees", "xgboost"):
+        return boost(train, feature_cols, TARGET, boosted_trees(p))
     return pipeline_for(name, feature_cols, p).fit(train)
 
 
-def score(model: PipelineModel, test: DataFrame, name: str | None = None,
+def score(model: PipelineModel | BoostedTreesModel, test: DataFrame, name: str | None = None,
           reconstruct_delta: bool = True) -> DataFrame:
     """M7 scoring half: transform, then delta → log → raw reconstruction.
 

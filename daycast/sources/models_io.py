@@ -7,16 +7,26 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from daycast.operators.boosting import MODEL_CLASS, BoostedTreesModel
 from daycast.operators.models import PREFERRED_ORDER, score
 
 
-def model_save(model: PipelineModel, run_dir: str, name: str) -> str:
+def model_save(model: PipelineModel | BoostedTreesModel, run_dir: str, name: str) -> str:
     """Overwrite-save under ``<run_dir>/<name>``."""
     path = run_dir.rstrip("/") + "/" + name
-    model.write().overwrite().save(path)
+    if isinstance(model, BoostedTreesModel):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
+def model_load(spark: SparkSession, path: str) -> PipelineModel | BoostedTreesModel:
+    """A saved model, by the class its metadata names."""
+    kind = model_metadata(spark, path).select("class").first()[0]
+    return BoostedTreesModel.load(spark, path) if kind == MODEL_CLASS else PipelineModel.load(path)
+
+
 def model_metadata(spark: SparkSession, path: str) -> DataFrame:
     """The saved pipeline's metadata record (class, uid, Spark version, params)."""
     return spark.read.json(path.rstrip("/") + "/metadata")
@@ -55,7 +65,7 @@ def model_load_score(run_dir: str, test: DataFrame, names: Sequence[str] | None
     directly (see ``models.score``)."""
     out = None
     for name in discover_models(test.sparkSession, run_dir, names):
-        pred = score(PipelineModel.load(run_dir.rstrip("/") + "/" + name), test, name, reconstruct_delta)
+        pred = score(model_load(test.sparkSession, run_dir.rstrip("/") + "/" + name), test, name, reconstruct_delta)
         out = pred if out is None else out.unionByName(pred)
     if out is None:
         raise RuntimeError(f"{run_dir} holds no saved model")
