@@ -193,7 +193,7 @@ def feature_table(daily: DataFrame, label: str = "tx_count", series: Sequence[st
     plus their 30-row look-back.  Equal to the full table filtered to
     ``date >= since`` (the input must already be filled, and ``t`` still counts
     from the series' first date).  With a stored daily table as input
-    (:func:`daycast.plans.enriched.extend_daily`) no old raw data is read.
+    (:class:`daycast.plans.store.DailyStore`) no old raw data is read.
 
     A (series, date) that occurs twice raises when the rows are computed."""
     series = list(series)

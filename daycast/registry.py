@@ -33,10 +33,11 @@ from daycast.operators.rollup import date_bounds, daily_rollup, raw_projection,
 from daycast.operators.schema import ensure_date, resolve_label, select_metrics
 from daycast.operators.split import drop_incomplete, time_split, training_frame
 from daycast.operators.windows import ordered_window
-from daycast.plans.enriched import enriched_daily, extend_daily
+from daycast.plans.enriched import enriched_daily
 from daycast.plans.features import feature_levels, feature_table, prepare_daily
 from daycast.plans.end_to_end import run_end_to_end
 from daycast.plans.report import run_report
+from daycast.plans.store import DailyStore
 from daycast.plans.train import fit_models, train_and_compare
 from daycast.session import shared_dir
 from daycast.sources import testdata as td
@@ -620,15 +621,38 @@ def q_feature_table_bucketed(spark, sf):
     return feature_table(daily, bucket_rows=365)
 
 
+def refreshed_store(spark, sf, path):
+    """A daily store that holds every raw day before the test start."""
+    store = DailyStore(spark, path)
+    store.replace_from(_blocks(spark, sf), td.price_history(spark, sf), end=DAY_BEFORE_TEST)
+    return store
+
+
+def features_after_refresh(spark, sf, store):
+    """Raw days from the test start on are rolled up and added; features of them."""
+    store.replace_from(_blocks(spark, sf), td.price_history(spark, sf), TEST_START)
+    return feature_table(store.read(), since=TEST_START)
+
+
 @register("feature_table_since")
 def q_feature_table_since(spark, sf):
-    """E1 refreshed from the test start on: the daily table up to then is
-    stored by month; only the raw days after it are rolled up and appended."""
-    stored = _scratch(spark, "stored")
-    old = enriched_daily(_blocks(spark, sf), td.price_history(spark, sf), end=DAY_BEFORE_TEST)
-    write_month_partitioned(old, stored)
-    daily = extend_daily(spark, stored, _blocks(spark, sf), td.price_history(spark, sf), TEST_START)
-    return feature_table(daily, since=TEST_START)
+    """E1 refreshed from the test start on: only raw days from there are scanned."""
+    return features_after_refresh(spark, sf, refreshed_store(spark, sf, _scratch(spark, "store")))
+
+
+@register("daily_refresh")
+def q_daily_refresh(spark, sf):
+    """E2 through a keyed store: a first load up to the test start, a refresh from
+    there, then late rows of all days (every fifth count); no price before
+    ``RANGE_START``, so the first days are filled from later ones."""
+    blocks = _blocks(spark, sf, series=True)
+    price = td.price_history(spark, sf).where(F.col("Date") >= F.lit(RANGE_START).cast("date"))
+    late = F.col("txCount") % 5 == 0
+    store = DailyStore(spark, _scratch(spark, "store"), ["series"])
+    store.replace_from(blocks.where(~late), price, end=DAY_BEFORE_TEST)
+    store.replace_from(blocks.where(~late), price, TEST_START)
+    store.add_rows(blocks.where(late), price)
+    return store.read()
 
 
 @register("enriched_daily")

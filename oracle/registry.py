@@ -293,6 +293,9 @@ FROM long GROUP BY space, date""", ["real", "persistence", "drift"])
 
 # --- 2.11 end to end ---------------------------------------------------------------------
 
+add("daily_refresh", S.with_(S.blocks_cte(True), S.daily_cte(series=True),
+                             S.PRICE_RAW_CTE.replace("GROUP BY 1", f"WHERE CAST(o_orderdate AS DATE) >= DATE '{RANGE_START}' GROUP BY 1"),
+                             S.PRICE_CTE, S.merged_cte(True)) + "SELECT * FROM merged", DAILY_DOUBLES + ["price_usd"])
 add("enriched_daily", S.with_(ENR) + "SELECT * FROM merged", DAILY_DOUBLES + ["price_usd"])
 add("feature_table", S.with_(ENR, FEAT) + "SELECT * FROM features", FEATURES)
 add("feature_table_bucketed", S.with_(ENR, FEAT) + "SELECT * FROM features", FEATURES)

@@ -130,19 +130,3 @@ def test_report_plan_reloads_scores_and_summarises(spark, tmp_path):
     back = spark.read.json(str(tmp_path / "report" / "metrics_summary")).first()
     assert back["models_loaded"] == ["linear_regression", "decision_tree"]
     assert rep.residuals.count() == 2 * 2 * 40 and rep.overlay.count() == 2 * rep.predictions.where("model = 'decision_tree'").count()
-
-
-def test_extended_daily_table_equals_the_whole_one(spark, tmp_path):
-    from daycast.plans.enriched import enriched_daily, extend_daily
-    for series in ([], ["series"]):
-        blocks = td.blocks(spark, SF_SMALL, with_series=bool(series))
-        price = td.price_history(spark, SF_SMALL).where("Date < '1999-12-20' OR Date > '2000-02-10'")
-        whole = enriched_daily(blocks, price, series=series)
-        stored = str(tmp_path / f"stored{len(series)}")
-        write_month_partitioned(whole.where("day < '2000-01-17'"), stored)
-        got = extend_daily(spark, stored, blocks, price, "2000-01-17", series).drop("year_month")
-        cols = whole.columns
-        a, b = ([tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in d.select(cols).orderBy(*series, "day").collect()] for d in (got, whole))
-        assert a == b
-    plan = daily_rollup(blocks, "2000-01-17", None)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(l_shipdate,2000-01-17" in plan
