@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from daycast.functions.transforms import reconstruct
 from daycast.operators.boosting import BoostedTreesModel, BoostParams, boost
+from daycast.operators.gram import SeriesLinearModel
 
 TARGET = "label_diff"
 
@@ -127,13 +128,20 @@ def training_layout(train: DataFrame, p: ModelParams, keys: Sequence[str] = ())
     return train.repartition(p.train_partitions, "date").sortWithinPartitions("date", *keys)
 
 
-def fit(name: str, train: DataFrame, feature_cols: Sequence[str], p: ModelParams) -> PipelineModel | BoostedTreesModel:
+Model = PipelineModel | BoostedTreesModel | SeriesLinearModel
+
+
+def fit(name: str, train: DataFrame, feature_cols: Sequence[str], p: ModelParams, keys: Sequence[str] = ()) -> Model:
+    """Fit one model; ``linear_per_series`` fits one for each value of ``keys``, the
+    others one over all rows."""
     if name in ("boosted_trees", "xgboost"):
         return boost(train, feature_cols, TARGET, boosted_trees(p))
+    if name == "linear_per_series":
+        return SeriesLinearModel.fit(train, feature_cols, TARGET, p.lr_regparam, p.lr_elasticnet, keys)
     return pipeline_for(name, feature_cols, p).fit(train)
 
 
-def score(model: PipelineModel | BoostedTreesModel, test: DataFrame, name: str | None = None,
+def score(model: Model, test: DataFrame, name: str | None = None,
           reconstruct_delta: bool = True) -> DataFrame:
     """M7 scoring half: transform, then delta → log → raw reconstruction.
 

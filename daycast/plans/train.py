@@ -35,7 +35,7 @@ def fit_models(train: DataFrame, feats: Sequence[str], p: M.ModelParams, keys: S
     out once and cached while the models are fitted."""
     rows = M.training_layout(train, p, keys).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: M.fit(name, rows, feats, p) for name in p.models}
+        return {name: M.fit(name, rows, feats, p, keys) for name in p.models}
     finally:
         rows.unpersist()
 

