@@ -20,6 +20,8 @@ variance gets coefficient 0; a target without variance gives the mean."""
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -185,14 +187,14 @@ def score_linear(rows: DataFrame, models: DataFrame, feature_cols: Sequence[str]
     """``rows`` (complete ones) with ``prediction`` of their series' model; rows of a
     series without a model are left out."""
     ready = complete(rows.drop("prediction"), feature_cols)
-    m = models.select(*[F.col(k).alias(f"_{k}") for k in by], F.col("intercept").alias("_b"), F.col("coefficients").alias("_w"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by] or [F.lit(True)]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    joined = ready.join(m, on)
-    terms = [F.col(c).cast("double") * F.get("_w", F.lit(i)) for i, c in enumerate(feature_cols)]
-    total = F.aggregate(F.array(*terms), F.col("_b"), lambda s, t: s + t)
+    m = F.struct(F.col("intercept").alias("b"), F.col("coefficients").alias("w")).alias("_m")
+    if by:
+        models = models.select(*[F.col(k).alias(f"_{k}") for k in by], m)
+        joined = ready.join(models, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]))
+    else:
+        joined = ready.withColumn("_m", models.select(m).scalar())  # one row
+    x = F.array(*[F.col(c).cast("double") for c in feature_cols])
+    total = F.aggregate(F.zip_with(x, "_m.w", lambda v, w: v * w), F.col("_m.b"), lambda s, t: s + t)
     return joined.select(*ready.columns, total.alias("prediction"))
 
 

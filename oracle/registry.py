@@ -382,8 +382,8 @@ FROM test, (SELECT unnest(['linear_regression', 'decision_tree']) AS model) GROU
 add("model_save_params", """
 SELECT * FROM (VALUES
   ('linear_regression', 'VectorAssembler', 'handleInvalid', 'skip'),
-  ('linear_regression', 'StandardScaler', 'withMean', 'true'),
-  ('linear_regression', 'StandardScaler', 'withStd', 'true'),
+  ('linear_regression', 'StandardScalerModel', 'withMean', 'true'),
+  ('linear_regression', 'StandardScalerModel', 'withStd', 'true'),
   ('linear_regression', 'LinearRegressionModel', 'regParam', '0.05'),
   ('linear_regression', 'LinearRegressionModel', 'elasticNetParam', '0.3'),
   ('decision_tree', 'VectorAssembler', 'handleInvalid', 'skip'),
