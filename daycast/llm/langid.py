@@ -21,6 +21,7 @@ shuffle of text; the model has a fixed size per label."""
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,9 @@ TRAIN_ROWS = 3000
 EPOCHS = 4
 MINIBATCH = 16
 ALPHA, BETA, L1, L2 = 8.0, 1.0, 2e-4, 1e-3
-_OTHER = re.compile(r"[\W\d_]+")
+# no letter: everything but \w, digits, and \w's other numbers (fractions, superscripts, numerals)
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_OTHER = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
 _PIECE = 1 << 20  # characters hashed at a time
 
 
