@@ -7,9 +7,12 @@ spans of any two texts compare in O(1), and their longest common extension
 (common prefix from two positions) is found by binary search.
 
 A fingerprint is the hexadecimal text ``<length>-<whole hash, both moduli>-
-<sketch>``; the sketch holds the ``SKETCH`` smallest mixed values of the
-distinct ``SPAN``-character spans (the whole text where it is shorter).
-The share J of the smallest values of two fingerprints' union that both have
+<span>:<sketch>``; a sketch holds the ``SKETCH`` smallest mixed values of the
+distinct spans of one length (the whole text where it is shorter). The span
+length goes by the text's length (``SPANS``), so that short texts have many
+spans too; a text not far above a bound also holds the sketch of the class
+below, and two texts are compared by the shorter one's class (likeness 0 if the
+longer one is too long to hold it). The share J of the smallest values of two fingerprints' union that both have
 estimates the spans' Jaccard similarity; their likeness is 2 J / (1 + J), the
 share of equal spans (0.5 for texts of one length that agree in one half), and
 1 for equal fingerprints. Fingerprints of empty texts are equal to each other and unlike
@@ -37,7 +40,8 @@ from pyspark.sql import functions as F
 
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
-SPAN = 24
+SPANS = [(0, 3), (60, 8), (400, 24)]  # from so many characters on: spans of that length
+NEAR_CLASS = 4                        # texts under so many times their bound hold the class below
 SKETCH = 64
 RANGE_CHARS = 24_000_000
 MAX_RANGES = 65_536  # beyond, ranges get larger; the driver holds one id a range
@@ -108,13 +112,19 @@ def common_extension(a: list[np.ndarray], b: list[np.ndarray], i: int = 0, j: in
     return lo
 
 
-def sketch(prefix: np.ndarray) -> np.ndarray:
-    """The smallest distinct mixed span hashes, sorted."""
+def span_lengths(n: int) -> list[int]:
+    """Span lengths whose sketches a text of ``n`` characters holds, its own first."""
+    own = max(i for i, (least, _) in enumerate(SPANS) if n >= least)
+    return [SPANS[i][1] for i in ((own, own - 1) if own and n < NEAR_CLASS * SPANS[own][0] else (own,))]
+
+
+def sketch(prefix: np.ndarray, span: int) -> np.ndarray:
+    """The smallest distinct mixed hashes of spans, sorted."""
     n = len(prefix) - 1
     if n == 0:
         return np.empty(0, np.uint64)
-    spans = max(1, n - SPAN + 1)
-    k = min(n, SPAN)
+    spans = max(1, n - span + 1)
+    k = min(n, span)
     pw = POWERS[0]
     h = (prefix[k:k + spans] + pw.p - prefix[:spans]) % pw.p * pw.inverse(spans) % pw.p
     h = (h + np.uint64(1)) * _MIX >> np.uint64(16)
@@ -127,9 +137,12 @@ def sketch(prefix: np.ndarray) -> np.ndarray:
     return np.unique(h)[:SKETCH]
 
 
-def likeness(a: np.ndarray, b: np.ndarray, equal: bool = False) -> float:
+def likeness(x: dict[int, np.ndarray], y: dict[int, np.ndarray], equal: bool = False) -> float:
+    """Likeness of two texts by their sketches (span length -> values, own class first)."""
     if equal:
         return 1.0
+    span = min(next(iter(x)), next(iter(y)))
+    a, b = x.get(span, ()), y.get(span, ())
     if not len(a) or not len(b):
         return 0.0
     union = np.union1d(a, b)[:SKETCH]
@@ -138,14 +151,14 @@ def likeness(a: np.ndarray, b: np.ndarray, equal: bool = False) -> float:
     return float(2 * jaccard / (1 + jaccard))
 
 
-def describe(text: str) -> tuple[str, list[np.ndarray], np.ndarray]:
-    """Fingerprint, prefix arrays and sketch of a text."""
+def describe(text: str) -> tuple[str, list[np.ndarray], dict[int, np.ndarray]]:
+    """Fingerprint, prefix arrays and sketches of a text."""
     points = code_points(text)
     arrays = [prefix_array(points, w) for w in (0, 1)]
-    values = sketch(arrays[0])
+    values = {k: sketch(arrays[0], k) for k in span_lengths(len(points))}
     whole = "".join(f"{int(a[-1]):08x}" for a in arrays)
-    low = values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:]  # 48 bits each
-    return f"{len(points):x}-{whole}-" + low.tobytes().hex(), arrays, values
+    low = [f"{k}:" + v.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes().hex() for k, v in values.items()]  # 48 bits each
+    return f"{len(points):x}-{whole}-" + "+".join(low), arrays, values
 
 
 def edited(text: str, following: str) -> str:
@@ -160,7 +173,8 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ids = rows.select("doc_id", F.length("text").alias("n"))
-    shape = ids.agg(F.sum("n"), F.count(F.lit(1)), F.min("doc_id"), F.count("doc_id")).first()
+    shape = ids.agg(F.sum("n"), F.count(F.lit(1)), F.min("doc_id"), F.count("doc_id"),
+                    F.sum(F.when(F.col("doc_id").isNull(), F.col("n")))).first()
     if not shape[1]:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))
     parts = max(min(MAX_RANGES, -(-(shape[0] or 0) // range_chars)), int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -168,9 +182,12 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     if shape[3]:
         cuts = ids.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)
         bounds = sorted({int(x) for x in cuts if x > shape[2]})
-    # range of an id: number of bounds at or below it; ids without a value come last
+    # range of an id: number of bounds at or below it; rows without an id come last, in
+    # ranges of their text's hash, by which they are ordered
     edges = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    where = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(_range_of(edges, len(bounds)))
+    blank = max(1, -(-(shape[4] or 0) // range_chars))
+    of_hash = F.floor((F.shiftright(F.xxhash64("text"), 32) + (1 << 31)) * blank / (1 << 32)).cast("int")
+    where = F.when(F.col("doc_id").isNull(), len(bounds) + 1 + of_hash).otherwise(_range_of(edges, len(bounds)))
     placed = rows.withColumn("r", where)
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     # the first document of every range closes the one before; the very first closes the last
@@ -182,7 +199,7 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     flagged = placed.withColumn("t", F.xxhash64("text"))
     copies = (flagged.join(F.broadcast(side), (flagged["r"] == side["r"]) & flagged["doc_id"].eqNullSafe(side["i"]) & (flagged["t"] == side["t"]))
               .select("doc_id", "text", side["to"].alias("r"), F.lit(True).alias("closing")))
-    all_rows = placed.withColumn("closing", F.lit(False)).unionByName(copies)
+    all_rows = placed.withColumn("closing", F.lit(False)).unionByName(copies).repartition(parts + blank, "r")
     follow = Window.partitionBy("r").orderBy("closing", *order)
     return (all_rows.withColumn("next_text", F.lead("text").over(follow))
             .where("NOT closing").select("doc_id", "text", "next_text"))
