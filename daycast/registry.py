@@ -42,6 +42,7 @@ from daycast.plans.report import run_report
 from daycast.plans.store import DailyStore
 from daycast.plans.train import fit_models, train_and_compare
 from daycast.session import shared_dir
+from daycast.sources import layout as L
 from daycast.sources import testdata as td
 from daycast.sources.files import (features_scan, features_sink, month_ranges, multi_read,
                                    read_month_range, write_month_partitioned)
@@ -812,3 +813,37 @@ def q_model_save_params(spark, sf):
     models, _, _ = _fit_models(spark, sf, ["linear_regression", "decision_tree"])
     run_dir = _save_all(models, _scratch(spark, "models"))
     return saved_params(spark, run_dir, list(models)).where("name IN ('regParam', 'elasticNetParam', 'maxDepth', 'minInstancesPerNode', 'withMean', 'withStd', 'handleInvalid')")
+
+
+# --- layouts ------------------------------------------------------------------
+
+@register("feature_table_clustered")
+def q_feature_table_clustered(spark, sf):
+    """E1 per series on an enriched table clustered by series: windows without a shuffle."""
+    name = L.write_clustered(_enriched(spark, sf, series=True), ["series"], buckets=8)
+    return feature_table(spark.table(name), series=["series"])
+
+
+@register("raw_time_ordered")
+def q_raw_time_ordered(spark, sf):
+    """P2 / O1 as a layout: raw rows in month folders of time-ordered files, a day range
+    read back."""
+    path = _scratch(spark, "ordered")
+    L.write_time_ordered(raw_projection(_blocks(spark, sf), None, None, ordered=False), path)
+    return L.read_time_range(spark, path, RANGE_START, RANGE_END)
+
+
+@register("footer_bounds")
+def q_footer_bounds(spark, sf):
+    """A2 and A3 of the written daily table from its footers."""
+    path = _scratch(spark, "daily")
+    _daily(spark, sf).write.parquet(path)
+    return L.footer_bounds(spark, path, "day")
+
+
+@register("price_pruned_join")
+def q_price_pruned_join(spark, sf):
+    """S4 and J1 on a month-partitioned price table, pruned by the days of a range."""
+    path = _scratch(spark, "price")
+    L.write_price_months(td.price_history(spark, sf), path)
+    return L.price_of_days(daily_rollup(_blocks(spark, sf), RANGE_START, RANGE_END), path)

@@ -389,3 +389,12 @@ SELECT * FROM (VALUES
   ('decision_tree', 'VectorAssembler', 'handleInvalid', 'skip'),
   ('decision_tree', 'DecisionTreeRegressionModel', 'maxDepth', '10'),
   ('decision_tree', 'DecisionTreeRegressionModel', 'minInstancesPerNode', '10')) AS t(model, stage, name, value)""")
+
+# --- layouts: the same rows as the plain forms --------------------------------------------
+
+ORACLES["feature_table_clustered"] = ORACLES["feature_table_keyed"]
+ORACLES["raw_time_ordered"] = ORACLES["raw_projection"]
+add("footer_bounds", "SELECT min(CAST(l_shipdate AS DATE)) AS min_date, max(CAST(l_shipdate AS DATE)) AS max_date, "
+    "count(DISTINCT CAST(l_shipdate AS DATE)) AS n_rows FROM lineitem")
+add("price_pruned_join", S.with_(S.blocks_cte(), S.daily_cte(RANGE_START, RANGE_END), S.PRICE_RAW_CTE, S.PRICE_CTE) +
+    "SELECT d.*, p.price_usd, p.price_volume FROM daily d LEFT JOIN price p USING (day)", DAILY_DOUBLES + ["price_usd"])
