@@ -230,5 +230,70 @@ def test_lm_scores(spark):
 def test_lm_class_model_is_a_distribution():
     rng = np.random.default_rng(1)
     w, bias = rng.normal(size=(maxent_lm.KINDS * maxent_lm.SLOTS, maxent_lm.CLASSES)), rng.normal(size=maxent_lm.CLASSES)
-    rows = maxent_lm.context_rows(maxent_lm.token_hashes(edge.BASE.encode()))
+    none = np.zeros(0, np.uint64)
+    rows = maxent_lm.Words(none, none, np.zeros(0, np.int64), none).context_rows(maxent_lm.token_hashes(edge.BASE.encode()))
     assert np.allclose(np.exp(maxent_lm.log_softmax(w, bias, rows)).sum(axis=1), 1)
+    assert np.allclose(np.exp(maxent_lm.log_softmax(w, bias, rows)), maxent_lm.softmax(w, bias, rows))
+
+
+def test_lm_scores_by_hand(spark):
+    """Counts, classes, gradient steps and scores again, token by token."""
+    from pyspark.sql import functions as F
+    L = maxent_lm
+    texts = [edge.prose(i, 25) + (" le la" if i % 3 else " the of") for i in range(60)]
+    docs = edge.frame(spark, [(i, t, None, None) for i, t in enumerate(texts)]).repartition(3)
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(60)]
+    hashes = [[int(h) for h in L.token_hashes(t.encode())] for t in texts]
+    count = collections.Counter(h for i, hs in enumerate(hashes) if not held[i] for h in hs)
+    raw = docs.where(~F.col("doc_id").isin([i for i in range(60) if held[i]])).select(F.col("text").cast("binary").alias("raw"))
+    counts = spark.createDataFrame([(h - (1 << 64) if h >= 1 << 63 else h, c) for h, c in count.items()], "h long, c long")
+    m = L.fit(raw, counts)
+    ranked = [h for h, _ in sorted(count.items(), key=lambda x: (-x[1], x[0])) if h != int(L.END)]
+    anchors, skip = set(ranked[:L.ANCHORS]), set(ranked[:L.SKIP_WORDS])
+    follow = collections.defaultdict(collections.Counter)
+    for i, hs in enumerate(hashes):
+        last = None
+        for h in hs:
+            if not held[i] and h in set(ranked[:L.CLASSED]):
+                follow[h][last] += 1
+            last = h if h in anchors else last
+    assert {int(x) for x in m.words.anchors} == anchors and {int(x) for x in m.words.skip} == skip
+    share = collections.Counter(a for c in follow.values() for a in c.elements())
+    order, klass = sorted(anchors), {}
+    for h, c in follow.items():
+        total = sum(share.values())
+        lift = [(c[a] + 4 * max(share[a], 0.5) / total) / (sum(c.values()) + 4) / (max(share[a], 0.5) / total) for a in order]
+        klass[h] = int(np.argmax(lift))
+    assert klass == dict(zip(map(int, m.words.classed), m.words.klass.tolist()))
+    cls = lambda h: klass.get(h, L.ANCHORS + h % L.RARE_CLASSES)
+    tokens, words = collections.Counter(), collections.Counter()
+    for h, c in count.items():
+        tokens[cls(h)] += c
+        words[cls(h)] += 1
+
+    def p_classes(w, bias, row):
+        z = [bias[k] + sum(w[f][k] for f in row) for k in range(L.CLASSES)]
+        e = [math.exp(x - max(z)) for x in z]
+        return [x / sum(e) for x in e]
+
+    rows = [m.words.context_rows(np.array(hs, np.uint64)).tolist() for hs in hashes]
+    seen, expected = np.zeros((L.KINDS * L.SLOTS, L.CLASSES)), np.zeros((L.KINDS * L.SLOTS, L.CLASSES))
+    train = [(h, r) for i, hs in enumerate(hashes) if not held[i] for h, r in zip(hs, rows[i])]
+    for h, r in train:
+        seen[r, cls(h)] += 1
+    prior = np.array([tokens[k] + 0.5 for k in range(L.CLASSES)])
+    prior /= prior.sum()
+    smooth, bias = L.PRIOR * L.CLASSES * prior, np.log(prior)
+    w = np.log((seen + smooth) / (seen.sum(axis=1, keepdims=True) + L.PRIOR * L.CLASSES) / prior) / 2
+    first, _ = L.train(raw, m.words, rounds=1)
+    for h, r in train:
+        p = p_classes(w, bias, r)
+        for f in r:
+            expected[f] += p
+    w = w + np.clip(L.STEP * (seen - expected - L.PULL * smooth * w) / (expected + smooth), -1, 1)
+    assert np.allclose(first, w, atol=2e-3)
+    got = {r["doc_id"]: r["score"] for r in L.lm_scores(docs).collect()}
+    for i, hs in enumerate(hashes):
+        want = sum(math.log10(p_classes(m.weights, m.bias, r)[cls(h)] * (count[h] + 0.5) / (tokens[cls(h)] + 0.5 * (words[cls(h)] + 1)))
+                   for h, r in zip(hs, rows[i]))
+        assert abs(got[i] - want) < 1e-3
