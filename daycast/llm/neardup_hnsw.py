@@ -22,7 +22,7 @@ one id or without an id stay rows of their own (a component without ids has a
 null component id); other columns are ignored; an empty table gives an empty
 result.
 
-Scale: a shard's graph (some MB) meets a block of queries in one task; a task
+Scale: a shard's graph (tens of MB) meets a block of queries in one task; a task
 returns a row per query, a spanning forest of its links and the pairs of queries
 that were not scanned (under ``MAX_BEAM`` each), never all pairs of a large group."""
 
@@ -39,8 +39,9 @@ from pyspark.sql import functions as F
 from daycast.llm.common import components, cut
 
 THRESHOLD = 0.95
-SHARD_ROWS = 32_768
-QUERY_ROWS = 8_192
+SHARD_ROWS = 131_072  # every query searches every shard: few large ones (64 dimensions: 50 MB) cost least
+QUERY_ROWS = 32_768   # a shard's graph goes to every block of queries
+LEAST_ROWS = 8_192    # smaller blocks, down to this, where there would be fewer groups than tasks
 M, M0 = 12, 24
 BUILD_BEAM = 24
 FIRST_BEAM, MAX_BEAM = 16, 256
@@ -416,8 +417,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows
     spread = vectors.select("vec_id", F.col(embedding).alias("e")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = cut(spread.mapInPandas(run, "vec_id long, c binary, v binary, d int"))
     classes = rows.where("c IS NOT NULL").groupBy("c").agg(F.first("v").alias("v"), F.first("d").alias("d"), F.count(F.lit(1)).alias("size"))
-    shape = classes.groupBy("d").count().select("d", F.ceil(F.col("count") / shard_rows).cast("int").alias("shards"),
-                                               F.ceil(F.col("count") / query_rows).cast("int").alias("blocks"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = F.ceil(F.col("count") / shard_rows).cast("int")
+    spread_out = F.least(F.ceil(F.col("count") / min(LEAST_ROWS, query_rows)), F.ceil(F.lit(tasks) / shards))
+    shape = classes.groupBy("d").count().select("d", shards.alias("shards"),
+                                               F.greatest(F.ceil(F.col("count") / query_rows), spread_out).cast("int").alias("blocks"))
     dealt = cut(classes.join(F.broadcast(shape), "d")  # a row per vector length
                 .withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "c"), "shards").cast("int"))
                 .withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "c"), "blocks").cast("int")))
