@@ -13,7 +13,10 @@ from __future__ import annotations
 
 import numpy as np
 
-MEMO = 200_000
+MEMO = 600_000  # chunks, about 200 bytes each
+#: White space other than single spaces and newlines between words.
+OTHER_SPACE = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"]
+TOUCHING = ["  ", " \n", "\n ", "\n\n"]
 _CACHE: dict[str, ChunkIds] = {}
 
 
@@ -160,17 +163,17 @@ class ChunkIds:
                 if not text:
                     out[i] = np.empty(0, np.uint32)
                     continue
-                lines = "\n" in text
-                parts = (text.replace("\n", " ") if lines else text).split(" ")
-                # every white space is one space or newline between two words:
-                # counts would let surplus spaces cancel out tabs, so the words are compared
-                if text.split() != parts or "\0" in text:
+                holds = text.__contains__
+                # every white space is one space or newline between two words
+                if text[0] in " \n" or text[-1] in " \n" or holds("\0") or any(map(holds, TOUCHING)) or any(map(holds, OTHER_SPACE)):
                     out[i] = self._encode([text])[0]
                     continue
+                lines = holds("\n")
                 if self.spaced:
-                    if lines:
-                        parts = text.replace("\n", " \n").split(" ")
+                    parts = (text.replace("\n", " \n") if lines else text).split(" ")
                     parts[0] = "\0" + parts[0]
+                else:
+                    parts = (text.replace("\n", " ") if lines else text).split(" ")
                 known.append((i, np.fromiter(map(look, parts), np.int64, len(parts))))
             self._learn()
             for i, numbers in known:
