@@ -25,10 +25,12 @@ collected; only texts that match the pattern are rebuilt."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import secrets
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "corpus-pseudonyms-v1"  # replace by a secret of the deployment
+KEY_CONF = "spark.daycast.pseudonym.key"
 ROUNDS = 6
 
 # The patterns of the kinds, in order of preference at one place.
@@ -63,7 +65,7 @@ def _q(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def feistel_chars(value: str, mask: str, salt: str, key: str = KEY) -> str:
+def feistel_chars(value: str, mask: str, salt: str, key: str) -> str:
     """SQL of the permuted string: ``mask`` names the class of every character."""
     cases = " ".join(f"WHEN '{m}' THEN {_q(a)}" for m, a in CLASSES.items())
     n = f"length({value})"
@@ -80,7 +82,7 @@ def feistel_chars(value: str, mask: str, salt: str, key: str = KEY) -> str:
             f"s -> concat(array_join(s.a, ''), array_join(s.b, '')))")
 
 
-def feistel_int(value: str, moduli: tuple[int, int], salt: str, key: str = KEY) -> str:
+def feistel_int(value: str, moduli: tuple[int, int], salt: str, key: str) -> str:
     """SQL of the permuted number of ``range(m1 * m2)``."""
     m1, m2 = moduli
     f = f"CAST(conv(substr(sha2(concat_ws('|', {_q(key)}, {_q(salt)}, r, s.b), 256), 1, 15), 16, 10) AS BIGINT)"
@@ -199,9 +201,21 @@ def _replaced(key: str) -> str:
     return _let("k", kind, _let("w", new, "named_struct('kind', IF(w IS NULL, NULL, k), 'value', coalesce(w, v))"))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text") -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The deployment's secret, from the session setting ``KEY_CONF``. Where it is
+    unset a random one is drawn and kept for the session: pseudonyms then agree
+    within it and cannot be undone by anyone who knows the source."""
+    key = spark.conf.get(KEY_CONF, None)
+    if not key:
+        key = secrets.token_hex(12)
+        spark.conf.set(KEY_CONF, key)
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, column: str = "text") -> DataFrame:
     """``docs`` with the text's valid values replaced, ``pii_count`` (replaced
-    values) and ``pii_kinds`` (sorted, distinct)."""
+    values) and ``pii_kinds`` (sorted, distinct). ``key``: the session's unless given."""
+    key = key or session_key(docs.sparkSession)
     pattern = _q(PATTERN)
     text = f"`{column}`"
     found = "_pii"
