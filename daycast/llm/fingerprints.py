@@ -199,7 +199,7 @@ def with_next(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     flagged = placed.withColumn("t", F.xxhash64("text"))
     copies = (flagged.join(F.broadcast(side), (flagged["r"] == side["r"]) & flagged["doc_id"].eqNullSafe(side["i"]) & (flagged["t"] == side["t"]))
               .select("doc_id", "text", side["to"].alias("r"), F.lit(True).alias("closing")))
-    all_rows = placed.withColumn("closing", F.lit(False)).unionByName(copies).repartition(parts + blank, "r")
+    all_rows = placed.withColumn("closing", F.lit(False)).unionByName(copies).repartition(4 * (parts + blank), "r")  # few ranges meet in a task
     follow = Window.partitionBy("r").orderBy("closing", *order)
     return (all_rows.withColumn("next_text", F.lead("text").over(follow))
             .where("NOT closing").select("doc_id", "text", "next_text"))
