@@ -6,13 +6,16 @@ CRC-32 over every block's ids and over the header. Frames are rows of a Parquet
 folder, so files are splittable, live on any store Spark writes to and each
 frame is decoded on its own.
 
-Model of one block. Order 2 (hash of the last two ids) and order 1 (last id)
-each remember one predicted id and a confidence. The first symbol of an id is
-one of 256: "as order 2 says", "as order 1 says" or the id's high byte; its
-adaptive distribution is the one of the nine confidence pairs, so it mixes the
-three orders' predictions. After a high byte two nibbles follow, each by
-order-0 counts under the higher bits. Symbols go through a 32-bit range coder
-with carry, 16 bits at a time.
+Model of one block. Order 2 (hash of the last two ids) and order 1 (last id) each
+remember one predicted id and a confidence; order 0 counts high bytes. An id is coded
+as binary decisions: is it what order 2 says, is it what order 1 says, else its high
+byte by the order-0 counts and two nibbles under the higher bits. The probability of a
+decision is mixed from three adaptive predictions of it: by order 2's confidence, by
+order 1's confidence and whether it agrees, and by the order-0 count of the predicted
+id's high byte. They are weighted in the logistic domain, and the weights follow the
+coding error. Mixing is done in whole numbers, so coder and decoder agree on any
+machine. Decisions and symbols go through a 32-bit range coder with carry, 16 bits at
+a time.
 
 Blocks are independent, so a worker codes all blocks of a frame in step: one
 numpy operation advances every block by one id.
@@ -20,10 +23,11 @@ numpy operation advances every block by one id.
 Defined results: null text is an empty document, which still has its end id;
 null doc ids come last; rows of one id go by text hash, equal rows stay; other
 columns are ignored; an empty table writes no frame and reads back empty. A
-block whose checksum does not match raises. Ids must be under 65,024."""
+block whose checksum does not match raises. Ids must be under 65,536."""
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,12 +46,20 @@ BLOCK = 8192
 LANES = 1024  # blocks coded in step
 FRAME_IDS = BLOCK * LANES
 MAGIC = b"TIDS"
-MAX_ID = 254 << 8
+MAX_ID = 1 << 16
 _S2, _S1, _NIB = 4096, 2048, 1024  # slots a block: order 2, order 1, last nibble
 _INC = 7  # 256 + BLOCK * _INC stays under 2^16
 _NO = np.uint32(0xFFFFFFFF)
 
 
+#: Logistic domain in 256ths: ln(p / (1 - p)) of a 12-bit probability, and back.
+_STRETCH = np.array([round(256 * math.log(max(p, 0.5) / (4096 - max(p, 0.5)))) for p in range(4096)], np.int64)
+_SQUASH = np.array([min(max(round(4096 / (1 + math.exp(-x / 256))), 24), 4072) for x in range(-2047, 2048)], np.int64)
+#: Half the number of bits of a count: the states of the order-0 prediction.
+_BITS = np.array([min(i.bit_length() // 2, 7) for i in range(1 << 16)], np.int64)
+_RATE, _PACE = 10, 4  # of the weights and of the adaptive predictions, as shifts
+
+
 class _Model:
     """Adaptive state of ``lanes`` blocks, the same in coder and decoder."""
 
@@ -56,30 +68,52 @@ class _Model:
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.t2, self.c2 = np.zeros(lanes * _S2, np.uint16), np.zeros(lanes * _S2, np.uint8)
         self.t1, self.c1 = np.zeros(lanes * _S1, np.uint16), np.zeros(lanes * _S1, np.uint8)
-        self.count = np.ones((lanes, 9, 256), np.uint16)
-        self.cum = np.zeros((lanes, 9, 257), np.uint16)
+        self.count = np.ones(lanes * 256, np.uint16)
+        self.cum = np.zeros((lanes, 257), np.uint16)
         self.high = np.ones((lanes * 256, 16), np.uint16)
         self.low = np.ones((lanes * _NIB, 16), np.uint16)
+        # per decision: predictions by state (order 2, order 1, order 0), and weights
+        self.chance = [[np.full(lanes * n, 2048, np.int64) for n in (16, 16, 8)] for _ in range(2)]
+        self.weight = [np.full((3, lanes), 26_000, np.int64) for _ in range(2)]
 
     def predict(self, a: int, step: int):
-        if step & (step - 1) == 0 or step % 64 == 0:  # distributions follow the counts with a lag
-            np.cumsum(self.count[:a], axis=2, out=self.cum[:a, :, 1:], dtype=np.uint16)
+        """Look the predictions up; which lanes have one of order 2."""
+        if step & (step - 1) == 0 or step % 64 == 0:  # order 0 follows its counts with a lag
+            np.cumsum(self.count.reshape(-1, 256)[:a], axis=1, out=self.cum[:a, 1:], dtype=np.uint16)
         row, last = self.row[:a], self.last[:a]
         self.i2 = row * _S2 + ((self.before[:a] * 0x9E3779B1 + last * 0x85EBCA6B >> 12) & (_S2 - 1))
         self.i1 = row * _S1 + ((last * 0x9E3779B1 >> 10) & (_S1 - 1))
         self.k2, self.k1 = self.c2[self.i2], self.c1[self.i1]
         self.q2, self.q1 = self.t2[self.i2].astype(np.int64), self.t1[self.i1].astype(np.int64)
-        self.ctx = np.minimum(self.k2, 2).astype(np.int64) * 3 + np.minimum(self.k1, 2)
-        return self.cum.reshape(-1), (row * 9 + self.ctx) * 257
-
-    def learn_symbol(self, a: int, symbol):
-        self.count.reshape(-1)[(self.row[:a] * 9 + self.ctx) * 256 + symbol] += _INC
+        return np.flatnonzero(self.k2 > 0)
+
+    def second(self, lanes):
+        """Of the lanes that are still open, those with another prediction of order 1."""
+        return lanes[(self.k1[lanes] > 0) & ((self.k2[lanes] == 0) | (self.q1[lanes] != self.q2[lanes]))]
+
+    def mix(self, which: int, lanes):
+        """12-bit probabilities that the decision's predicted id comes."""
+        q = (self.q2, self.q1)[which][lanes]
+        agree = ((self.k1[lanes] > 0) & (self.q1[lanes] == self.q2[lanes])) if which == 0 else self.k2[lanes] > 0
+        zero = _BITS[self.count[lanes * 256 + (q >> 8)]]
+        self.at = (lanes * 16 + self.k2[lanes] + 8 * (which == 1), lanes * 16 + self.k1[lanes] + 8 * agree, lanes * 8 + zero)
+        self.p = [t[i] for t, i in zip(self.chance[which], self.at)]
+        self.s = np.stack([_STRETCH[p] for p in self.p])
+        self.mixed = _SQUASH[np.clip((self.weight[which][:, lanes] * self.s).sum(axis=0) >> 16, -2047, 2047) + 2047]
+        return self.mixed
+
+    def learn_decision(self, which: int, lanes, hit):
+        bit = hit.astype(np.int64) << 12
+        self.weight[which][:, lanes] += self.s * (bit - self.mixed) >> _RATE
+        for t, i, p in zip(self.chance[which], self.at, self.p):
+            t[i] = np.minimum(p + (bit - p >> _PACE), 4095)
 
     def learn_id(self, a: int, x):
         for t, c, i, k, q in ((self.t2, self.c2, self.i2, self.k2, self.q2), (self.t1, self.c1, self.i1, self.k1, self.q1)):
             hit = (q == x) & (k > 0)
             c[i] = np.where(hit, np.minimum(k, 6) + 1, np.where(k > 1, k >> 1, 1))
             t[i] = np.where(hit | (k <= 1), x, q)
+        self.count[self.row[:a] * 256 + (x >> 8)] += _INC
         self.before[:a] = self.last[:a]
         self.last[:a] = x
 
@@ -175,15 +209,23 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     model, coder = _Model(len(blocks)), _Encoder(len(blocks), int(sizes.max()) * 4 + 4)
     sixteen = model.row * 16
     for step, a in enumerate(active.tolist()):
-        x, lanes = ids[step, :a], model.row[:a]
-        cum, base = model.predict(a, step)
-        symbol = np.where((x == model.q2) & (model.k2 > 0), 254, np.where((x == model.q1) & (model.k1 > 0), 255, x >> 8))
-        start = _f(cum[base + symbol])
-        coder.put(lanes, start, cum[base + symbol + 1] - start, cum[base + 256])
-        model.learn_symbol(a, symbol)
-        miss = np.flatnonzero(symbol < 254)
+        x, open_ = ids[step, :a], np.ones(a, bool)
+        lanes = model.predict(a, step)
+        for which in (0, 1):
+            if which:
+                lanes = model.second(np.flatnonzero(open_))
+            if len(lanes):
+                p = _f(model.mix(which, lanes))
+                hit = x[lanes] == (model.q1 if which else model.q2)[lanes]
+                coder.put(lanes, np.where(hit, 0, p), np.where(hit, p, 4096 - p), 4096.0)
+                model.learn_decision(which, lanes, hit)
+                open_[lanes[hit]] = False
+        miss = np.flatnonzero(open_)
         if len(miss):
             y = x[miss]
+            cum, place = model.cum.reshape(-1), miss * 257
+            start = _f(cum[place + (y >> 8)])
+            coder.put(miss, start, cum[place + (y >> 8) + 1] - start, cum[place + 256])
             for rows, table, nibble in ((miss * 256 + (y >> 8), model.high, y >> 4 & 15), (model.low_rows(miss, y >> 4), model.low, y & 15)):
                 counts = table[rows].astype(np.float32)
                 sums = (counts @ _SUMS).reshape(-1)
@@ -210,20 +252,29 @@ def decode_blocks(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
     ids = np.zeros((sizes.max(), len(payloads)), np.uint32)
     sixteen = model.row * 16
     for step, a in enumerate(active.tolist()):
-        lanes = model.row[:a]
-        cum, base = model.predict(a, step)
-        v = coder.value(lanes, cum[base + 256]).astype(np.uint16)
-        place = base.copy()
-        for bit in (128, 64, 32, 16, 8, 4, 2, 1):
-            place += (cum[place + bit] <= v) * bit
-        symbol = place - base
-        start = _f(cum[place])
-        coder.take(lanes, start, cum[place + 1] - start)
-        model.learn_symbol(a, symbol)
-        x = np.where(symbol == 254, model.q2, model.q1)
-        miss = np.flatnonzero(symbol < 254)
+        open_ = np.ones(a, bool)
+        lanes = model.predict(a, step)
+        x = model.q2.copy()
+        for which in (0, 1):
+            if which:
+                lanes = model.second(np.flatnonzero(open_))
+            if len(lanes):
+                p = _f(model.mix(which, lanes))
+                hit = coder.value(lanes, 4096.0) < p
+                coder.take(lanes, np.where(hit, 0, p), np.where(hit, p, 4096 - p))
+                model.learn_decision(which, lanes, hit)
+                open_[lanes[hit]] = False
+                x[lanes[hit]] = (model.q1 if which else model.q2)[lanes[hit]]
+        miss = np.flatnonzero(open_)
         if len(miss):
-            y = symbol[miss]
+            cum, base = model.cum.reshape(-1), miss * 257
+            v = coder.value(miss, cum[base + 256]).astype(np.uint16)
+            place = base.copy()
+            for bit in (128, 64, 32, 16, 8, 4, 2, 1):
+                place += (cum[place + bit] <= v) * bit
+            start = _f(cum[place])
+            coder.take(miss, start, cum[place + 1] - start)
+            y = place - base
             for table in (model.high, model.low):
                 rows = miss * 256 + y if table is model.high else model.low_rows(miss, y)
                 counts = table[rows].astype(np.float32)
