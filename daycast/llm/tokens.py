@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 
-MEMO = 600_000  # chunks, about 200 bytes each
+MEMO = 200_000  # chunks, about 200 bytes each; workers keep them while other stages run
 #: White space other than single spaces and newlines between words.
 OTHER_SPACE = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"]
 TOUCHING = ["  ", " \n", "\n ", "\n\n"]
@@ -75,41 +75,46 @@ class ChunkIds:
         waiting, self.index.waiting = self.index.waiting, []
         if not waiting:
             return
-        at = len(self.index) - len(waiting)
+        at, n = len(self.index) - len(waiting), len(waiting)
+        # a chunk with a stop behind a Latin letter or a newline in front has cuts of its own
+        special = [i for i, c in enumerate(waiting) if c[-1] in ".," or c[0] == "\n"]
+        whole = np.ones(n, bool)
+        whole[special] = False
         asked: dict[str, int] = {"": 0} if not self.spaced else {"\0": 0}  # number 0: no ids
-        core_of, old, lead, tail = [], [], [], []
+        number, old, lead, tail = np.zeros(n, np.int64), np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, np.int8)
+        plain = [c for c in waiting if c[-1] not in ".," and c[0] != "\n"] if special else waiting
+        number[whole] = np.arange(1, len(plain) + 1)
+        asked.update(zip(plain, range(1, len(plain) + 1)))
         get = self.index.get
-        for chunk in waiting:
-            # stop or comma behind a Latin letter, newline in front: cuts of their own
+        for i in special:
+            chunk = waiting[i]
             stop = len(chunk) > 1 and chunk[-1] in ".," and chunk[-2] < "\u0250" and chunk[-2].isalpha()
             core = chunk[:-1] if stop else chunk
             line = core[:1] == "\n"
             if line:
                 core = "\0" + core[1:] if self.spaced else core[1:]
             known = get(core, at) if stop or line else at
-            old.append(known < at)
-            core_of.append(known if known < at else asked.setdefault(core, len(asked)))
-            lead.append(line and self.spaced)
-            tail.append(0 if not stop else 1 if chunk[-1] == "." else 2)
+            old[i] = known < at
+            number[i] = known if known < at else asked.setdefault(core, len(asked))
+            lead[i] = line and self.spaced
+            tail[i] = 0 if not stop else 1 if chunk[-1] == "." else 2
         first, count = self._encode_new(list(asked))
-        number, old = np.array(core_of), np.array(old)
-        lead, tail = np.array(lead), np.array(tail)
         begin = np.where(old, self.first[np.where(old, number, 0)], first[np.where(old, 0, number)])
         lens = np.where(old, self.count[np.where(old, number, 0)], count[np.where(old, 0, number)])
         # a chunk that is its core points at it; the others are put together
         made = np.flatnonzero(lead | (tail > 0))
         if len(made):
             src, n = begin[made], lens[made]
-            whole = n + lead[made] + (tail[made] > 0)
-            ends = np.cumsum(whole)
+            sizes = n + lead[made] + (tail[made] > 0)
+            ends = np.cumsum(sizes)
             out = np.empty(ends[-1], np.uint32)
             steps = np.arange(n.sum())
             shift = np.cumsum(n) - n
-            out[np.repeat(ends - whole + lead[made] - shift, n) + steps] = self.flat[np.repeat(src - shift, n) + steps]
-            out[(ends - whole)[lead[made]]] = self.newline
+            out[np.repeat(ends - sizes + lead[made] - shift, n) + steps] = self.flat[np.repeat(src - shift, n) + steps]
+            out[(ends - sizes)[lead[made]]] = self.newline
             for code in (1, 2):
                 out[ends[tail[made] == code] - 1] = self.stops[code - 1]
-            begin[made], lens[made] = self._append(out) + ends - whole, whole
+            begin[made], lens[made] = self._append(out) + ends - sizes, sizes
         if len(self.index) > len(self.first):
             self.first = np.resize(self.first, 2 * len(self.index))
             self.count = np.resize(self.count, 2 * len(self.index))
@@ -119,15 +124,19 @@ class ChunkIds:
         """Store the ids of new cores (number 0 has none): their places."""
         first, count = np.zeros(len(cores), np.int64), np.zeros(len(cores), np.int64)
         mark = "\n" if self.spaced else "|"
-        groups: dict[str, list[int]] = {"plain": [], "bare": [], "alone": []}
-        for i, c in enumerate(cores[1:], 1):
-            groups["alone" if mark in c else "bare" if c[:1] == "\0" else "plain"].append(i)
+        bare = {i for i, c in enumerate(cores) if c[:1] == "\0"}
+        alone = [i for i, c in enumerate(cores) if mark in c and i]
+        rest = np.ones(len(cores), bool)
+        rest[[0, *bare, *alone]] = False
         text = lambda c: c[1:] if c[:1] == "\0" else " " + c if self.spaced else c
-        for kind in ("plain", "bare"):
-            at = groups[kind]
+        for at in (np.flatnonzero(rest).tolist(), sorted(bare.difference(alone, [0]))):
             if not at:
                 continue
-            ids = self._encode([("\n" if self.spaced else " | ").join([text(cores[i]) for i in at])])[0]
+            if self.spaced and at[0] not in bare:
+                joined = " " + "\n ".join([cores[i] for i in at])
+            else:
+                joined = ("\n" if self.spaced else " | ").join([text(cores[i]) for i in at])
+            ids = self._encode([joined])[0]
             cuts = np.flatnonzero(ids == self.mark)
             if len(cuts) != len(at) - 1:
                 raise ValueError("separator token merged")
@@ -135,7 +144,7 @@ class ChunkIds:
             lens = np.diff(edges) - 1
             first[at] = self._append(ids[ids != self.mark]) + np.cumsum(lens) - lens
             count[at] = lens
-        for i, ids in zip(groups["alone"], self._encode([text(cores[i]) for i in groups["alone"]])):
+        for i, ids in zip(alone, self._encode([text(cores[i]) for i in alone])):
             first[i], count[i] = self._append(ids), len(ids)
         return first, count
 
