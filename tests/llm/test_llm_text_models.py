@@ -246,6 +246,7 @@ def test_lm_scores_by_hand(spark):
     hashes = [[int(h) for h in L.token_hashes(t.encode())] for t in texts]
     count = collections.Counter(h for i, hs in enumerate(hashes) if not held[i] for h in hs)
     raw = docs.where(~F.col("doc_id").isin([i for i in range(60) if held[i]])).select(F.col("text").cast("binary").alias("raw"))
+    raw = L.hashed(raw)
     counts = spark.createDataFrame([(h - (1 << 64) if h >= 1 << 63 else h, c) for h, c in count.items()], "h long, c long")
     m = L.fit(raw, counts)
     ranked = [h for h, _ in sorted(count.items(), key=lambda x: (-x[1], x[0])) if h != int(L.END)]
