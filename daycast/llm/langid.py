@@ -36,15 +36,18 @@ TRAIN_ROWS = 3000
 EPOCHS = 4
 MINIBATCH = 16
 ALPHA, BETA, L1, L2 = 8.0, 1.0, 2e-4, 1e-3
-# no letter: everything but \w, digits, and \w's other numbers (fractions, superscripts, numerals)
+_OTHER = re.compile(r"[\W\d_]+")
+# numbers that \w holds beside letters and digits: fractions, superscripts, numerals
 _NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_OTHER = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
+_NO_LETTER = re.compile(rf"[ {re.escape(_NUMBERS)}]+")
 _PIECE = 1 << 20  # characters hashed at a time
 
 
 def clean(text: str) -> str:
     """Letters, with single spaces around every run of them; empty without one."""
     words = _OTHER.sub(" ", text.lower()).strip()
+    if words and not words.replace(" ", "").isalpha():  # rare, and the large class is slow
+        words = _NO_LETTER.sub(" ", words).strip()
     return f" {words} " if words else ""
 
 
