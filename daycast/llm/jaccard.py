@@ -47,8 +47,8 @@ from daycast.llm.common import components, cut, partitions_for, text_batches
 WORDS = 5
 PERCENT = 75
 TILE = 1024
-FLUSH = 750_000  # columns a worker merges before it sends them
-BUCKET_ENTRIES = 2_000_000
+FLUSH = 400_000  # columns a worker merges before it sends them
+BUCKET_ENTRIES = 1_000_000
 BROADCAST_ROWS = 200_000  # ids of 24 bytes: under 10 MB; beyond, a shuffled join
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _LOW48 = np.uint64((1 << 48) - 1)
