@@ -47,6 +47,7 @@ from daycast.llm.common import components, cut, partitions_for, text_batches
 WORDS = 5
 PERCENT = 75
 TILE = 1024
+STRIP = 64  # rows of a tile compared at a time
 FLUSH = 400_000  # columns a worker merges before it sends them
 BUCKET_ENTRIES = 1_000_000
 BROADCAST_ROWS = 200_000  # ids of 24 bytes: under 10 MB; beyond, a shuffled join
@@ -221,12 +222,15 @@ def _product(keys, sizes, sets, left, right, percent: int):
             cut_at = np.searchsorted(held, nl)
             if 0 < cut_at < len(held):
                 overlap[np.ix_(held[:cut_at], held[cut_at:] - nl)] += 1
-    union = sizes[left][:, None] + sizes[right][None, :] - overlap
-    hit = 100 * overlap.astype(np.int64) >= percent * union.astype(np.int64)
-    if left is right:
-        hit = np.triu(hit, 1)
-    i, j = np.nonzero(hit)
-    return left[i], right[j]
+    i, j = [], []
+    for at in range(0, nl, STRIP):  # wide numbers for a strip of the tile at a time
+        o = overlap[at:at + STRIP].astype(np.int64)
+        x, y = np.nonzero(100 * o >= percent * (sizes[left[at:at + STRIP]][:, None] + sizes[right][None, :] - o))
+        x += at
+        keep = x < y if left is right else slice(None)
+        i.append(x[keep])
+        j.append(y[keep])
+    return left[np.concatenate(i)], right[np.concatenate(j)]
 
 
 def _tiles(percent: int, every: bool):
@@ -326,7 +330,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     key (null for empty sets)."""
     digest = digests(docs)
     # written sides: each join shuffles both for itself, so a hot group's rows can be split
-    roots = cut(components(class_links(docs, digest, percent)).select(F.col("node").alias("c"), "root"))
+    # written links: tiles and the components' forests would else be two workers a task
+    roots = cut(components(cut(class_links(docs, digest, percent))).select(F.col("node").alias("c"), "root"))
     labelled = digest.join(roots, "c", "left").withColumn("g", F.coalesce("root", "c"))
     lowest = cut(labelled.where("g IS NOT NULL").groupBy("g").agg(F.min("doc_id").alias("low")))
     return labelled.join(lowest, "g", "left").select(

@@ -96,6 +96,26 @@ def test_jaccard_all_links_and_threshold(spark):
     assert links == want
 
 
+def test_tile_product_in_strips_equals_brute_force():
+    """Small memory for a whole tile, the same links within a block and between two."""
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    base = [rng.choice(1 << 40, 12, replace=False) for _ in range(60)]
+    sets = [np.unique(np.concatenate([base[i % 60][: 12 - i % 3], rng.choice(1 << 40, i % 3)])) for i in range(1200)]
+    sizes = np.array([len(s) for s in sets])
+    same = lambda i, j: 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
+    left, right = np.arange(150), np.arange(1000, 1200)
+    for a, b in ((left, left), (left, right)):
+        got = set(zip(*(x.tolist() for x in jaccard._product(None, sizes, sets, a, b, 75))))
+        assert got == {(i, j) for i in a.tolist() for j in b.tolist() if (a is not b or i < j) and same(i, j)}
+    whole = np.arange(1024)
+    tracemalloc.start()
+    jaccard._product(None, sizes, sets, whole, whole, 75)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16e6  # whole matrices of 64-bit numbers: over 20 MB
+
+
 def test_keep_one_of_each_group(spark):
     df = edge.frame(spark)
     kept = jaccard.keep_one(df)
