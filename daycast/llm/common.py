@@ -3,10 +3,12 @@ for repeated rows, and distributed connected components."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,32 @@ def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))
 
 
+def give_back() -> None:
+    """Return freed memory to the system (where the C library can): workers are kept
+    between stages, and what an idle one holds is missing to the rest of the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean_batches(f):
+    """``f``, a function of ``mapInPandas``, that gives its memory back at the end."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from f(batches)
+        give_back()
+    return run
+
+
+def lean_group(f):
+    """``f``, a function of ``applyInPandas``, that gives its memory back at the end."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = f(pdf)
+        give_back()
+        return out
+    return run
+
+
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Replace a task's edges by a spanning forest of them (linear in nodes)."""
     parent: dict = {}
@@ -80,7 +108,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     the skew-join rule. An edge list without rows gives an empty result."""
     spark = edges.sparkSession
     kind = edges.schema["u"].dataType.simpleString()
-    local = edges.where("u <> v").mapInPandas(_forest, f"u {kind}, v {kind}")
+    local = edges.where("u <> v").mapInPandas(lean_batches(_forest), f"u {kind}, v {kind}")
     e = cut(local.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = None
     for _ in range(max_rounds):

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import components, cut, partitions_for, text_batches
+from daycast.llm.common import components, cut, lean_batches, lean_group, partitions_for, text_batches
 
 WORDS = 5
 PERCENT = 75
@@ -269,7 +269,7 @@ def _tiles(percent: int, every: bool):
 
 def digests(docs: DataFrame) -> DataFrame:
     """``doc_id, hash, n, c`` per row, written to the shared folder."""
-    return cut(_raw(docs).mapInPandas(_digest, "doc_id long, hash long, n int, c binary"))
+    return cut(_raw(docs).mapInPandas(lean_batches(_digest), "doc_id long, hash long, n int, c binary"))
 
 
 def _raw(docs: DataFrame) -> DataFrame:
@@ -283,9 +283,9 @@ def class_links(docs: DataFrame, digest: DataFrame, percent: int = PERCENT, ever
     total = digest.agg(F.sum("n")).first()[0] or 0
     buckets = partitions_for(spark, total * 2 // 5, BUCKET_ENTRIES)
     sent = _raw(docs).select("raw").mapInPandas(
-        _send_block(buckets, percent), "b int, s binary, holder binary, own binary, times binary")
-    counts = (sent.groupBy("b").applyInPandas(_count_shared(buckets), "p int, k binary, cnt binary")
-              .groupBy("p").applyInPandas(_add_buckets, "k long, cnt long"))
+        lean_batches(_send_block(buckets, percent)), "b int, s binary, holder binary, own binary, times binary")
+    counts = (sent.groupBy("b").applyInPandas(lean_group(_count_shared(buckets)), "p int, k binary, cnt binary")
+              .groupBy("p").applyInPandas(lean_group(_add_buckets), "k long, cnt long"))
     # the first six bytes of the class key, little-endian, as step 2 has them
     flipped = F.concat(*[F.substring("c", i, 1) for i in range(6, 0, -1)])
     short = F.conv(F.hex(flipped), 16, 10).cast("long")
@@ -298,7 +298,7 @@ def class_links(docs: DataFrame, digest: DataFrame, percent: int = PERCENT, ever
     side = F.broadcast(alive) if alive.count() <= BROADCAST_ROWS else alive
     raw = _raw(docs)
     picked = raw.join(side, raw["doc_id"].eqNullSafe(side["a_id"]) & (raw["hash"] == side["a_hash"]), "left_semi").select("raw")
-    full = cut(picked.mapInPandas(_full, "c binary, n int, sh array<long>").dropDuplicates(["c"]))
+    full = cut(picked.mapInPandas(lean_batches(_full), "c binary, n int, sh array<long>").dropDuplicates(["c"]))
 
     entries = full.select("c", "n", F.explode("sh").alias("s"))
     held = entries.groupBy("s").count().where("count > 1")
@@ -321,7 +321,7 @@ def class_links(docs: DataFrame, digest: DataFrame, percent: int = PERCENT, ever
     groups = partitions_for(spark, blocks.count(), 1000)
     key = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("k"), F.lit(groups))).otherwise(F.xxhash64("k", "i", "j"))
     return (placed.withColumn("g", key).select("g", "k", "i", "j", "block", "c", "n", "sh")
-            .groupBy("g", "i", "j").applyInPandas(_tiles(percent, every), "u binary, v binary"))
+            .groupBy("g", "i", "j").applyInPandas(lean_group(_tiles(percent, every)), "u binary, v binary"))
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daycast.llm.common import crc_mod, text_batches
+from daycast.llm.common import crc_mod, lean_batches, lean_group, text_batches
 
 SLOTS = 1 << 15
 TRAIN_ROWS = 3000
@@ -90,7 +90,7 @@ def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
     """Smoothed idf of every slot over all the texts (a fixed-size result)."""
     df, docs = np.zeros(SLOTS), 0
-    for r in text_batches(texts).select("text").mapInPandas(_frequencies, "slot int, df long").groupBy("slot").agg(F.sum("df").alias("df")).collect():
+    for r in text_batches(texts).select("text").mapInPandas(lean_batches(_frequencies), "slot int, df long").groupBy("slot").agg(F.sum("df").alias("df")).collect():
         if r["slot"] < 0:
             docs = r["df"]
         else:
@@ -191,7 +191,7 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> tuple[list[str], np.nd
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     picked = candidates.withColumn("place", place).where(F.col("place") <= share).drop("place")
     # a bounded sample, fitted by one task
-    fitted = picked.groupBy(F.lit(0).alias("_all")).applyInPandas(_fit(idf, labels), "label string, w binary").collect()
+    fitted = picked.groupBy(F.lit(0).alias("_all")).applyInPandas(lean_group(_fit(idf, labels)), "label string, w binary").collect()
     w = {r["label"]: np.frombuffer(bytes(r["w"]), np.float32) for r in fitted}
     return labels, np.stack([w[k] for k in labels], axis=1), idf
 
@@ -219,6 +219,8 @@ def predict(docs: DataFrame, model: tuple) -> DataFrame:
                 score.append(float(p[i]))
             yield pd.DataFrame({"lang_pred": best, "score": score})
 
+    # not deterministic to the planner: a later filter on the answer would else predict every text twice
+    identify = identify.asNondeterministic()
     return (text_batches(docs).withColumn("_language", identify("text"))
             .withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language"))
 

@@ -91,3 +91,27 @@ def test_stages_on_edge_rows_and_empty_tables(spark, tmp_path):
             stage(spark, docs, path).write.parquet(f"{path}/{step}")
             docs = spark.read.parquet(f"{path}/{step}")
         assert (docs.count() > 0) == bool(rows)
+
+
+def test_language_is_told_once_a_text(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = corpus_pipeline.STAGES[0][1](spark, docs, folder)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # the filter on the answer must not predict again
+
+
+def test_workers_give_memory_back():
+    import pandas as pd
+
+    from daycast.llm import common
+
+    calls = []
+    now, common.give_back = common.give_back, lambda: calls.append(1)
+    try:
+        one = pd.DataFrame({"a": [1, 2]})
+        assert common.lean_group(lambda pdf: pdf * 2)(one)["a"].tolist() == [2, 4] and len(calls) == 1
+        run = common.lean_batches(lambda batches: (b + 1 for b in batches))
+        assert [b["a"].tolist() for b in run(iter([one, one]))] == [[2, 3], [2, 3]] and len(calls) == 2
+    finally:
+        common.give_back = now
+    common.give_back()
