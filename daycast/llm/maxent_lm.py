@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import crc_mod, cut, partitions_for, text_batches
+from daycast.llm.common import crc_mod, cut, lean_batches, lean_group, partitions_for, text_batches
 
 ANCHORS = 24
 RARE_CLASSES = 8     # hash classes of the words that no anchor has
@@ -67,7 +67,7 @@ FLUSH = 2_000_000
 BATCH = 32_768
 STEP_TOKENS = 2_048  # softmax rows at a time: they stay in the cache
 CONTEXT_ENTRIES = 2_000_000  # of a bucket of contexts, before they are merged
-CONTEXT_ROW, CONTEXT_STEP = 4_096, 32_768  # contexts in a row, contexts at a time
+CONTEXT_ROW, CONTEXT_STEP = 4_096, 8_192  # contexts in a row, contexts at a time: they stay in the cache
 BLOCK_ROWS = 256
 SCALE = 65_536  # expected counts are sent as integers of this fraction, so sums do not depend on their order
 PRIOR = 4.0
@@ -107,10 +107,15 @@ def _places(sorted_hashes: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.nd
     return i, sorted_hashes[i] == h
 
 
-def last_before(marked: np.ndarray) -> np.ndarray:
-    """The last marked place before each place, or -1."""
+ONE = np.zeros(1, np.int64)  # where the texts begin, of one text
+
+
+def last_before(marked: np.ndarray, begins: np.ndarray = ONE) -> np.ndarray:
+    """The last marked place before each place in its text, or -1."""
     last = np.maximum.accumulate(np.where(marked, np.arange(len(marked)), -1))
-    return np.concatenate([[-1], last[:-1]]).astype(np.int64)
+    last = np.concatenate([[-1], last[:-1]]).astype(np.int64)
+    last[last < np.repeat(begins, np.diff(np.append(begins, len(marked))))] = -1
+    return last
 
 
 @dataclass(frozen=True)
@@ -126,30 +131,43 @@ class Words:
         rare = ANCHORS + (h & np.uint64(RARE_CLASSES - 1)).astype(np.int64)
         return np.where(known, self.klass[i], rare) if len(self.klass) else rare
 
-    def context_rows(self, h: np.ndarray) -> np.ndarray:
-        """Feature rows ``(token, kind)`` of a document's tokens."""
-        one, two, skip = (np.zeros(len(h), np.uint64) for _ in range(3))
+    def context_rows(self, h: np.ndarray, begins: np.ndarray = ONE, marked: np.ndarray | None = None) -> np.ndarray:
+        """Feature rows ``(token, kind)`` of the tokens of texts that begin at ``begins``;
+        ``marked``: the skip words among them, if known."""
+        one, two = np.zeros(len(h), np.uint64), np.zeros(len(h), np.uint64)
         one[1:], two[2:] = h[:-1], h[:-2]
-        at = last_before(_places(self.skip, h)[1])
-        skip[at >= 0] = h[at[at >= 0]]
-        slot = lambda x: (x * _M[0] >> np.uint64(40)).astype(np.int64) % SLOTS
+        one[begins] = two[begins] = 0
+        two[begins[begins + 1 < len(h)] + 1] = 0
+        at = last_before(_places(self.skip, h)[1] if marked is None else marked, begins)
+        skip = np.where(at >= 0, h[at], np.uint64(0))
+        slot = lambda x: (x * _M[0] >> np.uint64(40) & np.uint64(SLOTS - 1)).astype(np.int64)
         return np.stack([slot(one), SLOTS + slot(one * _M[1] ^ two >> np.uint64(7)), 2 * SLOTS + slot(skip ^ _M[1])], axis=1)
 
 
-def _batches(batches: Iterator[pd.DataFrame], words: Words):
-    """``(hashes, feature rows)`` of many documents at a time; long ones alone."""
-    held, rows, size = [], [], 0
+def _joined(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts' hashes in a row, and where each text (of one token at least) begins."""
+    lens = np.array([len(x) for x in held], np.int64)
+    return np.concatenate(held), np.cumsum(lens) - lens
+
+
+def _texts(batches: Iterator[pd.DataFrame]):
+    """``(hashes, begins)`` of many documents at a time; long ones alone."""
+    held, size = [], 0
     for pdf in batches:
         for raw in pdf["raw"]:
-            h = np.frombuffer(raw, np.uint64)
-            held.append(h)
-            rows.append(words.context_rows(h))
-            size += len(h)
+            held.append(np.frombuffer(raw, np.uint64))
+            size += len(held[-1])
             if size >= BATCH:
-                yield np.concatenate(held), np.concatenate(rows)
-                held, rows, size = [], [], 0
+                yield _joined(held)
+                held, size = [], 0
     if held:
-        yield np.concatenate(held), np.concatenate(rows)
+        yield _joined(held)
+
+
+def _batches(batches: Iterator[pd.DataFrame], words: Words):
+    """``(hashes, feature rows)`` of many documents at a time."""
+    for h, begins in _texts(batches):
+        yield h, words.context_rows(h, begins)
 
 
 def _logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -173,6 +191,24 @@ def softmax(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarr
     return z
 
 
+def log_chosen(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Log probability of the class ``k`` of each row; classes lie along the first axis here."""
+    z = _by_class(weights, bias, rows.T)
+    z -= z.max(axis=0)
+    own = z[k, np.arange(len(k))]
+    return own - np.log(np.exp(z, out=z).sum(axis=0))
+
+
+def _by_class(weights: np.ndarray, bias: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Logits ``(class, context)``."""
+    z = np.take(weights, slots[0], axis=0)
+    for k in range(1, KINDS):
+        z += np.take(weights, slots[k], axis=0)
+    z = np.ascontiguousarray(z.T)
+    z += bias[:, None]
+    return z
+
+
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held, size = [], 0
 
@@ -217,18 +253,16 @@ def _followed(anchors: np.ndarray, classed: np.ndarray):
     column: none)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, held, size = np.zeros(len(classed) * (len(anchors) + 1), np.int64), [], 0
-        for pdf in batches:
-            for raw in pdf["raw"]:
-                h = np.frombuffer(raw, np.uint64)
-                number, marked = _places(anchors, h)
-                at = last_before(marked)
-                anchor = np.where(at >= 0, number[np.maximum(at, 0)], len(anchors))
-                word, known = _places(classed, h)
-                held.append((word * (len(anchors) + 1) + anchor)[known])
-                size += len(held[-1])
-                if size >= FLUSH:
-                    total += np.bincount(np.concatenate(held), minlength=len(total))
-                    held, size = [], 0
+        for h, begins in _texts(batches):
+            number, marked = _places(anchors, h)
+            at = last_before(marked, begins)
+            anchor = np.where(at >= 0, number[np.maximum(at, 0)], len(anchors))
+            word, known = _places(classed, h)
+            held.append((word * (len(anchors) + 1) + anchor)[known])
+            size += len(held[-1])
+            if size >= FLUSH:
+                total += np.bincount(np.concatenate(held), minlength=len(total))
+                held, size = [], 0
         if held:
             total += np.bincount(np.concatenate(held), minlength=len(total))
         yield _send(total.reshape(len(classed), -1))
@@ -242,7 +276,7 @@ def learn_words(raw: DataFrame, hot: np.ndarray, hot_count: np.ndarray) -> Words
     anchors, classed, skip = (np.sort(ranked[:n]) for n in (ANCHORS, CLASSED, SKIP_WORDS))
     if not len(classed):
         return Words(anchors, classed, np.zeros(0, np.int64), skip)
-    m = _gather(raw.mapInPandas(_followed(anchors, classed), SENT), (len(classed), len(anchors) + 1))
+    m = _gather(raw.mapInPandas(lean_batches(_followed(anchors, classed)), SENT), (len(classed), len(anchors) + 1))
     share = np.maximum(m.sum(axis=0), 0.5) / max(m.sum(), 1)
     lift = (m + 4 * share) / (m.sum(axis=1, keepdims=True) + 4) / share
     return Words(anchors, classed, lift[:, :len(anchors)].argmax(axis=1).astype(np.int64), skip)
@@ -307,33 +341,33 @@ def _merge_contexts(pdf: pd.DataFrame) -> pd.DataFrame:
 def contexts(raw: DataFrame, words: Words, tokens: float) -> DataFrame:
     """The distinct contexts of all training tokens and how often each comes, packed."""
     buckets = partitions_for(raw.sparkSession, int(tokens), CONTEXT_ENTRIES)
-    sent = raw.mapInPandas(_send_contexts(words, buckets), "b int, keys binary, n binary")
-    return text_batches(cut(sent.groupBy("b").applyInPandas(_merge_contexts, "keys binary, n binary")))
+    sent = raw.mapInPandas(lean_batches(_send_contexts(words, buckets)), "b int, keys binary, n binary")
+    return text_batches(cut(sent.groupBy("b").applyInPandas(lean_group(_merge_contexts), "keys binary, n binary")))
 
 
 def _expected(weights: np.ndarray, bias: np.ndarray):
     """Counts that the weights expect; a last row holds the sum of the tokens' log
     normalisers."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((KINDS * SLOTS + 1, CLASSES), np.float64)
+        total, logs = np.zeros((KINDS, CLASSES, SLOTS), np.float64), 0.0
 
         def add(keys, n):
+            nonlocal logs
             slots, n = _slots(b"".join(keys)), np.frombuffer(b"".join(n), "<i8").astype(np.float64)
-            z = weights[slots[0]]
-            for k in range(1, KINDS):
-                z += weights[slots[k]]
-            z += bias
-            top = z.max(axis=1)
-            z -= top[:, None]
+            z = _by_class(weights, bias, slots)
+            top = z.max(axis=0)
+            z -= top
             np.exp(z, out=z)
-            norm = z.sum(axis=1)
-            total[-1, 0] += ((np.log(norm) + top) * n).sum()
-            z *= (n / norm).astype(np.float32)[:, None]
-            for k in range(KINDS):
-                order = np.argsort(slots[k], kind="stable")
-                by = slots[k][order]
-                first = np.flatnonzero(np.append(True, by[1:] != by[:-1]))
-                total[by[first]] += np.add.reduceat(z[order], first, axis=0)
+            norm = z.sum(axis=0)
+            logs += ((np.log(norm) + top) * n).sum()
+            z *= (n / norm).astype(np.float32)
+            for k in range(KINDS - 1):
+                at = slots[k].astype(np.intp) - k * SLOTS
+                for c in range(CLASSES):
+                    total[k, c] += np.bincount(at, z[c], SLOTS)
+            # merged contexts are sorted by their last kind: long runs of one slot
+            first = np.flatnonzero(np.append(True, slots[-1][1:] != slots[-1][:-1]))
+            np.add.at(total[-1].T, slots[-1][first].astype(np.intp) - (KINDS - 1) * SLOTS, np.add.reduceat(z, first, axis=1).T)
 
         keys, n, size = [], [], 0
         for pdf in batches:
@@ -346,7 +380,9 @@ def _expected(weights: np.ndarray, bias: np.ndarray):
                     keys, n, size = [], [], 0
         if keys:
             add(keys, n)
-        yield _send(np.rint(total * SCALE).astype(np.int64))
+        last = np.zeros((1, CLASSES))
+        last[0, 0] = logs
+        yield _send(np.rint(np.concatenate([*total.transpose(0, 2, 1), last]) * SCALE).astype(np.int64))
     return run
 
 
@@ -354,7 +390,7 @@ def train(raw: DataFrame, words: Words, rounds: int | None = None) -> tuple[np.n
     """Weights (feature, class) and bias from training texts: gradient steps until they
     settle, or ``rounds`` of them."""
     shape = KINDS * SLOTS, CLASSES
-    seen = _gather(raw.mapInPandas(_seen(words), SENT), shape)
+    seen = _gather(raw.mapInPandas(lean_batches(_seen(words)), SENT), shape)
     by_class = seen[:SLOTS].sum(axis=0) + 0.5
     share = by_class / by_class.sum()
     bias = np.log(share)
@@ -409,6 +445,9 @@ def _score(words, weights, bias, hot, hot_count, log_total):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, number = TaskContext.get().partitionId(), 0
         log_hot = np.log10(hot_count + 0.5)
+        # what a token's place among the frequent words tells, so each is looked up once
+        hot_class, hot_skip = words.classes_of(hot), _places(words.skip, hot)[1]
+        listed = np.isin(words.classed, hot).all() and np.isin(words.skip, hot).all()
         for pdf in batches:
             texts = pdf["raw"].tolist()
             out, at = [], 0
@@ -418,15 +457,17 @@ def _score(words, weights, bias, hot, hot_count, log_total):
                     held.append(np.frombuffer(texts[at], np.uint64))
                     size += len(held[-1])
                     at += 1
-                h, rows = np.concatenate(held), np.concatenate([words.context_rows(x) for x in held])
-                k = words.classes_of(h)
+                h, begins = _joined(held)
+                place, known = _places(hot, h)
+                if listed and len(hot):
+                    rows = words.context_rows(h, begins, known & hot_skip[place])
+                    k = np.where(known, hot_class[place], ANCHORS + (h & np.uint64(RARE_CLASSES - 1)).astype(np.int64))
+                else:
+                    rows, k = words.context_rows(h, begins), words.classes_of(h)
                 log_class = np.empty(len(h))
                 for i in range(0, len(h), STEP_TOKENS):
-                    z = log_softmax(weights, bias, rows[i:i + STEP_TOKENS])
-                    log_class[i:i + STEP_TOKENS] = z[np.arange(len(z)), k[i:i + STEP_TOKENS]]
+                    log_class[i:i + STEP_TOKENS] = log_chosen(weights, bias, rows[i:i + STEP_TOKENS], k[i:i + STEP_TOKENS])
                 log_class = log_class / np.log(10) - log_total[k]
-                place = np.minimum(np.searchsorted(hot, h), len(hot) - 1) if len(hot) else np.zeros(len(h), np.int64)
-                known = hot[place] == h if len(hot) else np.zeros(len(h), bool)
                 log_c = np.where(known, log_hot[place] if len(hot) else 0.0, 0.0)
                 begin = 0
                 for x in held:
@@ -480,7 +521,7 @@ def lm_scores(docs: DataFrame, rounds: int | None = None, hot_words: int = HOT_W
     """The score report of every document."""
     rows = hashed(docs.select("doc_id", F.col("text").cast("binary").alias("raw"), (crc_mod(F.col("doc_id"), 5) == 1).alias("held_out")))
     training = rows.where("NOT held_out").select("raw")
-    counts = cut(training.mapInPandas(_word_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("c")))
+    counts = cut(training.mapInPandas(lean_batches(_word_counts), "h long, n long").groupBy("h").agg(F.sum("n").alias("c")))
     m = fit(training, counts, rounds, hot_words)
     partial = cut(rows.mapInPandas(_score(m.words, m.weights, m.bias, m.hot, m.hot_count, m.log_total), PARTIAL))
     tail = (partial.where(F.size("tail") > 0).select("uid", F.explode(F.arrays_zip("tail", "times")).alias("x"))

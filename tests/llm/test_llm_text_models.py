@@ -236,6 +236,32 @@ def test_lm_class_model_is_a_distribution():
     assert np.allclose(np.exp(maxent_lm.log_softmax(w, bias, rows)), maxent_lm.softmax(w, bias, rows))
 
 
+def test_lm_many_texts_at_a_time():
+    """Rows of texts in a row are those of each alone; expected counts and scores again."""
+    import zlib as z
+
+    import pandas as pd
+    L, rng = maxent_lm, np.random.default_rng(4)
+    held = [L.token_hashes(t.encode()) for t in ("", edge.BASE, "one", "", edge.prose(3, 50), "two words")]
+    h, begins = L._joined(held)
+    skip = np.sort(np.unique(h)[::3])
+    words = L.Words(skip[:2], skip, np.arange(len(skip)) % L.ANCHORS, skip)
+    rows = np.concatenate([words.context_rows(x) for x in held])
+    assert (words.context_rows(h, begins) == rows).all() and (words.context_rows(h, begins, np.isin(h, skip)) == rows).all()
+    w, bias = rng.normal(size=(L.KINDS * L.SLOTS, L.CLASSES)).astype(np.float32), rng.normal(size=L.CLASSES).astype(np.float32)
+    k = words.classes_of(h)
+    assert np.allclose(L.log_chosen(w, bias, rows, k), L.log_softmax(w, bias, rows)[np.arange(len(k)), k], atol=1e-5)
+    keys, n = rows[:, 0] | (rows[:, 1] - L.SLOTS) << 12 | (rows[:, 2] - 2 * L.SLOTS) << 24, np.arange(1, len(rows) + 1)
+    want = np.zeros((L.KINDS * L.SLOTS + 1, L.CLASSES))  # contexts in any order, some more than once
+    for j in range(L.KINDS):
+        np.add.at(want, rows[:, j], L.softmax(w, bias, rows) * n[:, None])
+    logits = w[rows].astype(float).sum(axis=1) + bias
+    want[-1, 0] = (np.log(np.exp(logits).sum(axis=1)) * n).sum()
+    sent = next(L._expected(w, bias)(iter([pd.DataFrame({"keys": [L._pack(keys)], "n": [n.astype("<i8").tobytes()]})])))
+    got = np.concatenate([np.frombuffer(z.decompress(m), "<i8") for m in sent["m"]]).reshape(want.shape) / L.SCALE
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
+
+
 def test_lm_training_settles(spark):
     """Distinct contexts are those of all tokens; the gradient at the trained weights, token
     by token, promises next to nothing."""
