@@ -3,20 +3,26 @@
 Both vocabularies cut text before merging; every cut used here is one they
 make: at a single space or newline, and between a word and a comma or full stop
 that ends it. Each distinct word is encoded once by the library, many in one
-call with a separator whose token cannot merge, and remembered; a text's ids are
-its chunks' ids in a row. Texts for which those cuts are not certain — white
+call, and remembered: behind spaces that begin a token each where the vocabulary is
+byte-level, else with a separator whose token cannot merge. A text's ids are its
+chunks' ids in a row. Texts for which those cuts are not certain — white
 space meeting white space, or separators other than space and newline — are
 encoded whole, as is a chunk whose closing stop does not follow a Latin letter.
-The memory is bounded: when full, the half used last stays."""
+The memory is bounded: when full, the half used most stays."""
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO = 200_000  # chunks, about 200 bytes each; workers keep them while other stages run
 #: White space other than single spaces and newlines between words.
 OTHER_SPACE = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"]
 TOUCHING = ["  ", " \n", "\n ", "\n\n"]
+SPACE = "\u0120"  # how byte-level vocabularies write a space
+GROUP = 1 << 20  # characters of texts looked up together
+RUN = 256  # words joined in one text of the library: its tables of a long one leave the cache
 _CACHE: dict[str, ChunkIds] = {}
 
 
@@ -47,6 +53,10 @@ class ChunkIds:
         self.tokenizer.encode_special_tokens = True  # special strings in a text are ordinary text
         # a byte-level cut keeps the space with the word behind it
         self.spaced = self.tokenizer.normalizer is None
+        # ids that begin with that space, one a cut
+        vocab = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)
+        self.opens[[i for t, i in vocab.items() if t[0] == SPACE]] = True
         # single ids: newline (byte-level), the stops, the separator of joined words
         self.newline = self._encode(["\n"])[0][:1]
         self.stops = [self._encode([t])[0][0] for t in ".,"]
@@ -57,6 +67,7 @@ class ChunkIds:
         self.index = _Index()
         self.first = np.zeros(1 << 16, np.int64)
         self.count = np.zeros(1 << 16, np.int64)
+        self.uses = np.zeros(1 << 16, np.int64)  # by the texts, halved at each forgetting
         self.flat = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
@@ -118,6 +129,8 @@ class ChunkIds:
         if len(self.index) > len(self.first):
             self.first = np.resize(self.first, 2 * len(self.index))
             self.count = np.resize(self.count, 2 * len(self.index))
+            self.uses = np.resize(self.uses, 2 * len(self.index))
+        self.uses[at:at + len(waiting)] = 0
         self.first[at:at + len(waiting)], self.count[at:at + len(waiting)] = begin, lens
 
     def _encode_new(self, cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -133,9 +146,16 @@ class ChunkIds:
             if not at:
                 continue
             if self.spaced and at[0] not in bare:
-                joined = " " + "\n ".join([cores[i] for i in at])
-            else:
-                joined = ("\n" if self.spaced else " | ").join([text(cores[i]) for i in at])
+                # each word's first id, and no other, begins with the space before it
+                runs = [at[i:i + RUN] for i in range(0, len(at), RUN)]
+                ids = np.concatenate(self._encode([" " + " ".join([cores[i] for i in run]) for run in runs]))
+                begins = np.flatnonzero(self.opens[ids])
+                if len(begins) != len(at):
+                    raise ValueError("a space merged")
+                first[at] = self._append(ids) + begins
+                count[at] = np.diff(begins, append=len(ids))
+                continue
+            joined = ("\n" if self.spaced else " | ").join([text(cores[i]) for i in at])
             ids = self._encode([joined])[0]
             cuts = np.flatnonzero(ids == self.mark)
             if len(cuts) != len(at) - 1:
@@ -148,9 +168,10 @@ class ChunkIds:
             first[i], count[i] = self._append(ids), len(ids)
         return first, count
 
-    def _forget(self, used: np.ndarray):
-        """Keep the chunks whose numbers are marked."""
-        keep = np.flatnonzero(used[:len(self.index)])
+    def _forget(self):
+        """Keep the half used most, the last learned of equals; old uses fade."""
+        uses = self.uses[:len(self.index)]
+        keep = np.sort(np.lexsort((np.arange(len(uses)), uses))[-(MEMO // 2):])
         words = list(self.index)
         old = (self.first, self.count, self.flat)
         self._reset()
@@ -159,46 +180,52 @@ class ChunkIds:
         ends = np.cumsum(lens)
         self.flat = old[2][np.repeat(old[0][keep] - (ends - lens), lens) + np.arange(lens.sum())]
         self.used = len(self.flat)
-        self.first, self.count = ends - lens, lens
+        self.first, self.count, self.uses = ends - lens, lens, uses[keep] >> 1
         self.index.update(zip(kept, range(len(kept))))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text (uint32)."""
         out: list = [None] * len(texts)
-        for begin in range(0, len(texts), 256):
-            known, look = [], self.index.__getitem__
-            for i in range(begin, min(begin + 256, len(texts))):
-                text = texts[i]
-                if not text:
-                    out[i] = np.empty(0, np.uint32)
-                    continue
-                holds = text.__contains__
-                # every white space is one space or newline between two words
-                if text[0] in " \n" or text[-1] in " \n" or holds("\0") or any(map(holds, TOUCHING)) or any(map(holds, OTHER_SPACE)):
-                    out[i] = self._encode([text])[0]
-                    continue
-                lines = holds("\n")
-                if self.spaced:
-                    parts = (text.replace("\n", " \n") if lines else text).split(" ")
-                    parts[0] = "\0" + parts[0]
-                else:
-                    parts = (text.replace("\n", " ") if lines else text).split(" ")
-                known.append((i, np.fromiter(map(look, parts), np.int64, len(parts))))
-            self._learn()
-            for i, numbers in known:
-                lens = self.count[numbers]
-                ends = np.cumsum(lens)
-                shift = self.first[numbers] - (ends - lens)
-                out[i] = self.flat[np.repeat(shift, lens) + np.arange(ends[-1])]
-            if len(self.index) > MEMO:
-                used = np.zeros(len(self.index), bool)
-                for _, numbers in known:
-                    used[numbers] = True
-                used[len(used) // 2:] |= True
-                used[:4096] = True
-                self._forget(used)
+        known, size = [], 0
+        for i, text in enumerate(texts):
+            if not text:
+                out[i] = np.empty(0, np.uint32)
+                continue
+            holds = text.__contains__
+            # every white space is one space or newline between two words
+            if text[0] in " \n" or text[-1] in " \n" or holds("\0") or any(map(holds, TOUCHING)) or any(map(holds, OTHER_SPACE)):
+                out[i] = self._encode([text])[0]
+                continue
+            known.append(i)
+            size += len(text)
+            if size >= GROUP:
+                self._group(texts, known, out)
+                known, size = [], 0
+        if known:
+            self._group(texts, known, out)
         return out
 
+    def _group(self, texts: list[str], places: list[int], out: list):
+        """Put the ids of the texts at ``places``, which have certain cuts, into
+        ``out``: each distinct chunk of the group is looked up once."""
+        front, line = ("\0", " \n") if self.spaced else ("", " ")
+        parts = pc.split_pattern(pa.array([front + texts[i].replace("\n", line) for i in places], pa.large_string()), " ")
+        words = parts.flatten().dictionary_encode()
+        chunks = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        own = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        self._learn()
+        at = words.indices.to_numpy()
+        self.uses[own] += np.bincount(at, minlength=len(own))
+        edges = parts.offsets.to_numpy().tolist()
+        for i, begin, end in zip(places, edges, edges[1:]):  # text by text: small arrays stay in the cache
+            numbers = own[at[begin:end]]
+            lens = self.count[numbers]
+            ends = np.cumsum(lens)
+            shift = self.first[numbers] - (ends - lens)
+            out[i] = self.flat[np.repeat(shift, lens) + np.arange(ends[-1])]
+        if len(self.index) > MEMO:
+            self._forget()
+
 
 def chunk_ids(path: str) -> ChunkIds:
     """The process's encoder of a vocabulary file (workers are used again)."""

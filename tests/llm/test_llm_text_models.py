@@ -55,6 +55,34 @@ def test_mixed_white_space_equals_the_library(name):
         assert np.append(ids, np.uint32(9)).tolist() == library_ids(name, text, 9).tolist(), repr(text)
 
 
+def test_new_words_are_asked_once_and_without_separators():
+    c = ChunkIds(public_tokenizers.path("byte_bpe_50k.json"))
+    got = []
+    inner = c._encode
+    c._encode = lambda texts: got.append(inner(texts)) or got[-1]
+    words = [edge.prose(i, 1).strip(" .,").lower() + "qz" * (1 + i % 3) + chr(97 + i % 26) for i in range(300)]
+    texts = ["the " + " ".join(words[i:i + 30]) for i in range(0, 300, 10)]
+    ids = c.batch(texts)
+    assert [a.tolist() for a in ids] == [library_ids("byte_bpe_50k.json", t, 1).tolist()[:-1] for t in texts]
+    own = [library_ids("byte_bpe_50k.json", " " + w, 1)[:-1] for w in dict.fromkeys(words)]
+    # the library gives the distinct words' own ids and those of the text's first word
+    assert sum(len(a) for call in got for a in call) == sum(map(len, own)) + 1
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_the_memory_keeps_what_texts_use_most(name, monkeypatch):
+    import daycast.llm.tokens as tokens
+    monkeypatch.setattr(tokens, "MEMO", 60)
+    c = ChunkIds(public_tokenizers.path(name))
+    c.batch([" ".join(f"filler{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(4200))])  # forgets: 30 stay
+    c.batch(["often often often often often often"])
+    texts = [" ".join(f"x{chr(97 + i)}{chr(97 + j)}" for j in range(26)) for i in range(5)]
+    for text in texts:
+        c.batch([text])
+    assert "often" in c.index and len(c.index) <= 60
+    assert c.batch(["an often b"])[0].tolist() == library_ids(name, "an often b", 1).tolist()[:-1]
+
+
 def test_packing_covers_every_id_once(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = packing.pack(edge.frame(spark), path, 1, with_ids=True).collect()
