@@ -2,10 +2,11 @@
 
 Both vocabularies cut text before merging; every cut used here is one they
 make: at a single space or newline, and between a word and a comma or full stop
-that ends it. Each distinct word is encoded once by the library, many in one
-call, and remembered: behind spaces that begin a token each where the vocabulary is
-byte-level, else with a separator whose token cannot merge. A text's ids are its
-chunks' ids in a row. Texts for which those cuts are not certain — white
+that ends it. Each distinct word without them, its core, is encoded once by the library,
+many in one call, and remembered: behind spaces that begin a token each where the
+vocabulary is byte-level, else with a separator whose token cannot merge. A text's ids
+are its chunks' ids in a row; the distinct chunks of many texts are found, cut and
+looked up as Arrow columns. Texts for which those cuts are not certain — white
 space meeting white space, or separators other than space and newline — are
 encoded whole, as is a chunk whose closing stop does not follow a Latin letter.
 The memory is bounded: when full, the half used most stays."""
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO = 200_000  # chunks, about 200 bytes each; workers keep them while other stages run
+MEMO = 200_000  # cores, about 60 bytes each; workers keep them while other stages run
 #: White space other than single spaces and newlines between words.
 OTHER_SPACE = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"]
 TOUCHING = ["  ", " \n", "\n ", "\n\n"]
@@ -24,24 +25,14 @@ SPACE = "\u0120"  # how byte-level vocabularies write a space
 GROUP = 1 << 20  # characters of texts looked up together
 RUN = 256  # words joined in one text of the library: its tables of a long one leave the cache
 _CACHE: dict[str, ChunkIds] = {}
-
-
-class _Index(dict):
-    """Chunk -> number; unseen chunks get the next number and wait."""
-
-    def __init__(self):
-        super().__init__()
-        self.waiting: list[str] = []
-
-    def __missing__(self, chunk):
-        self.waiting.append(chunk)
-        self[chunk] = n = len(self)
-        return n
+#: Whether a stop's cut behind a code point is certain: a Latin letter, and one in lower case.
+_LATIN = np.array([c < 0x250 and chr(c).isalpha() and chr(c).lower()[-1].isalpha() for c in range(2048)])
 
 
 class ChunkIds:
     """Chunks are words as the text has them; ``\\n`` in front stands for the
-    newline before a word, ``\\0`` for no separator, nothing for a space."""
+    newline before a word, ``\\0`` for no separator, nothing for a space. Cores have
+    no newline and no cut stop."""
 
     def __init__(self, path: str):
         import os
@@ -64,85 +55,49 @@ class ChunkIds:
         self._reset()
 
     def _reset(self):
-        self.index = _Index()
-        self.first = np.zeros(1 << 16, np.int64)
-        self.count = np.zeros(1 << 16, np.int64)
-        self.uses = np.zeros(1 << 16, np.int64)  # by the texts, halved at each forgetting
-        self.flat = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.cores = pa.array([], pa.large_string())
+        self.first = np.empty(0, np.int64)
+        self.count = np.empty(0, np.int64)
+        self.uses = np.empty(0, np.int64)  # by the texts, halved at each forgetting
+        self.flat = np.empty(0, np.uint32)
+
+    @property
+    def index(self) -> list[str]:
+        """The remembered cores."""
+        return self.cores.to_pylist()
 
     def _encode(self, texts):
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _append(self, ids: np.ndarray) -> int:
         """Store ids; returns where they begin."""
-        begin, self.used = self.used, self.used + len(ids)
-        if self.used > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * self.used)
-        self.flat[begin:self.used] = ids
+        begin = len(self.flat)
+        self.flat = np.concatenate([self.flat, ids])
         return begin
 
-    def _learn(self):
-        waiting, self.index.waiting = self.index.waiting, []
-        if not waiting:
-            return
-        at, n = len(self.index) - len(waiting), len(waiting)
-        # a chunk with a stop behind a Latin letter or a newline in front has cuts of its own
-        special = [i for i, c in enumerate(waiting) if c[-1] in ".," or c[0] == "\n"]
-        whole = np.ones(n, bool)
-        whole[special] = False
-        asked: dict[str, int] = {"": 0} if not self.spaced else {"\0": 0}  # number 0: no ids
-        number, old, lead, tail = np.zeros(n, np.int64), np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, np.int8)
-        plain = [c for c in waiting if c[-1] not in ".," and c[0] != "\n"] if special else waiting
-        number[whole] = np.arange(1, len(plain) + 1)
-        asked.update(zip(plain, range(1, len(plain) + 1)))
-        get = self.index.get
-        for i in special:
-            chunk = waiting[i]
-            stop = len(chunk) > 1 and chunk[-1] in ".," and chunk[-2] < "\u0250" and chunk[-2].isalpha()
-            core = chunk[:-1] if stop else chunk
-            line = core[:1] == "\n"
-            if line:
-                core = "\0" + core[1:] if self.spaced else core[1:]
-            known = get(core, at) if stop or line else at
-            old[i] = known < at
-            number[i] = known if known < at else asked.setdefault(core, len(asked))
-            lead[i] = line and self.spaced
-            tail[i] = 0 if not stop else 1 if chunk[-1] == "." else 2
-        first, count = self._encode_new(list(asked))
-        begin = np.where(old, self.first[np.where(old, number, 0)], first[np.where(old, 0, number)])
-        lens = np.where(old, self.count[np.where(old, number, 0)], count[np.where(old, 0, number)])
-        # a chunk that is its core points at it; the others are put together
-        made = np.flatnonzero(lead | (tail > 0))
-        if len(made):
-            src, n = begin[made], lens[made]
-            sizes = n + lead[made] + (tail[made] > 0)
-            ends = np.cumsum(sizes)
-            out = np.empty(ends[-1], np.uint32)
-            steps = np.arange(n.sum())
-            shift = np.cumsum(n) - n
-            out[np.repeat(ends - sizes + lead[made] - shift, n) + steps] = self.flat[np.repeat(src - shift, n) + steps]
-            out[(ends - sizes)[lead[made]]] = self.newline
-            for code in (1, 2):
-                out[ends[tail[made] == code] - 1] = self.stops[code - 1]
-            begin[made], lens[made] = self._append(out) + ends - sizes, sizes
-        if len(self.index) > len(self.first):
-            self.first = np.resize(self.first, 2 * len(self.index))
-            self.count = np.resize(self.count, 2 * len(self.index))
-            self.uses = np.resize(self.uses, 2 * len(self.index))
-        self.uses[at:at + len(waiting)] = 0
-        self.first[at:at + len(waiting)], self.count[at:at + len(waiting)] = begin, lens
+    def _numbers(self, cores: pa.Array) -> np.ndarray:
+        """Numbers of distinct cores; unseen ones are learned together."""
+        known = pc.index_in(cores, value_set=self.cores)
+        number = pc.fill_null(known, 0).to_numpy().astype(np.int64)
+        if known.null_count:
+            new = cores.filter(known.is_null())
+            number[known.is_null().to_numpy(zero_copy_only=False)] = len(self.cores) + np.arange(len(new))
+            first, count = self._encode_new(new.to_pylist())
+            self.cores = pa.concat_arrays([self.cores, new])
+            self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, count])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        return number
 
     def _encode_new(self, cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Store the ids of new cores (number 0 has none): their places."""
+        """Store the ids of new cores: their places."""
         first, count = np.zeros(len(cores), np.int64), np.zeros(len(cores), np.int64)
         mark = "\n" if self.spaced else "|"
         bare = {i for i, c in enumerate(cores) if c[:1] == "\0"}
-        alone = [i for i, c in enumerate(cores) if mark in c and i]
+        alone = [i for i, c in enumerate(cores) if mark in c]
         rest = np.ones(len(cores), bool)
-        rest[[0, *bare, *alone]] = False
+        rest[[*bare, *alone]] = False
         text = lambda c: c[1:] if c[:1] == "\0" else " " + c if self.spaced else c
-        for at in (np.flatnonzero(rest).tolist(), sorted(bare.difference(alone, [0]))):
+        for at in (np.flatnonzero(rest).tolist(), sorted(bare.difference(alone))):
             if not at:
                 continue
             if self.spaced and at[0] not in bare:
@@ -170,18 +125,13 @@ class ChunkIds:
 
     def _forget(self):
         """Keep the half used most, the last learned of equals; old uses fade."""
-        uses = self.uses[:len(self.index)]
+        uses = self.uses
         keep = np.sort(np.lexsort((np.arange(len(uses)), uses))[-(MEMO // 2):])
-        words = list(self.index)
-        old = (self.first, self.count, self.flat)
-        self._reset()
-        kept = [words[i] for i in keep.tolist()]
-        lens = old[1][keep]
+        lens = self.count[keep]
         ends = np.cumsum(lens)
-        self.flat = old[2][np.repeat(old[0][keep] - (ends - lens), lens) + np.arange(lens.sum())]
-        self.used = len(self.flat)
+        self.flat = self.flat[_spans(self.first[keep], lens)]
         self.first, self.count, self.uses = ends - lens, lens, uses[keep] >> 1
-        self.index.update(zip(kept, range(len(kept))))
+        self.cores = self.cores.take(pa.array(keep))
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text (uint32)."""
@@ -207,26 +157,62 @@ class ChunkIds:
 
     def _group(self, texts: list[str], places: list[int], out: list):
         """Put the ids of the texts at ``places``, which have certain cuts, into
-        ``out``: each distinct chunk of the group is looked up once."""
+        ``out``: each distinct chunk of the group is cut and put together once,
+        each distinct core looked up once."""
         front, line = ("\0", " \n") if self.spaced else ("", " ")
         parts = pc.split_pattern(pa.array([front + texts[i].replace("\n", line) for i in places], pa.large_string()), " ")
         words = parts.flatten().dictionary_encode()
-        chunks = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        own = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
-        self._learn()
-        at = words.indices.to_numpy()
-        self.uses[own] += np.bincount(at, minlength=len(own))
+        cores, lead, stop = _cores(words.dictionary)
+        cores = cores.dictionary_encode()
+        which, at = cores.indices.to_numpy(), words.indices.to_numpy()
+        number = self._numbers(cores.dictionary)
+        used = np.bincount(at, minlength=len(which))
+        self.uses[number] += np.bincount(which, used, len(number)).astype(np.int64)
+        # the chunks' ids: newline, core, stop
+        own = number[which]
+        inner = self.count[own]
+        lens = inner + lead + (stop > 0)
+        first = np.cumsum(lens) - lens
+        flat = np.empty(lens.sum(), np.uint32)
+        flat[_spans(first + lead, inner)] = self.flat[_spans(self.first[own], inner)]
+        flat[first[lead]] = self.newline
+        for byte, stop_id in zip(b".,", self.stops):
+            flat[(first + lens)[stop == byte] - 1] = stop_id
         edges = parts.offsets.to_numpy().tolist()
         for i, begin, end in zip(places, edges, edges[1:]):  # text by text: small arrays stay in the cache
-            numbers = own[at[begin:end]]
-            lens = self.count[numbers]
-            ends = np.cumsum(lens)
-            shift = self.first[numbers] - (ends - lens)
-            out[i] = self.flat[np.repeat(shift, lens) + np.arange(ends[-1])]
-        if len(self.index) > MEMO:
+            chunks = at[begin:end]
+            out[i] = flat[_spans(first[chunks], lens[chunks])]
+        if len(self.cores) > MEMO:
             self._forget()
 
 
+def _spans(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The places ``first, first + 1, ...`` of each span, one span after the other."""
+    ends = np.cumsum(lens)
+    return np.repeat(first - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _cores(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Each chunk without the newline in front (then a word without separator) and
+    without a stop behind a Latin letter; whether it had that newline; its stop or 0."""
+    _, offsets, data = chunks.buffers()
+    ends = np.frombuffer(offsets, np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
+    begins, ends = ends[:-1], ends[1:]
+    data = np.frombuffer(data, np.uint8)[:ends[-1]].copy()
+    last = data[ends - 1]
+    # the bytes before it: a chunk of one byte uses neither, one of two not the second
+    before, lead = data[np.maximum(ends - 2, 0)], data[np.maximum(ends - 3, 0)]
+    letter = np.where(before < 128, _LATIN[before & 127], (lead >= 0xC2) & (lead <= 0xC9) & _LATIN[(lead & 31).astype(np.int64) << 6 | before & 63])
+    stop = np.where((ends - begins > 1) & letter & ((last == 46) | (last == 44)), last, 0)
+    line = data[begins] == 10
+    data[begins[line]] = 0
+    keep = np.ones(len(data), bool)
+    keep[:begins[0]] = False
+    keep[ends[stop > 0] - 1] = False
+    places = np.concatenate([[0], np.cumsum(ends - begins - (stop > 0))])
+    return pa.LargeStringArray.from_buffers(len(chunks), pa.py_buffer(places), pa.py_buffer(data[keep])), line, stop
+
+
 def chunk_ids(path: str) -> ChunkIds:
     """The process's encoder of a vocabulary file (workers are used again)."""
     if path not in _CACHE:

@@ -83,6 +83,27 @@ def test_the_memory_keeps_what_texts_use_most(name, monkeypatch):
     assert c.batch(["an often b"])[0].tolist() == library_ids(name, "an often b", 1).tolist()[:-1]
 
 
+@pytest.mark.parametrize("name, want", [("byte_bpe_50k.json", ["\0caf\u00e9", "\0word", "caf\u00e9", "word", "x"]), ("word_bpe_49k.json", ["caf\u00e9", "word", "x"])])
+def test_words_share_their_core(name, want):
+    """A word is asked and kept once, whatever stop follows it or newline stands before it."""
+    c = ChunkIds(public_tokenizers.path(name))
+    texts = ["word word. word, caf\u00e9, caf\u00e9. x\nword.\nword,\ncaf\u00e9."]
+    assert [a.tolist() for a in c.batch(texts)] == [library_ids(name, t, 1).tolist()[:-1] for t in texts]
+    assert sorted(c.index) == want
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_stops_behind_any_letter(name):
+    """Each text is a group of its own: its first and last chunk lie at the buffer's ends."""
+    c = ChunkIds(public_tokenizers.path(name))
+    heads = ["", "a", "Z", "1", "_", "\u00aa", "\u00d7", "\u00e9", "\u0130", "\u01c5", "\u024f", "\u0250", "\u02b0", "\u0301", "e\u0301", "\u05d0", "\u0965",
+             "\u65e5", "\uffdd", "\U00010400", "\U0001f600"]
+    texts = [h + stop for h in heads for stop in (".", ",", "..", ".,", ".a", "")]
+    texts += [f"b {t}\n{t} {t}\nb" for t in texts] + [f"{a}\n{b}" for a in texts for b in texts if a and b]
+    for text in texts:
+        assert c.batch([text])[0].tolist() == library_ids(name, text, 9).tolist()[:-1], repr(text)
+
+
 def test_packing_covers_every_id_once(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = packing.pack(edge.frame(spark), path, 1, with_ids=True).collect()
