@@ -1,24 +1,27 @@
 """Adaptive context-mixing range coder for token ids, and its file format.
 
-A *block* is up to ``BLOCK`` ids coded from a fresh model; a *frame* is a run of
+A *block* is up to ``BLOCK`` ids; a *frame* is a run of
 whole documents as blocks, with document ids and lengths in its header, and a
 CRC-32 over every block's ids and over the header. Frames are rows of a Parquet
 folder, so files are splittable, live on any store Spark writes to and each
 frame is decoded on its own.
 
-Model of one block. Order 2 (hash of the last two ids) and order 1 (last id) each
-remember one predicted id and a confidence; order 0 counts high bytes. An id is coded
-as binary decisions: is it what order 2 says, is it what order 1 says, else its high
-byte by the order-0 counts and two nibbles under the higher bits. The probability of a
+Model. Order 2 (hash of the last two ids) and order 1 (last id) each
+remember one predicted id and a confidence; order 0 counts high bytes, and low bytes
+under each. An id is coded as binary decisions: is it what order 2 says, is it what
+order 1 says, else its high byte and its low byte by the counts. The probability of a
 decision is mixed from three adaptive predictions of it: by order 2's confidence, by
-order 1's confidence and whether it agrees, and by the order-0 count of the predicted
+order 1's confidence and whether it agrees, and by the order-0 share of the predicted
 id's high byte. They are weighted in the logistic domain, and the weights follow the
 coding error. Mixing is done in whole numbers, so coder and decoder agree on any
 machine. Decisions and symbols go through a 32-bit range coder with carry, 16 bits at
 a time.
 
-Blocks are independent, so a worker codes all blocks of a frame in step: one
-numpy operation advances every block by one id.
+A worker codes up to ``LANES`` blocks of a frame in step: one numpy operation advances
+every block by one id. These blocks have one model, fresh for each such group, that
+learns from all ids of a step after they are coded (of two lanes with the same slot the
+last one stays); so blocks may be short and the tables stay in the cache. Every block
+has a coder, and mixing weights, of its own.
 
 Defined results: null text is an empty document, which still has its end id;
 null doc ids come last; rows of one id go by text hash, equal rows stay; other
@@ -42,87 +45,106 @@ from daycast.llm.common import text_batches
 from daycast.llm.tokens import chunk_ids
 from daycast.session import shared_dir
 
-BLOCK = 8192
-LANES = 1024  # blocks coded in step
+BLOCK = 1024
+LANES = 8192  # blocks coded in step
 FRAME_IDS = BLOCK * LANES
 MAGIC = b"TIDS"
 MAX_ID = 1 << 16
-_S2, _S1, _NIB = 4096, 2048, 1024  # slots a block: order 2, order 1, last nibble
-_INC = 7  # 256 + BLOCK * _INC stays under 2^16
-_NO = np.uint32(0xFFFFFFFF)
+_S2 = 1 << 18  # slots of order 2; order 1 has one an id
+_TOTAL = 1 << 13  # of the counts as coded
+_INC = 32
+_EVERY = 32  # steps between two readings of the low bytes' counts
 
 
 #: Logistic domain in 256ths: ln(p / (1 - p)) of a 12-bit probability, and back.
 _STRETCH = np.array([round(256 * math.log(max(p, 0.5) / (4096 - max(p, 0.5)))) for p in range(4096)], np.int64)
 _SQUASH = np.array([min(max(round(4096 / (1 + math.exp(-x / 256))), 24), 4072) for x in range(-2047, 2048)], np.int64)
-#: Half the number of bits of a count: the states of the order-0 prediction.
-_BITS = np.array([min(i.bit_length() // 2, 7) for i in range(1 << 16)], np.int64)
-_RATE, _PACE = 10, 4  # of the weights and of the adaptive predictions, as shifts
+#: Half the number of bits of a share in 4096ths: the states of the order-0 prediction.
+_BITS = np.array([min(i.bit_length() // 2, 7) for i in range(4097)], np.int64)
+_RATE, _PACE = 10, 64  # of the weights as a shift; of the adaptive predictions in decisions
+
+
+def _sums(counts: np.ndarray) -> np.ndarray:
+    """Running sums of each row's 256 counts, brought to ``_TOTAL`` (each at least one)."""
+    out = np.zeros((len(counts), 257), np.int64)
+    np.cumsum(1 + counts * (_TOTAL - 256) // counts.sum(axis=1, keepdims=True), axis=1, out=out[:, 1:])
+    out[:, 256] = _TOTAL
+    return out
 
 
 class _Model:
-    """Adaptive state of ``lanes`` blocks, the same in coder and decoder."""
+    """Adaptive state, the same in coder and decoder: the tables are common to all
+    lanes and learn from every lane's id of a step at once; weights are a lane's own."""
 
     def __init__(self, lanes: int):
-        self.row = np.arange(lanes, dtype=np.int64)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.t2, self.c2 = np.zeros(lanes * _S2, np.uint16), np.zeros(lanes * _S2, np.uint8)
-        self.t1, self.c1 = np.zeros(lanes * _S1, np.uint16), np.zeros(lanes * _S1, np.uint8)
-        self.count = np.ones(lanes * 256, np.uint16)
-        self.cum = np.zeros((lanes, 257), np.uint16)
-        self.high = np.ones((lanes * 256, 16), np.uint16)
-        self.low = np.ones((lanes * _NIB, 16), np.uint16)
+        self.t2, self.c2 = np.zeros(_S2, np.uint16), np.zeros(_S2, np.uint8)
+        self.t1, self.c1 = np.zeros(MAX_ID, np.uint16), np.zeros(MAX_ID, np.uint8)
+        self.count, self.low_count = np.ones((1, 256), np.int64), np.ones((256, 256), np.int64)
+        self.missed: list[np.ndarray] = []
         # per decision: predictions by state (order 2, order 1, order 0), and weights
-        self.chance = [[np.full(lanes * n, 2048, np.int64) for n in (16, 16, 8)] for _ in range(2)]
+        self.chance = [[np.full(n, 2048, np.int64) for n in (8, 16, 8)] for _ in range(2)]
         self.weight = [np.full((3, lanes), 26_000, np.int64) for _ in range(2)]
 
     def predict(self, a: int, step: int):
         """Look the predictions up; which lanes have one of order 2."""
-        if step & (step - 1) == 0 or step % 64 == 0:  # order 0 follows its counts with a lag
-            np.cumsum(self.count.reshape(-1, 256)[:a], axis=1, out=self.cum[:a, 1:], dtype=np.uint16)
-        row, last = self.row[:a], self.last[:a]
-        self.i2 = row * _S2 + ((self.before[:a] * 0x9E3779B1 + last * 0x85EBCA6B >> 12) & (_S2 - 1))
-        self.i1 = row * _S1 + ((last * 0x9E3779B1 >> 10) & (_S1 - 1))
-        self.k2, self.k1 = self.c2[self.i2], self.c1[self.i1]
-        self.q2, self.q1 = self.t2[self.i2].astype(np.int64), self.t1[self.i1].astype(np.int64)
+        self.high = _sums(self.count)[0]
+        self.level = _BITS[self.count[0] * 4096 // self.count.sum()]
+        if step & (step - 1) == 0 or step % _EVERY == 0:  # the low bytes follow their counts with a lag
+            if self.missed:
+                self.low_count += _INC * np.bincount(np.concatenate(self.missed), minlength=MAX_ID).reshape(256, 256)
+                self.missed = []
+            self.low, self.low_of = _sums(self.low_count).reshape(-1), None
+        last = self.last[:a]
+        self.i2, self.i1 = (self.before[:a] * 0x9E3779B1 + last * 0x85EBCA6B >> 12) & (_S2 - 1), last
+        self.k2, self.k1 = self.c2[self.i2], self.c1[last]
+        self.q2, self.q1 = self.t2[self.i2].astype(np.int64), self.t1[last].astype(np.int64)
+        self.same = (self.k1 > 0) & (self.q1 == self.q2)
         return np.flatnonzero(self.k2 > 0)
 
+    def find_high(self, v):
+        """High bytes of values under ``_TOTAL``."""
+        return np.repeat(np.arange(256), np.diff(self.high))[v]
+
+    def find_low(self, high, v):
+        if self.low_of is None:  # by table: 2 MB, made when the counts are read
+            self.low_of = np.repeat(np.tile(np.arange(256, dtype=np.uint8), 256), np.diff(self.low.reshape(256, 257)).reshape(-1))
+        return self.low_of[high * _TOTAL + v]
+
     def second(self, lanes):
         """Of the lanes that are still open, those with another prediction of order 1."""
-        return lanes[(self.k1[lanes] > 0) & ((self.k2[lanes] == 0) | (self.q1[lanes] != self.q2[lanes]))]
+        return lanes[(self.k1[lanes] > 0) & ((self.k2[lanes] == 0) | ~self.same[lanes])]
 
     def mix(self, which: int, lanes):
         """12-bit probabilities that the decision's predicted id comes."""
         q = (self.q2, self.q1)[which][lanes]
-        agree = ((self.k1[lanes] > 0) & (self.q1[lanes] == self.q2[lanes])) if which == 0 else self.k2[lanes] > 0
-        zero = _BITS[self.count[lanes * 256 + (q >> 8)]]
-        self.at = (lanes * 16 + self.k2[lanes] + 8 * (which == 1), lanes * 16 + self.k1[lanes] + 8 * agree, lanes * 8 + zero)
-        self.p = [t[i] for t, i in zip(self.chance[which], self.at)]
-        self.s = np.stack([_STRETCH[p] for p in self.p])
-        self.mixed = _SQUASH[np.clip((self.weight[which][:, lanes] * self.s).sum(axis=0) >> 16, -2047, 2047) + 2047]
+        k2 = self.k2[lanes]
+        agree = self.same[lanes] if which == 0 else k2 > 0
+        self.at = (k2, self.k1[lanes] + 8 * agree, self.level[q >> 8])
+        self.s = [_STRETCH[t][i] for t, i in zip(self.chance[which], self.at)]
+        self.w = [w[lanes] for w in self.weight[which]]
+        dot = self.w[0] * self.s[0] + self.w[1] * self.s[1] + self.w[2] * self.s[2] >> 16
+        self.mixed = _SQUASH[np.clip(dot, -2047, 2047) + 2047]
         return self.mixed
 
     def learn_decision(self, which: int, lanes, hit):
-        bit = hit.astype(np.int64) << 12
-        self.weight[which][:, lanes] += self.s * (bit - self.mixed) >> _RATE
-        for t, i, p in zip(self.chance[which], self.at, self.p):
-            t[i] = np.minimum(p + (bit - p >> _PACE), 4095)
+        error = (hit.astype(np.int64) << 12) - self.mixed
+        for weight, w, s in zip(self.weight[which], self.w, self.s):
+            weight[lanes] = w + (s * error >> _RATE)
+        for t, i in zip(self.chance[which], self.at):
+            misses, hits = np.bincount(i + len(t) * hit, minlength=2 * len(t)).reshape(2, -1)
+            t += (hits * 4095 - (misses + hits) * t) // (misses + hits + _PACE)
 
     def learn_id(self, a: int, x):
         for t, c, i, k, q in ((self.t2, self.c2, self.i2, self.k2, self.q2), (self.t1, self.c1, self.i1, self.k1, self.q1)):
             hit = (q == x) & (k > 0)
             c[i] = np.where(hit, np.minimum(k, 6) + 1, np.where(k > 1, k >> 1, 1))
             t[i] = np.where(hit | (k <= 1), x, q)
-        self.count[self.row[:a] * 256 + (x >> 8)] += _INC
+        self.count[0] += np.bincount(x >> 8, minlength=256)
         self.before[:a] = self.last[:a]
         self.last[:a] = x
 
-    def low_rows(self, lanes, x_high12):
-        return lanes * _NIB + ((x_high12 * 0x9E3779B1 >> 8) & (_NIB - 1))
-
 
-#: Running sums of sixteen counts by one small matrix product (exact in float32).
-_SUMS = np.triu(np.ones((16, 16), np.float32))
 _TOP = 4294967296.0
 
 
@@ -184,7 +206,7 @@ class _Decoder:
         short = np.flatnonzero(rng < 65536)
         if len(short):
             who = lanes[short]
-            code[short] = code[short] * 65536 + self.words[who, self.at[who]]
+            code[short] = code[short] * 65536 + self.words[who, np.minimum(self.at[who], self.words.shape[1] - 1)]
             self.at[who] += 1
             rng[short] *= 65536
         self.code[lanes], self.range[lanes] = code, rng
@@ -200,16 +222,16 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         return []
     sizes = np.array([len(b) for b in blocks])
     order = np.argsort(-sizes, kind="stable")
-    ids = np.zeros((sizes.max(), len(blocks)), np.int64)
-    for lane, b in enumerate(order):
-        ids[:sizes[b], lane] = blocks[b]
-    if ids.max(initial=0) >= MAX_ID:
+    if any(b.max(initial=0) >= MAX_ID for b in blocks):
         raise ValueError(f"ids must be under {MAX_ID}")
+    ids = np.zeros((len(blocks), sizes.max()), np.uint16)
+    for lane, b in enumerate(order):
+        ids[lane, :sizes[b]] = blocks[b]
+    ids = np.ascontiguousarray(ids.T)
     active = np.searchsorted(-sizes[order], -np.arange(sizes.max()), side="left")  # lanes longer than the step
     model, coder = _Model(len(blocks)), _Encoder(len(blocks), int(sizes.max()) * 4 + 4)
-    sixteen = model.row * 16
     for step, a in enumerate(active.tolist()):
-        x, open_ = ids[step, :a], np.ones(a, bool)
+        x, open_ = ids[step, :a].astype(np.int64), np.ones(a, bool)
         lanes = model.predict(a, step)
         for which in (0, 1):
             if which:
@@ -223,16 +245,12 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         miss = np.flatnonzero(open_)
         if len(miss):
             y = x[miss]
-            cum, place = model.cum.reshape(-1), miss * 257
-            start = _f(cum[place + (y >> 8)])
-            coder.put(miss, start, cum[place + (y >> 8) + 1] - start, cum[place + 256])
-            for rows, table, nibble in ((miss * 256 + (y >> 8), model.high, y >> 4 & 15), (model.low_rows(miss, y >> 4), model.low, y & 15)):
-                counts = table[rows].astype(np.float32)
-                sums = (counts @ _SUMS).reshape(-1)
-                cell = sixteen[:len(miss)] + nibble
-                freq = _f(counts.reshape(-1)[cell])
-                coder.put(miss, sums[cell] - freq, freq, sums[15::16])
-                table.reshape(-1)[rows * 16 + nibble] += _INC
+            high = y >> 8
+            start = model.high[high]
+            coder.put(miss, start, model.high[high + 1] - start, float(_TOTAL))
+            start = model.low[y + high]
+            coder.put(miss, start, model.low[y + high + 1] - start, float(_TOTAL))
+            model.missed.append(y)
         model.learn_id(a, x)
     payloads = coder.finish()
     out: list = [b""] * len(blocks)
@@ -249,8 +267,7 @@ def decode_blocks(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
     order = np.argsort(-sizes, kind="stable")
     active = np.searchsorted(-sizes[order], -np.arange(sizes.max()), side="left")
     model, coder = _Model(len(payloads)), _Decoder([payloads[b] for b in order])
-    ids = np.zeros((sizes.max(), len(payloads)), np.uint32)
-    sixteen = model.row * 16
+    ids = np.zeros((sizes.max(), len(payloads)), np.uint16)
     for step, a in enumerate(active.tolist()):
         open_ = np.ones(a, bool)
         lanes = model.predict(a, step)
@@ -267,33 +284,22 @@ def decode_blocks(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
                 x[lanes[hit]] = (model.q1 if which else model.q2)[lanes[hit]]
         miss = np.flatnonzero(open_)
         if len(miss):
-            cum, base = model.cum.reshape(-1), miss * 257
-            v = coder.value(miss, cum[base + 256]).astype(np.uint16)
-            place = base.copy()
-            for bit in (128, 64, 32, 16, 8, 4, 2, 1):
-                place += (cum[place + bit] <= v) * bit
-            start = _f(cum[place])
-            coder.take(miss, start, cum[place + 1] - start)
-            y = place - base
-            for table in (model.high, model.low):
-                rows = miss * 256 + y if table is model.high else model.low_rows(miss, y)
-                counts = table[rows].astype(np.float32)
-                sums = (counts @ _SUMS).reshape(-1)
-                v = coder.value(miss, sums[15::16]).astype(np.float32)
-                cell = sixteen[:len(miss)].copy()
-                for bit in (8, 4, 2, 1):  # sums at or below the value
-                    cell += (sums[cell + (bit - 1)] <= v) * bit
-                nibble = cell - sixteen[:len(miss)]
-                freq = _f(counts.reshape(-1)[cell])
-                coder.take(miss, sums[cell] - freq, freq)
-                table.reshape(-1)[rows * 16 + nibble] += _INC
-                y = y << 4 | nibble
+            v = coder.value(miss, float(_TOTAL)).astype(np.int64)
+            high = model.find_high(v)
+            start = model.high[high]
+            coder.take(miss, start, model.high[high + 1] - start)
+            v = coder.value(miss, float(_TOTAL)).astype(np.int64)
+            y = high << 8 | model.find_low(high, v)
+            start = model.low[y + high]
+            coder.take(miss, start, model.low[y + high + 1] - start)
+            model.missed.append(y)
             x[miss] = y
         model.learn_id(a, x)
         ids[step, :a] = x
     out: list = [None] * len(payloads)
+    ids = np.ascontiguousarray(ids.T)
     for lane, b in enumerate(order):
-        out[b] = ids[:sizes[b], lane].copy()
+        out[b] = ids[lane, :sizes[b]].astype(np.uint32)
     return out
 
 
@@ -301,7 +307,7 @@ def pack_frame(doc_ids: list, docs: list[np.ndarray]) -> bytes:
     """Header (document ids, lengths, blocks, checksums) and payloads."""
     ids = np.concatenate(docs)
     # short frames get shorter blocks, so that there are enough to go in step
-    size = int(min(BLOCK, max(1024, -(-len(ids) // 128))))
+    size = int(min(BLOCK, max(256, -(-len(ids) // LANES))))
     blocks = [ids[i:i + size] for i in range(0, len(ids), size)]
     payloads = [p for i in range(0, len(blocks), LANES) for p in encode_blocks(blocks[i:i + LANES])]
     known = np.array([d is not None for d in doc_ids], np.uint8)

@@ -3,8 +3,9 @@
 Both vocabularies cut text before merging; every cut used here is one they
 make: at a single space or newline, and between a word and a comma or full stop
 that ends it. Each distinct word without them, its core, is encoded once by the library,
-many in one call, and remembered: behind spaces that begin a token each where the
-vocabulary is byte-level, else with a separator whose token cannot merge. A text's ids
+many in one call, and remembered: told apart by the spaces that begin a token each where
+the vocabulary is byte-level, by the tokens that end a word else, and where neither is
+certain by a separator whose token cannot merge. A text's ids
 are its chunks' ids in a row; the distinct chunks of many texts are found, cut and
 looked up as Arrow columns. Texts for which those cuts are not certain — white
 space meeting white space, or separators other than space and newline — are
@@ -22,6 +23,7 @@ MEMO = 200_000  # cores, about 60 bytes each; workers keep them while other stag
 OTHER_SPACE = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in " \n"]
 TOUCHING = ["  ", " \n", "\n ", "\n\n"]
 SPACE = "\u0120"  # how byte-level vocabularies write a space
+END = "</w>"  # how the others mark a word's end
 GROUP = 1 << 20  # characters of texts looked up together
 RUN = 256  # words joined in one text of the library: its tables of a long one leave the cache
 _CACHE: dict[str, ChunkIds] = {}
@@ -44,10 +46,10 @@ class ChunkIds:
         self.tokenizer.encode_special_tokens = True  # special strings in a text are ordinary text
         # a byte-level cut keeps the space with the word behind it
         self.spaced = self.tokenizer.normalizer is None
-        # ids that begin with that space, one a cut
+        # ids that begin with that space, or end a word: one a cut
         vocab = self.tokenizer.get_vocab()
-        self.opens = np.zeros(max(vocab.values()) + 1, bool)
-        self.opens[[i for t, i in vocab.items() if t[0] == SPACE]] = True
+        self.edge = np.zeros(max(vocab.values()) + 1, bool)
+        self.edge[[i for t, i in vocab.items() if (t[0] == SPACE if self.spaced else t.endswith(END))]] = True
         # single ids: newline (byte-level), the stops, the separator of joined words
         self.newline = self._encode(["\n"])[0][:1]
         self.stops = [self._encode([t])[0][0] for t in ".,"]
@@ -94,22 +96,24 @@ class ChunkIds:
         mark = "\n" if self.spaced else "|"
         bare = {i for i, c in enumerate(cores) if c[:1] == "\0"}
         alone = [i for i, c in enumerate(cores) if mark in c]
-        rest = np.ones(len(cores), bool)
-        rest[[*bare, *alone]] = False
         text = lambda c: c[1:] if c[:1] == "\0" else " " + c if self.spaced else c
-        for at in (np.flatnonzero(rest).tolist(), sorted(bare.difference(alone))):
-            if not at:
-                continue
-            if self.spaced and at[0] not in bare:
-                # each word's first id, and no other, begins with the space before it
-                runs = [at[i:i + RUN] for i in range(0, len(at), RUN)]
-                ids = np.concatenate(self._encode([" " + " ".join([cores[i] for i in run]) for run in runs]))
-                begins = np.flatnonzero(self.opens[ids])
-                if len(begins) != len(at):
-                    raise ValueError("a space merged")
-                first[at] = self._append(ids) + begins
-                count[at] = np.diff(begins, append=len(ids))
-                continue
+        # cores that cut themselves: each has one id that begins with the space, or that ends a word
+        rest = np.ones(len(cores), bool) if self.spaced else np.fromiter(map(_one_word, cores), bool, len(cores))
+        rest[[*bare, *alone]] = False
+        at = np.flatnonzero(rest).tolist()
+        if at:
+            lead = " " if self.spaced else ""
+            runs = [at[i:i + RUN] for i in range(0, len(at), RUN)]
+            ids = np.concatenate(self._encode([lead + " ".join([cores[i] for i in run]) for run in runs]))
+            cuts = np.flatnonzero(self.edge[ids])
+            if len(cuts) != len(at) or not self.spaced and cuts[-1] != len(ids) - 1:
+                raise ValueError("a space merged")
+            begins = cuts if self.spaced else np.append(0, cuts[:-1] + 1)
+            first[at] = self._append(ids) + begins
+            count[at] = np.diff(begins, append=len(ids))
+        rest[alone] = True  # those go alone, what is left behind separators
+        at = np.flatnonzero(~rest).tolist()
+        if at:
             joined = ("\n" if self.spaced else " | ").join([text(cores[i]) for i in at])
             ids = self._encode([joined])[0]
             cuts = np.flatnonzero(ids == self.mark)
@@ -186,6 +190,11 @@ class ChunkIds:
             self._forget()
 
 
+def _one_word(core: str) -> bool:
+    """Whether a vocabulary with word ends takes the core as one word for certain."""
+    return core.isalpha() and (core.isascii() or max(core) < "\u0250" and "\u0130" not in core)
+
+
 def _spans(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The places ``first, first + 1, ...`` of each span, one span after the other."""
     ends = np.cumsum(lens)

@@ -6,6 +6,7 @@ import functools
 import hashlib
 import math
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -174,6 +175,35 @@ def test_codec_uses_its_contexts():
     assert len(told) * 4 < len(blind)
 
 
+def test_codec_blocks_learn_from_each_other():
+    """Blocks coded in step share their model: what one has seen is cheap in the others."""
+    pattern = np.random.default_rng(7).integers(0, 40_000, 300)
+    blocks = [np.roll(pattern, 7 * i) for i in range(40)]
+    together = token_codec.encode_blocks(blocks)
+    assert sum(map(len, together)) * 2 < 40 * len(token_codec.encode_blocks(blocks[:1])[0])
+    back = token_codec.decode_blocks(together, [300] * 40)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, back))
+
+
+def test_codec_damage_anywhere_raises():
+    rng = np.random.default_rng(8)
+    docs = [rng.integers(0, n, 700).astype(np.uint32) for n in (3, 300, 65_536)]
+    frame = token_codec.pack_frame([1, 2, 3], docs)
+    for at in rng.integers(0, len(frame), 40).tolist():
+        bad = bytearray(frame)
+        bad[at] ^= 1 << int(rng.integers(0, 8))
+        with pytest.raises((ValueError, struct.error)):
+            token_codec.unpack_frame(bytes(bad))
+
+
+@pytest.mark.parametrize("sizes", [[1], [0, 5, 0], [3000, 1, 2], [1024] * 70, [257, 256, 255]])
+def test_codec_blocks_of_any_size(sizes):
+    rng = np.random.default_rng(9)
+    blocks = [rng.integers(0, 1 << int(rng.integers(1, 17)), n).astype(np.uint32) for n in sizes]
+    back = token_codec.decode_blocks(token_codec.encode_blocks(blocks), sizes)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, back))
+
+
 def test_token_files_edge_rows(spark):
     rows = token_codec.token_files(edge.frame(spark), public_tokenizers.path("word_bpe_49k.json"), 2, with_ids=True).collect()
     rows.sort(key=lambda r: r["start"])
