@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daycast.llm.common import cut, text_batches
+from daycast.llm.common import cut, lean_batches, text_batches
 from daycast.llm.tokens import chunk_ids
 
 CAPACITY = 2048
@@ -85,7 +85,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CA
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
 
-    return text_batches(docs).select("doc_id", "text").mapInPandas(run, schema)
+    return text_batches(docs).select("doc_id", "text").mapInPandas(lean_batches(run), schema)
 
 
 def _leftovers(capacity: int):

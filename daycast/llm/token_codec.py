@@ -1,7 +1,7 @@
 """Adaptive context-mixing range coder for token ids, and its file format.
 
-A *block* is up to ``BLOCK`` ids; a *frame* is a run of
-whole documents as blocks, with document ids and lengths in its header, and a
+A *block* is up to ``BLOCK`` ids; a *frame* is a run of whole documents as blocks,
+with document ids and lengths in its header, and a
 CRC-32 over every block's ids and over the header. Frames are rows of a Parquet
 folder, so files are splittable, live on any store Spark writes to and each
 frame is decoded on its own.
@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from daycast.llm.common import text_batches
+from daycast.llm.common import lean_batches, text_batches
 from daycast.llm.tokens import chunk_ids
 from daycast.session import shared_dir
 
@@ -107,6 +107,7 @@ class _Model:
         return np.repeat(np.arange(256), np.diff(self.high))[v]
 
     def find_low(self, high, v):
+        """Their low bytes, under the high ones."""
         if self.low_of is None:  # by table: 2 MB, made when the counts are read
             self.low_of = np.repeat(np.tile(np.arange(256, dtype=np.uint8), 256), np.diff(self.low.reshape(256, 257)).reshape(-1))
         return self.low_of[high * _TOTAL + v]
@@ -364,7 +365,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: s
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("h")]
     (rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
-     .mapInPandas(run, FRAMES).write.parquet(path))
+     .mapInPandas(lean_batches(run), FRAMES).write.parquet(path))
 
 
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -385,7 +386,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     base = frames.select("part", "frame", F.coalesce(F.sum("n_ids").over(
         Window.orderBy("part", "frame").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     # one frame a row of a few MB: few rows a batch and a task of its own
-    docs = frames.select("part", "frame", "data").mapInPandas(run, schema)
+    docs = frames.select("part", "frame", "data").mapInPandas(lean_batches(run), schema)
     return docs.join(base, ["part", "frame"]).select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 

@@ -14,6 +14,8 @@ The memory is bounded: when full, the half used most stays."""
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,11 +26,12 @@ OTHER_SPACE = [c for c in map(chr, range(0x10000)) if c.isspace() and c not in "
 TOUCHING = ["  ", " \n", "\n ", "\n\n"]
 SPACE = "\u0120"  # how byte-level vocabularies write a space
 END = "</w>"  # how the others mark a word's end
-GROUP = 1 << 20  # characters of texts looked up together
+GROUP = 1 << 21  # characters of texts looked up together
 RUN = 256  # words joined in one text of the library: its tables of a long one leave the cache
 _CACHE: dict[str, ChunkIds] = {}
 #: Whether a stop's cut behind a code point is certain: a Latin letter, and one in lower case.
 _LATIN = np.array([c < 0x250 and chr(c).isalpha() and chr(c).lower()[-1].isalpha() for c in range(2048)])
+_OTHER = re.compile("[\u0130\u0250-\U0010ffff]")
 
 
 class ChunkIds:
@@ -98,7 +101,7 @@ class ChunkIds:
         alone = [i for i, c in enumerate(cores) if mark in c]
         text = lambda c: c[1:] if c[:1] == "\0" else " " + c if self.spaced else c
         # cores that cut themselves: each has one id that begins with the space, or that ends a word
-        rest = np.ones(len(cores), bool) if self.spaced else np.fromiter(map(_one_word, cores), bool, len(cores))
+        rest = np.ones(len(cores), bool) if self.spaced else np.array([_one_word(c) for c in cores], bool)
         rest[[*bare, *alone]] = False
         at = np.flatnonzero(rest).tolist()
         if at:
@@ -192,7 +195,7 @@ class ChunkIds:
 
 def _one_word(core: str) -> bool:
     """Whether a vocabulary with word ends takes the core as one word for certain."""
-    return core.isalpha() and (core.isascii() or max(core) < "\u0250" and "\u0130" not in core)
+    return core.isalpha() and (core.isascii() or not _OTHER.search(core))
 
 
 def _spans(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
