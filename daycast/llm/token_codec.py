@@ -1,8 +1,8 @@
 """Adaptive context-mixing range coder for token ids, and its file format.
 
-A *block* is up to ``BLOCK`` ids; a *frame* is a run of whole documents as blocks,
-with document ids and lengths in its header, and a
-CRC-32 over every block's ids and over the header. Frames are rows of a Parquet
+A *block* is up to ``BLOCK`` ids coded from a fresh model, as lanes of ``LANE`` ids;
+a *frame* is a run of whole documents as blocks, with document ids and lengths in its
+header, and a CRC-32 over every block's ids, over its bytes and over the header. Frames are rows of a Parquet
 folder, so files are splittable, live on any store Spark writes to and each
 frame is decoded on its own.
 
@@ -17,11 +17,11 @@ coding error. Mixing is done in whole numbers, so coder and decoder agree on any
 machine. Decisions and symbols go through a 32-bit range coder with carry, 16 bits at
 a time.
 
-A worker codes up to ``LANES`` blocks of a frame in step: one numpy operation advances
-every block by one id. These blocks have one model, fresh for each such group, that
-learns from all ids of a step after they are coded (of two lanes with the same slot the
-last one stays); so blocks may be short and the tables stay in the cache. Every block
-has a coder, and mixing weights, of its own.
+Blocks are independent. The lanes of a block are coded in step: one numpy operation
+advances every lane by one id. They have one model, which learns from all ids of a step
+after they are coded (of two lanes with the same slot the last one stays), so lanes may
+be short and the tables stay in the cache. Every lane has a coder, and mixing weights,
+of its own.
 
 Defined results: null text is an empty document, which still has its end id;
 null doc ids come last; rows of one id go by text hash, equal rows stay; other
@@ -45,9 +45,9 @@ from daycast.llm.common import lean_batches, text_batches
 from daycast.llm.tokens import chunk_ids
 from daycast.session import shared_dir
 
-BLOCK = 1024
-LANES = 8192  # blocks coded in step
-FRAME_IDS = BLOCK * LANES
+LANE = 1024  # ids
+BLOCK = 8192 * LANE
+FRAME_IDS = BLOCK
 MAGIC = b"TIDS"
 MAX_ID = 1 << 16
 _S2 = 1 << 18  # slots of order 2; order 1 has one an id
@@ -218,7 +218,31 @@ def _f(a):
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Payload of each block of ids, all coded in step."""
+    """Payload of each block of ids: its lanes' sizes in bytes, and the lanes."""
+    out = []
+    for block in blocks:
+        lanes = _encode_lanes([block[i:i + LANE] for i in range(0, len(block), LANE)])
+        out.append(np.array([len(p) for p in lanes], "<u4").tobytes() + b"".join(lanes))
+    return out
+
+
+def decode_blocks(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
+    """The ids of each block."""
+    out = []
+    for payload, count in zip(payloads, counts):
+        n = -(-count // LANE)
+        sizes = np.frombuffer(payload, "<u4", n).astype(np.int64) if n else np.empty(0, np.int64)
+        ends = 4 * n + np.cumsum(sizes)
+        if n and ends[-1] != len(payload):
+            raise ValueError("a block's lanes do not fill it")
+        lanes = _decode_lanes([payload[e - k:e] for e, k in zip(ends.tolist(), sizes.tolist())],
+                              [min(LANE, count - LANE * i) for i in range(n)])
+        out.append(np.concatenate([np.empty(0, np.uint32), *lanes]))
+    return out
+
+
+def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
+    """Payload of each lane of a block, all coded in step."""
     if not blocks:
         return []
     sizes = np.array([len(b) for b in blocks])
@@ -260,8 +284,8 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     return out
 
 
-def decode_blocks(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
-    """The ids of each block."""
+def _decode_lanes(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
+    """The ids of each lane."""
     if not payloads:
         return []
     sizes = np.array(counts)
@@ -307,14 +331,12 @@ def decode_blocks(payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:
 def pack_frame(doc_ids: list, docs: list[np.ndarray]) -> bytes:
     """Header (document ids, lengths, blocks, checksums) and payloads."""
     ids = np.concatenate(docs)
-    # short frames get shorter blocks, so that there are enough to go in step
-    size = int(min(BLOCK, max(256, -(-len(ids) // LANES))))
-    blocks = [ids[i:i + size] for i in range(0, len(ids), size)]
-    payloads = [p for i in range(0, len(blocks), LANES) for p in encode_blocks(blocks[i:i + LANES])]
+    blocks = [ids[i:i + BLOCK] for i in range(0, len(ids), BLOCK)]
+    payloads = encode_blocks(blocks)
     known = np.array([d is not None for d in doc_ids], np.uint8)
-    head = struct.pack("<III", len(docs), len(blocks), size) + known.tobytes()
+    head = struct.pack("<III", len(docs), len(blocks), LANE) + known.tobytes()
     head += np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes() + np.array([len(d) for d in docs], "<u4").tobytes()
-    head += b"".join(struct.pack("<III", len(b), len(p), zlib.crc32(b.astype("<u4").tobytes())) for b, p in zip(blocks, payloads))
+    head += b"".join(struct.pack("<IIII", len(b), len(p), zlib.crc32(b.astype("<u4").tobytes()), zlib.crc32(p)) for b, p in zip(blocks, payloads))
     return MAGIC + struct.pack("<II", len(head), zlib.crc32(head)) + head + b"".join(payloads)
 
 
@@ -328,10 +350,12 @@ def unpack_frame(frame: bytes) -> tuple[list, list[np.ndarray]]:
     known = np.frombuffer(head, np.uint8, n, 12)
     doc_ids = np.frombuffer(head, "<i8", n, 12 + n)
     lens = np.frombuffer(head, "<u4", n, 12 + 9 * n).astype(np.int64)
-    table = np.frombuffer(head, "<u4", 3 * m, 12 + 13 * n).reshape(m, 3).astype(np.int64)
+    table = np.frombuffer(head, "<u4", 4 * m, 12 + 13 * n).reshape(m, 4).astype(np.int64)
     ends = 12 + size + np.cumsum(table[:, 1])
     payloads = [frame[e - k:e] for e, k in zip(ends.tolist(), table[:, 1].tolist())]
-    blocks = [b for i in range(0, m, LANES) for b in decode_blocks(payloads[i:i + LANES], table[i:i + LANES, 0].tolist())]
+    if [zlib.crc32(p) for p in payloads] != table[:, 3].tolist():
+        raise ValueError("a block is damaged")
+    blocks = decode_blocks(payloads, table[:, 0].tolist())
     for b, crc in zip(blocks, table[:, 2].tolist()):
         if zlib.crc32(b.astype("<u4").tobytes()) != crc:
             raise ValueError("a block's ids do not match their checksum")
